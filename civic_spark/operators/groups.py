@@ -36,7 +36,8 @@ def keep_groups_any(df: DataFrame, keys: Sequence[str], pred: Column, strategy:
     """keep whole groups in which any row satisfies ``pred``."""
     if strategy == "window":
         w = Window.partitionBy(*keys)
-        return df.filter(F.max(F.coalesce(pred, F.lit(False)).cast("int")).over(w) == 1)
+        d = df.withColumn("__f", F.max(F.coalesce(pred, F.lit(False)).cast("int")).over(w))
+        return d.filter(F.col("__f") == 1).drop("__f")
     hit = _flags(df.filter(pred), keys, {"__n": F.count(F.lit(1))}).drop("__n")
     return left_join(df, hit, list(keys), how="left_semi")
 
@@ -48,7 +49,8 @@ def drop_groups_any(df: DataFrame, keys: Sequence[str], pred: Column, strategy:
     bad = F.coalesce(pred, F.lit(True))
     if strategy == "window":
         w = Window.partitionBy(*keys)
-        return df.filter(F.max(bad.cast("int")).over(w) == 0)
+        d = df.withColumn("__f", F.max(bad.cast("int")).over(w))
+        return d.filter(F.col("__f") == 0).drop("__f")
     hit = _flags(df.filter(bad), keys, {"__n": F.count(F.lit(1))}).drop("__n")
     return left_join(df, hit, list(keys), how="left_anti")
 
@@ -73,7 +75,8 @@ def keep_groups_exactly_one(df: DataFrame, keys: Sequence[str], pred: Column, st
     (``filter(sum(pred, na.rm=T) == 1)``)."""
     if strategy == "window":
         w = Window.partitionBy(*keys)
-        return df.filter(F.count_if(pred).over(w) == 1)
+        d = df.withColumn("__f", F.count_if(pred).over(w))
+        return d.filter(F.col("__f") == 1).drop("__f")
     good = _flags(df, keys, {"__n": F.count_if(pred)}).filter(F.col("__n") == 1).select(*keys)
     return left_join(df, good, list(keys), how="left_semi")
 
