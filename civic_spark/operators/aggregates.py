@@ -89,6 +89,15 @@ def string_agg_sorted(c, sep: str = " / ", poison: bool = True, distinct: bool =
     return txt
 
 
+def string_agg_sorted_over(c, w, sep: str = " / ", poison: bool = True) -> Column:
+    """A13 as a window value: every row gets its group's sorted member list."""
+    col = as_col(c)
+    txt = F.array_join(F.array_sort(F.collect_list(col).over(w)), sep)
+    if poison:
+        return F.when(F.count(F.lit(1)).over(w) == F.count(col).over(w), txt)
+    return txt
+
+
 def proportion(p: Column) -> Column:
     """``mean(p)`` of a logical (NULL p skipped like SQL avg)."""
     return F.avg(p.cast("int"))

@@ -58,7 +58,8 @@ PROJECTION = {
 }
 
 
-def build(raw: DataFrame, coalition: DataFrame, municipality_dim: DataFrame) -> DataFrame:
+def build(raw: DataFrame, coalition: DataFrame, municipality_dim: DataFrame, *,
+          supplementary_max_rows: int = SUPPLEMENTARY_MAX_ROWS) -> DataFrame:
     df = clean.na_sentinels(raw, ("#NE#", "#NULO#", ""))
     cols = {k: F.col(v) for k, v in PROJECTION.items()}
     cols["cod_tse"] = F.col("SIGLA_UE").cast("string")
@@ -86,7 +87,7 @@ def build(raw: DataFrame, coalition: DataFrame, municipality_dim: DataFrame) ->
     df = running_sum(df, PERSON_KEYS, order, (F.col("round") == 1).cast("int"), "times_run")
     df = running_sum(df, PERSON_KEYS, order, F.col("elected"), "times_office")
 
-    supplementary = having_count(df, ["election_type"], "<", SUPPLEMENTARY_MAX_ROWS).select("election_type")
+    supplementary = having_count(df, ["election_type"], "<", supplementary_max_rows).select("election_type")
     right = exclude_values_in(df, supplementary, "election_type").filter(~F.col("outcome").rlike("turno$"))
     right = keep_first(right, LAG_DEDUPE, ["round", "election_type", "candidate_num"])
     df = lagged_self_join(df, right, LAG_KEYS, "election_year", 4,

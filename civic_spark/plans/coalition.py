@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import clean, logic, text
-from ..operators.aggregates import keep_first, string_agg_sorted
+from ..operators.aggregates import keep_first, string_agg_sorted_over
 from ..operators.joins import MAX_STATES, bounded_broadcast, left_join
 from ..operators.unions import bind_rows
 from .common import clean_members
@@ -82,7 +82,7 @@ def build(raw: DataFrame, *, rebuild_years=REBUILD_YEARS) -> DataFrame:
     group = [c for c in df.columns if c not in ("party", "coalition")]
     w = Window.partitionBy(*[F.col(c) for c in group])
     is_rb = F.coalesce(F.col("election_year").isin(list(rebuild_years)), F.lit(False))
-    rebuilt = df.filter(is_rb).withColumn("coalition", string_agg_sorted("party").over(w))
+    rebuilt = df.filter(is_rb).withColumn("coalition", string_agg_sorted_over("party", w))
     df = bind_rows(df.filter(~is_rb), rebuilt.select(*df.columns))
 
     # state codes: two-letter codes other than the national one

@@ -161,8 +161,10 @@ def n13_unique_mayors(mayor: DataFrame) -> DataFrame:
 
 
 def n14_reelection_rate(mayor: DataFrame) -> DataFrame:
-    out = mayor.agg(A.sum_poison("reelect_mayor").alias("reelect"),
-                    A.count_if((F.col("position_code") == MAYOR_CODE) & (F.col("outcome") == "eleito"), True)
+    """Fix: the notebook reports counts (≈ 11 k re-election runs), so a NULL
+    flag (no previous candidacy) counts as 0 instead of poisoning the sum."""
+    out = mayor.agg(A.sum_skip("reelect_mayor").alias("reelect"),
+                    A.count_if((F.col("position_code") == MAYOR_CODE) & (F.col("outcome") == "eleito"))
                     .alias("previous_mayor"))
     return out.withColumn("percent", F.try_divide(F.col("reelect"), F.col("previous_mayor")))
 
