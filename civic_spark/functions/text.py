@@ -132,16 +132,17 @@ def repeat_text(s: str, n: int) -> Column:
 
 
 def normalise_name(name: str) -> str:
-    """S11 header normalisation, applied to column *names* at plan time:
-    strip quotes, lower, fold accents, whitespace / dots → ``_``, squeeze ``__``."""
-    import re
+    """S11 header normalisation, applied to column *names* at plan time, in
+    the reference's order: strip double quotes, lower, make the name
+    syntactic (characters other than letters, digits, ``.`` and ``_`` become
+    ``.``; a leading digit or ``_`` gets an ``X`` prefix), ``.`` → ``_``,
+    one left-to-right pass of ``__`` → ``_`` (so ``___`` leaves ``__`` and a
+    trailing ``_`` stays), then accents folded."""
     import unicodedata
 
-    n = name.replace('"', "").replace("'", "").strip().lower()
-    n = "".join(ch for ch in unicodedata.normalize("NFKD", n) if not unicodedata.combining(ch))
-    n = re.sub(r"\s+", "_", n)
-    n = re.sub(r"[^0-9a-z_/]", "_", n)
-    n = re.sub(r"_+", "_", n).strip("_")
-    if n and n[0].isdigit():
-        n = "x" + n
-    return n
+    n = name.replace('"', "").lower()
+    n = "".join(ch if (ch.isalnum() or ch in "._") else "." for ch in n)
+    if not n or not (n[0].isalpha() or (n[0] == "." and not n[1:2].isdigit())):
+        n = "X" + n
+    n = n.replace(".", "_").replace("__", "_")
+    return "".join(ch for ch in unicodedata.normalize("NFKD", n) if not unicodedata.combining(ch))
