@@ -128,11 +128,15 @@ def coverage_grid(a: DataFrame, b: DataFrame, loaded: DataFrame, keys: list[str]
     return left_join(grid, loaded.select(*keys).distinct(), keys, how="left_anti")
 
 
-def file_status(df: DataFrame, path_column: str = "_source_file", corrupt_column: str = "_corrupt_record") -> DataFrame:
-    """Per-file row and malformed-row counts (what the reference's
-    ``tryCatch`` silently skipped)."""
+def file_status(df: DataFrame, path_column: str = "_source_file", corrupt_column: str = "_corrupt_record",
+                data_column: str | None = None) -> DataFrame:
+    """Per-file row, malformed-row and filled-first-field counts (what the
+    reference's ``tryCatch`` silently skipped).  A data column is always read
+    as well: Spark does not scan the corrupt-record column on its own."""
+    data_column = data_column or next(c for c in df.columns if c not in (path_column, corrupt_column))
     return df.groupBy(path_column).agg(F.count(F.lit(1)).alias("rows"),
-                                       F.count(F.col(corrupt_column)).alias("malformed_rows"))
+                                       F.count(F.col(corrupt_column)).alias("malformed_rows"),
+                                       F.count(F.col(data_column)).alias("first_field_filled"))
 
 
 def municipality_dimension(df: DataFrame, code7: str = "cod_ibge_7") -> DataFrame:

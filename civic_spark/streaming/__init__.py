@@ -1,0 +1,3 @@
+"""Structured Streaming entry points: incremental landing of raw feed files."""
+
+from . import ingest  # noqa: F401
