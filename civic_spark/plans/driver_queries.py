@@ -862,6 +862,121 @@ def yearly_layouts(spark, d):
     return bind_all(readers.adapt_layout(f, m, canonical) for f, m in layouts)
 
 
+# --------------------------------------------------------------------------- more operators
+
+@query("a15_j12_first_order_per_customer", """
+WITH f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn
+                          FROM orders) WHERE rn = 1)
+SELECT c.c_custkey, c.c_name, f.o_orderkey, strftime(f.o_orderdate, '%Y-%m-%d') AS first_order_date,
+       f.o_totalprice AS first_order_total
+FROM customer c LEFT JOIN f ON c.c_custkey = f.o_custkey
+""")
+def first_order_per_customer(spark, d):
+    c = _t(spark, d, "customer").select("c_custkey", "c_name")
+    o = _t(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_orderdate",
+                                      "o_totalprice")
+    x = joins.dedupe_then_join(c, o, "c_custkey", ["o_orderdate", "o_orderkey"])
+    return x.select("c_custkey", "c_name", "o_orderkey", _date_text("o_orderdate").alias("first_order_date"),
+                    F.col("o_totalprice").alias("first_order_total"))
+
+
+@query("w2_w8_f10_first_line_and_returned_part", """
+WITH li AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_returnflag FROM lineitem),
+one AS (SELECT l_orderkey, max(CASE WHEN l_returnflag = 'R' THEN l_partkey END) AS returned_partkey
+        FROM li GROUP BY 1 HAVING count_if(l_returnflag = 'R') = 1),
+r AS (SELECT li.*, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_partkey, l_suppkey,
+                                      l_linenumber, l_returnflag) AS rn FROM li)
+SELECT r.l_orderkey, r.l_linenumber, r.l_partkey, CASE WHEN rn = 1 THEN 1 ELSE 0 END AS first_value,
+       one.returned_partkey
+FROM r JOIN one ON r.l_orderkey = one.l_orderkey
+""")
+def first_line_and_returned_part(spark, d):
+    li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                         "l_extendedprice", "l_returnflag")
+    r = F.col("l_returnflag") == "R"
+    x = groups.keep_groups_exactly_one(li, ["l_orderkey"], r)
+    x = groups.value_of_unique_row(x, ["l_orderkey"], r, {"returned_partkey": "l_partkey"})
+    x = windows.first_row_flag(x, ["l_orderkey"], ["-l_extendedprice", "l_partkey", "l_suppkey", "l_linenumber",
+                                                   "l_returnflag"])
+    return x.select("l_orderkey", "l_linenumber", "l_partkey", "first_value", "returned_partkey")
+
+
+@query("u4_split_repair_union_low_priority", """
+WITH low AS (SELECT o_custkey, count(*) AS n_low, round(avg(o_totalprice), 8) AS avg_low FROM orders
+             WHERE o_orderpriority = '5-LOW' GROUP BY 1)
+SELECT o_orderkey AS order_or_customer, o_orderpriority AS priority, round(o_totalprice, 8) AS amount,
+       CAST(NULL AS BIGINT) AS n_low
+FROM orders WHERE NOT coalesce(o_orderpriority = '5-LOW', false)
+UNION ALL
+SELECT o_custkey, '5-LOW', avg_low, n_low FROM low
+""")
+def split_repair_union(spark, d):
+    """U4: rows of one kind are repaired by an aggregation (low-priority
+    orders collapsed per customer) and rebound to the untouched rows."""
+    o = _t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice")
+
+    def repair(part):
+        return part.groupBy(F.col("o_custkey").alias("order_or_customer")).agg(
+            F.lit("5-LOW").alias("priority"), F.round(F.avg("o_totalprice"), 8).alias("amount"),
+            F.count(F.lit(1)).alias("n_low"))
+
+    keep = o.select(F.col("o_orderkey").alias("order_or_customer"), F.col("o_orderpriority").alias("priority"),
+                    F.round("o_totalprice", 8).alias("amount"), "o_orderpriority", "o_custkey", "o_totalprice")
+    out = unions.split_repair_union(keep, F.col("o_orderpriority") == "5-LOW",
+                                    lambda p: repair(p))
+    return out.select("order_or_customer", "priority", "amount", "n_low")
+
+
+@query("f1_f4_f6_f12_f14_filters", """
+SELECT c_custkey, c_name, c_mktsegment FROM customer
+WHERE c_acctbal > 0 AND c_nationkey <> 7
+  AND regexp_matches(c_name, '[13579]$')
+  AND NOT (c_mktsegment = 'BUILDING' AND c_acctbal < 5000)
+  AND length(c_name) > 17
+  AND c_mktsegment NOT IN ('HOUSEHOLD', 'FURNITURE')
+""")
+def filters(spark, d):
+    c = _t(spark, d, "customer")
+    seg = F.col("c_mktsegment")
+    return c.filter((F.col("c_acctbal") > 0) & (F.col("c_nationkey") != 7)                      # F1
+                    & text.detect("c_name", "[13579]$")                                        # F4
+                    & ~((seg == "BUILDING") & (F.col("c_acctbal") < 5000))                     # F6
+                    & (text.n_chars("c_name") > 17)                                            # F12
+                    & ~seg.isin("HOUSEHOLD", "FURNITURE")) \
+        .select("c_custkey", "c_name", "c_mktsegment")                                         # F14
+
+
+@query("p5_p7_p10_p11_p12_s11_column_helpers", """
+SELECT c_custkey AS customer_key, lower(c_name) AS c_name, lower(c_mktsegment) AS c_mktsegment,
+       c_nationkey, 2016 AS year, 'customer' AS source
+FROM customer
+""")
+def column_helpers(spark, d):
+    from ..sources.readers import normalise_header
+
+    c = _t(spark, d, "customer")
+    c = clean.rename_with(c, lambda n: f'"{n.upper()}"')                  # P11: names as a raw export would have them
+    c = normalise_header(c)                                               # S11: back to clean names
+    c = clean.drop_matching(c, ends="acctbal")                            # P5
+    c = clean.map_matching(c, F.lower, regex="name$|segment$")            # P10
+    c = clean.rename(c, {"customer_key": "c_custkey"})                    # P7
+    return clean.with_constant(c, year=2016, source="customer")           # P12
+
+
+@query("stream_event_hourly_totals", """
+SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n, round(sum(value), 2) AS value
+FROM events GROUP BY 1, 2
+""")
+def stream_event_hourly_totals(spark, d):
+    """Structured Streaming: hourly event totals computed incrementally over the
+    events file (availableNow trigger, foreachBatch into shared storage)."""
+    from ..streaming.ingest import windowed_totals
+
+    schema = _t(spark, d, "events").schema
+    out = windowed_totals(spark, d, "events.parquet", schema, "ts", "1 hour", ["event_type"], "value")
+    return out.withColumn("value", F.round("value", 2))
+
+
 # --------------------------------------------------------------------------- statistics
 
 @query("m3_price_histogram", """

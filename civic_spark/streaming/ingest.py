@@ -60,3 +60,30 @@ def running_totals(stream: DataFrame, keys: list[str], value: str, watermark_col
     old keys is dropped once it can no longer change."""
     s = stream.withWatermark(watermark_col, delay) if watermark_col else stream
     return s.groupBy(*keys).agg(F.sum(value).alias(value), F.count(F.lit(1)).alias("rows"))
+
+
+def windowed_totals(spark: SparkSession, source_dir: str, glob: str, schema: T.StructType, ts: str,
+                    window: str, keys: list[str], value: str, target: str | None = None) -> DataFrame:
+    """Event-time window totals computed by a streaming query over the files
+    matching ``glob`` in ``source_dir`` (``trigger(availableNow)``).
+
+    Each micro-batch rewrites the complete result table in shared storage
+    through ``foreachBatch`` — nothing is collected on the driver — and the
+    finished table is returned as a batch DataFrame.  The state holds one row
+    per (window, key): bounded by the time span, not by the input size."""
+    import uuid
+
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    target = target or f"{base}/windowed-{uuid.uuid4().hex}"
+    src = spark.readStream.schema(schema).option("pathGlobFilter", glob).parquet(source_dir)
+    agg = (src.groupBy(F.window(ts, window).alias("__w"), *keys)
+              .agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias(value))
+              .select(F.col("__w.start").alias("window_start"), *keys, "n", value))
+
+    def write(batch: DataFrame, _epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(target)
+
+    q = (agg.writeStream.outputMode("complete").foreachBatch(write)
+         .option("checkpointLocation", f"{target}-checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(target)
