@@ -32,14 +32,19 @@ def with_group_values(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column
     return left_join(df, _flags(df, keys, aggs), list(keys))
 
 
-def keep_groups_any(df: DataFrame, keys: Sequence[str], pred: Column, strategy: str = "join") -> DataFrame:
-    """keep whole groups in which any row satisfies ``pred``."""
+def keep_groups_any(df: DataFrame, keys: Sequence[str], pred: Column, strategy: str = "join",
+                    broadcast_max_rows: int | None = None) -> DataFrame:
+    """keep whole groups in which any row satisfies ``pred``.
+
+    With ``broadcast_max_rows`` the (key-only) flag table is broadcast when it
+    is provably that small, so the large side keeps its current partitioning
+    (no exchange on the group keys)."""
     if strategy == "window":
         w = Window.partitionBy(*keys)
         d = df.withColumn("__f", F.max(F.coalesce(pred, F.lit(False)).cast("int")).over(w))
         return d.filter(F.col("__f") == 1).drop("__f")
     hit = _flags(df.filter(pred), keys, {"__n": F.count(F.lit(1))}).drop("__n")
-    return left_join(df, hit, list(keys), how="left_semi")
+    return left_join(df, hit, list(keys), how="left_semi", broadcast_max_rows=broadcast_max_rows)
 
 
 def drop_groups_any(df: DataFrame, keys: Sequence[str], pred: Column, strategy: str = "join") -> DataFrame:

@@ -27,10 +27,8 @@ from pyspark.sql import functions as F
 
 from ..functions import clean, logic, text
 from ..functions.logic import in_seq
-from ..operators import aggregates as A
 from ..operators import groups
-from ..operators.joins import left_join
-from ..operators.windows import sequence_number, top2_relative_gap
+from ..operators.windows import sequence_number
 from .common import ELECTED_PATTERN, LOCAL_YEARS
 
 # --- fixed values ---
@@ -41,32 +39,48 @@ PERSON = ["cpf_candidate", "elec_title", "candidate_name"]
 # --- end of fixed values ---
 
 
+# (municipality code, election type, position) groups: about 5,570 municipalities
+# × a few types × 2 positions; the key-only flag table is broadcast under this bound.
+MAX_F7_GROUPS = 500_000
+
+
 def common_filters(df: DataFrame) -> DataFrame:
     """Steps shared by D7 and D8: municipal years; one election type per
     municipality (F8); no second round (F9); (code, type, position) groups
-    with at least one elected row (F7)."""
+    with at least one elected row (F7).
+
+    F8 and F9 are windows on ``(election_year, cod_ibge_6)`` — one exchange —
+    and F7 is a broadcast semi-join against its small key table, so the rows
+    stay partitioned by municipality for every later step."""
     df = df.filter(in_seq(F.col("election_year"), *LOCAL_YEARS))
     df = groups.keep_groups_single_value(df, MUN, "election_type", strategy="window")
     df = groups.drop_groups_any(df, MUN, F.col("round") == 2, strategy="window")
     df = clean.drop_matching(df, starts="round")
     return groups.keep_groups_any(df, ["cod_tse", "election_type", "position"],
-                                  F.col("outcome").rlike(ELECTED_PATTERN))
+                                  F.col("outcome").rlike(ELECTED_PATTERN), broadcast_max_rows=MAX_F7_GROUPS)
+
 
+def _count_if_over(p: Column, w, poison: bool = True) -> Column:
+    n = F.count_if(p).over(w)
+    return F.when(F.count(F.lit(1)).over(w) == F.count(p).over(w), n) if poison else n
 
-def _side_measures(prefix: str, member: Column, ideology_prefix: str) -> dict[str, Column]:
+
+def _side_measures(prefix: str, member: Column, ideology_prefix: str, w) -> dict[str, Column]:
+    """The measure set of one side (mayor party / coalition / opposition) as
+    window values over the municipality (A8–A11 over councillors)."""
     council = F.col("position") == COUNCIL
     sel = council & member
-    share = A.share_if(sel, council, poison=True)
+    share = F.try_divide(_count_if_over(sel, w), _count_if_over(council, w))
     return {
         f"{prefix}_share": share,
         f"{prefix}_margin": share - 0.5,
         f"{prefix}_majority": logic.flag(share > 0.5),
-        f"{prefix}_edu": A.mean_if("edu", sel),
-        f"{prefix}_campaign": A.mean_if("campaign", sel),
-        f"{prefix}_age": A.mean_if("age", sel),
-        f"{prefix}_vote": A.sum_if("vote", sel),
-        f"{ideology_prefix}_ideology_mean": A.mean_if("ideology", sel),
-        f"{ideology_prefix}_ideology_sd": A.sd_if("ideology", sel),
+        f"{prefix}_edu": F.avg(F.when(sel, F.col("edu"))).over(w),
+        f"{prefix}_campaign": F.avg(F.when(sel, F.col("campaign"))).over(w),
+        f"{prefix}_age": F.avg(F.when(sel, F.col("age"))).over(w),
+        f"{prefix}_vote": F.coalesce(F.sum(F.when(sel, F.col("vote"))).over(w), F.lit(0)),
+        f"{ideology_prefix}_ideology_mean": F.avg(F.when(sel, F.col("ideology"))).over(w),
+        f"{ideology_prefix}_ideology_sd": F.stddev_samp(F.when(sel, F.col("ideology"))).over(w),
     }
 
 
@@ -81,9 +95,14 @@ def build(election: DataFrame, *, excluded=EXCLUDED_MUNICIPALITIES, full: bool =
     df = df.withColumns({
         "total_vote_mayor": F.coalesce(F.sum(F.when(pos == MAYOR, F.col("vote"))).over(w), F.lit(0)),
         "total_vote_legislative": F.coalesce(F.sum(F.when(pos == COUNCIL, F.col("vote"))).over(w), F.lit(0))})
-    margin = None
-    if full:
-        margin = top2_relative_gap(df, MUN, "vote", ["-vote", "-position_code"], "vote_margin")
+    if full:                                                  # W7 over all rows of the municipality (Q20)
+        ranked = Window.partitionBy(*MUN).orderBy(F.col("vote").desc_nulls_last(),
+                                                  F.col("position_code").desc_nulls_last(),
+                                                  F.col("candidate_name").asc_nulls_last())
+        df = df.withColumn("__rn", F.row_number().over(ranked))
+        v1 = F.max(F.when(F.col("__rn") == 1, F.col("vote"))).over(w)
+        v2 = F.max(F.when(F.col("__rn") == 2, F.col("vote"))).over(w)
+        df = df.withColumn("vote_margin", F.try_divide(v1 - v2, v2)).drop("__rn")
     df = df.filter(F.col("elected") == 1)
     df = df.withColumns({"coalition_size": F.lit(1) + text.count_matches("coalition", "/"),
                          "age": F.col("election_year") - logic.try_int("birthyear")})
@@ -97,25 +116,24 @@ def build(election: DataFrame, *, excluded=EXCLUDED_MUNICIPALITIES, full: bool =
 
     council = pos == COUNCIL
     measures = {}
-    measures.update(_side_measures("mayor_party", F.col("party") == F.col("mayor_party"), "mayor_party"))
-    measures.update(_side_measures("coalition", F.col("coalition_member") == 1, "coalition_party"))
-    measures.update(_side_measures("opposition", F.col("coalition_member") != 1, "opposition_party"))
-    measures["chamber_size"] = A.count_if(council, poison=True)
-    agg = df.groupBy(*MUN).agg(*[v.alias(k) for k, v in measures.items()])
-
-    # effective number of parties: seats per party / chamber size
-    per_party = df.groupBy(*MUN, "party").agg(A.count_if(council, poison=True).alias("__n"))
-    eff = per_party.groupBy(*MUN).agg(F.sum("__n").alias("__tot"), F.sum(F.col("__n") * F.col("__n")).alias("__sq"))
-    agg = left_join(agg, eff, MUN)
-    agg = agg.withColumn("effective_parties", F.try_divide(
-        F.col("chamber_size") * F.col("chamber_size"), F.col("__sq"))).drop("__tot", "__sq")
-    if margin is not None:
-        agg = left_join(agg, margin, MUN)
-
-    mayors = df.filter(pos == MAYOR)
+    measures.update(_side_measures("mayor_party", F.col("party") == F.col("mayor_party"), "mayor_party", w))
+    measures.update(_side_measures("coalition", F.col("coalition_member") == 1, "coalition_party", w))
+    measures.update(_side_measures("opposition", F.col("coalition_member") != 1, "opposition_party", w))
+    measures["chamber_size"] = _count_if_over(council, w)
     keep = [c for c in measures if full or not c.startswith("opposition_") or "ideology" in c]
-    out = left_join(mayors, agg.select(*MUN, *keep, "effective_parties",
-                                                                *(["vote_margin"] if full else [])), MUN)
+    df = df.withColumns({k: measures[k] for k in keep})
+
+    # effective number of parties (A19): seats per party over the chamber size;
+    # the party windows refine the municipality partitioning (no exchange)
+    wp = Window.partitionBy(*MUN, "party")
+    first = F.row_number().over(wp.orderBy(F.col("candidate_name").asc_nulls_last(),
+                                           F.col("position_code").asc_nulls_last())) == 1
+    df = df.withColumns({"__np": _count_if_over(council, wp), "__first": first})
+    sq = F.sum(F.when(F.col("__first"), F.col("__np") * F.col("__np"))).over(w)
+    df = df.withColumn("effective_parties", F.try_divide(F.col("chamber_size") * F.col("chamber_size"), sq)) \
+        .drop("__np", "__first")
+
+    out = df.filter(pos == MAYOR)
     gender = F.col("gender")
     male = F.when(gender == 2, 1).when(gender == 4, 0)
     sel = [

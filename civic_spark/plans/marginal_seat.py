@@ -19,14 +19,19 @@ from pyspark.sql import functions as F
 from ..functions import logic, text
 from ..operators import aggregates as A
 from ..operators.apportion import marginal_seat
-from ..operators.joins import left_join
-from .chamber import COUNCIL, EXCLUDED_MUNICIPALITIES, MAYOR, MUN, common_filters
+from .chamber import COUNCIL, EXCLUDED_MUNICIPALITIES, MAYOR, MUN, _count_if_over, common_filters
 
 MIN_SEATS = 9
 
 
 def coalition_table(election: DataFrame, *, excluded=EXCLUDED_MUNICIPALITIES, match: str = "word") -> DataFrame:
-    """Per (year, municipality, coalition, side): candidates, elected, means, votes."""
+    """Per (year, municipality, coalition, side): candidates, elected, means,
+    votes, plus the chamber covariates of the municipality.
+
+    Everything is computed on rows partitioned once by municipality: the
+    mayor and chamber values are window values, and the final
+    ``groupBy(municipality, coalition, side)`` refines that partitioning, so
+    it needs no further exchange."""
     df = common_filters(election)
     df = df.filter(~F.col("cod_ibge_6").isin(list(excluded)))
     w = Window.partitionBy(*MUN)
@@ -36,8 +41,25 @@ def coalition_table(election: DataFrame, *, excluded=EXCLUDED_MUNICIPALITIES, ma
     df = df.withColumns({"mayor_party": F.max(F.when(mayor_row, F.col("party"))).over(w),
                          "mayor_coalition": F.max(F.when(mayor_row, F.col("coalition"))).over(w)})
     df = df.withColumn("coalition", logic.empty_to("coalition", "party"))
+    council = df.filter(pos == COUNCIL)
+
+    # chamber covariates over all councillor rows of the municipality
+    seat = el == 1
+    wp = Window.partitionBy(*MUN, "party")
+    first = F.row_number().over(wp.orderBy(F.col("candidate_name").asc_nulls_last(),
+                                           F.col("position_code").asc_nulls_last())) == 1
+    council = council.withColumns({
+        "n_available_seats": _count_if_over(seat, w),
+        "__votes": F.when(F.count(F.lit(1)).over(w) == F.count("vote").over(w), F.sum("vote").over(w)),
+        "__np": _count_if_over(seat, wp), "__first": first})
+    council = council.withColumns({
+        "electoral_quotient": F.try_divide(F.col("__votes"), F.col("n_available_seats")),
+        "effective_parties": F.try_divide(
+            F.col("n_available_seats") * F.col("n_available_seats"),
+            F.sum(F.when(F.col("__first"), F.col("__np") * F.col("__np"))).over(w))})
+
     side = text.detect_word("mayor_coalition", "party", match)
-    council = df.filter((pos == COUNCIL) & side.isNotNull())
+    council = council.filter(side.isNotNull())
     return A.split_summary(council, MUN + ["coalition"], side.cast("int"), "mayor_coalition_member", {
         "coalition_n_candidates": F.count(F.lit(1)),
         "coalition_n_elected": A.count_if(el == 1, poison=True),
@@ -45,30 +67,14 @@ def coalition_table(election: DataFrame, *, excluded=EXCLUDED_MUNICIPALITIES, ma
         "coalition_campaign": F.avg("campaign"),
         "coalition_age": F.avg("age"),
         "coalition_vote": A.sum_skip("vote"),
-    }), df
-
-
-def chamber_table(df: DataFrame) -> DataFrame:
-    """Per (year, municipality): seats, electoral quota, effective parties (≥ 9 seats)."""
-    council = df.filter(F.col("position") == COUNCIL)
-    seat = (F.col("position") == COUNCIL) & (F.col("elected") == 1)
-    per_party = council.groupBy(*MUN, "party").agg(A.count_if(seat, poison=True).alias("__n"))
-    eff = per_party.groupBy(*MUN).agg(F.sum("__n").alias("__tot"), F.sum(F.col("__n") * F.col("__n")).alias("__sq"))
-    ch = council.groupBy(*MUN).agg(
-        A.count_if(F.col("elected") == 1, poison=True).alias("n_available_seats"),
-        A.count_if(seat, poison=True).alias("__size"),
-        A.sum_poison("vote").alias("__votes"))
-    ch = left_join(ch, eff, MUN).select(
-        *MUN, "n_available_seats",
-        F.try_divide(F.col("__votes"), F.col("__size")).alias("electoral_quotient"),
-        F.try_divide(F.col("__size") * F.col("__size"), F.col("__sq")).alias("effective_parties"))
-    return ch.filter(F.col("n_available_seats") >= MIN_SEATS)
+        "n_available_seats": F.max("n_available_seats"),
+        "electoral_quotient": F.max("electoral_quotient"),
+        "effective_parties": F.max("effective_parties"),
+    })
 
 
 def build(election: DataFrame, *, order: str = "round_first", **kw) -> DataFrame:
-    coal, df = coalition_table(election, **kw)
-    ch = chamber_table(df)
-    x = left_join(coal, ch, MUN)
+    x = coalition_table(election, **kw).filter(F.col("n_available_seats") >= MIN_SEATS)
     out = marginal_seat(x, MUN, "coalition", "coalition_vote", "n_available_seats", "mayor_coalition_member",
                         quota="electoral_quotient", order=order)
     return out.select("cod_ibge_6", "election_year", "mayor_opposition_flip", "quotient_margin", "total_vote")
