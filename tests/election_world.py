@@ -148,4 +148,23 @@ def frames(spark):
                                  schemas.COALITION_RAW)
     det = spark.createDataFrame([tuple(r[f.name] for f in schemas.DETAILS_RAW.fields) for r in details()],
                                 schemas.DETAILS_RAW)
-    return {"dim": dim, "candidate": cand, "votes": vot, "coalition": coal, "details": det}
+    party = spark.createDataFrame(party_rows(), schemas.PARTY_RAW)
+    return {"dim": dim, "candidate": cand, "votes": vot, "coalition": coal, "details": det, "party": party}
+
+
+def party_rows():
+    def p(year, cod, pos_code, pos, party, comp, ctype, legend, nominal, state="RO", name="#NE#", mun="ALTA FLORESTA"):
+        return (year, state, TYPE if year == 2016 else "ELEIÇÃO GERAL", cod, 1, pos_code, pos, party, mun, comp, name,
+                ctype, legend, nominal)
+    return [
+        # zone rows of one party: summed (A1)
+        p(2016, "1", 13, "VEREADOR", "PT", "13 - PT / 15 - PMDB", "COLIGAÇÃO", 10, 100),
+        p(2016, "1", 13, "VEREADOR", "PT", "13 - PT / 15 - PMDB", "COLIGAÇÃO", 5, 50),
+        # duplicate key with and without coalition (A18 + A14)
+        p(2016, "1", 13, "VEREADOR", "PSDB", None, "PARTIDO ISOLADO", 1, 10),
+        p(2016, "1", 13, "VEREADOR", "PSDB", None, None, 2, 20),
+        # 2002 governor with legend votes: moved to nominal
+        p(2002, "1", 3, "GOVERNADOR", "PV", "PV", "COLIGACAO", 7, 0),
+        # national row dropped
+        p(2016, "1", 13, "VEREADOR", "PV", "PV", "PARTIDO ISOLADO", 1, 1, state="BR"),
+    ]

@@ -138,3 +138,26 @@ def test_notebook_queries_run(world):
     for fn in (notebook.n5_campaign_by_coalition_size, notebook.n6_missing_campaign_share,
                notebook.n7_education_codes, notebook.n8_education_distribution):
         assert fn(loc).count() >= 0
+
+
+def test_d2_party(world):
+    from civic_spark.plans import party
+    out = party.build(world["party"], world["coal"], world["dim"])
+    pt = by(out, party="pt")[0]
+    assert (pt["vote_nominal"], pt["vote_legend"], pt["cod_tse"], pt["cod_ibge_6"]) == (150, 15, "00001", "110001")
+    assert pt["coalition"] == "  pt /   pmdb" and pt["coalition_type"] == "coligacao"
+    psdb = by(out, party="psdb")
+    assert len(psdb) == 1 and psdb[0]["vote_nominal"] == 30 and psdb[0]["coalition_type"] == "partido isolado"
+    assert psdb[0]["coalition"] == "psdb"
+    pv = by(out, party="pv")
+    assert len(pv) == 1 and (pv[0]["vote_nominal"], pv[0]["vote_legend"]) == (7, 0)
+
+
+def test_d3_state_level_second_round_filter(spark, world):
+    from civic_spark.sources import schemas
+    rows = [W._vote(2002, "00001", "P", 13, 1, "PRESIDENTE", "PT", "PT", "2º TURNO", 1, 100, rnd=2),
+            W._vote(2002, "00001", "P", 13, 1, "PRESIDENTE", "PT", "PT", "ELEITO", 1, 100, rnd=1)]
+    raw = spark.createDataFrame([tuple(r[f.name] for f in schemas.ELECTION_RAW.fields) for r in rows],
+                                schemas.ELECTION_RAW)
+    out = votes.build(raw, world["coal"], world["dim"], level="fed_state").collect()
+    assert [r["round"] for r in out] == [1]
