@@ -53,7 +53,13 @@ def _fit(df: DataFrame, label: str, features: Sequence[str], factors: Sequence[s
         feat_col = "__features"
     glr = GeneralizedLinearRegression(family=family, link=link, labelCol=label, featuresCol=feat_col,
                                       fitIntercept=True, maxIter=50, regParam=0.0)
-    return glr.fit(prepared), names
+    # IRLS makes one pass per iteration: keep the assembled rows (memory, then
+    # local disk) instead of re-reading and re-assembling them each time.
+    prepared = prepared.select(label, feat_col).persist()
+    try:
+        return glr.fit(prepared), names
+    finally:
+        prepared.unpersist()
 
 
 def _coef_table(spark, model, names: Sequence[str]) -> DataFrame:

@@ -34,8 +34,12 @@ def query(name: str, sql: str | None):
     return deco
 
 
+# tables whose queries do heavy per-row text work (whole documents / pages)
+TEXT_TABLES = {"documents", "pages"}
+
+
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return read_table(spark, d, name)
+    return read_table(spark, d, name, spread=name in TEXT_TABLES)
 
 
 def _date_text(c: str) -> F.Column:

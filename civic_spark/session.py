@@ -88,6 +88,21 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
-def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """Read one parquet table ``{base}/{name}.parquet``."""
-    return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, base: str, name: str, *, spread: bool = False) -> DataFrame:
+    """Read one parquet table ``{base}/{name}.parquet``.
+
+    Parquet splits at row-group boundaries, so a small table written as one
+    row group arrives as a single task however many cores there are.  When
+    the scan yields fewer partitions than the session's default parallelism,
+    it is spread round-robin right after the scan (column pruning and
+    filters still reach the scan).  Large inputs already have more splits
+    than cores and are left untouched, so this never adds a shuffle at scale.
+    Worth it only before heavy per-row work (whole-text folding, regex over
+    HTML); cheap aggregations run faster on the single scan task.
+    """
+    df = spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+    if spread:
+        target = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < target:
+            df = df.repartition(target)
+    return df
