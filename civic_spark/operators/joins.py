@@ -138,16 +138,27 @@ def exclude_values_in(df: DataFrame, values: DataFrame, on, values_on=None) -> D
     return left_join(df, values.distinct(), on, values_on, how="left_anti", null_safe=True)
 
 
+def bounded_values(values: DataFrame, column: str, max_values: int) -> Column:
+    """The distinct values of a small domain column (states, parties) as a
+    sorted array, delivered as a scalar subquery.  The domain size is checked
+    first (at most ``max_values + 1`` rows are counted)."""
+    d = values.select(column).distinct()
+    if d.limit(max_values + 1).count() > max_values:
+        raise ValueError(f"{column}: more than {max_values} distinct values")
+    return d.agg(F.array_sort(F.collect_list(column))).scalar()
+
+
 def fan_out(df: DataFrame, key: str, value, targets: DataFrame, *, max_targets: int = MAX_STATES) -> DataFrame:
     """Rows with ``key == value`` (e.g. national ``br``) are copied once per
-    row of ``targets`` (one column, e.g. the 27 states), others pass through.
+    target value (one column, e.g. the 27 states); other rows pass through.
 
-    Only the matching rows meet the (bounded, broadcast) target list."""
+    The bounded target list arrives as a scalar subquery and the matching
+    rows explode over it: no join, and only the matching rows grow."""
     tcol = targets.columns[0]
-    hit = df.filter(F.col(key) == value).drop(key)
-    spread = hit.crossJoin(bounded_broadcast(targets.select(F.col(tcol).alias(key)), max_targets))
+    arr = bounded_values(targets, tcol, max_targets)
+    hit = df.filter(F.col(key) == value).withColumn(key, F.explode(arr))
     keep = df.filter(~F.coalesce(F.col(key) == value, F.lit(False)))
-    return keep.unionByName(spread.select(*df.columns))
+    return keep.unionByName(hit.select(*df.columns))
 
 
 def dedupe_then_join(left: DataFrame, right: DataFrame, on, order: Sequence[str], **kw) -> DataFrame:

@@ -95,15 +95,14 @@ def histogram_density(df: DataFrame, groups: Sequence[str], value: str, bin_widt
     ``count / (group_total * bin_width)`` per bin (bin = lower edge)."""
     b = (F.floor(F.col(value) / bin_width) * bin_width).alias("bin")
     h = df.filter(F.col(value).isNotNull()).groupBy(*groups, b).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
-    return h.withColumn(name, F.try_divide(F.col("n"), F.sum("n").over(w) * F.lit(bin_width)))
+    total = F.sum("n").over(Window.partitionBy(*groups)) if groups else h.agg(F.sum("n")).scalar()
+    return h.withColumn(name, F.try_divide(F.col("n"), total * F.lit(bin_width)))
 
 
 def relative_frequency(df: DataFrame, groups: Sequence[str], value: str, name: str = "prop") -> DataFrame:
     """M4: ``stat_count(y = ..prop..)`` — share of each value within its group."""
     c = df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("n"))
     if not groups:
-        tot = c.agg(F.sum("n").alias("__t"))
-        return c.crossJoin(F.broadcast(tot)).withColumn(name, F.col("n") / F.col("__t")).drop("__t")
+        return c.withColumn(name, F.try_divide(F.col("n"), c.agg(F.sum("n")).scalar()))
     w = Window.partitionBy(*groups)
     return c.withColumn(name, F.try_divide(F.col("n"), F.sum("n").over(w)))

@@ -14,7 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import bounded_broadcast
 from .sorting import order_key
 
 
@@ -107,12 +106,17 @@ def last_two_flags(df: DataFrame, keys: Sequence[str], order: Sequence, last: st
 
 
 def group_min_boundary(df: DataFrame, group: str, value: str, name: str, max_groups: int = 1000) -> DataFrame:
-    """Per-row group minimum where the group has very few values
-    (``local`` 0/1): aggregate (one row per group), broadcast, join back —
-    never a window with one or two partitions."""
-    mins = df.groupBy(group).agg(F.min(value).alias(name))
-    from .joins import left_join
-    return left_join(df, bounded_broadcast(mins, max_groups), [group])
+    """Per-row group minimum where the group column has very few values
+    (``local`` 0/1).  The per-group minima are computed with a partial
+    aggregate and delivered as a scalar-subquery map ``group → min``; each
+    row looks its group up.  No window with one or two partitions, no join,
+    no shuffle of the large side.  The map size is asserted in the plan."""
+    mins = df.filter(F.col(group).isNotNull()).groupBy(group).agg(F.min(value).alias("__m"))
+    mp = mins.agg(F.map_from_entries(F.collect_list(F.struct(group, "__m"))).alias("__mp"))
+    mp = mp.select(F.when(F.size("__mp") <= max_groups, F.col("__mp"))
+                   .otherwise(F.raise_error(F.lit(f"{group}: more than {max_groups} groups")))).scalar()
+    null_min = df.filter(F.col(group).isNull()).agg(F.min(value)).scalar()
+    return df.withColumn(name, F.when(F.col(group).isNull(), null_min).otherwise(F.element_at(mp, F.col(group))))
 
 
 def share_within(df: DataFrame, keys: Sequence[str], count_col: str, name: str = "share") -> DataFrame:
@@ -121,8 +125,8 @@ def share_within(df: DataFrame, keys: Sequence[str], count_col: str, name: str =
 
 
 def share_of_total(df: DataFrame, count_col: str, name: str = "pct", scale: float = 100.0) -> DataFrame:
-    """``prop.table(n) * 100`` — a one-row grand total is cross-joined
-    (broadcast), avoiding a window without a partition key."""
-    tot = df.agg(F.sum(count_col).alias("__tot"))
-    return df.crossJoin(F.broadcast(tot)).withColumn(
-        name, F.try_multiply(F.try_divide(F.col(count_col), F.col("__tot")), F.lit(scale))).drop("__tot")
+    """``prop.table(n) * 100`` — the grand total is a scalar subquery
+    (computed once with partial aggregation), never a window without a
+    partition key and never a cross join."""
+    tot = df.agg(F.sum(count_col)).scalar()
+    return df.withColumn(name, F.try_multiply(F.try_divide(F.col(count_col), tot), F.lit(scale)))

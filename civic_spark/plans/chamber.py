@@ -39,25 +39,23 @@ PERSON = ["cpf_candidate", "elec_title", "candidate_name"]
 # --- end of fixed values ---
 
 
-# (municipality code, election type, position) groups: about 5,570 municipalities
-# × a few types × 2 positions; the key-only flag table is broadcast under this bound.
-MAX_F7_GROUPS = 500_000
-
-
 def common_filters(df: DataFrame) -> DataFrame:
     """Steps shared by D7 and D8: municipal years; one election type per
     municipality (F8); no second round (F9); (code, type, position) groups
     with at least one elected row (F7).
 
-    F8 and F9 are windows on ``(election_year, cod_ibge_6)`` — one exchange —
-    and F7 is a broadcast semi-join against its small key table, so the rows
-    stay partitioned by municipality for every later step."""
-    df = df.filter(in_seq(F.col("election_year"), *LOCAL_YEARS))
+    The rows are hash-partitioned once by ``cod_ibge_6``.  That partitioning
+    satisfies every later window: (year, municipality) groups, and the F7
+    groups, keyed here as (municipality, code, type, position) — the same
+    groups, because the electoral code determines the municipality.  So D7
+    and D8 shuffle the election table exactly once.  A municipality's rows
+    over all cycles are bounded by the domain (its candidacies)."""
+    df = df.filter(in_seq(F.col("election_year"), *LOCAL_YEARS)).repartition("cod_ibge_6")
     df = groups.keep_groups_single_value(df, MUN, "election_type", strategy="window")
     df = groups.drop_groups_any(df, MUN, F.col("round") == 2, strategy="window")
     df = clean.drop_matching(df, starts="round")
-    return groups.keep_groups_any(df, ["cod_tse", "election_type", "position"],
-                                  F.col("outcome").rlike(ELECTED_PATTERN), broadcast_max_rows=MAX_F7_GROUPS)
+    return groups.keep_groups_any(df, ["cod_ibge_6", "cod_tse", "election_type", "position"],
+                                  F.col("outcome").rlike(ELECTED_PATTERN), strategy="window")
 
 
 def _count_if_over(p: Column, w, poison: bool = True) -> Column:
