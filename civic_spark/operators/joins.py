@@ -132,10 +132,26 @@ def lagged_self_join(df: DataFrame, right: DataFrame, keys: Sequence[str], year:
     return df.join(r, cond, "left").drop("__ry", *[f"__rk_{k}" for k in keys])
 
 
-def exclude_values_in(df: DataFrame, values: DataFrame, on, values_on=None) -> DataFrame:
-    """Drop rows whose key appears in a derived set (``left_anti``), with
-    R's ``%in%`` rule: NULL keys are kept unless the set holds a NULL."""
-    return left_join(df, values.distinct(), on, values_on, how="left_anti", null_safe=True)
+def exclude_values_in(df: DataFrame, values: DataFrame, on, values_on=None, *,
+                      max_values: int | None = None) -> DataFrame:
+    """Drop rows whose key appears in a derived set, with R's ``%in%``
+    rule: NULL keys are kept unless the set holds a NULL.
+
+    General form: null-safe ``left_anti`` join.  With ``max_values`` (single
+    key, small domain such as election types) the set travels as a
+    scalar-subquery array instead — no join, so the large side is not
+    shuffled by a low-cardinality key; the set size is asserted in the plan."""
+    if max_values is None:
+        return left_join(df, values.distinct(), on, values_on, how="left_anti", null_safe=True)
+    key = _key_list(on)[0]
+    vkey = _key_list(values_on or on)[0]
+    v = values.select(F.col(vkey).alias("__v"))
+    arr = v.agg(F.collect_set("__v").alias("__a"))
+    arr = arr.select(F.when(F.size("__a") <= max_values, F.col("__a"))
+                     .otherwise(F.raise_error(F.lit(f"{vkey}: more than {max_values} values")))).scalar()
+    has_null = v.agg(F.coalesce(F.max(F.col("__v").isNull()), F.lit(False))).scalar()
+    c = F.col(key)
+    return df.filter(F.when(c.isNull(), ~has_null).otherwise(~F.array_contains(arr, c)))
 
 
 def bounded_values(values: DataFrame, column: str, max_values: int) -> Column:

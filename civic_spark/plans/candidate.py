@@ -33,6 +33,7 @@ from .common import attach_municipality, coalition_lookup, elected_flag
 
 # --- fixed values ---
 SUPPLEMENTARY_MAX_ROWS = 1000
+MAX_ELECTION_TYPES = 10_000
 POSITION_LABELS = {9: "1º suplente senador", 10: "2º suplente senador"}
 ROTATION_YEAR = "2014"
 NO_OUTCOME_TEXT = "renuncia/falecimento/cassacao antes da eleicao"
@@ -88,7 +89,8 @@ def build(raw: DataFrame, coalition: DataFrame, municipality_dim: DataFrame, *,
     df = running_sum(df, PERSON_KEYS, order, F.col("elected"), "times_office")
 
     supplementary = having_count(df, ["election_type"], "<", supplementary_max_rows).select("election_type")
-    right = exclude_values_in(df, supplementary, "election_type").filter(~F.col("outcome").rlike("turno$"))
+    right = exclude_values_in(df, supplementary, "election_type", max_values=MAX_ELECTION_TYPES) \
+        .filter(~F.col("outcome").rlike("turno$"))
     right = keep_first(right, LAG_DEDUPE, ["round", "election_type", "candidate_num"])
     df = lagged_self_join(df, right, LAG_KEYS, "election_year", 4,
                           {"incumbent": "elected", "outcome_previous": "outcome", "position_previous": "position",

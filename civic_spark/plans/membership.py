@@ -6,7 +6,9 @@ Names lowered (P11), municipality codes joined on the record's municipality
 termination year is the later of end / cancel years, 2019 when neither
 exists (X18, X19; Q3 fix).  Candidate ids come from D4: defective ids out
 (F13, NULL kept as R's ``%in%`` does), distinct (title, id, name) rows (A16),
-title padded, then a left join on the title (J12).
+title padded, then a left join on the title (J12).  The title join uses plain
+equality (documented deviation from R's NA = NA matching: NULL titles would
+otherwise pair all untitled members with all untitled candidates).
 """
 
 from __future__ import annotations
@@ -46,4 +48,6 @@ def build(raw: DataFrame, candidate: DataFrame, municipality_dim: DataFrame) ->
         .select("elec_title", "cpf_candidate", "candidate_name").distinct() \
         .select(text.pad_left("elec_title", TITLE_WIDTH).alias("electoral_title"), "cpf_candidate",
                 "candidate_name")
-    return left_join(df, ids, "electoral_title")
+    # plain equality: a missing title identifies nobody (a null-safe join would
+    # pair every member without a title with every candidate without one)
+    return left_join(df, ids, "electoral_title", null_safe=False)

@@ -141,3 +141,12 @@ def test_no_python_udf_in_driver_plans(spark):
         plan = fn(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
         assert "CartesianProduct" not in plan, name
+
+
+def test_exclude_values_in_small_set_form(spark):
+    df = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
+    s1 = spark.createDataFrame([("a",)], "k string")
+    s2 = spark.createDataFrame([("a",), (None,)], "k string")
+    got1 = sorted(rows(joins.exclude_values_in(df, s1, "k", max_values=10)), key=str)
+    assert got1 == [("b",), (None,)]
+    assert rows(joins.exclude_values_in(df, s2, "k", max_values=10)) == [("b",)]
