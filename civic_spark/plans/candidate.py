@@ -29,6 +29,7 @@ from ..functions import clean, logic, text
 from ..operators.aggregates import having_count, keep_first
 from ..operators.joins import exclude_values_in, lagged_self_join
 from ..operators.windows import group_min_boundary, running_sum
+from ..session import cut_lineage
 from .common import attach_municipality, coalition_lookup, elected_flag
 
 # --- fixed values ---
@@ -60,7 +61,11 @@ PROJECTION = {
 
 
 def build(raw: DataFrame, coalition: DataFrame, municipality_dim: DataFrame, *,
-          supplementary_max_rows: int = SUPPLEMENTARY_MAX_ROWS) -> DataFrame:
+          supplementary_max_rows: int = SUPPLEMENTARY_MAX_ROWS, materialize: bool = True) -> DataFrame:
+    """``materialize``: the de-duplicated candidacies with career counts are
+    used four times below (supplementary types, lag table, cycle minima, the
+    main rows), so they are written once as a reliable checkpoint in the
+    shared checkpoint folder; the plan downstream starts from that table."""
     df = clean.na_sentinels(raw, ("#NE#", "#NULO#", ""))
     cols = {k: F.col(v) for k, v in PROJECTION.items()}
     cols["cod_tse"] = F.col("SIGLA_UE").cast("string")
@@ -87,6 +92,8 @@ def build(raw: DataFrame, coalition: DataFrame, municipality_dim: DataFrame, *,
     order = ["election_year", "round", "position_code", "cod_tse", "election_type", "candidate_num"]
     df = running_sum(df, PERSON_KEYS, order, (F.col("round") == 1).cast("int"), "times_run")
     df = running_sum(df, PERSON_KEYS, order, F.col("elected"), "times_office")
+    if materialize:
+        df = cut_lineage(df)
 
     supplementary = having_count(df, ["election_type"], "<", supplementary_max_rows).select("election_type")
     right = exclude_values_in(df, supplementary, "election_type", max_values=MAX_ELECTION_TYPES) \

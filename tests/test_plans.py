@@ -161,3 +161,22 @@ def test_d3_state_level_second_round_filter(spark, world):
                                 schemas.ELECTION_RAW)
     out = votes.build(raw, world["coal"], world["dim"], level="fed_state").collect()
     assert [r["round"] for r in out] == [1]
+
+
+def test_runner_materialises_every_dataset(spark):
+    import tempfile
+
+    from civic_spark.plans import runner
+    f = W.frames(spark)
+    raw = {"municipality_dim": f["dim"], "coalition": f["coalition"], "party": f["party"],
+           "votes_local": f["votes"], "candidate": f["candidate"], "details": f["details"]}
+    out = tempfile.mkdtemp(prefix="civic-run-")
+    paths = runner.build_all(spark, raw, out)
+    assert set(paths) >= {"coalition", "party", "election_local", "candidate", "election", "elected",
+                          "election_chamber", "election_coalition", "vote_count", "diagnostics_tally"}
+    ch = spark.read.parquet(paths["election_chamber"]).collect()
+    # the candidate table was built with the default supplementary threshold (1,000 rows):
+    # every type of the tiny fixture is "supplementary", so there is no incumbency match
+    assert len(ch) == 1 and ch[0]["chamber_size"] == 9 and ch[0]["mayor_incumbent"] == 0
+    mc = spark.read.parquet(paths["election_coalition"]).collect()
+    assert len(mc) == 1 and mc[0]["total_vote"] == 2090
