@@ -13,7 +13,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -159,5 +158,3 @@ def strip_quotes(df: DataFrame) -> DataFrame:
     from ..functions.clean import map_strings
     return map_strings(df, lambda c: F.regexp_replace(c, '"', ""))
 
-
-_YEAR = re.compile(r"(\d{4})")
