@@ -981,6 +981,28 @@ def stream_event_hourly_totals(spark, d):
     return out.withColumn("value", F.round("value", 2))
 
 
+@query("stream_landing_orders", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS order_year
+FROM orders
+""")
+def stream_landing_orders(spark, d):
+    """Structured Streaming: the orders file landed incrementally (file source,
+    ``availableNow``, exactly-once Parquet sink partitioned by year, source log
+    in the shared checkpoint folder) and read back as a table."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    from ..streaming.ingest import land
+
+    schema = _t(spark, d, "orders").schema
+    base = ensure_checkpoint_dir(spark).rstrip("/") + f"/landing-{uuid.uuid4().hex}"
+    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(d)
+              .select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                      F.year("o_orderdate").alias("order_year")))
+    land(stream, base + "/orders", partition_by=("order_year",), checkpoint=base + "/checkpoint").awaitTermination()
+    return spark.read.parquet(base + "/orders")
+
+
 # --------------------------------------------------------------------------- statistics
 
 @query("m3_price_histogram", """

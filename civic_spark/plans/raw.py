@@ -26,14 +26,25 @@ def bind_yearly(spark: SparkSession, paths_by_year: Mapping[int, str | Sequence[
                 names_by_year: Mapping[int, Sequence[str]] | Sequence[str], *, sep: str = ";",
                 header: bool = False, encoding: str = readers.LATIN1,
                 year_column: str = "ANO_ARQUIVO") -> tuple[DataFrame, DataFrame]:
-    """Scan each year's files as text with that year's positional names and
-    bind them with missing columns filled.  Returns ``(table, file_status)``."""
+    """Scan each year's files as text with that year's positional names (or,
+    where a year maps to ``None``, the file's own header) and bind them with
+    missing columns filled.  Returns ``(table, file_status)``."""
     parts = []
     for year, paths in paths_by_year.items():
-        names = names_by_year[year] if isinstance(names_by_year, Mapping) else names_by_year
-        schema = readers.all_string_schema(names)
-        df = readers.scan_delimited(spark, paths, schema, sep=sep, header=header, encoding=encoding,
-                                    corrupt_column="_corrupt_record", path_column="_source_file")
+        names = names_by_year.get(year) if isinstance(names_by_year, Mapping) else names_by_year
+        if names is None:
+            # Later years carry their own header row; every column still read as text
+            reader = (spark.read.option("sep", sep).option("header", "true").option("encoding", encoding)
+                      .option("nullValue", "").option("mode", "PERMISSIVE")
+                      .option("columnNameOfCorruptRecord", "_corrupt_record"))
+            df = reader.csv(paths if isinstance(paths, str) else list(paths))
+            if "_corrupt_record" not in df.columns:
+                df = df.withColumn("_corrupt_record", F.lit(None).cast("string"))
+            df = df.withColumn("_source_file", F.input_file_name())
+        else:
+            df = readers.scan_delimited(spark, paths, readers.all_string_schema(names), sep=sep, header=header,
+                                        encoding=encoding, corrupt_column="_corrupt_record",
+                                        path_column="_source_file")
         parts.append(df.withColumn(year_column, F.lit(year)))
     table = bind_all(parts)
     status = readers.file_status(table)

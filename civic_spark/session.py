@@ -52,7 +52,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # noqa: BLE001 - remote (Connect) sessions have no SparkContext
+        pass
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -64,16 +67,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder and is used as is.  Only when it is unset (tests, local runs) a
     fresh scratch folder is created and registered.
     """
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote (Connect) session
+        sc = None
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    if not current and sc is not None:
+        current = sc.getCheckpointDir()
     if current:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(current)
+        if sc is not None and not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)
         return current
     path = tempfile.mkdtemp(prefix="civic-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    if sc is not None:
+        sc.setCheckpointDir(path)
     return path
 
 
@@ -102,7 +110,10 @@ def read_table(spark: SparkSession, base: str, name: str, *, spread: bool = Fals
     """
     df = spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
     if spread:
-        target = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < target:
-            df = df.repartition(target)
+        try:
+            target = spark.sparkContext.defaultParallelism
+            if df.rdd.getNumPartitions() < target:
+                df = df.repartition(target)
+        except Exception:  # noqa: BLE001 - remote (Connect) session: leave the scan as is
+            pass
     return df

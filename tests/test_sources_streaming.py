@@ -69,3 +69,13 @@ def test_streaming_landing_is_incremental(spark):
         "party string, coalition string, coalition_name string, coalition_type string"))
     v = votes.build(landed.drop("_source_file", "election_year"), coal, dim, level="local").collect()
     assert v[0]["vote"] == 600
+
+
+def test_bind_yearly_with_a_header_year(spark):
+    d = tempfile.mkdtemp(prefix="civic-raw-")
+    _write(os.path.join(d, "c_2008.txt"), '"SP";"ANA"\n')
+    _write(os.path.join(d, "c_2016.txt"), 'UF;NOME;EXTRA\n"RJ";"BIA";"1"\n')
+    table, status = raw.bind_yearly(spark, {2008: os.path.join(d, "c_2008.txt"), 2016: os.path.join(d, "c_2016.txt")},
+                                    {2008: ["UF", "NOME"], 2016: None})
+    got = sorted(tuple(r) for r in table.select("UF", "NOME", "EXTRA", "ANO_ARQUIVO").collect())
+    assert got == [("RJ", "BIA", "1", 2016), ("SP", "ANA", None, 2008)]
