@@ -631,6 +631,16 @@ def sorted_customers(spark, d):
     return sorting.arrange(c, "segment", "-c_acctbal", "c_custkey")
 
 
+@query("o3_sort_within_orders", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM lineitem
+""")
+def sort_within_orders(spark, d):
+    """O3: lines clustered by order and sorted within it (price descending),
+    ``arrange(..., .by_group = TRUE)`` without a global sort."""
+    li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    return sorting.arrange_within(li, ["l_orderkey"], "-l_extendedprice", "l_partkey", "l_linenumber")
+
+
 # --------------------------------------------------------------------------- decisive semantics: the D8 core
 
 @query("a20_x14_d8_marginal_seat_segments", """

@@ -79,3 +79,12 @@ def test_bind_yearly_with_a_header_year(spark):
                                     {2008: ["UF", "NOME"], 2016: None})
     got = sorted(tuple(r) for r in table.select("UF", "NOME", "EXTRA", "ANO_ARQUIVO").collect())
     assert got == [("RJ", "BIA", "1", 2016), ("SP", "ANA", None, 2008)]
+
+
+def test_split_sink_writes_each_output_from_one_checkpoint(spark):
+    d = tempfile.mkdtemp(prefix="civic-split-")
+    df = spark.createDataFrame([(2014, "a"), (2016, "b"), (2012, "c")], "election_year int, v string")
+    sinks.write_split(df, {"fed_state": F.col("election_year") % 4 == 2, "local": F.col("election_year") % 4 == 0},
+                      lambda part, path: sinks.write_parquet(part, path), d)
+    assert sorted(r.v for r in spark.read.parquet(d + "/local").collect()) == ["b", "c"]
+    assert [r.v for r in spark.read.parquet(d + "/fed_state").collect()] == ["a"]
