@@ -57,9 +57,12 @@ def supplier_concentration(spark: SparkSession, d: str) -> DataFrame:
     o = _t(spark, d, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("order_year"))
     c = _t(spark, d, "customer").select("c_custkey", "c_nationkey")
     n = _t(spark, d, "nation").select("n_nationkey", "n_name")
-    base = (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-              .join(c, F.col("o_custkey") == F.col("c_custkey"))
-              .join(joins.bounded_broadcast(n, joins.MAX_NATIONS), F.col("c_nationkey") == F.col("n_nationkey")))
+    # customer nation per order first (orders-sized join), so the lineitem
+    # side is shuffled once, by order key
+    order_nation = (o.join(c, F.col("o_custkey") == F.col("c_custkey"))
+                     .join(joins.bounded_broadcast(n, joins.MAX_NATIONS), F.col("c_nationkey") == F.col("n_nationkey"))
+                     .select("o_orderkey", "order_year", "n_name"))
+    base = li.join(order_nation, F.col("l_orderkey") == F.col("o_orderkey"))
     keys = ["n_name", "order_year"]
     per = base.groupBy(*keys, "l_suppkey").agg(F.sum("rev").alias("revenue"))
     ranked = windows.sequence_number(per, keys, ["-revenue", "l_suppkey"], "rn", 0)
@@ -344,11 +347,13 @@ def nation_roles(spark, d):
     c = _t(spark, d, "customer").select("c_custkey", "c_nationkey")
     s = _t(spark, d, "supplier").select("s_suppkey", "s_nationkey")
     n = _t(spark, d, "nation").select("n_nationkey", "n_name")
-    x = (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-           .join(c, F.col("o_custkey") == F.col("c_custkey"))
-           .join(s, F.col("l_suppkey") == F.col("s_suppkey")))
-    x = joins.left_join(x, n, "c_nationkey", "n_nationkey", right_prefix="cust_", broadcast_max_rows=joins.MAX_NATIONS)
-    x = joins.left_join(x, n, "s_nationkey", "n_nationkey", right_prefix="supp_", broadcast_max_rows=joins.MAX_NATIONS)
+    # role 1: the customer's nation per order (orders-sized join)
+    oc = joins.left_join(o.join(c, F.col("o_custkey") == F.col("c_custkey")), n, "c_nationkey", "n_nationkey",
+                         right_prefix="cust_", broadcast_max_rows=joins.MAX_NATIONS).select("o_orderkey", "cust_n_name")
+    # role 2: the supplier's nation per supplier (supplier-sized join)
+    sn = joins.left_join(s, n, "s_nationkey", "n_nationkey", right_prefix="supp_",
+                         broadcast_max_rows=joins.MAX_NATIONS).select("s_suppkey", "supp_n_name")
+    x = li.join(sn, F.col("l_suppkey") == F.col("s_suppkey")).join(oc, F.col("l_orderkey") == F.col("o_orderkey"))
     return A.group_agg(x, ["cust_n_name", "supp_n_name"], {"n_lines": F.count(F.lit(1)),
                                                            "revenue": F.round(F.sum("l_extendedprice"), 2)})
 
