@@ -60,6 +60,24 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def size_shuffle_partitions(spark: SparkSession, input_bytes: int, target_bytes: int = 256 * 1024 ** 2,
+                            minimum: int | None = None) -> int:
+    """Set the initial shuffle partition count for a job reading ``input_bytes``.
+
+    Each post-shuffle partition should hold about ``target_bytes`` (it must
+    fit in an executor's execution memory); AQE then coalesces small ones.
+    At 100 TB and 256 MB per partition this gives about 400,000 partitions,
+    and never fewer than the cluster's cores (``minimum``)."""
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - remote (Connect) session
+        cores = 1
+    n = max(minimum or cores, -(-int(input_bytes) // int(target_bytes)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    return n
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 

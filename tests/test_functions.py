@@ -81,3 +81,14 @@ def test_normalise_header():
 def test_leading_then_sorted(spark):
     df = spark.createDataFrame([(1, 2, 3, 4)], "d int, b int, a int, c int")
     assert clean.leading_then_sorted(df, "c").columns == ["c", "a", "b", "d"]
+
+
+def test_size_shuffle_partitions(spark):
+    from civic_spark.session import size_shuffle_partitions
+    prev = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffle_partitions(spark, 100 * 1024 ** 4) == 409600
+        assert size_shuffle_partitions(spark, 10, minimum=4) == 4
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", prev)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
