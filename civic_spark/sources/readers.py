@@ -31,12 +31,16 @@ def all_string_schema(names: Iterable[str]) -> T.StructType:
 
 def scan_delimited(spark: SparkSession, paths, schema: T.StructType, *, sep: str = ",",
                    header: bool = True, encoding: str = "UTF-8", corrupt_column: str | None = None,
-                   path_column: str | None = None, repartition: int | None = None) -> DataFrame:
+                   path_column: str | None = None, repartition: int | None = None,
+                   skip_unreadable_files: bool = False) -> DataFrame:
     """Delimited scan with an explicit schema.
 
     ``nullValue=''`` maps empty fields to NULL (``na.strings = ""``).  When
     ``corrupt_column`` is given, malformed rows land there instead of failing
-    (S17).  ``path_column`` records the source file (S6 / S14).
+    (S17).  ``skip_unreadable_files`` skips files that cannot be read at all
+    (a truncated gzip, say), as the reference's ``tryCatch`` did; the file
+    status table shows which files contributed rows.  ``path_column`` records
+    the source file (S6 / S14).
     """
     sch = schema
     if corrupt_column:
@@ -48,6 +52,8 @@ def scan_delimited(spark: SparkSession, paths, schema: T.StructType, *, sep: str
               .option("mode", "PERMISSIVE"))
     if corrupt_column:
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
+    if skip_unreadable_files:
+        reader = reader.option("ignoreCorruptFiles", "true")
     df = reader.csv(paths if isinstance(paths, str) else list(paths))
     if path_column:
         df = df.withColumn(path_column, F.input_file_name())

@@ -88,3 +88,16 @@ def test_split_sink_writes_each_output_from_one_checkpoint(spark):
                       lambda part, path: sinks.write_parquet(part, path), d)
     assert sorted(r.v for r in spark.read.parquet(d + "/local").collect()) == ["b", "c"]
     assert [r.v for r in spark.read.parquet(d + "/fed_state").collect()] == ["a"]
+
+
+def test_unreadable_gzip_is_skipped(spark):
+    d = tempfile.mkdtemp(prefix="civic-gz-")
+    import gzip
+    with gzip.open(os.path.join(d, "good_2012.csv.gz"), "wt", encoding="latin-1") as f:
+        f.write("SP;ANA\n")
+    with open(os.path.join(d, "bad_2016.csv.gz"), "wb") as f:
+        f.write(b"\x1f\x8b\x08\x00not really gzip")
+    df = readers.scan_delimited(spark, d, schemas.struct("uf string, nome string"), sep=";", header=False,
+                                encoding=readers.LATIN1, skip_unreadable_files=True, path_column="_source_file")
+    rows = df.collect()
+    assert [(r.uf, r.nome) for r in rows] == [("SP", "ANA")]
