@@ -13,6 +13,7 @@ D11 on its own.  Inputs that are absent are skipped with their dependants.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,16 +25,21 @@ from . import (candidate, chamber, coalition, declared, election, marginal_seat,
 YEAR = "election_year"
 
 
-def build_all(spark: SparkSession, raw: Mapping[str, object], out: str) -> dict[str, str]:
+def build_all(spark: SparkSession, raw: Mapping[str, object], out: str,
+              timings: dict[str, float] | None = None) -> dict[str, str]:
     """``raw`` keys: ``municipality_dim``, ``coalition``, ``party``, ``votes_local``,
     ``votes_fed_state``, ``candidate``, ``details``, ``receipts`` (``{year: df}``),
-    ``declared``, ``membership``.  Returns ``{dataset: path}``."""
+    ``declared``, ``membership``.  Returns ``{dataset: path}``; ``timings``, when
+    given, receives the seconds spent writing each dataset (lazy work included)."""
     out = out.rstrip("/")
     written: dict[str, str] = {}
 
     def save(name: str, df: DataFrame) -> DataFrame:
         path = f"{out}/{name}"
+        t0 = time.perf_counter()
         write_parquet(df, path, [YEAR] if YEAR in df.columns else [])
+        if timings is not None:
+            timings[name] = round(time.perf_counter() - t0, 2)
         written[name] = path
         return spark.read.parquet(path)
 
