@@ -44,28 +44,100 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence, value: Colu
     return df.withColumn(name, s)
 
 
-def running_sum_bucketed(df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence,
-                         value: Column, name: str) -> DataFrame:
-    """W4 for skewed groups: a running sum in two levels.
-
-    1. ``groupBy(keys, bucket)`` sums each bucket (map-side combined);
-    2. a window over the small bucket table gives each bucket's offset;
-    3. a window over ``(keys, bucket)`` gives the in-bucket running sum.
-
-    A hot key is spread over its buckets (e.g. months of a long history),
-    so no task holds a whole group.  ``order`` must start with the column(s)
-    that define ``bucket`` so bucket order agrees with row order.  NULL values
-    count as 0 here (``na.rm``)."""
-    d = df.withColumn("__b", bucket)
-    tot = d.groupBy(*keys, "__b").agg(F.sum(value).alias("__bs"))
-    wb = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.withColumn("__off", F.coalesce(F.sum("__bs").over(wb), F.lit(0))).drop("__bs")
-    inner = Window.partitionBy(*keys, "__b").orderBy(*[order_key(o) for o in order]) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    d = d.withColumn("__in", F.coalesce(F.sum(value).over(inner), F.lit(0)))
+def ordered_bucketed(df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence[str], *,
+                     seq: dict[str, int] | None = None, sums: dict[str, tuple[Column, bool]] | None = None,
+                     shifts: dict[str, tuple[str, int]] | None = None) -> DataFrame:
+    """Ordered per-key values (W3 row numbers, W4 running sums, W5/W6 lag /
+    lead by one) for keys that may be hot.
+
+    The rows of a key are split into buckets (e.g. years or days of its
+    history) and processed in one pass:
+
+    1. a window over ``(keys, bucket)`` gives in-bucket row numbers, running
+       sums / NULL counts and lag / lead;
+    2. a per-bucket summary (count, sums, NULL counts, first and last row)
+       is aggregated on the same partitioning;
+    3. a window over the small bucket table gives each bucket's offsets and
+       the neighbouring buckets' edge rows;
+    4. one join back on ``(keys, bucket)``.
+
+    The large side is shuffled once, as with a plain window, but no task
+    holds more than one bucket of a key.  ``order`` lists ascending column
+    names, starts with the bucket-defining columns and is a total order.
+
+    ``seq = {name: offset}``; ``sums = {name: (value, poison)}`` (``poison``:
+    a NULL makes this and every later value NULL, R's ``cumsum``; otherwise
+    NULL counts as 0); ``shifts = {name: (column, 1 | -1)}`` (lag / lead)."""
+    seq, sums, shifts = seq or {}, sums or {}, shifts or {}
+    if any(not isinstance(o, str) or o.startswith("-") for o in order):
+        raise ValueError("bucketed windows take ascending column names")
+    if any(abs(k) != 1 for _, k in shifts.values()):
+        raise ValueError("bucketed lag / lead supports an offset of 1")
     from .joins import left_join
-    d = left_join(d, off, [*keys, "__b"])
-    return d.withColumn(name, F.col("__off") + F.col("__in")).drop("__b", "__off", "__in")
+
+    d = df.withColumn("__b", bucket)
+    vals = {f"__v{i}": v for i, (_, (v, _p)) in enumerate(sums.items())}
+    d = d.withColumns(vals)
+    inner = Window.partitionBy(*keys, "__b").orderBy(*[order_key(o) for o in order])
+    frame = inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy(*keys, "__b")
+    cols = {"__rn": F.row_number().over(inner), "__cnt": F.count(F.lit(1)).over(whole)}
+    for v in vals:
+        cols[f"{v}_s"] = F.coalesce(F.sum(v).over(frame), F.lit(0))
+        cols[f"{v}_n"] = F.count_if(F.col(v).isNull()).over(frame)
+    for o, (c, k) in shifts.items():
+        cols[o] = (F.lag(c, 1) if k > 0 else F.lead(c, 1)).over(inner)
+    d = d.withColumns(cols)
+
+    srcs = sorted({c for c, _ in shifts.values()})
+    aggs = [F.count(F.lit(1)).alias("__bc")]
+    for v in vals:
+        aggs += [F.coalesce(F.sum(v), F.lit(0)).alias(f"{v}_bs"), F.count_if(F.col(v).isNull()).alias(f"{v}_bn")]
+    if srcs:
+        key = F.struct(*[F.col(o) for o in order])
+        aggs += [F.min_by(F.struct(*srcs), key).alias("__first"), F.max_by(F.struct(*srcs), key).alias("__last")]
+    bt = d.groupBy(*keys, "__b").agg(*aggs)
+    wb = Window.partitionBy(*keys).orderBy("__b")
+    before = wb.rowsBetween(Window.unboundedPreceding, -1)
+    sel = [*keys, "__b", F.coalesce(F.sum("__bc").over(before), F.lit(0)).alias("__off_c")]
+    for v in vals:
+        sel += [F.coalesce(F.sum(f"{v}_bs").over(before), F.lit(0)).alias(f"{v}_os"),
+                F.coalesce(F.sum(f"{v}_bn").over(before), F.lit(0)).alias(f"{v}_on")]
+    if srcs:
+        sel += [F.lag("__last", 1).over(wb).alias("__prev"), F.lead("__first", 1).over(wb).alias("__next")]
+    d = left_join(d, bt.select(*sel), [*keys, "__b"])
+
+    out = {}
+    for name, off in seq.items():
+        out[name] = (F.col("__off_c") + F.col("__rn") + off).cast("int")
+    for (name, (_v, poison)), v in zip(sums.items(), vals):
+        total = F.col(f"{v}_os") + F.col(f"{v}_s")
+        out[name] = F.when(F.col(f"{v}_on") + F.col(f"{v}_n") == 0, total) if poison else total
+    for o, (c, k) in shifts.items():
+        edge = (F.col("__rn") == 1) if k > 0 else (F.col("__rn") == F.col("__cnt"))
+        out[o] = F.when(edge, F.col("__prev" if k > 0 else "__next")[c]).otherwise(F.col(o))
+    d = d.withColumns(out)
+    helper = ["__b", "__rn", "__cnt", "__off_c", "__prev", "__next", *vals]
+    helper += [f"{v}{suf}" for v in vals for suf in ("_s", "_n", "_os", "_on")]
+    return d.drop(*[h for h in helper if h in d.columns])
+
+
+def running_sum_bucketed(df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence[str],
+                         value: Column, name: str, poison: bool = False) -> DataFrame:
+    """W4 for skewed keys (see ``ordered_bucketed``)."""
+    return ordered_bucketed(df, keys, bucket, order, sums={name: (value, poison)})
+
+
+def sequence_number_bucketed(df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence[str], name: str,
+                             offset: int = 0) -> DataFrame:
+    """W3 for skewed keys: ``row_number() + offset`` (see ``ordered_bucketed``)."""
+    return ordered_bucketed(df, keys, bucket, order, seq={name: offset})
+
+
+def lag_lead_bucketed(df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence[str],
+                      cols: dict[str, tuple[str, int]]) -> DataFrame:
+    """W5 / W6 by one row for skewed keys (see ``ordered_bucketed``)."""
+    return ordered_bucketed(df, keys, bucket, order, shifts=cols)
 
 
 def lag_lead(df: DataFrame, keys: Sequence[str], order: Sequence, cols: dict[str, tuple[str, int]]) -> DataFrame:

@@ -519,9 +519,12 @@ FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
 def customer_order_sequence(spark, d):
     o = _t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
     order = ["o_orderdate", "o_orderkey"]
-    x = windows.sequence_number(o, ["o_custkey"], order, "prior_orders", -1)
-    x = windows.running_sum(x, ["o_custkey"], order, F.col("o_totalprice"), "running_total")
-    x = windows.lag_lead(x, ["o_custkey"], order, {"prev_total": ("o_totalprice", 1), "next_total": ("o_totalprice", -1)})
+    # bucketed forms: a customer's history is split by year, so no task holds a
+    # whole (possibly hot) customer; results equal the plain windows
+    x = windows.ordered_bucketed(
+        o, ["o_custkey"], F.year("o_orderdate"), order, seq={"prior_orders": -1},
+        sums={"running_total": (F.col("o_totalprice"), True)},
+        shifts={"prev_total": ("o_totalprice", 1), "next_total": ("o_totalprice", -1)})
     return x.select("o_orderkey", "o_custkey", "prior_orders", F.round("running_total", 2).alias("running_total"),
                     "prev_total", "next_total")
 
@@ -537,11 +540,10 @@ FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN
 def event_running_sums(spark, d):
     e = _t(spark, d, "events")
     order = ["ts", "event_id"]
-    x = windows.running_sum_bucketed(e, ["user_id"], F.date_trunc("day", F.col("ts")), order, F.col("value"),
-                                     "running_value")
-    x = windows.running_sum(x, ["user_id"], order,
-                            F.when(F.col("event_type") != "view", F.col("value")), "running_value_poison")
-    x = windows.running_sum(x, ["user_id"], order, (F.col("event_type") == "error").cast("long"), "running_errors")
+    x = windows.ordered_bucketed(e, ["user_id"], F.date_trunc("day", F.col("ts")), order, sums={
+        "running_value": (F.col("value"), False),
+        "running_value_poison": (F.when(F.col("event_type") != "view", F.col("value")), True),
+        "running_errors": ((F.col("event_type") == "error").cast("long"), False)})
     return x.select("event_id", "user_id", F.round("running_value", 2).alias("running_value"),
                     F.round("running_value_poison", 2).alias("running_value_poison"), "running_errors")
 

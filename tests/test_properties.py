@@ -83,3 +83,22 @@ def test_if_else_and_not_in_match_r(spark, vals):
     for i, v in enumerate(vals):
         assert out[i]["ie"] == (None if v is None else int(v == "a"))
         assert out[i]["ni"] == (v not in ("a", "b"))
+
+
+@CFG
+@given(rows=st.lists(st.tuples(st.integers(0, 3), st.integers(0, 30), st.one_of(st.none(), st.integers(-5, 5))),
+                     min_size=1, max_size=60, unique_by=lambda t: (t[0], t[1])))
+def test_bucketed_windows_equal_plain_windows(spark, rows):
+    df = spark.createDataFrame(rows, "k int, t int, v int")
+    order = ["t"]
+    b = windows.ordered_bucketed(df, ["k"], F.floor(F.col("t") / 7), order, seq={"rn": -1},
+                                 sums={"s": (F.col("v"), False), "p": (F.col("v"), True)},
+                                 shifts={"lg": ("v", 1), "ld": ("v", -1)})
+    a = windows.sequence_number(df, ["k"], order, "rn", -1)
+    a = windows.running_sum(a, ["k"], order, F.coalesce(F.col("v"), F.lit(0)), "s", poison=False)
+    a = windows.running_sum(a, ["k"], order, F.col("v"), "p", poison=True)
+    a = windows.lag_lead(a, ["k"], order, {"lg": ("v", 1), "ld": ("v", -1)})
+    cols = ["k", "t", "rn", "s", "p", "lg", "ld"]
+    got = sorted(tuple(r) for r in b.select(*cols).collect())
+    want = sorted(tuple(r) for r in a.select(*cols).collect())
+    assert got == want
