@@ -48,6 +48,10 @@ def left_join(left: DataFrame, right: DataFrame, on, right_on=None, *, null_safe
     if len(lkeys) != len(rkeys):
         raise ValueError("key lists differ in length")
     rest = [c for c in right.columns if c not in rkeys]
+    semi = how in ("left_semi", "semi", "leftsemi", "left_anti", "anti", "leftanti")
+    clash = sorted({f"{right_prefix}{c}" if right_prefix else c for c in rest} & set(left.columns))
+    if clash and not semi:
+        raise ValueError(f"right columns {clash} already exist on the left; pass right_prefix or drop them")
     tmp = [f"__rk{i}" for i in range(len(rkeys))]
     sel = [F.col(f"`{k}`").alias(t) for k, t in zip(rkeys, tmp)]
     sel += [F.col(f"`{c}`").alias(f"{right_prefix}{c}" if right_prefix else c) for c in rest]
@@ -59,7 +63,7 @@ def left_join(left: DataFrame, right: DataFrame, on, right_on=None, *, null_safe
         lc = left[f"`{lk}`"]
         conds.append(lc.eqNullSafe(r[t]) if null_safe else lc == r[t])
     out = left.join(r, conds, how)
-    if how in ("left_semi", "semi", "leftsemi", "left_anti", "anti", "leftanti"):
+    if semi:
         return out
     return out.drop(*tmp)
 

@@ -150,3 +150,12 @@ def test_exclude_values_in_small_set_form(spark):
     got1 = sorted(rows(joins.exclude_values_in(df, s1, "k", max_values=10)), key=str)
     assert got1 == [("b",), (None,)]
     assert rows(joins.exclude_values_in(df, s2, "k", max_values=10)) == [("b",)]
+
+
+def test_left_join_refuses_silent_column_clash(spark):
+    import pytest
+    left = spark.createDataFrame([(1, "a")], "k int, v string")
+    right = spark.createDataFrame([(1, "b")], "k int, v string")
+    with pytest.raises(ValueError):
+        joins.left_join(left, right, "k")
+    assert rows(joins.left_join(left, right, "k", right_prefix="r_")) == [(1, "a", "b")]
