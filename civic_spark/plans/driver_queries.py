@@ -915,8 +915,10 @@ def first_line_and_returned_part(spark, d):
     li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                                          "l_extendedprice", "l_returnflag")
     r = F.col("l_returnflag") == "R"
-    x = groups.keep_groups_exactly_one(li, ["l_orderkey"], r)
-    x = groups.value_of_unique_row(x, ["l_orderkey"], r, {"returned_partkey": "l_partkey"})
+    # an order has a handful of lines: the window forms let the group filter,
+    # the group value and the row flag share one exchange on l_orderkey
+    x = groups.keep_groups_exactly_one(li, ["l_orderkey"], r, strategy="window")
+    x = groups.value_of_unique_row(x, ["l_orderkey"], r, {"returned_partkey": "l_partkey"}, strategy="window")
     x = windows.first_row_flag(x, ["l_orderkey"], ["-l_extendedprice", "l_partkey", "l_suppkey", "l_linenumber",
                                                    "l_returnflag"])
     return x.select("l_orderkey", "l_linenumber", "l_partkey", "first_value", "returned_partkey")
