@@ -51,6 +51,14 @@ def bind_yearly(spark: SparkSession, paths_by_year: Mapping[int, str | Sequence[
     return table.drop("_corrupt_record"), status
 
 
+def bind_candidates(spark: SparkSession, paths_by_year: Mapping[int, str | Sequence[str]], **kw
+                    ) -> tuple[DataFrame, DataFrame]:
+    """D0d: the yearly candidate files, named by position per year."""
+    from ..sources.schemas import candidate_names_for_year
+
+    return bind_yearly(spark, paths_by_year, {y: candidate_names_for_year(y) for y in paths_by_year}, **kw)
+
+
 def bind_same_layout(spark: SparkSession, base: str, glob: str, names: Sequence[str], **kw) -> DataFrame:
     """All files of one layout in a single scan, year from the file name."""
     df = readers.scan_many(spark, base, glob, readers.all_string_schema(names), **kw)

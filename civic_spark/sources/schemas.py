@@ -85,3 +85,43 @@ RECEIPT_CANONICAL = struct(
     "party_donor string, candidate_num_donor string, cod_sector_donor string, desc_sector_donor string, "
     "date_receipt string, value_receipt decimal(18,2), origin_resource string, type_source string, "
     "type_resource string, desc_resource string, campaign_manager_name string, cpf_campaign_manager string")
+
+
+# --- fixed values: positional column names of the headerless yearly candidate files (S12) ---
+# Files before 2012 have 43 columns, files of 2012 have 58; later files carry a header.
+CANDIDATE_NAMES_BEFORE_2012 = [
+    "DATA_GERACAO", "HORA_GERACAO", "ANO_ELEICAO", "NUM_TURNO", "DESCRICAO_ELEICAO", "SIGLA_UF", "SIGLA_UE",
+    "DESCRICAO_UE", "CODIGO_CARGO", "DESCRICAO_CARGO", "NOME_CANDIDATO", "SEQUENCIAL_CANDIDATO",
+    "NUMERO_CANDIDATO", "CPF_CANDIDATO", "NOME_URNA_CANDIDATO", "COD_SITUACAO_CANDIDATURA",
+    "DES_SITUACAO_CANDIDATURA", "NUMERO_PARTIDO", "SIGLA_PARTIDO", "NOME_PARTIDO", "CODIGO_LEGENDA",
+    "SIGLA_LEGENDA", "COMPOSICAO_LEGENDA", "NOME_COLIGACAO", "CODIGO_OCUPACAO", "DESCRICAO_OCUPACAO",
+    "DATA_NASCIMENTO", "NUM_TITULO_ELEITORAL_CANDIDATO", "IDADE_DATA_ELEICAO", "CODIGO_SEXO", "DESCRICAO_SEXO",
+    "COD_GRAU_INSTRUCAO", "DESCRICAO_GRAU_INSTRUCAO", "CODIGO_ESTADO_CIVIL", "DESCRICAO_ESTADO_CIVIL",
+    "CODIGO_NACIONALIDADE", "DESCRICAO_NACIONALIDADE", "SIGLA_UF_NASCIMENTO", "CODIGO_MUNICIPIO_NASCIMENTO",
+    "NOME_MUNICIPIO_NASCIMENTO", "DESPESA_MAX_CAMPANHA", "COD_SIT_TOT_TURNO", "DESC_SIT_TOT_TURNO",
+]
+CANDIDATE_NAMES_2012 = [
+    "DT_GERACAO", "HH_GERACAO", "ANO_ELEICAO", "CD_TIPO_ELEICAO", "NM_TIPO_ELEICAO", "NR_TURNO", "CD_ELEICAO",
+    "DS_ELEICAO", "DT_ELEICAO", "TP_ABRANGENCIA", "SG_UF", "SG_UE", "NM_UE", "CD_CARGO", "DS_CARGO",
+    "SQ_CANDIDATO", "NR_CANDIDATO", "NM_CANDIDATO", "NM_URNA_CANDIDATO", "NM_SOCIAL_CANDIDATO",
+    "NR_CPF_CANDIDATO", "NM_EMAIL", "CD_SITUACAO_CANDIDATURA", "DS_SITUACAO_CANDIDATURA",
+    "CD_DETALHE_SITUACAO_CAND", "DS_DETALHE_SITUACAO_CAND", "TP_AGREMIACAO", "NR_PARTIDO", "SG_PARTIDO",
+    "NM_PARTIDO", "SQ_COLIGACAO", "NM_COLIGACAO", "DS_COMPOSICAO_COLIGACAO", "CD_NACIONALIDADE",
+    "DS_NACIONALIDADE", "SG_UF_NASCIMENTO", "CD_MUNICIPIO_NASCIMENTO", "NM_MUNICIPIO_NASCIMENTO",
+    "DT_NASCIMENTO", "NR_IDADE_DATA_POSSE", "NR_TITULO_ELEITORAL_CANDIDATO", "CD_GENERO", "DS_GENERO",
+    "CD_GRAU_INSTRUCAO", "DS_GRAU_INSTRUCAO", "CD_ESTADO_CIVIL", "DS_ESTADO_CIVIL", "CD_COR_RACA",
+    "DS_COR_RACA", "CD_OCUPACAO", "DS_OCUPACAO", "NR_DESPESA_MAX_CAMPANHA", "CD_SIT_TOT_TURNO",
+    "DS_SIT_TOT_TURNO", "ST_REELEICAO", "ST_DECLARAR_BENS", "NR_PROTOCOLO_CANDIDATURA", "NR_PROCESSO",
+]
+# --- end of fixed values ---
+
+assert len(CANDIDATE_NAMES_BEFORE_2012) == 43 and len(CANDIDATE_NAMES_2012) == 58
+
+
+def candidate_names_for_year(year: int) -> list[str] | None:
+    """Positional names of a year's headerless candidate files (None: the file has a header)."""
+    if year < 2012:
+        return CANDIDATE_NAMES_BEFORE_2012
+    if year == 2012:
+        return CANDIDATE_NAMES_2012
+    return None

@@ -101,3 +101,13 @@ def test_unreadable_gzip_is_skipped(spark):
                                 encoding=readers.LATIN1, skip_unreadable_files=True, path_column="_source_file")
     rows = df.collect()
     assert [(r.uf, r.nome) for r in rows] == [("SP", "ANA")]
+
+
+def test_bind_candidates_by_year(spark):
+    d = tempfile.mkdtemp(prefix="civic-cand-")
+    _write(os.path.join(d, "c_2008.txt"), ";".join(f'"{i}"' for i in range(43)) + "\n")
+    _write(os.path.join(d, "c_2012.txt"), ";".join(f'"{i}"' for i in range(58)) + "\n")
+    table, _ = raw.bind_candidates(spark, {2008: os.path.join(d, "c_2008.txt"), 2012: os.path.join(d, "c_2012.txt")})
+    rows = {r["ANO_ARQUIVO"]: r for r in table.collect()}
+    assert rows[2008]["DESC_SIT_TOT_TURNO"] == "42" and rows[2012]["NR_PROCESSO"] == "57"
+    assert rows[2008]["NR_PROCESSO"] is None
