@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.logic import in_seq
 from ..operators.aggregates import keep_first
 from ..operators.joins import MAX_MUNICIPALITIES, bounded_broadcast, left_join
+from ..operators.unions import bind_rows
 
 # --- fixed values: election cycles and lookup keys ---
 LOCAL_YEARS = (2000, 2016, 4)        # municipal elections
@@ -50,14 +51,25 @@ def coalition_lookup(df: DataFrame, coalition: DataFrame, with_type_by_position:
     Each lookup is de-duplicated on its key first, so the joins cannot fan out.
     """
     cols = ["coalition", "coalition_name", "coalition_type"]
-    loc = coalition.filter(in_seq(F.col("election_year"), *LOCAL_YEARS))
-    wid = coalition.filter(in_seq(F.col("election_year"), *FED_YEARS))
+    y = F.col("election_year")
+    loc = coalition.filter(in_seq(y, *LOCAL_YEARS))
+    wid = coalition.filter(in_seq(y, *FED_YEARS))
     loc = keep_first(loc.select(*LOCAL_KEYS, *cols), LOCAL_KEYS, cols)
     wid = keep_first(wid.select(*WIDE_KEYS, *cols), WIDE_KEYS, cols)
     loc = loc.select(*LOCAL_KEYS, *[F.col(c).alias(f"loc_{c}") for c in cols])
     wid = wid.select(*WIDE_KEYS, *[F.col(c).alias(f"fed_{c}") for c in cols])
-    out = left_join(df, loc, LOCAL_KEYS)
-    out = left_join(out, wid, WIDE_KEYS)
+    # The two lookups cover disjoint years (year % 4 == 0 vs == 2), so a row can
+    # only ever match one of them: split the rows by cycle and join each part to
+    # its own lookup — every row is shuffled once, not once per lookup.
+    is_loc = F.coalesce(in_seq(y, *LOCAL_YEARS), F.lit(False))
+    is_fed = F.coalesce(in_seq(y, *FED_YEARS), F.lit(False))
+    out = bind_rows(left_join(df.filter(is_loc), loc, LOCAL_KEYS),
+                    left_join(df.filter(is_fed), wid, WIDE_KEYS),
+                    df.filter(~is_loc & ~is_fed))
+    for c in cols:
+        for side in ("loc", "fed"):
+            if f"{side}_{c}" not in out.columns:
+                out = out.withColumn(f"{side}_{c}", F.lit(None).cast("string"))
     pc = F.col("position_code")
 
     def pick(c: str) -> Column:

@@ -47,10 +47,15 @@ def build(votes: list[DataFrame], candidate: DataFrame) -> DataFrame:
     state_keys = ["election_year", "state", "election_type", "round", "position_code", "candidate_num",
                   "candidate_name"]
     pres_keys = ["election_year", "election_type", "position_code", "candidate_num", "candidate_name", "round"]
+    # each branch joins only the candidacies of its own level, so every
+    # candidate row is shuffled for one branch, not three
+    local = y % 4 == 0
+    state_level = (y % 4 == 2) & (pc != 1)
+    president = (y % 4 == 2) & (pc == 1)
     out = split_join_union(ev, [
-        (y % 4 == 0, cand.drop("state"), local_keys),
-        ((y % 4 == 2) & (pc != 1), cand.drop("cod_tse"), state_keys),
-        ((y % 4 == 2) & (pc == 1), cand.drop("cod_tse", "state"), pres_keys),
+        (local, cand.filter(local).drop("state"), local_keys),
+        (state_level, cand.filter(state_level).drop("cod_tse"), state_keys),
+        (president, cand.filter(president).drop("cod_tse", "state"), pres_keys),
     ])
     out = keep_first(out, DEDUPE_KEYS, ["election_year", "state", "position_code", "candidate_num", "vote"])
     out = out.withColumn("elected", elected_flag())
