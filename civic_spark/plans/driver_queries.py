@@ -464,8 +464,8 @@ def fan_out_national(spark, d):
     c = _t(spark, d, "customer")
     n = _t(spark, d, "nation")
     r = _t(spark, d, "region")
-    cr = c.join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey")) \
-          .join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey"))
+    cr = c.join(joins.bounded_broadcast(n, joins.MAX_NATIONS), F.col("c_nationkey") == F.col("n_nationkey")) \
+          .join(joins.bounded_broadcast(r, joins.MAX_NATIONS), F.col("n_regionkey") == F.col("r_regionkey"))
     reg = A.count_by(cr, ["r_name", "c_mktsegment"]).withColumn("scope", F.lit("region"))
     nat = A.count_by(c, ["c_mktsegment"]).withColumn("scope", F.lit("all")).withColumn("r_name", F.lit("ALL"))
     both = unions.bind_rows(reg, nat.select(*reg.columns))
@@ -486,8 +486,8 @@ def coverage_grid_missing(spark, d):
     n = _t(spark, d, "nation")
     r = _t(spark, d, "region")
     seen = (c.filter(F.col("c_acctbal") > 9500)
-             .join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"))
-             .join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey")))
+             .join(joins.bounded_broadcast(n, joins.MAX_NATIONS), F.col("c_nationkey") == F.col("n_nationkey"))
+             .join(joins.bounded_broadcast(r, joins.MAX_NATIONS), F.col("n_regionkey") == F.col("r_regionkey")))
     return coverage_grid(r.select("r_name"), c.select("c_mktsegment"), seen, ["r_name", "c_mktsegment"])
 
 
