@@ -150,7 +150,9 @@ def exclude_values_in(df: DataFrame, values: DataFrame, on, values_on=None, *,
     key = _key_list(on)[0]
     vkey = _key_list(values_on or on)[0]
     v = values.select(F.col(vkey).alias("__v"))
-    arr = v.agg(F.collect_set("__v").alias("__a"))
+    # at most max_values + 1 distinct values are collected; the size check
+    # below turns an overflow into an error
+    arr = v.filter(F.col("__v").isNotNull()).distinct().limit(max_values + 1).agg(F.collect_list("__v").alias("__a"))
     arr = arr.select(F.when(F.size("__a") <= max_values, F.col("__a"))
                      .otherwise(F.raise_error(F.lit(f"{vkey}: more than {max_values} values")))).scalar()
     has_null = v.agg(F.coalesce(F.max(F.col("__v").isNull()), F.lit(False))).scalar()
@@ -165,7 +167,7 @@ def bounded_values(values: DataFrame, column: str, max_values: int) -> Column:
     d = values.select(column).distinct()
     if d.limit(max_values + 1).count() > max_values:
         raise ValueError(f"{column}: more than {max_values} distinct values")
-    return d.agg(F.array_sort(F.collect_list(column))).scalar()
+    return d.limit(max_values).agg(F.array_sort(F.collect_list(column))).scalar()
 
 
 def fan_out(df: DataFrame, key: str, value, targets: DataFrame, *, max_targets: int = MAX_STATES) -> DataFrame:

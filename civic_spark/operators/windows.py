@@ -184,7 +184,9 @@ def group_min_boundary(df: DataFrame, group: str, value: str, name: str, max_gro
     row looks its group up.  No window with one or two partitions, no join,
     no shuffle of the large side.  The map size is asserted in the plan."""
     mins = df.filter(F.col(group).isNotNull()).groupBy(group).agg(F.min(value).alias("__m"))
-    mp = mins.agg(F.map_from_entries(F.collect_list(F.struct(group, "__m"))).alias("__mp"))
+    # at most max_groups + 1 entries are ever collected; the assertion below
+    # turns an overflow into an error instead of a silently truncated map
+    mp = mins.limit(max_groups + 1).agg(F.map_from_entries(F.collect_list(F.struct(group, "__m"))).alias("__mp"))
     mp = mp.select(F.when(F.size("__mp") <= max_groups, F.col("__mp"))
                    .otherwise(F.raise_error(F.lit(f"{group}: more than {max_groups} groups")))).scalar()
     null_min = df.filter(F.col(group).isNull()).agg(F.min(value)).scalar()
