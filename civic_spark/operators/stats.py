@@ -66,13 +66,18 @@ def _coef_table(spark, model, names: Sequence[str]) -> DataFrame:
     s = model.summary
     terms = ["(Intercept)", *names]
     est = [float(model.intercept), *[float(v) for v in model.coefficients]]
-    se = list(s.coefficientStandardErrors)
-    tv = list(s.tValues)
-    pv = list(s.pValues)
-    # Spark lists the intercept last in the summary vectors
-    se = [se[-1], *se[:-1]]
-    tv = [tv[-1], *tv[:-1]]
-    pv = [pv[-1], *pv[:-1]]
+    try:
+        se = list(s.coefficientStandardErrors)
+        tv = list(s.tValues)
+        pv = list(s.pValues)
+        # Spark lists the intercept last in the summary vectors
+        se = [se[-1], *se[:-1]]
+        tv = [tv[-1], *tv[:-1]]
+        pv = [pv[-1], *pv[:-1]]
+    except Exception:  # noqa: BLE001
+        # singular design (an aliased term, e.g. a constant regressor): Spark
+        # solves without standard errors; R reports NA for them as well
+        se = tv = pv = [None] * len(terms)
     rows = list(zip(terms, est, se, tv, pv))
     return spark.createDataFrame(rows, "term string, estimate double, std_error double, statistic double, p_value double")
 

@@ -2,7 +2,8 @@
 dataset builders (never used by a registered query).
 
 Every municipality holds a mayor race (three candidates) and a council race
-(9–13 seats, three candidates per seat, six parties) in each municipal year;
+(9–13 seats, three candidates per seat, six parties) in each municipal year,
+and every state a governor race (four candidates) in each state year;
 the same people run again each cycle, so careers and incumbency are exercised.
 Votes are pseudo-random from a hash of the candidacy, split over two zones.
 All columns follow the raw layouts in ``civic_spark.sources.schemas``.
@@ -19,6 +20,7 @@ STATES = ["ac", "al", "am", "ap", "ba", "ce", "df", "es", "go", "ma", "mg", "ms"
           "pr", "rj", "rn", "ro", "rr", "rs", "sc", "se", "sp", "to"]
 PARTIES = [("PT", 13), ("PMDB", 15), ("PSDB", 45), ("PP", 11), ("PDT", 12), ("PV", 43)]
 YEARS = [2000, 2004, 2008, 2012, 2016]
+FED_YEARS = [2002, 2006, 2010, 2014]
 
 
 def _h(*cols) -> F.Column:
@@ -100,5 +102,41 @@ def generate(spark: SparkSession, municipalities: int = 2000) -> dict[str, DataF
         (F.col("v") - 50).alias("QTD_ABSTENCOES"), (F.col("v") - _h("m", "year") % 20).alias("QTD_VOTOS_NOMINAIS"),
         F.lit(20).cast("long").alias("QTD_VOTOS_BRANCOS"), F.lit(20).cast("long").alias("QTD_VOTOS_NULOS"),
         F.lit(5).cast("long").alias("QTD_VOTOS_LEGENDA"), F.lit(5).cast("long").alias("QTD_VOTOS_ANULADOS"))
-    return {"municipality_dim": dim, "coalition": coalition, "votes_local": votes, "candidate": candidate,
-            "details": details}
+    # state elections: a governor race (position 3, four candidates) per state and state year,
+    # voted in every municipality of the state
+    fed_years = spark.createDataFrame([(y,) for y in FED_YEARS], "year int")
+    st = spark.createDataFrame([(i, s_) for i, s_ in enumerate(STATES)], "sidx int, state string")
+    gov = st.crossJoin(F.broadcast(fed_years)).withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(3)))) \
+        .withColumn("pidx", (F.col("slot") % 6).cast("int")).join(F.broadcast(parties), "pidx") \
+        .withColumn("person", F.concat_ws("-", F.lit("gov"), F.col("state"), F.col("slot")))
+    gv = Window.partitionBy("state", "year").orderBy(F.col("gvote").desc(), F.col("slot"))
+    gov = gov.withColumn("gvote", (F.lit(10) + _h("state", "year", "slot") % 990).cast("long")) \
+        .withColumn("outcome", F.when(F.row_number().over(gv) == 1, "ELEITO").otherwise("NÃO ELEITO"))
+    gcols = dict(cand_cols)
+    gcols.update({
+        "SIGLA_UE": F.upper("state"), "ANO_ELEICAO": F.col("year").cast("string"),
+        "DESCRICAO_UE": F.upper("state"), "SIGLA_UF": F.upper("state"),
+        "DESCRICAO_ELEICAO": F.concat(F.lit("ELEIÇÕES "), F.col("year")), "NUM_TURNO": F.lit(1),
+        "CODIGO_CARGO": F.lit(3), "DESCRICAO_CARGO": F.lit("GOVERNADOR"),
+        "NOME_CANDIDATO": F.concat(F.lit("CANDIDATO "), F.col("person")), "NUMERO_CANDIDATO": F.col("pnum"),
+        "CPF_CANDIDATO": F.lpad(_h("person").cast("string"), 11, "0"), "SIGLA_PARTIDO": F.col("party"),
+        "COMPOSICAO_LEGENDA": F.col("party"), "CODIGO_OCUPACAO": F.lit(298).cast("int"),
+        "DATA_NASCIMENTO": F.lit("01/01/1955"),
+        "NUM_TITULO_ELEITORAL_CANDIDATO": F.lpad(_h("person", F.lit("t")).cast("string"), 12, "0"),
+        "IDADE_DATA_ELEICAO": F.lit(50), "COD_GRAU_INSTRUCAO": F.lit(8),
+        "DESPESA_MAX_CAMPANHA": F.lit(1000).cast("decimal(18,2)"), "DESC_SIT_TOT_TURNO": F.col("outcome")})
+    candidate = candidate.unionByName(
+        gov.select(*[gcols[f.name].cast(f.dataType).alias(f.name) for f in schemas.CANDIDATE_RAW.fields]))
+    gmun = gov.join(mun.select("m", "cod_tse", "state"), "state")
+    votes_fed = gmun.select(
+        F.col("year").alias("ano_eleicao"), F.upper("state").alias("sigla_uf"),
+        F.concat(F.lit("ELEIÇÕES "), F.col("year")).alias("descricao_eleicao"), F.col("cod_tse").alias("codigo_municipio"),
+        F.lit(1).alias("numero_zona"), F.concat(F.lit("CANDIDATO "), F.col("person")).alias("nome_candidato"),
+        F.col("pnum").cast("int").alias("numero_cand"), F.lit("DEFERIDO").alias("desc_sit_candidato"),
+        F.lit(1).alias("num_turno"), F.lit(3).alias("codigo_cargo"), F.lit("GOVERNADOR").alias("descricao_cargo"),
+        F.col("party").alias("sigla_partido"), F.concat(F.lit("MUNICÍPIO "), F.col("m")).alias("nome_municipio"),
+        F.col("party").alias("composicao_legenda"), F.lit("#NULO#").alias("nome_coligacao"),
+        F.col("outcome").alias("desc_sit_cand_tot"),
+        (F.lit(1) + _h("m", "year", "slot") % 500).cast("long").alias("total_votos"))
+    return {"municipality_dim": dim, "coalition": coalition, "votes_local": votes, "votes_fed_state": votes_fed,
+            "candidate": candidate, "details": details}
