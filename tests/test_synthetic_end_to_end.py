@@ -1,4 +1,6 @@
-"""Notebook queries N1–N25 on datasets built by the runner from synthetic feeds."""
+"""End to end on synthetic feeds: the runner builds every dataset, then the
+SURVEY §5 invariants are checked and the notebook queries N1–N25 run on the
+built tables."""
 
 import tempfile
 
@@ -15,11 +17,34 @@ def built(spark):
     raw = generate(spark, 60)
     out = tempfile.mkdtemp(prefix="civic-nb-")
     paths = runner.build_all(spark, raw, out)
-    return spark.read.parquet(paths["candidate"]), spark.read.parquet(paths["election"])
+    return {"raw": raw, "paths": paths, "cand": spark.read.parquet(paths["candidate"]),
+            "elec": spark.read.parquet(paths["election"])}
+
+
+def test_invariants(spark, built):
+    from civic_spark.plans import chamber
+    raw, paths = built["raw"], built["paths"]
+    t = {k: spark.read.parquet(v) for k, v in paths.items()}
+    # votes are conserved by the zone collapse
+    for level in ("local", "fed_state"):
+        assert (raw[f"votes_{level}"].agg(F.sum("total_votos")).collect()[0][0]
+                == t[f"election_{level}"].agg(F.sum("vote")).collect()[0][0])
+    # the level joins keep every vote row (no fan-out, no loss)
+    assert t["election"].count() == t["election_local"].count() + t["election_fed_state"].count()
+    # one chamber row and one marginal-seat row per municipality and cycle
+    assert t["election_chamber"].count() == 60 * 5 and t["election_coalition"].count() == 60 * 5
+    full = chamber.build(t["election"], full=True)
+    bad = full.filter((F.col("chamber_size") > 0)
+                      & (F.abs(F.col("coalition_share") + F.col("opposition_share") - 1) > 1e-12)).count()
+    assert bad == 0
+    eff = t["election_chamber"].agg(F.min("effective_parties"), F.max("effective_parties")).collect()[0]
+    assert 1 <= eff[0] and eff[1] <= 6
+    m = t["election_coalition"].agg(F.min("quotient_margin"), F.max("mayor_opposition_flip")).collect()[0]
+    assert m[0] is not None and m[1] in (0, 1)
 
 
 def test_notebook_queries_on_built_datasets(built):
-    cand, elec = built
+    cand, elec = built["cand"], built["elec"]
     assert N.n1_mayor_candidates_per_year(elec).agg(F.sum("n")).collect()[0][0] == 60 * 5 * 3
     assert {r.coalition_size for r in N.n2_coalition_size_distribution(elec).collect()} == {2}
     p = N.n3_win_probability_by_size(elec).collect()
