@@ -1045,6 +1045,25 @@ def event_type_frequency(spark, d):
     return f.withColumn("prop", F.round("prop", 6))
 
 
+@query("m2_ols_price_on_quantity", """
+WITH s AS (SELECT count(*) AS n, avg(l_quantity) AS mx, regr_slope(l_extendedprice, l_quantity) AS b,
+                  regr_intercept(l_extendedprice, l_quantity) AS a, regr_sxx(l_extendedprice, l_quantity) AS sxx,
+                  regr_syy(l_extendedprice, l_quantity) AS syy FROM lineitem),
+c AS (SELECT a, b, sqrt((syy - b * b * sxx) / (n - 2) * (1.0 / n + mx * mx / sxx)) AS sa,
+             sqrt((syy - b * b * sxx) / (n - 2) / sxx) AS sb FROM s)
+SELECT '(Intercept)' AS term, round(a, 4) AS estimate, round(sa, 4) AS std_error, round(a / sa, 4) AS statistic
+FROM c
+UNION ALL
+SELECT 'l_quantity', round(b, 4), round(sb, 4), round(b / sb, 4) FROM c
+""")
+def ols_price_on_quantity(spark, d):
+    """M2 with a closed-form oracle: ``lm(price ~ quantity)`` coefficient table
+    (estimate, std. error, t) from Spark ML's distributed least squares."""
+    li = _t(spark, d, "lineitem").select("l_extendedprice", "l_quantity")
+    t = stats.linear_regression(li, "l_extendedprice", ["l_quantity"])
+    return t.select("term", *[F.round(c, 4).alias(c) for c in ("estimate", "std_error", "statistic")])
+
+
 @query("m1_logit_returned", None)
 def logit_returned(spark, d):
     li = _t(spark, d, "lineitem").select((F.col("l_returnflag") == "R").cast("double").alias("returned"),
