@@ -47,7 +47,8 @@ def keep_groups_any(df: DataFrame, keys: Sequence[str], pred: Column, strategy:
     return left_join(df, hit, list(keys), how="left_semi", broadcast_max_rows=broadcast_max_rows)
 
 
-def drop_groups_any(df: DataFrame, keys: Sequence[str], pred: Column, strategy: str = "join") -> DataFrame:
+def drop_groups_any(df: DataFrame, keys: Sequence[str], pred: Column, strategy: str = "join",
+                    broadcast_max_rows: int | None = None, broadcast_bounded: bool = False) -> DataFrame:
     """``mutate(f = !any(pred)) %>% filter(f)`` — drop groups where any row
     satisfies ``pred``.  R's ``any`` is NA when no row is TRUE but one is NA;
     ``!NA`` is NA and the filter drops it: such groups go as well."""
@@ -57,10 +58,12 @@ def drop_groups_any(df: DataFrame, keys: Sequence[str], pred: Column, strategy:
         d = df.withColumn("__f", F.max(bad.cast("int")).over(w))
         return d.filter(F.col("__f") == 0).drop("__f")
     hit = _flags(df.filter(bad), keys, {"__n": F.count(F.lit(1))}).drop("__n")
-    return left_join(df, hit, list(keys), how="left_anti")
+    return left_join(df, hit, list(keys), how="left_anti", broadcast_max_rows=broadcast_max_rows,
+                     broadcast_bounded=broadcast_bounded)
 
 
-def keep_groups_single_value(df: DataFrame, keys: Sequence[str], col: str, strategy: str = "join") -> DataFrame:
+def keep_groups_single_value(df: DataFrame, keys: Sequence[str], col: str, strategy: str = "join",
+                             broadcast_max_rows: int | None = None, broadcast_bounded: bool = False) -> DataFrame:
     """F8: keep groups with exactly one distinct value of ``col`` (NULL is a
     value, as in R's ``n_distinct``).  Uses min/max instead of a distinct
     count, so it stays an algebraic aggregate."""
@@ -72,7 +75,8 @@ def keep_groups_single_value(df: DataFrame, keys: Sequence[str], col: str, strat
         d = df.withColumns({k: v.over(w) for k, v in aggs.items()})
         return d.filter(ok).drop(*aggs)
     good = _flags(df, keys, aggs).filter(ok).select(*keys)
-    return left_join(df, good, list(keys), how="left_semi")
+    return left_join(df, good, list(keys), how="left_semi", broadcast_max_rows=broadcast_max_rows,
+                     broadcast_bounded=broadcast_bounded)
 
 
 def keep_groups_exactly_one(df: DataFrame, keys: Sequence[str], pred: Column, strategy: str = "join") -> DataFrame:

@@ -36,12 +36,15 @@ def _key_list(on) -> list[str]:
 
 def left_join(left: DataFrame, right: DataFrame, on, right_on=None, *, null_safe: bool = True,
               how: str = "left", right_prefix: str | None = None,
-              broadcast_max_rows: int | None = None) -> DataFrame:
+              broadcast_max_rows: int | None = None, broadcast_bounded: bool = False) -> DataFrame:
     """J1–J3 (and any equi-join): join on ``on`` (left names) = ``right_on``.
 
     Output columns: all left columns, then the right non-key columns
     (optionally prefixed: J4 role prefixes, J5 collision handling).
     ``how`` may be any Spark join type; semi / anti return left columns only.
+    ``broadcast_max_rows`` broadcasts the right side after counting it;
+    ``broadcast_bounded`` broadcasts it without a count, for right sides whose
+    size is bounded by construction (the caller states the bound).
     """
     lkeys = _key_list(on)
     rkeys = lkeys if right_on is None else _key_list(right_on)
@@ -56,7 +59,9 @@ def left_join(left: DataFrame, right: DataFrame, on, right_on=None, *, null_safe
     sel = [F.col(f"`{k}`").alias(t) for k, t in zip(rkeys, tmp)]
     sel += [F.col(f"`{c}`").alias(f"{right_prefix}{c}" if right_prefix else c) for c in rest]
     r = right.select(*sel)
-    if broadcast_max_rows is not None:
+    if broadcast_bounded:
+        r = F.broadcast(r)
+    elif broadcast_max_rows is not None:
         r = bounded_broadcast(r, broadcast_max_rows)
     conds = []
     for lk, t in zip(lkeys, tmp):

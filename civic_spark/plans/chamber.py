@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from ..functions import clean, logic, text
 from ..functions.logic import in_seq
 from ..operators import groups
+from ..operators.joins import left_join
 from ..operators.windows import sequence_number
 from .common import ELECTED_PATTERN, LOCAL_YEARS
 
@@ -39,23 +40,46 @@ PERSON = ["cpf_candidate", "elec_title", "candidate_name"]
 # --- end of fixed values ---
 
 
-def common_filters(df: DataFrame) -> DataFrame:
+# Tables keyed by (election_year, cod_ibge_6) after the municipal-year filter are
+# bounded by construction: cod_ibge_6 comes from the municipality dimension
+# (≤ 10,000 codes, plus NULL) and the year from the five municipal cycles, so
+# such a table has at most about 50,000 rows.  They are broadcast without a
+# counting job.
+
+
+def common_filters(df: DataFrame, strategy: str = "aggregate") -> DataFrame:
     """Steps shared by D7 and D8: municipal years; one election type per
     municipality (F8); no second round (F9); (code, type, position) groups
     with at least one elected row (F7).
 
-    The rows are hash-partitioned once by ``cod_ibge_6``.  That partitioning
-    satisfies every later window: (year, municipality) groups, and the F7
-    groups, keyed here as (municipality, code, type, position) — the same
-    groups, because the electoral code determines the municipality.  So D7
-    and D8 shuffle the election table exactly once.  A municipality's rows
-    over all cycles are bounded by the domain (its candidacies)."""
-    df = df.filter(in_seq(F.col("election_year"), *LOCAL_YEARS)).repartition("cod_ibge_6")
-    df = groups.keep_groups_single_value(df, MUN, "election_type", strategy="window")
-    df = groups.drop_groups_any(df, MUN, F.col("round") == 2, strategy="window")
+    ``strategy="aggregate"`` (default): each group flag is a partial
+    aggregate whose key table is bounded by the domain (municipality-years,
+    code-type-positions), size-checked and broadcast back — the election
+    table is never shuffled by municipality, so a hot municipality costs
+    one row per map task.
+
+    ``strategy="window"``: the rows are hash-partitioned once by
+    ``cod_ibge_6``; that partitioning satisfies every later window ((year,
+    municipality) groups, and the F7 groups keyed (municipality, code, type,
+    position) — the same groups, as the code determines the municipality).
+    One exchange, but one municipality's rows must fit one task."""
+    df = df.filter(in_seq(F.col("election_year"), *LOCAL_YEARS))
+    f7_keys = ["cod_ibge_6", "cod_tse", "election_type", "position"]
+    elected_row = F.col("outcome").rlike(ELECTED_PATTERN)
+    if strategy == "window":
+        df = df.repartition("cod_ibge_6")
+        df = groups.keep_groups_single_value(df, MUN, "election_type", strategy="window")
+        df = groups.drop_groups_any(df, MUN, F.col("round") == 2, strategy="window")
+        df = clean.drop_matching(df, starts="round")
+        return groups.keep_groups_any(df, f7_keys, elected_row, strategy="window")
+    if strategy != "aggregate":
+        raise ValueError(strategy)
+    df = groups.keep_groups_single_value(df, MUN, "election_type", broadcast_bounded=True)
+    df = groups.drop_groups_any(df, MUN, F.col("round") == 2, broadcast_bounded=True)
     df = clean.drop_matching(df, starts="round")
-    return groups.keep_groups_any(df, ["cod_ibge_6", "cod_tse", "election_type", "position"],
-                                  F.col("outcome").rlike(ELECTED_PATTERN), strategy="window")
+    # F7's key table holds free-text election types: no structural bound, so a
+    # shuffle semi-join (AQE splits a skewed partition)
+    return groups.keep_groups_any(df, f7_keys, elected_row)
 
 
 def _count_if_over(p: Column, w, poison: bool = True) -> Column:
@@ -63,74 +87,148 @@ def _count_if_over(p: Column, w, poison: bool = True) -> Column:
     return F.when(F.count(F.lit(1)).over(w) == F.count(p).over(w), n) if poison else n
 
 
+def _leaf(w):
+    """Aggregate leaves as window values (``w``) or as plain aggregates (None)."""
+    return (lambda a: a.over(w)) if w is not None else (lambda a: a)
+
+
+def _count_if(p: Column, w, poison: bool = True) -> Column:
+    lf = _leaf(w)
+    n = lf(F.count_if(p))
+    return F.when(lf(F.count(F.lit(1))) == lf(F.count(p)), n) if poison else n
+
+
 def _side_measures(prefix: str, member: Column, ideology_prefix: str, w) -> dict[str, Column]:
-    """The measure set of one side (mayor party / coalition / opposition) as
-    window values over the municipality (A8–A11 over councillors)."""
+    """The measure set of one side (mayor party / coalition / opposition):
+    window values over the municipality (``w``) or aggregates (``w=None``)
+    (A8–A11 over councillors)."""
+    lf = _leaf(w)
     council = F.col("position") == COUNCIL
     sel = council & member
-    share = F.try_divide(_count_if_over(sel, w), _count_if_over(council, w))
+    share = F.try_divide(_count_if(sel, w), _count_if(council, w))
     return {
         f"{prefix}_share": share,
         f"{prefix}_margin": share - 0.5,
         f"{prefix}_majority": logic.flag(share > 0.5),
-        f"{prefix}_edu": F.avg(F.when(sel, F.col("edu"))).over(w),
-        f"{prefix}_campaign": F.avg(F.when(sel, F.col("campaign"))).over(w),
-        f"{prefix}_age": F.avg(F.when(sel, F.col("age"))).over(w),
-        f"{prefix}_vote": F.coalesce(F.sum(F.when(sel, F.col("vote"))).over(w), F.lit(0)),
-        f"{ideology_prefix}_ideology_mean": F.avg(F.when(sel, F.col("ideology"))).over(w),
-        f"{ideology_prefix}_ideology_sd": F.stddev_samp(F.when(sel, F.col("ideology"))).over(w),
+        f"{prefix}_edu": lf(F.avg(F.when(sel, F.col("edu")))),
+        f"{prefix}_campaign": lf(F.avg(F.when(sel, F.col("campaign")))),
+        f"{prefix}_age": lf(F.avg(F.when(sel, F.col("age")))),
+        f"{prefix}_vote": F.coalesce(lf(F.sum(F.when(sel, F.col("vote")))), F.lit(0)),
+        f"{ideology_prefix}_ideology_mean": lf(F.avg(F.when(sel, F.col("ideology")))),
+        f"{ideology_prefix}_ideology_sd": lf(F.stddev_samp(F.when(sel, F.col("ideology")))),
     }
 
 
-def build(election: DataFrame, *, excluded=EXCLUDED_MUNICIPALITIES, full: bool = False,
-          match: str = "word") -> DataFrame:
-    df = election
-    if "ideology" not in df.columns:                         # Q15: optional input
-        df = df.withColumn("ideology", F.lit(None).cast("double"))
-    df = common_filters(df)
+def _all_measures(w) -> dict[str, Column]:
+    council = F.col("position") == COUNCIL
+    m = {}
+    m.update(_side_measures("mayor_party", F.col("party") == F.col("mayor_party"), "mayor_party", w))
+    m.update(_side_measures("coalition", F.col("coalition_member") == 1, "coalition_party", w))
+    m.update(_side_measures("opposition", F.col("coalition_member") != 1, "opposition_party", w))
+    m["chamber_size"] = _count_if(council, w)
+    return m
+
+
+def _totals(w) -> dict[str, Column]:
+    lf, pos = _leaf(w), F.col("position")
+    return {"total_vote_mayor": F.coalesce(lf(F.sum(F.when(pos == MAYOR, F.col("vote")))), F.lit(0)),
+            "total_vote_legislative": F.coalesce(lf(F.sum(F.when(pos == COUNCIL, F.col("vote")))), F.lit(0))}
+
+
+def _mayor_values(w) -> dict[str, Column]:
+    lf, pos = _leaf(w), F.col("position")
+    return {"mayor_party": lf(F.max(F.when(pos == MAYOR, F.col("party")))),
+            "mayor_coalition": lf(F.max(F.when(pos == MAYOR, F.col("coalition"))))}
+
+
+def _vote_margin_rank():
+    return Window.partitionBy(*MUN).orderBy(F.col("vote").desc_nulls_last(), F.col("position_code").desc_nulls_last(),
+                                            F.col("candidate_name").asc_nulls_last())
+
+
+def _build_window(df, excluded, full, match):
     w = Window.partitionBy(*MUN)
     pos = F.col("position")
-    df = df.withColumns({
-        "total_vote_mayor": F.coalesce(F.sum(F.when(pos == MAYOR, F.col("vote"))).over(w), F.lit(0)),
-        "total_vote_legislative": F.coalesce(F.sum(F.when(pos == COUNCIL, F.col("vote"))).over(w), F.lit(0))})
+    # W1 totals over all rows of the municipality; the elected rows keep them
+    df = df.withColumns(_totals(w))
     if full:                                                  # W7 over all rows of the municipality (Q20)
-        ranked = Window.partitionBy(*MUN).orderBy(F.col("vote").desc_nulls_last(),
-                                                  F.col("position_code").desc_nulls_last(),
-                                                  F.col("candidate_name").asc_nulls_last())
-        df = df.withColumn("__rn", F.row_number().over(ranked))
+        df = df.withColumn("__rn", F.row_number().over(_vote_margin_rank()))
         v1 = F.max(F.when(F.col("__rn") == 1, F.col("vote"))).over(w)
         v2 = F.max(F.when(F.col("__rn") == 2, F.col("vote"))).over(w)
         df = df.withColumn("vote_margin", F.try_divide(v1 - v2, v2)).drop("__rn")
-    df = df.filter(F.col("elected") == 1)
-    df = df.withColumns({"coalition_size": F.lit(1) + text.count_matches("coalition", "/"),
-                         "age": F.col("election_year") - logic.try_int("birthyear")})
-    df = df.filter(~F.col("cod_ibge_6").isin(list(excluded)))
+    df = df.filter(F.col("elected") == 1) \
+        .withColumns({"coalition_size": F.lit(1) + text.count_matches("coalition", "/"),
+                      "age": F.col("election_year") - logic.try_int("birthyear")}) \
+        .filter(~F.col("cod_ibge_6").isin(list(excluded)))
     df = df.withColumn("__mayors", F.count_if(pos == MAYOR).over(w)) \
         .filter(F.col("__mayors") == 1).drop("__mayors")                             # F10
-    df = df.withColumns({"mayor_party": F.max(F.when(pos == MAYOR, F.col("party"))).over(w),   # W8
-                         "mayor_coalition": F.max(F.when(pos == MAYOR, F.col("coalition"))).over(w)})
+    df = df.withColumns(_mayor_values(w))                                           # W8
     member = text.detect_word("mayor_coalition", "party", match)
     df = df.withColumn("coalition_member", logic.flag(member & (pos == COUNCIL)))
-
-    council = pos == COUNCIL
-    measures = {}
-    measures.update(_side_measures("mayor_party", F.col("party") == F.col("mayor_party"), "mayor_party", w))
-    measures.update(_side_measures("coalition", F.col("coalition_member") == 1, "coalition_party", w))
-    measures.update(_side_measures("opposition", F.col("coalition_member") != 1, "opposition_party", w))
-    measures["chamber_size"] = _count_if_over(council, w)
+    measures = _all_measures(w)
     keep = [c for c in measures if full or not c.startswith("opposition_") or "ideology" in c]
     df = df.withColumns({k: measures[k] for k in keep})
-
-    # effective number of parties (A19): seats per party over the chamber size;
-    # the party windows refine the municipality partitioning (no exchange)
+    # effective number of parties (A19); the party windows refine the partitioning
     wp = Window.partitionBy(*MUN, "party")
     first = F.row_number().over(wp.orderBy(F.col("candidate_name").asc_nulls_last(),
                                            F.col("position_code").asc_nulls_last())) == 1
-    df = df.withColumns({"__np": _count_if_over(council, wp), "__first": first})
+    df = df.withColumns({"__np": _count_if_over(pos == COUNCIL, wp), "__first": first})
     sq = F.sum(F.when(F.col("__first"), F.col("__np") * F.col("__np"))).over(w)
     df = df.withColumn("effective_parties", F.try_divide(F.col("chamber_size") * F.col("chamber_size"), sq)) \
         .drop("__np", "__first")
+    return df, keep
+
+
+def _build_aggregate(df, elected, full, match):
+    pos = F.col("position")
+
+    def bounded(t):
+        return F.broadcast(t)          # municipality-year keyed: bounded by construction (see above)
+
+    tot = df.groupBy(*MUN).agg(*[v.alias(k) for k, v in _totals(None).items()])
+    if full:                                                  # W7: partial group limit before the shuffle
+        from ..operators.windows import top2_relative_gap
+        tot = left_join(tot, top2_relative_gap(df, MUN, "vote", ["-vote", "-position_code", "candidate_name"],
+                                               "vote_margin"), MUN)
+    # F10 + W8 in one aggregate: municipalities with exactly one elected mayor, and that mayor's values
+    mv = elected.groupBy(*MUN).agg(F.count_if(pos == MAYOR).alias("__mayors"),
+                                   *[v.alias(k) for k, v in _mayor_values(None).items()])
+    mv = mv.filter(F.col("__mayors") == 1).drop("__mayors")
+    el = elected.join(bounded(mv), MUN)
+    member = text.detect_word("mayor_coalition", "party", match)
+    el = el.withColumn("coalition_member", logic.flag(member & (pos == COUNCIL)))
+    measures = _all_measures(None)
+    keep = [c for c in measures if full or not c.startswith("opposition_") or "ideology" in c]
+    agg = el.groupBy(*MUN).agg(*[measures[k].alias(k) for k in keep])
+    # effective number of parties (A19): two-level aggregate
+    per_party = el.groupBy(*MUN, "party").agg(_count_if(pos == COUNCIL, None).alias("__n"))
+    eff = per_party.groupBy(*MUN).agg(F.sum(F.col("__n") * F.col("__n")).alias("__sq"))
+    agg = left_join(agg, eff, MUN).withColumn(
+        "effective_parties", F.try_divide(F.col("chamber_size") * F.col("chamber_size"), F.col("__sq"))).drop("__sq")
+    mayors = el.filter(pos == MAYOR)
+    out = left_join(mayors, bounded(agg), MUN)
+    out = left_join(out, bounded(tot), MUN)
+    return out, keep
 
+
+def build(election: DataFrame, *, excluded=EXCLUDED_MUNICIPALITIES, full: bool = False,
+          match: str = "word", strategy: str = "aggregate") -> DataFrame:
+    """``strategy``: ``"aggregate"`` (default, safe for hot municipalities) or
+    ``"window"`` (one exchange; a municipality's rows must fit one task).
+    Both give the same rows."""
+    df = election
+    if "ideology" not in df.columns:                         # Q15: optional input
+        df = df.withColumn("ideology", F.lit(None).cast("double"))
+    df = common_filters(df, strategy)
+    pos = F.col("position")
+    elected = df.filter(F.col("elected") == 1) \
+        .withColumns({"coalition_size": F.lit(1) + text.count_matches("coalition", "/"),
+                      "age": F.col("election_year") - logic.try_int("birthyear")}) \
+        .filter(~F.col("cod_ibge_6").isin(list(excluded)))
+    if strategy == "window":
+        df, keep = _build_window(df, excluded, full, match)
+    else:
+        df, keep = _build_aggregate(df, elected, full, match)
     out = df.filter(pos == MAYOR)
     gender = F.col("gender")
     male = F.when(gender == 2, 1).when(gender == 4, 0)

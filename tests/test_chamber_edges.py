@@ -60,3 +60,18 @@ def test_marginal_seat_edges(elections):
     # pt (9000 votes, side 1) is the only list over the quota: nine quotient rows for ten places
     assert r["mayor_opposition_flip"] == 0 and r["total_vote"] == 9 * 9000
     assert r["quotient_margin"] == pytest.approx((9000 / 8 - 9000 / 9) / (9 * 9000))
+
+
+@pytest.mark.parametrize("full", [False, True])
+def test_chamber_strategies_agree(elections, full):
+    a = chamber.build(elections, strategy="aggregate", full=full)
+    b = chamber.build(elections, strategy="window", full=full)
+    assert a.columns == b.columns
+    norm = lambda df: sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect())
+    assert norm(a) == norm(b)
+
+
+def test_marginal_seat_strategies_agree(elections):
+    a = marginal_seat.build(elections, strategy="aggregate").collect()
+    b = marginal_seat.build(elections, strategy="window").collect()
+    assert sorted(tuple(r) for r in a) == sorted(tuple(r) for r in b)

@@ -58,7 +58,7 @@ def test_chamber_and_marginal_seat_shuffle_the_election_table_once(spark):
         path = tempfile.mkdtemp(prefix="civic-plan-") + "/election"
         elec.write.parquet(path)
         e = spark.read.parquet(path)
-        for df, extra in ((chamber.build(e), 1), (marginal_seat.build(e), 0)):
+        for df, extra in ((chamber.build(e, strategy="window"), 1), (marginal_seat.build(e, strategy="window"), 0)):
             ex = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", _plan(df))
             big = [x for x in ex if x.startswith("cod_ibge_6")]
             assert len(big) == 1 and len(ex) == 1 + extra, ex

@@ -10,11 +10,13 @@ from tests import election_world as W
 
 @pytest.fixture(scope="module")
 def world(spark):
+    from civic_spark.session import cut_lineage
     f = W.frames(spark)
-    coal = coalition.build(f["coalition"]).cache()
-    local = votes.build(f["votes"], coal, f["dim"], level="local").cache()
-    cand = cand_plan.build(f["candidate"], coal, f["dim"], supplementary_max_rows=1).cache()
-    elec = election.build([local], cand).cache()
+    # each stage materialised, as the runner does (plans downstream start from a table)
+    coal = cut_lineage(coalition.build(f["coalition"]))
+    local = cut_lineage(votes.build(f["votes"], coal, f["dim"], level="local"))
+    cand = cut_lineage(cand_plan.build(f["candidate"], coal, f["dim"], supplementary_max_rows=1))
+    elec = cut_lineage(election.build([local], cand))
     return {**f, "coal": coal, "local": local, "cand": cand, "elec": elec}
 
 
