@@ -97,7 +97,7 @@ def ordered_bucketed(df: DataFrame, keys: Sequence[str], bucket: Column, order:
         key = F.struct(*[F.col(o) for o in order])
         aggs += [F.min_by(F.struct(*srcs), key).alias("__first"), F.max_by(F.struct(*srcs), key).alias("__last")]
     bt = d.groupBy(*keys, "__b").agg(*aggs)
-    wb = Window.partitionBy(*keys).orderBy("__b")
+    wb = Window.partitionBy(*keys).orderBy(F.col("__b").asc_nulls_last())    # NA last, like the row order
     before = wb.rowsBetween(Window.unboundedPreceding, -1)
     sel = [*keys, "__b", F.coalesce(F.sum("__bc").over(before), F.lit(0)).alias("__off_c")]
     for v in vals:

@@ -159,3 +159,10 @@ def test_left_join_refuses_silent_column_clash(spark):
     with pytest.raises(ValueError):
         joins.left_join(left, right, "k")
     assert rows(joins.left_join(left, right, "k", right_prefix="r_")) == [(1, "a", "b")]
+
+
+def test_bucketed_windows_put_null_buckets_last(spark):
+    df = spark.createDataFrame([(1, None, 5), (1, 2000, 1), (1, 2004, 2)], "k int, y int, v int")
+    b = windows.ordered_bucketed(df, ["k"], F.col("y"), ["y"], sums={"s": (F.col("v"), True)}, seq={"rn": 0})
+    a = windows.running_sum(windows.sequence_number(df, ["k"], ["y"], "rn"), ["k"], ["y"], F.col("v"), "s")
+    assert sorted((tuple(r) for r in b.collect()), key=str) == sorted((tuple(r) for r in a.select(*b.columns).collect()), key=str)
