@@ -9,7 +9,9 @@ Steps (all one lazy plan):
    coalition (X16 — a NULL type leaves the coalition NULL, as in R);
 6. keep the first row per (type, year, code, position, round, party) (A15);
 7. 2006 and 2010: members rebuilt as the sorted ``a / b / c`` list of the
-   parties sharing all other attributes (A13 over a bounded window);
+   parties sharing all other attributes (A13 over a window).  The window is
+   bounded by construction: after step 6 a group holds at most one row per
+   party, i.e. a few dozen rows whatever the data size;
 8. presidential rows (inline parameter table, S16) and existing rows with
    position ≤ 2 are fanned out from the national code to every state code
    (J11); other rows of that set get a NULL code, as the reference's join does;
