@@ -1,7 +1,8 @@
 """Corpus pipeline: documents to a training mix, as stages that each read what the one before wrote.
 
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame, which is written as
-Parquet and read again as the next stage's ``docs``.
+Parquet and read again as the next stage's ``docs``.  All stages but the last return the columns of ``documents``; the
+mix adds ``copy``, as a document may be taken up to three times.
 """
 
 from __future__ import annotations
@@ -9,28 +10,62 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from civic_spark.llm import minhash
+from civic_spark.llm import decontaminate, line_dedup, minhash, mixing, toxicity
 from civic_spark.session import ensure_checkpoint_dir
 
 
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return toxicity.drop_toxic(docs, _table(spark, sf_dir, "labels"))
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of repeated line runs leave the texts; every document stays, with ``n_chars`` of what is left."""
+    out = line_dedup.dedup_lines(docs)
+    new = {"text": F.col("__text")}
+    if "n_chars" in docs.columns:
+        changed = F.length("__text").cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.when(F.col("__n_removed") > 0, changed).otherwise(F.col("n_chars"))
+    return out.withColumns(new).select(*docs.columns)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays: the one with the smallest id."""
     return minhash.drop_near_duplicates(docs)
 
 
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark passages go."""
+    return decontaminate.drop_contaminated(docs, _table(spark, sf_dir, "benchmark"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return mixing.mix(docs)
+
+
 STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", dedup_lines),
     ("minhash_near_dedup", near_dedup),
+    ("benchmark_decontamination", decontaminated),
+    ("source_mixing", mixed),
 ]
 
-#: Classifier, hash functions and connected components have no SQL form; tests compare with brute force.
+#: The classifier and connected components have no SQL form; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applies all stages to ``documents`` and returns the last one's rows."""
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs = _table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         path = f"{base}/{k}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
