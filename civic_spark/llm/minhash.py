@@ -7,11 +7,11 @@
 2. Texts with equal shingle sets form a class, and only its smallest id goes on: thousands of copies cost one row.
 3. Candidates of a bucket form stars: every member with the bucket's smallest id, so a bucket of m members gives
    m - 1 pairs.  Sizes that rule the similarity out are dropped (lossless).  Pairs are confirmed on full sets.
-4. Repair.  A star can miss a link between two members that are both unlike its hub.  Buckets whose members are still
-   in different components get further hubs (8, 64, ... per round) against the members of other components, until
-   every bucket is one component or has no hub left.  So no pair that shares a bucket goes unexamined unless it is
-   already connected.  A pair is emitted only if its parity sketches allow the similarity: each shingle flips one of
-   ``PARITY`` bits, so differing bits never outnumber differing shingles, and the test loses no link.
+4. Repair.  A star can miss a link between two members that are both unlike its hub.  In a bucket whose members are
+   still in different components, every pair across components has a member outside the bucket's largest component;
+   those members are held against all members of other components.  So no pair that shares a bucket goes unexamined
+   unless it is already connected.  A pair is emitted only if its parity sketches allow the similarity: each shingle
+   flips one of ``PARITY`` bits, so differing bits never outnumber differing shingles, and the test loses no link.
 
 With 40 bands of 6 rows, a pair at similarity 0.8 shares no bucket with probability (1 - 0.8**6)**40 = 5e-6.
 
@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civic_spark.llm.arrow_text import BASE, SPACE_WORDS, hashed_texts, mix, shingles
@@ -167,6 +167,37 @@ def _parity_fits(percent: int):
     return bits * (100 + percent) <= (F.col("n_u") + F.col("n_v")) * (100 - percent)
 
 
+def _across(members: DataFrame, sketches: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v) of a bucket that are in different components and whose sizes and parities allow a link."""
+    own = (members.join(labels.select(F.col("node").alias("v"), "component"), "v", "left")
+           .withColumn("component", F.coalesce("component", "v")))
+    parts = own.groupBy("key", "component").agg(F.count("*").alias("n"))
+    main = (parts.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("n", "component")).alias("main"))
+            .where("parts > 1").select("key", F.col("main.component").alias("main")))
+    odd = sketches.select(F.col("doc_id").alias("v"), F.col("n_shingles").alias("n_v"), F.col("parity").alias("parity_v"))
+    split = written(own.join(main, "key").join(odd, ["v", "n_v"]))
+    outside = split.where("component <> main").select("key", *[F.col(c).alias(n) for c, n in (
+        ("v", "u"), ("n_v", "n_u"), ("parity_v", "parity_u"), ("component", "component_u"))])
+    # Two members outside meet twice; the order of their ids picks one.
+    pairs = (split.join(outside, "key").where("component <> component_u and (component = main or u < v)")
+             .where(_size_fits(percent) & _parity_fits(percent)))
+    return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (node, component) after further links between nodes."""
+    if links.isEmpty():
+        return labels
+    name = lambda end: labels.select(F.col("node").alias(end), F.col("component").alias(f"{end}_component"))
+    between = (links.join(name("u"), "u", "left").join(name("v"), "v", "left")
+               .select(F.coalesce("u_component", "u").alias("u"), F.coalesce("v_component", "v").alias("v")))
+    merged = written(connected_components(between)).select(F.col("node").alias("part"), F.col("component").alias("whole"))
+    old = labels.join(merged, F.col("component") == F.col("part"), "left").select("node", F.coalesce("whole", "component").alias("component"))
+    # A node without a link so far is named by the merge alone.
+    new = merged.join(labels.select(F.col("node").alias("part")), "part", "left_anti").select(F.col("part").alias("node"), F.col("whole").alias("component"))
+    return written(old.unionByName(new))
+
+
 def near_duplicates(docs: DataFrame, *, shingle_words: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): connected components of near-duplicate texts.
 
@@ -187,37 +218,9 @@ def near_duplicates(docs: DataFrame, *, shingle_words: int = 5, percent: int = 8
     sets = written(shingle_sets(docs, buckets.select(F.col("v").alias("doc_id")).distinct(), shingle_words))
     links = written(confirmed_links(sets, pairs, percent))
     labels = written(connected_components(links))
-    members = buckets.select("key", "v", "n_v")
-    ranked, first, width = None, 1, 8
-    while True:
-        # Buckets whose members are not yet one component.
-        own = (members.join(labels.select(F.col("node").alias("v"), "component"), "v", "left")
-               .withColumn("component", F.coalesce("component", "v")))
-        open_keys = own.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-        if ranked is None:
-            order = Window.partitionBy("key").orderBy("v", "n_v")
-            ranked = members = written(
-                members.join(open_keys, "key").withColumn("rank", F.row_number().over(order) - 1)
-                .join(one.select(F.col("doc_id").alias("v"), F.col("n_shingles").alias("n_v"),
-                                 F.col("parity").alias("parity_v")), ["v", "n_v"]))
-            own = (members.join(labels.select(F.col("node").alias("v"), "component"), "v", "left")
-                   .withColumn("component", F.coalesce("component", "v")))
-            open_keys = own.select("key").distinct()
-        hub = (own.join(open_keys, "key").where(F.col("rank").between(first, first + width - 1))
-               .select("key", F.col("v").alias("u"), F.col("n_v").alias("n_u"), F.col("rank").alias("rank_u"),
-                       F.col("component").alias("component_u"), F.col("parity_v").alias("parity_u")))
-        more = written(own.join(hub, "key").where("rank > rank_u and component <> component_u")
-                       .where(_size_fits(percent) & _parity_fits(percent))
-                       .select("u", "v").distinct().join(pairs, ["u", "v"], "left_anti"))
-        if not more.isEmpty():
-            pairs = written(pairs.union(more))
-            found = written(confirmed_links(sets, more, percent))
-            if not found.isEmpty():
-                links = written(links.union(found))
-                labels = written(connected_components(links))
-        first, width = first + width, 8 * width
-        if members.where(F.col("rank") >= first).isEmpty():
-            break
+    more = written(_across(buckets.select("key", "v", "n_v"), one, labels, percent))
+    found = written(confirmed_links(sets, more, percent))
+    labels = _merged(labels, found)
     named = (classes.join(labels, "node", "left")
              .select("class_a", "class_b", "n_shingles", F.coalesce("component", "node").alias("found")))
     nodes = classed.select("doc_id", "class_a", "class_b", "n_shingles")

@@ -9,7 +9,8 @@ Training uses a bounded sample, drawn by a hash of the id: ``MAX_POSITIVE`` and
 the share of toxic rows among all labelled training rows.  Every text is scored, whole, where it is read.
 
 Features of a text: presence of each word and of the first 4 and 5 bytes of each longer word, hashed to
-``FEATURES``; the model keeps those that are more frequent in positives than in unlabelled texts beyond chance.
+``FEATURES``; the model keeps those that are more frequent in positives than in unlabelled texts beyond chance, and of
+which, by the prior, toxic texts hold the larger part.
 
 Defined results: a text without features (null, empty) gets the score of an empty text; labels that repeat a document
 count as toxic if any is; null labels don't count; with no positive or no unlabelled text every score is the prior
@@ -82,13 +83,16 @@ def _logit(p: float) -> float:
     return float(np.log(p / (1 - p)))
 
 
-def _screened(positive: list[np.ndarray], unlabelled: list[np.ndarray], least: int = 4, z: float = 4.0) -> np.ndarray:
+def _screened(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, least: int = 4, z: float = 4.0,
+              purity: float = 0.5) -> np.ndarray:
+    """Features more frequent in positives beyond chance, of which toxic texts hold the larger part by the prior."""
     n1, n0 = len(positive), len(unlabelled)
     c1 = np.bincount(np.concatenate(positive), minlength=FEATURES)
     c0 = np.bincount(np.concatenate(unlabelled), minlength=FEATURES)
     pooled = (c1 + c0) / (n1 + n0)
     spread = np.sqrt(np.maximum(pooled * (1 - pooled), 1e-12) * (1 / n1 + 1 / n0))
-    return np.flatnonzero((c1 >= least) & ((c1 / n1 - c0 / n0) / spread > z)).astype(np.int32)
+    toxic_share = prior * (c1 / n1) / ((c0 + 1) / n0)
+    return np.flatnonzero((c1 >= least) & ((c1 / n1 - c0 / n0) / spread > z) & (toxic_share >= purity)).astype(np.int32)
 
 
 def _sparse(rows: list[np.ndarray], kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -106,7 +110,7 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     """Full-batch Adam on the non-negative risk; deterministic."""
     if not positive or not unlabelled or not 0 < prior < 1:
         return Model(np.zeros(0, np.int32), np.zeros(0), _logit(prior))
-    kept = _screened(positive, unlabelled)
+    kept = _screened(positive, unlabelled, prior)
     (rp, cp), (ru, cu) = _sparse(positive, kept), _sparse(unlabelled, kept)
     n, m, d = len(positive), len(unlabelled), len(kept)
     w = np.zeros(d + 1)
