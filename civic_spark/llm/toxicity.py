@@ -8,9 +8,9 @@ the toxic ones hidden in U, and cannot be below 0; a step that finds it negative
 Training uses a bounded sample, drawn by a hash of the id: ``MAX_POSITIVE`` and ``MAX_UNLABELLED`` texts.  The prior is
 the share of toxic rows among all labelled training rows.  Every text is scored, whole, where it is read.
 
-Features of a text: presence of each word and of the first 4 and 5 bytes of each longer word, hashed to
+Features of a text: presence of each word and of the first 4 to 7 bytes of each longer word, hashed to
 ``FEATURES``; the model keeps those that are more frequent in positives than in unlabelled texts beyond chance, and of
-which, by the prior, toxic texts hold the larger part.
+which, by the prior, toxic texts hold the larger part; the logarithm of their number is one more input.
 
 Defined results: a text without features (null, empty) gets the score of an empty text; labels that repeat a document
 count as toxic if any is; null labels don't count; with no positive or no unlabelled text every score is the prior
@@ -32,6 +32,8 @@ from civic_spark.llm.arrow_text import ALNUM_WORDS, CHUNK, LOWER, hash_words, mi
 FEATURES = 1 << 20
 MAX_POSITIVE, MAX_UNLABELLED = 4000, 12000
 THRESHOLD = 0.7
+#: Bytes of the prefixes of words that are features beside the words.
+PREFIXES = (4, 5, 6, 7)
 
 
 def _features(text: np.ndarray) -> np.ndarray:
@@ -44,7 +46,7 @@ def _features(text: np.ndarray) -> np.ndarray:
             end = at + int(stops[-1]) + 1 if len(stops) else end
         buf = text[at:end]
         starts, ends = words_at(buf, ALNUM_WORDS)
-        for width in (0, 4, 5):
+        for width in (0, *PREFIXES):
             longer = ends - starts > width
             a = starts[longer]
             b = ends[longer] if not width else a + width
@@ -67,25 +69,32 @@ class Model:
     features: np.ndarray
     weights: np.ndarray
     bias: float
+    length: float = 0.0
 
     def score(self, features: np.ndarray) -> float:
         if len(self.features):
             at = np.searchsorted(self.features, features)
             at[at == len(self.features)] = 0
-            z = self.bias + float(self.weights[at[self.features[at] == features]].sum())
+            found = self.features[at] == features
+            z = self.bias + self.length * _length(features) + float(self.weights[at[found]].sum())
         else:
             z = self.bias
         return float(1.0 / (1.0 + np.exp(-np.clip(z, -60, 60))))
 
 
+def _length(features: np.ndarray) -> float:
+    """How much a text says: a long one holds any given word more easily."""
+    return float(np.log1p(len(features))) - 6.0
+
+
 def _logit(p: float) -> float:
     p = min(max(p, 1e-12), 1 - 1e-12)
     return float(np.log(p / (1 - p)))
 
 
 def _screened(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, least: int = 4, z: float = 4.0,
-              purity: float = 0.5) -> np.ndarray:
-    """Features more frequent in positives beyond chance, of which toxic texts hold the larger part by the prior."""
+              purity: float = 0.65) -> np.ndarray:
+    """Features more frequent in positives beyond chance, of which toxic texts hold at least ``purity`` by the prior."""
     n1, n0 = len(positive), len(unlabelled)
     c1 = np.bincount(np.concatenate(positive), minlength=FEATURES)
     c0 = np.bincount(np.concatenate(unlabelled), minlength=FEATURES)
@@ -106,32 +115,34 @@ def _sparse(rows: list[np.ndarray], kept: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, *, steps: int = 600, rate: float = 0.05,
-          decay: float = 1e-4) -> Model:
+          decay: float = 2e-4) -> Model:
     """Full-batch Adam on the non-negative risk; deterministic."""
     if not positive or not unlabelled or not 0 < prior < 1:
         return Model(np.zeros(0, np.int32), np.zeros(0), _logit(prior))
     kept = _screened(positive, unlabelled, prior)
     (rp, cp), (ru, cu) = _sparse(positive, kept), _sparse(unlabelled, kept)
     n, m, d = len(positive), len(unlabelled), len(kept)
-    w = np.zeros(d + 1)
+    lp, lu = np.array([_length(r) for r in positive]), np.array([_length(r) for r in unlabelled])
+    w = np.zeros(d + 2)
     w[d] = _logit(prior)
-    first, second = np.zeros(d + 1), np.zeros(d + 1)
+    first, second = np.zeros(d + 2), np.zeros(d + 2)
     sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -60, 60)))
     for t in range(1, steps + 1):
-        zp = w[d] + np.bincount(rp, w[cp], n)
-        zu = w[d] + np.bincount(ru, w[cu], m)
+        zp = w[d] + w[d + 1] * lp + np.bincount(rp, w[cp], n)
+        zu = w[d] + w[d + 1] * lu + np.bincount(ru, w[cu], m)
         clean = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
         up, uu = prior * sigmoid(zp) / n, sigmoid(zu) / m
         if clean >= 0:
             gp, gu = -prior * sigmoid(-zp) / n - up, uu
         else:  # the corrected risk has gone negative: step back out of it
             gp, gu = up, -uu
-        grad = np.append(np.bincount(cp, gp[rp], d) + np.bincount(cu, gu[ru], d), gp.sum() + gu.sum())
+        words = np.bincount(cp, gp[rp], d) + np.bincount(cu, gu[ru], d)
+        grad = np.concatenate((words, [gp.sum() + gu.sum(), gp @ lp + gu @ lu]))
         grad[:d] += decay * w[:d]
         first = 0.9 * first + 0.1 * grad
         second = 0.999 * second + 0.001 * grad * grad
         w -= rate * (first / (1 - 0.9 ** t)) / (np.sqrt(second / (1 - 0.999 ** t)) + 1e-8)
-    return Model(kept, w[:d], float(w[d]))
+    return Model(kept, w[:d], float(w[d]), float(w[d + 1]))
 
 
 def held_out(doc_id: Column) -> Column:
