@@ -37,10 +37,14 @@ def sum_skip(c) -> Column:
     return F.coalesce(F.sum(col), F.lit(0))
 
 
-def n_distinct(c) -> Column:
-    """Distinct count where NULL counts as one value (R ``n_distinct``)."""
+def n_distinct(c, few: bool = False) -> Column:
+    """Distinct count where NULL counts as one value (R ``n_distinct``).
+
+    ``few``: the domain of ``c`` is small (a flag, a code), so its values are
+    kept as a set in the one aggregate; otherwise Spark plans a second one."""
     col = as_col(c)
-    return F.count_distinct(col) + F.max(col.isNull().cast("int"))
+    n = F.size(F.collect_set(col)) if few else F.count_distinct(col)
+    return n + F.max(col.isNull().cast("int"))
 
 
 def count_if(p: Column, poison: bool = False) -> Column:
@@ -167,7 +171,7 @@ def distinct_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame
     return (df if cols is None else df.select(*cols)).distinct()
 
 
-def having_count(df: DataFrame, keys: Sequence[str], op: str, threshold: int, name: str = "n") -> DataFrame:
+def having_count(df: DataFrame, keys: Sequence[str], op: str, threshold: int | Column, name: str = "n") -> DataFrame:
     """Group counts filtered by a threshold (``count %>% filter(n < k)``)."""
     n = F.col(name)
     cond = {"<": n < threshold, "<=": n <= threshold, ">": n > threshold, ">=": n >= threshold,
@@ -177,22 +181,28 @@ def having_count(df: DataFrame, keys: Sequence[str], op: str, threshold: int, na
 
 def reaggregate_duplicates(df: DataFrame, keys: Sequence[str], measures: Sequence[str],
                            fill_first: Sequence[str] = (), order: Sequence[str] = ()) -> DataFrame:
-    """A18 (+ A14): rows whose ``keys`` repeat are summed into one row; the
-    ``fill_first`` attributes take the first non-NULL value of the group (in
-    ``order``); unique rows pass through unchanged.
+    """A18 (+ A14): within ``keys``, missing ``fill_first`` attributes take the
+    group's first non-NULL value (in ``order``, then value); rows that then
+    agree in keys and attributes are summed into one.  Rows of a group with
+    different attributes stay apart.  Other columns come from the first row.
+
+    The fill values are one partial aggregate per group, attached by a
+    null-safe join; the sum needs no further exchange, as it is grouped by the
+    same keys and more."""
+    from .groups import with_group_values
 
-    One aggregation serves both cases (a unique row aggregates to itself),
-    so there is no split + union and a single shuffle."""
-    okey = [F.col(o) for o in order]
-    aggs = [sum_poison(m).alias(m) for m in measures]
-    for c in fill_first:
-        if okey:
-            aggs.append(F.min_by(F.col(c), F.struct(F.col(c).isNull(), *okey)).alias(c))
-        else:
-            aggs.append(F.first(c, ignorenulls=True).alias(c))
     others = [c for c in df.columns if c not in keys and c not in measures and c not in fill_first]
-    aggs += [(F.min_by(F.col(c), F.struct(*okey)) if okey else F.first(c)).alias(c) for c in others]
-    return df.groupBy(*keys).agg(*aggs).select(*df.columns)
+    if fill_first:
+        first = {f"__f{i}": F.min(F.when(F.col(c).isNotNull(), F.struct(*order, F.col(c).alias("__v")))) for i, c in enumerate(fill_first)}
+        df = with_group_values(df, keys, first)
+        df = df.withColumns({c: F.coalesce(F.col(c), F.col(f"__f{i}")["__v"]) for i, c in enumerate(fill_first)}).drop(*first)
+    aggs = [sum_poison(m).alias(m) for m in measures]
+    if others:
+        aggs.append(F.min(F.struct(*[F.col(c).alias(f"__o{i}") for i, c in enumerate(order)],
+                                   *[F.col(c).alias(f"__{c}") for c in others])).alias("__one"))
+    out = df.groupBy(*keys, *fill_first).agg(*aggs)
+    out = out.withColumns({c: F.col("__one")[f"__{c}"] for c in others})
+    return out.select(*keys, *[c for c in (*measures, *fill_first, *others)])
 
 
 def effective_number(df: DataFrame, group: Sequence[str], member: str, weight: Column | None = None,

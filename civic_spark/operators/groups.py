@@ -15,11 +15,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import left_join
+from .joins import null_keys
 
 
-def _flags(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column]) -> DataFrame:
-    return df.groupBy(*keys).agg(*[v.alias(k) for k, v in aggs.items()])
+def _attached(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column], keep: Column | None, how: str,
+              rows: Column | None = None) -> DataFrame:
+    """``df`` joined with its groups' ``aggs`` (over the rows where ``rows``, of the groups where ``keep``).
+
+    The keys are made non-null once, before the aggregate: aggregate and join
+    then hash the same plain columns, so the groups are shuffled once (partial
+    rows) and the large side once."""
+    keyed, names = null_keys(df, keys)
+    source = keyed if rows is None else keyed.filter(rows)
+    groups = source.groupBy(*names).agg(*[v.alias(k) for k, v in aggs.items()])
+    if keep is not None:
+        groups = groups.filter(keep).select(*names)
+    return keyed.join(groups, names, how).select(*df.columns, *(aggs if how == "left" else ()))
 
 
 def with_group_values(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column],
@@ -29,26 +40,19 @@ def with_group_values(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column
     if strategy == "window":
         w = Window.partitionBy(*keys)
         return df.withColumns({k: v.over(w) for k, v in aggs.items()})
-    return left_join(df, _flags(df, keys, aggs), list(keys))
-
+    return _attached(df, keys, aggs, None, "left")
 
-def keep_groups_any(df: DataFrame, keys: Sequence[str], pred: Column, strategy: str = "join",
-                    broadcast_max_rows: int | None = None) -> DataFrame:
-    """keep whole groups in which any row satisfies ``pred``.
 
-    With ``broadcast_max_rows`` the (key-only) flag table is broadcast when it
-    is provably that small, so the large side keeps its current partitioning
-    (no exchange on the group keys)."""
+def keep_groups_any(df: DataFrame, keys: Sequence[str], pred: Column, strategy: str = "join") -> DataFrame:
+    """keep whole groups in which any row satisfies ``pred``."""
     if strategy == "window":
         w = Window.partitionBy(*keys)
         d = df.withColumn("__f", F.max(F.coalesce(pred, F.lit(False)).cast("int")).over(w))
         return d.filter(F.col("__f") == 1).drop("__f")
-    hit = _flags(df.filter(pred), keys, {"__n": F.count(F.lit(1))}).drop("__n")
-    return left_join(df, hit, list(keys), how="left_semi", broadcast_max_rows=broadcast_max_rows)
+    return _attached(df, keys, {"__n": F.count_if(pred)}, F.col("__n") > 0, "left_semi", rows=pred)
 
 
-def drop_groups_any(df: DataFrame, keys: Sequence[str], pred: Column, strategy: str = "join",
-                    broadcast_max_rows: int | None = None, broadcast_bounded: bool = False) -> DataFrame:
+def drop_groups_any(df: DataFrame, keys: Sequence[str], pred: Column, strategy: str = "join") -> DataFrame:
     """``mutate(f = !any(pred)) %>% filter(f)`` — drop groups where any row
     satisfies ``pred``.  R's ``any`` is NA when no row is TRUE but one is NA;
     ``!NA`` is NA and the filter drops it: such groups go as well."""
@@ -57,13 +61,10 @@ def drop_groups_any(df: DataFrame, keys: Sequence[str], pred: Column, strategy:
         w = Window.partitionBy(*keys)
         d = df.withColumn("__f", F.max(bad.cast("int")).over(w))
         return d.filter(F.col("__f") == 0).drop("__f")
-    hit = _flags(df.filter(bad), keys, {"__n": F.count(F.lit(1))}).drop("__n")
-    return left_join(df, hit, list(keys), how="left_anti", broadcast_max_rows=broadcast_max_rows,
-                     broadcast_bounded=broadcast_bounded)
+    return _attached(df, keys, {"__n": F.count_if(bad)}, F.col("__n") > 0, "left_anti", rows=bad)
 
 
-def keep_groups_single_value(df: DataFrame, keys: Sequence[str], col: str, strategy: str = "join",
-                             broadcast_max_rows: int | None = None, broadcast_bounded: bool = False) -> DataFrame:
+def keep_groups_single_value(df: DataFrame, keys: Sequence[str], col: str, strategy: str = "join") -> DataFrame:
     """F8: keep groups with exactly one distinct value of ``col`` (NULL is a
     value, as in R's ``n_distinct``).  Uses min/max instead of a distinct
     count, so it stays an algebraic aggregate."""
@@ -74,9 +75,7 @@ def keep_groups_single_value(df: DataFrame, keys: Sequence[str], col: str, strat
         w = Window.partitionBy(*keys)
         d = df.withColumns({k: v.over(w) for k, v in aggs.items()})
         return d.filter(ok).drop(*aggs)
-    good = _flags(df, keys, aggs).filter(ok).select(*keys)
-    return left_join(df, good, list(keys), how="left_semi", broadcast_max_rows=broadcast_max_rows,
-                     broadcast_bounded=broadcast_bounded)
+    return _attached(df, keys, aggs, ok, "left_semi")
 
 
 def keep_groups_exactly_one(df: DataFrame, keys: Sequence[str], pred: Column, strategy: str = "join") -> DataFrame:
@@ -86,8 +85,7 @@ def keep_groups_exactly_one(df: DataFrame, keys: Sequence[str], pred: Column, st
         w = Window.partitionBy(*keys)
         d = df.withColumn("__f", F.count_if(pred).over(w))
         return d.filter(F.col("__f") == 1).drop("__f")
-    good = _flags(df, keys, {"__n": F.count_if(pred)}).filter(F.col("__n") == 1).select(*keys)
-    return left_join(df, good, list(keys), how="left_semi")
+    return _attached(df, keys, {"__n": F.count_if(pred)}, F.col("__n") == 1, "left_semi")
 
 
 def value_of_unique_row(df: DataFrame, keys: Sequence[str], pred: Column, cols: dict[str, str],

@@ -1,14 +1,14 @@
 """Join operators.
 
 R's ``left_join`` matches NA to NA; SQL ``=`` does not.  ``left_join`` therefore
-defaults to ``null_safe=True`` (``<=>``), which Spark still plans as a hash /
-sort-merge equi-join on ``(coalesce(k), isnull(k))`` — never a nested loop.
-The lagged self-join (J9) came from SQL in the reference and keeps ``=``.
-
-Broadcasts are explicit and size-checked: ``bounded_broadcast`` counts at most
-``max_rows + 1`` rows of the small side (a ``limit`` stops early) and falls
-back to a shuffle join when the bound does not hold.  AQE may still convert a
-shuffle join to a broadcast at run time from real sizes.
+defaults to ``null_safe=True``.  A nullable key is compared as two plain
+columns, its value with a stand-in for NULL and a NULL flag (``null_keys``), so
+the join is an ordinary equi-join and shares its partitioning with aggregates
+and windows on the same columns.  The lagged self-join (J9) came from SQL in
+the reference and keeps ``=``.
+
+No join carries a broadcast hint: Spark broadcasts a side from file statistics
+or, at run time, from its measured size, and splits skewed partitions otherwise.
 """
 
 from __future__ import annotations
@@ -17,17 +17,40 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Dimension bounds used by the pipelines (rows), fixed by the domain.
-MAX_MUNICIPALITIES = 10_000   # about 5,570 municipalities + foreign codes
-MAX_STATES = 64               # 27 states + national / foreign codes
-MAX_NATIONS = 1_000
 
+def null_keys(df: DataFrame, keys: Sequence[str], prefix: str = "__nk") -> tuple[DataFrame, list[str]]:
+    """Adds plain columns that are equal exactly where ``keys`` are equal or both NULL.
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it provably has at most ``max_rows`` rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    A nullable key gives two columns: its value with a stand-in for NULL, and
+    a flag.  Returns the frame and the names of the added columns."""
+    cols: dict[str, Column] = {}
+    for i, k in enumerate(keys):
+        c, field = F.col(f"`{k}`"), _field(df, k)
+        if field is not None and not field.nullable:
+            cols[f"{prefix}{i}"] = c
+            continue
+        stand_in = _stand_in(field.dataType if field is not None else T.StringType())
+        if stand_in is None:
+            raise TypeError(f"{k}: no null-safe key for {field.dataType}")
+        cols[f"{prefix}{i}"] = F.coalesce(c, stand_in)
+        cols[f"{prefix}{i}n"] = c.isNull()
+    return df.withColumns(cols), list(cols)
+
+
+def _field(df: DataFrame, name: str) -> T.StructField | None:
+    return next((f for f in df.schema.fields if f.name == name), None)
+
+
+def _stand_in(kind: T.DataType) -> Column | None:
+    if isinstance(kind, T.StringType):
+        return F.lit("")
+    if isinstance(kind, (T.NumericType, T.BooleanType)):
+        return F.lit(0).cast(kind)
+    if isinstance(kind, (T.DateType, T.TimestampType)):
+        return F.lit("1970-01-01").cast(kind)
+    return None
 
 
 def _key_list(on) -> list[str]:
@@ -35,16 +58,14 @@ def _key_list(on) -> list[str]:
 
 
 def left_join(left: DataFrame, right: DataFrame, on, right_on=None, *, null_safe: bool = True,
-              how: str = "left", right_prefix: str | None = None,
-              broadcast_max_rows: int | None = None, broadcast_bounded: bool = False) -> DataFrame:
+              how: str = "left", right_prefix: str | None = None) -> DataFrame:
     """J1–J3 (and any equi-join): join on ``on`` (left names) = ``right_on``.
 
     Output columns: all left columns, then the right non-key columns
     (optionally prefixed: J4 role prefixes, J5 collision handling).
     ``how`` may be any Spark join type; semi / anti return left columns only.
-    ``broadcast_max_rows`` broadcasts the right side after counting it;
-    ``broadcast_bounded`` broadcasts it without a count, for right sides whose
-    size is bounded by construction (the caller states the bound).
+    Keys whose type has no NULL stand-in (arrays, structs) are compared with
+    ``<=>``.
     """
     lkeys = _key_list(on)
     rkeys = lkeys if right_on is None else _key_list(right_on)
@@ -59,18 +80,23 @@ def left_join(left: DataFrame, right: DataFrame, on, right_on=None, *, null_safe
     sel = [F.col(f"`{k}`").alias(t) for k, t in zip(rkeys, tmp)]
     sel += [F.col(f"`{c}`").alias(f"{right_prefix}{c}" if right_prefix else c) for c in rest]
     r = right.select(*sel)
-    if broadcast_bounded:
-        r = F.broadcast(r)
-    elif broadcast_max_rows is not None:
-        r = bounded_broadcast(r, broadcast_max_rows)
-    conds = []
-    for lk, t in zip(lkeys, tmp):
-        lc = left[f"`{lk}`"]
-        conds.append(lc.eqNullSafe(r[t]) if null_safe else lc == r[t])
+    conds, lnew, rnew = [], {}, {}
+    for i, (lk, t) in enumerate(zip(lkeys, tmp)):
+        lf, rf, c = _field(left, lk), _field(r, t), left[f"`{lk}`"]
+        nullable = null_safe and (lf.nullable or rf.nullable)
+        a, b = (_stand_in(f.dataType) for f in (lf, rf))
+        if not nullable:
+            conds.append(c == r[t])
+        elif a is None or b is None or lf.dataType != rf.dataType:
+            conds.append(c.eqNullSafe(r[t]))
+        else:
+            lnew |= {f"__lv{i}": F.coalesce(F.col(f"`{lk}`"), a), f"__ln{i}": F.col(f"`{lk}`").isNull()}
+            rnew |= {f"__rv{i}": F.coalesce(F.col(t), b), f"__rn{i}": F.col(t).isNull()}
+            conds += [F.col(f"__lv{i}") == F.col(f"__rv{i}"), F.col(f"__ln{i}") == F.col(f"__rn{i}")]
+    if lnew:
+        left, r = left.withColumns(lnew), r.withColumns(rnew)
     out = left.join(r, conds, how)
-    if semi:
-        return out
-    return out.drop(*tmp)
+    return out.drop(*lnew) if semi else out.drop(*tmp, *lnew, *rnew)
 
 
 def right_join(left: DataFrame, right: DataFrame, on, *, null_safe: bool = True) -> DataFrame:
@@ -141,48 +167,28 @@ def lagged_self_join(df: DataFrame, right: DataFrame, keys: Sequence[str], year:
     return df.join(r, cond, "left").drop("__ry", *[f"__rk_{k}" for k in keys])
 
 
-def exclude_values_in(df: DataFrame, values: DataFrame, on, values_on=None, *,
-                      max_values: int | None = None) -> DataFrame:
+def exclude_values_in(df: DataFrame, values: DataFrame, on, values_on=None) -> DataFrame:
     """Drop rows whose key appears in a derived set, with R's ``%in%``
-    rule: NULL keys are kept unless the set holds a NULL.
-
-    General form: null-safe ``left_anti`` join.  With ``max_values`` (single
-    key, small domain such as election types) the set travels as a
-    scalar-subquery array instead — no join, so the large side is not
-    shuffled by a low-cardinality key; the set size is asserted in the plan."""
-    if max_values is None:
-        return left_join(df, values.distinct(), on, values_on, how="left_anti", null_safe=True)
-    key = _key_list(on)[0]
-    vkey = _key_list(values_on or on)[0]
-    v = values.select(F.col(vkey).alias("__v"))
-    # at most max_values + 1 distinct values are collected; the size check
-    # below turns an overflow into an error
-    arr = v.filter(F.col("__v").isNotNull()).distinct().limit(max_values + 1).agg(F.collect_list("__v").alias("__a"))
-    arr = arr.select(F.when(F.size("__a") <= max_values, F.col("__a"))
-                     .otherwise(F.raise_error(F.lit(f"{vkey}: more than {max_values} values")))).scalar()
-    has_null = v.agg(F.coalesce(F.max(F.col("__v").isNull()), F.lit(False))).scalar()
-    c = F.col(key)
-    return df.filter(F.when(c.isNull(), ~has_null).otherwise(~F.array_contains(arr, c)))
-
-
-def bounded_values(values: DataFrame, column: str, max_values: int) -> Column:
-    """The distinct values of a small domain column (states, parties) as a
-    sorted array, delivered as a scalar subquery.  The domain size is checked
-    first (at most ``max_values + 1`` rows are counted)."""
-    d = values.select(column).distinct()
-    if d.limit(max_values + 1).count() > max_values:
-        raise ValueError(f"{column}: more than {max_values} distinct values")
-    return d.limit(max_values).agg(F.array_sort(F.collect_list(column))).scalar()
-
-
-def fan_out(df: DataFrame, key: str, value, targets: DataFrame, *, max_targets: int = MAX_STATES) -> DataFrame:
+    rule: NULL keys are kept unless the set holds a NULL (a null-safe
+    ``left_anti`` join)."""
+    return left_join(df, values.distinct(), on, values_on, how="left_anti", null_safe=True)
+
+
+def value_list(values: DataFrame, column: str) -> Column:
+    """The distinct values of a domain column (states, parties) as a sorted
+    array, delivered as a scalar subquery: a partial aggregate, no eager job.
+    For lists that every matching row is copied over, so their length is the
+    factor by which the result grows."""
+    return values.agg(F.array_sort(F.collect_set(column))).scalar()
+
+
+def fan_out(df: DataFrame, key: str, value, targets: DataFrame) -> DataFrame:
     """Rows with ``key == value`` (e.g. national ``br``) are copied once per
     target value (one column, e.g. the 27 states); other rows pass through.
 
-    The bounded target list arrives as a scalar subquery and the matching
-    rows explode over it: no join, and only the matching rows grow."""
-    tcol = targets.columns[0]
-    arr = bounded_values(targets, tcol, max_targets)
+    The target list arrives as a scalar subquery and the matching rows explode
+    over it: no join, and only the matching rows grow."""
+    arr = value_list(targets, targets.columns[0])
     hit = df.filter(F.col(key) == value).withColumn(key, F.explode(arr))
     keep = df.filter(~F.coalesce(F.col(key) == value, F.lit(False)))
     return keep.unionByName(hit.select(*df.columns))

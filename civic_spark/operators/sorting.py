@@ -60,6 +60,8 @@ def hash_sample(df: DataFrame, fraction: float, key_cols: Sequence[str], seed: i
     """O5, deterministic: keep rows whose key hash falls under ``fraction``.
 
     Independent of partitioning and re-execution (a lost task recomputes the
-    same rows), and reproducible in SQL (``pmod(xxhash64(seed, key), 10000)``)."""
-    bucket = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in key_cols]), F.lit(10000))
-    return df.filter(bucket < int(round(fraction * 10000)))
+    same rows).  The draw is the first 52 bits of an md5 over seed and key, so
+    any fraction down to 2^-52 is exact and any SQL engine can repeat it."""
+    key = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("NA")) for c in key_cols])
+    draw = F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("long")
+    return df.filter(draw < int(fraction * (1 << 52)))

@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def _fit(df: DataFrame, label: str, features: Sequence[str], factors: Sequence[str], family: str, link: str):
     from pyspark.ml import Pipeline
@@ -53,13 +55,9 @@ def _fit(df: DataFrame, label: str, features: Sequence[str], factors: Sequence[s
         feat_col = "__features"
     glr = GeneralizedLinearRegression(family=family, link=link, labelCol=label, featuresCol=feat_col,
                                       fitIntercept=True, maxIter=50, regParam=0.0)
-    # IRLS makes one pass per iteration: keep the assembled rows (memory, then
-    # local disk) instead of re-reading and re-assembling them each time.
-    prepared = prepared.select(label, feat_col).persist()
-    try:
-        return glr.fit(prepared), names
-    finally:
-        prepared.unpersist()
+    # IRLS makes one pass per iteration: the assembled rows are written once to
+    # the shared folder instead of being assembled anew each time.
+    return glr.fit(cut_lineage(prepared.select(label, feat_col))), names
 
 
 def _coef_table(spark, model, names: Sequence[str]) -> DataFrame:

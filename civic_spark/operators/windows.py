@@ -53,17 +53,19 @@ def ordered_bucketed(df: DataFrame, keys: Sequence[str], bucket: Column, order:
     The rows of a key are split into buckets (e.g. years or days of its
     history) and processed in one pass:
 
-    1. a window over ``(keys, bucket)`` gives in-bucket row numbers, running
+    1. a per-bucket summary (count, sums, NULL counts, first and last row) is a
+       partial aggregate of the input rows;
+    2. a window over that small table gives each bucket's offsets and the
+       neighbouring buckets' edge rows;
+    3. a window over ``(keys, bucket)`` gives in-bucket row numbers, running
        sums / NULL counts and lag / lead;
-    2. a per-bucket summary (count, sums, NULL counts, first and last row)
-       is aggregated on the same partitioning;
-    3. a window over the small bucket table gives each bucket's offsets and
-       the neighbouring buckets' edge rows;
-    4. one join back on ``(keys, bucket)``.
+    4. one join on ``(keys, bucket)``.
 
-    The large side is shuffled once, as with a plain window, but no task
-    holds more than one bucket of a key.  ``order`` lists ascending column
-    names, starts with the bucket-defining columns and is a total order.
+    Keys and bucket are made non-null columns first, so window, aggregate and
+    join hash the same columns: the large side is shuffled once, as with a
+    plain window, but no task holds more than one bucket of a key.  ``order``
+    lists ascending column names, starts with the bucket-defining columns and
+    is a total order.
 
     ``seq = {name: offset}``; ``sums = {name: (value, poison)}`` (``poison``:
     a NULL makes this and every later value NULL, R's ``cumsum``; otherwise
@@ -73,39 +75,41 @@ def ordered_bucketed(df: DataFrame, keys: Sequence[str], bucket: Column, order:
         raise ValueError("bucketed windows take ascending column names")
     if any(abs(k) != 1 for _, k in shifts.values()):
         raise ValueError("bucketed lag / lead supports an offset of 1")
-    from .joins import left_join
+    from .joins import null_keys
 
     d = df.withColumn("__b", bucket)
     vals = {f"__v{i}": v for i, (_, (v, _p)) in enumerate(sums.items())}
-    d = d.withColumns(vals)
-    inner = Window.partitionBy(*keys, "__b").orderBy(*[order_key(o) for o in order])
-    frame = inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*keys, "__b")
-    cols = {"__rn": F.row_number().over(inner), "__cnt": F.count(F.lit(1)).over(whole)}
-    for v in vals:
-        cols[f"{v}_s"] = F.coalesce(F.sum(v).over(frame), F.lit(0))
-        cols[f"{v}_n"] = F.count_if(F.col(v).isNull()).over(frame)
-    for o, (c, k) in shifts.items():
-        cols[o] = (F.lag(c, 1) if k > 0 else F.lead(c, 1)).over(inner)
-    d = d.withColumns(cols)
+    d, by = null_keys(d.withColumns(vals), [*keys, "__b"])
+    key_cols = [c for c in by if not c.startswith(f"__nk{len(keys)}")]
+    bucket_cols = [c for c in by if c not in key_cols]
 
     srcs = sorted({c for c, _ in shifts.values()})
     aggs = [F.count(F.lit(1)).alias("__bc")]
     for v in vals:
         aggs += [F.coalesce(F.sum(v), F.lit(0)).alias(f"{v}_bs"), F.count_if(F.col(v).isNull()).alias(f"{v}_bn")]
     if srcs:
-        key = F.struct(*[F.col(o) for o in order])
+        key = F.struct(*[x for o in order for x in (F.col(o).isNull().alias(f"{o}__null"), F.col(o))])   # NA last, like the row order
         aggs += [F.min_by(F.struct(*srcs), key).alias("__first"), F.max_by(F.struct(*srcs), key).alias("__last")]
-    bt = d.groupBy(*keys, "__b").agg(*aggs)
-    wb = Window.partitionBy(*keys).orderBy(F.col("__b").asc_nulls_last())    # NA last, like the row order
+    bt = d.groupBy(*by).agg(*aggs)
+    wb = Window.partitionBy(*key_cols).orderBy(*[F.col(c) for c in reversed(bucket_cols)])    # the NULL flag first: NA last
     before = wb.rowsBetween(Window.unboundedPreceding, -1)
-    sel = [*keys, "__b", F.coalesce(F.sum("__bc").over(before), F.lit(0)).alias("__off_c")]
+    sel = [*by, F.coalesce(F.sum("__bc").over(before), F.lit(0)).alias("__off_c")]
     for v in vals:
         sel += [F.coalesce(F.sum(f"{v}_bs").over(before), F.lit(0)).alias(f"{v}_os"),
                 F.coalesce(F.sum(f"{v}_bn").over(before), F.lit(0)).alias(f"{v}_on")]
     if srcs:
         sel += [F.lag("__last", 1).over(wb).alias("__prev"), F.lead("__first", 1).over(wb).alias("__next")]
-    d = left_join(d, bt.select(*sel), [*keys, "__b"])
+
+    inner = Window.partitionBy(*by).orderBy(*[order_key(o) for o in order])
+    frame = inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy(*by)
+    cols = {"__rn": F.row_number().over(inner), "__cnt": F.count(F.lit(1)).over(whole)}
+    for v in vals:
+        cols[f"{v}_s"] = F.coalesce(F.sum(v).over(frame), F.lit(0))
+        cols[f"{v}_n"] = F.count_if(F.col(v).isNull()).over(frame)
+    for o, (c, k) in shifts.items():
+        cols[o] = (F.lag(c, 1) if k > 0 else F.lead(c, 1)).over(inner)
+    d = d.withColumns(cols).join(bt.select(*sel), by, "left")
 
     out = {}
     for name, off in seq.items():
@@ -117,9 +121,10 @@ def ordered_bucketed(df: DataFrame, keys: Sequence[str], bucket: Column, order:
         edge = (F.col("__rn") == 1) if k > 0 else (F.col("__rn") == F.col("__cnt"))
         out[o] = F.when(edge, F.col("__prev" if k > 0 else "__next")[c]).otherwise(F.col(o))
     d = d.withColumns(out)
-    helper = ["__b", "__rn", "__cnt", "__off_c", "__prev", "__next", *vals]
+    helper = ["__b", "__rn", "__cnt", "__off_c", "__prev", "__next", *vals, *by]
     helper += [f"{v}{suf}" for v in vals for suf in ("_s", "_n", "_os", "_on")]
-    return d.drop(*[h for h in helper if h in d.columns])
+    d = d.drop(*[h for h in helper if h in d.columns])
+    return d.select(*df.columns, *[c for c in d.columns if c not in df.columns])
 
 
 def running_sum_bucketed(df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence[str],
@@ -128,18 +133,6 @@ def running_sum_bucketed(df: DataFrame, keys: Sequence[str], bucket: Column, ord
     return ordered_bucketed(df, keys, bucket, order, sums={name: (value, poison)})
 
 
-def sequence_number_bucketed(df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence[str], name: str,
-                             offset: int = 0) -> DataFrame:
-    """W3 for skewed keys: ``row_number() + offset`` (see ``ordered_bucketed``)."""
-    return ordered_bucketed(df, keys, bucket, order, seq={name: offset})
-
-
-def lag_lead_bucketed(df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence[str],
-                      cols: dict[str, tuple[str, int]]) -> DataFrame:
-    """W5 / W6 by one row for skewed keys (see ``ordered_bucketed``)."""
-    return ordered_bucketed(df, keys, bucket, order, shifts=cols)
-
-
 def lag_lead(df: DataFrame, keys: Sequence[str], order: Sequence, cols: dict[str, tuple[str, int]]) -> DataFrame:
     """``{out: (col, k)}``; ``k > 0`` is ``lag(col, k)``, ``k < 0``
     is ``lead(col, -k)``, over an explicit order."""
@@ -177,20 +170,15 @@ def last_two_flags(df: DataFrame, keys: Sequence[str], order: Sequence, last: st
     return df.withColumns({last: (rn == n - 1).cast("int"), runner: (rn == n).cast("int")})
 
 
-def group_min_boundary(df: DataFrame, group: str, value: str, name: str, max_groups: int = 1000) -> DataFrame:
-    """Per-row group minimum where the group column has very few values
-    (``local`` 0/1).  The per-group minima are computed with a partial
-    aggregate and delivered as a scalar-subquery map ``group → min``; each
-    row looks its group up.  No window with one or two partitions, no join,
-    no shuffle of the large side.  The map size is asserted in the plan."""
-    mins = df.filter(F.col(group).isNotNull()).groupBy(group).agg(F.min(value).alias("__m"))
-    # at most max_groups + 1 entries are ever collected; the assertion below
-    # turns an overflow into an error instead of a silently truncated map
-    mp = mins.limit(max_groups + 1).agg(F.map_from_entries(F.collect_list(F.struct(group, "__m"))).alias("__mp"))
-    mp = mp.select(F.when(F.size("__mp") <= max_groups, F.col("__mp"))
-                   .otherwise(F.raise_error(F.lit(f"{group}: more than {max_groups} groups")))).scalar()
-    null_min = df.filter(F.col(group).isNull()).agg(F.min(value)).scalar()
-    return df.withColumn(name, F.when(F.col(group).isNull(), null_min).otherwise(F.element_at(mp, F.col(group))))
+def group_min_boundary(df: DataFrame, group: str, value: str, name: str) -> DataFrame:
+    """Per-row minimum of the row's group (``local`` 0/1).  The minima are
+    a partial aggregate, one row per group, joined back null-safely: Spark
+    broadcasts that table when it measures it small, so the large side is not
+    shuffled on a column with few values."""
+    from .joins import left_join
+
+    mins = df.groupBy(group).agg(F.min(value).alias(name))
+    return left_join(df, mins, group)
 
 
 def share_within(df: DataFrame, keys: Sequence[str], count_col: str, name: str = "share") -> DataFrame:

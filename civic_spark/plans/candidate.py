@@ -35,7 +35,6 @@ from .common import attach_municipality, coalition_lookup, elected_flag
 
 # --- fixed values ---
 SUPPLEMENTARY_MAX_ROWS = 1000
-MAX_ELECTION_TYPES = 10_000
 POSITION_LABELS = {9: "1º suplente senador", 10: "2º suplente senador"}
 ROTATION_YEAR = "2014"
 NO_OUTCOME_TEXT = "renuncia/falecimento/cassacao antes da eleicao"
@@ -101,7 +100,7 @@ def build(raw: DataFrame, coalition: DataFrame, municipality_dim: DataFrame, *,
         df = cut_lineage(df)
 
     supplementary = having_count(df, ["election_type"], "<", supplementary_max_rows).select("election_type")
-    right = exclude_values_in(df, supplementary, "election_type", max_values=MAX_ELECTION_TYPES) \
+    right = exclude_values_in(df, supplementary, "election_type") \
         .filter(~F.col("outcome").rlike("turno$"))
     right = keep_first(right, LAG_DEDUPE, ["round", "election_type", "candidate_num"])
     df = lagged_self_join(df, right, LAG_KEYS, "election_year", 4,
@@ -109,7 +108,7 @@ def build(raw: DataFrame, coalition: DataFrame, municipality_dim: DataFrame, *,
                            "position_code_previous": "position_code"})
 
     df = df.withColumn("local", logic.cycle_flag("election_year"))
-    df = group_min_boundary(df, "local", "election_year", "__min_year", max_groups=8)
+    df = group_min_boundary(df, "local", "election_year", "__min_year")
     inc, y = F.col("incumbent"), F.col("election_year")
     df = df.withColumn("incumbent", logic.case_when(
         (inc == 1, 1), ((inc == 0) | (inc.isNull() & (y > F.col("__min_year"))), 0), default=None))

@@ -74,8 +74,8 @@ def common_filters(df: DataFrame, strategy: str = "aggregate") -> DataFrame:
         return groups.keep_groups_any(df, f7_keys, elected_row, strategy="window")
     if strategy != "aggregate":
         raise ValueError(strategy)
-    df = groups.keep_groups_single_value(df, MUN, "election_type", broadcast_bounded=True)
-    df = groups.drop_groups_any(df, MUN, F.col("round") == 2, broadcast_bounded=True)
+    df = groups.keep_groups_single_value(df, MUN, "election_type")
+    df = groups.drop_groups_any(df, MUN, F.col("round") == 2)
     df = clean.drop_matching(df, starts="round")
     # F7's key table holds free-text election types: no structural bound, so a
     # shuffle semi-join (AQE splits a skewed partition)
@@ -182,9 +182,6 @@ def _build_window(df, excluded, full, match):
 def _build_aggregate(df, elected, full, match):
     pos = F.col("position")
 
-    def bounded(t):
-        return F.broadcast(t)          # municipality-year keyed: bounded by construction (see above)
-
     tot = df.groupBy(*MUN).agg(*[v.alias(k) for k, v in _totals(None).items()])
     if full:                                                  # W7: partial group limit before the shuffle
         from ..operators.windows import top2_relative_gap
@@ -194,7 +191,7 @@ def _build_aggregate(df, elected, full, match):
     mv = elected.groupBy(*MUN).agg(F.count_if(pos == MAYOR).alias("__mayors"),
                                    *[v.alias(k) for k, v in _mayor_values(None).items()])
     mv = mv.filter(F.col("__mayors") == 1).drop("__mayors")
-    el = elected.join(bounded(mv), MUN)
+    el = elected.join(mv, MUN)
     member = text.detect_word("mayor_coalition", "party", match)
     el = el.withColumn("coalition_member", logic.flag(member & (pos == COUNCIL)))
     measures = _all_measures(None)
@@ -206,8 +203,8 @@ def _build_aggregate(df, elected, full, match):
     agg = left_join(agg, eff, MUN).withColumn(
         "effective_parties", F.try_divide(F.col("chamber_size") * F.col("chamber_size"), F.col("__sq"))).drop("__sq")
     mayors = el.filter(pos == MAYOR)
-    out = left_join(mayors, bounded(agg), MUN)
-    out = left_join(out, bounded(tot), MUN)
+    out = left_join(mayors, agg, MUN)
+    out = left_join(out, tot, MUN)
     return out, keep
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clean, logic, text
 from ..operators.aggregates import keep_first, string_agg_sorted_over
-from ..operators.joins import MAX_STATES, bounded_broadcast, left_join
+from ..operators.joins import left_join
 from ..operators.unions import bind_rows
 from .common import clean_members
 
@@ -92,7 +92,7 @@ def build(raw: DataFrame, *, rebuild_years=REBUILD_YEARS) -> DataFrame:
                 .filter((F.length("cod_tse") <= 2) & (F.col("cod_tse") != NATIONAL))
                 .select(F.col("cod_tse").alias("__state_code"), F.lit(NATIONAL).alias("state")))
     top = bind_rows(presidential_rows(spark), df.filter(F.col("position_code") <= 2))
-    top = left_join(top, bounded_broadcast(states, MAX_STATES), "state")
+    top = left_join(top, states, "state")
     top = top.withColumn("cod_tse", F.col("__state_code")).withColumn("state", F.col("__state_code")) \
              .drop("__state_code")
     out = bind_rows(df.filter(F.col("position_code") > 2), top)

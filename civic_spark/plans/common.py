@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.logic import in_seq
 from ..operators.aggregates import keep_first
-from ..operators.joins import MAX_MUNICIPALITIES, bounded_broadcast, left_join
+from ..operators.joins import left_join
 from ..operators.unions import bind_rows
 
 # --- fixed values: election cycles and lookup keys ---
@@ -29,11 +29,11 @@ def municipality_codes(dim: DataFrame) -> DataFrame:
 
 
 def attach_municipality(df: DataFrame, dim: DataFrame, on: str = "cod_tse", prefix: str = "") -> DataFrame:
-    """Left join the (bounded, broadcast) municipality dimension."""
+    """Left join the municipality dimension."""
     codes = municipality_codes(dim)
     if prefix:
         codes = codes.withColumnRenamed("cod_ibge_6", f"{prefix}cod_ibge_6")
-    return left_join(df, bounded_broadcast(codes, MAX_MUNICIPALITIES), on, "cod_tse")
+    return left_join(df, codes, on, "cod_tse")
 
 
 def coalition_lookup(df: DataFrame, coalition: DataFrame, with_type_by_position: bool = False) -> DataFrame:

@@ -34,12 +34,8 @@ def query(name: str, sql: str | None):
     return deco
 
 
-# tables whose queries do heavy per-row text work (whole documents / pages)
-TEXT_TABLES = {"documents", "pages"}
-
-
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return read_table(spark, d, name, spread=name in TEXT_TABLES)
+    return read_table(spark, d, name)
 
 
 def _date_text(c: str) -> F.Column:
@@ -60,21 +56,20 @@ def supplier_concentration(spark: SparkSession, d: str) -> DataFrame:
     # customer nation per order first (orders-sized join), so the lineitem
     # side is shuffled once, by order key
     order_nation = (o.join(c, F.col("o_custkey") == F.col("c_custkey"))
-                     .join(joins.bounded_broadcast(n, joins.MAX_NATIONS), F.col("c_nationkey") == F.col("n_nationkey"))
+                     .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
                      .select("o_orderkey", "order_year", "n_name"))
     base = li.join(order_nation, F.col("l_orderkey") == F.col("o_orderkey"))
     keys = ["n_name", "order_year"]
     per = base.groupBy(*keys, "l_suppkey").agg(F.sum("rev").alias("revenue"))
-    ranked = windows.sequence_number(per, keys, ["-revenue", "l_suppkey"], "rn", 0)
-    out = ranked.groupBy(*keys).agg(
+    # sums need no order; the two largest come from a per-task group limit, so no
+    # task sorts all suppliers of a nation and year
+    sums = per.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_suppliers"),
         F.round(F.sum("revenue"), 4).alias("revenue"),
         F.round(F.try_divide(F.sum("revenue") * F.sum("revenue"), F.sum(F.col("revenue") * F.col("revenue"))), 6)
-        .alias("effective_suppliers"),
-        F.round(F.try_divide(F.max(F.when(F.col("rn") == 1, F.col("revenue")))
-                             - F.max(F.when(F.col("rn") == 2, F.col("revenue"))),
-                             F.max(F.when(F.col("rn") == 2, F.col("revenue")))), 6).alias("top2_gap"))
-    return out
+        .alias("effective_suppliers"))
+    gap = windows.top2_relative_gap(per, keys, "revenue", ["-revenue", "l_suppkey"], "top2_gap")
+    return joins.left_join(sums, gap.withColumn("top2_gap", F.round("top2_gap", 6)), keys)
 
 
 query("w7_a19_supplier_concentration", """
@@ -152,7 +147,7 @@ def order_line_stats(spark, d):
         "mean_price_returned": F.round(A.mean_if("l_extendedprice", r), 8),
         "sd_price_returned": F.round(A.sd_if("l_extendedprice", r), 6),
         "any_returned": A.any_(r),
-        "n_flags": A.n_distinct(F.nullif(F.col("l_returnflag"), F.lit("A"))).cast("long"),
+        "n_flags": A.n_distinct(F.nullif(F.col("l_returnflag"), F.lit("A")), few=True).cast("long"),
     })
 
 
@@ -188,18 +183,20 @@ def brands_per_supplier(spark, d):
     p = _t(spark, d, "part").select("p_partkey", "p_brand")
     x = li.join(p, F.col("l_partkey") == F.col("p_partkey"))
     return A.group_agg(x, ["l_suppkey"], {"brands": A.string_agg_sorted("p_brand", distinct=True),
-                                          "n_brands": F.count_distinct("p_brand")})
+                                          "n_brands": F.size(F.collect_set("p_brand")).cast("long")})
 
 
 @query("a17_j10_f3_drop_rare_brands", """
 WITH p AS (SELECT p_partkey, nullif(p_brand, 'Brand#1') AS brand FROM part),
-rare AS (SELECT brand FROM p GROUP BY brand HAVING count(*) < 70)
+counts AS (SELECT brand, count(*) AS n FROM p GROUP BY brand),
+rare AS (SELECT brand FROM counts WHERE n < (SELECT floor(avg(n)) FROM counts))
 SELECT p_partkey, brand FROM p
 WHERE NOT EXISTS (SELECT 1 FROM rare r WHERE r.brand IS NOT DISTINCT FROM p.brand)
 """)
 def drop_rare_brands(spark, d):
     p = _t(spark, d, "part").select("p_partkey", F.nullif(F.col("p_brand"), F.lit("Brand#1")).alias("brand"))
-    rare = A.having_count(p, ["brand"], "<", 70).select("brand")
+    mean = A.count_by(p, ["brand"], "n").agg(F.floor(F.avg("n"))).scalar()
+    rare = A.having_count(p, ["brand"], "<", mean).select("brand")
     return joins.exclude_values_in(p, rare, "brand")
 
 
@@ -219,14 +216,18 @@ def fill_first_priority(spark, d):
 
 @query("a18_reaggregate_duplicate_lines", """
 WITH li AS (SELECT l_orderkey, l_linenumber, l_quantity, nullif(l_returnflag, 'N') AS l_returnflag,
-                   l_partkey, l_suppkey, l_extendedprice FROM lineitem)
-SELECT l_orderkey, l_linenumber,
+                   l_partkey, l_suppkey, l_extendedprice FROM lineitem),
+f AS (SELECT l_orderkey, l_linenumber,
+                  arg_min(l_returnflag, (l_partkey, l_suppkey, l_extendedprice, l_returnflag))
+                    FILTER (WHERE l_returnflag IS NOT NULL) AS fill FROM li GROUP BY 1, 2),
+x AS (SELECT li.* REPLACE (coalesce(li.l_returnflag, f.fill) AS l_returnflag)
+      FROM li JOIN f ON li.l_orderkey = f.l_orderkey AND li.l_linenumber = f.l_linenumber)
+SELECT l_orderkey, l_linenumber, l_returnflag,
        CASE WHEN count(*) = count(l_quantity) THEN sum(l_quantity) END AS l_quantity,
-       arg_min(l_returnflag, (l_returnflag IS NULL, l_partkey, l_suppkey, l_extendedprice)) AS l_returnflag,
        arg_min(l_partkey, (l_partkey, l_suppkey, l_extendedprice)) AS l_partkey,
        arg_min(l_suppkey, (l_partkey, l_suppkey, l_extendedprice)) AS l_suppkey,
        arg_min(l_extendedprice, (l_partkey, l_suppkey, l_extendedprice)) AS l_extendedprice
-FROM li GROUP BY 1, 2
+FROM x GROUP BY 1, 2, 3
 """)
 def reaggregate_duplicate_lines(spark, d):
     li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity",
@@ -349,10 +350,9 @@ def nation_roles(spark, d):
     n = _t(spark, d, "nation").select("n_nationkey", "n_name")
     # role 1: the customer's nation per order (orders-sized join)
     oc = joins.left_join(o.join(c, F.col("o_custkey") == F.col("c_custkey")), n, "c_nationkey", "n_nationkey",
-                         right_prefix="cust_", broadcast_max_rows=joins.MAX_NATIONS).select("o_orderkey", "cust_n_name")
+                         right_prefix="cust_").select("o_orderkey", "cust_n_name")
     # role 2: the supplier's nation per supplier (supplier-sized join)
-    sn = joins.left_join(s, n, "s_nationkey", "n_nationkey", right_prefix="supp_",
-                         broadcast_max_rows=joins.MAX_NATIONS).select("s_suppkey", "supp_n_name")
+    sn = joins.left_join(s, n, "s_nationkey", "n_nationkey", right_prefix="supp_").select("s_suppkey", "supp_n_name")
     x = li.join(sn, F.col("l_suppkey") == F.col("s_suppkey")).join(oc, F.col("l_orderkey") == F.col("o_orderkey"))
     return A.group_agg(x, ["cust_n_name", "supp_n_name"], {"n_lines": F.count(F.lit(1)),
                                                            "revenue": F.round(F.sum("l_extendedprice"), 2)})
@@ -464,8 +464,8 @@ def fan_out_national(spark, d):
     c = _t(spark, d, "customer")
     n = _t(spark, d, "nation")
     r = _t(spark, d, "region")
-    cr = c.join(joins.bounded_broadcast(n, joins.MAX_NATIONS), F.col("c_nationkey") == F.col("n_nationkey")) \
-          .join(joins.bounded_broadcast(r, joins.MAX_NATIONS), F.col("n_regionkey") == F.col("r_regionkey"))
+    cr = c.join(n, F.col("c_nationkey") == F.col("n_nationkey")) \
+          .join(r, F.col("n_regionkey") == F.col("r_regionkey"))
     reg = A.count_by(cr, ["r_name", "c_mktsegment"]).withColumn("scope", F.lit("region"))
     nat = A.count_by(c, ["c_mktsegment"]).withColumn("scope", F.lit("all")).withColumn("r_name", F.lit("ALL"))
     both = unions.bind_rows(reg, nat.select(*reg.columns))
@@ -473,22 +473,15 @@ def fan_out_national(spark, d):
 
 
 @query("s18_coverage_grid_missing", """
-WITH seen AS (SELECT DISTINCT r.r_name, c.c_mktsegment FROM customer c
-              JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
-              WHERE c.c_acctbal > 9500)
-SELECT rr.r_name, ss.c_mktsegment
-FROM (SELECT DISTINCT r_name FROM region) rr CROSS JOIN (SELECT DISTINCT c_mktsegment FROM customer) ss
-WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.r_name = rr.r_name AND s.c_mktsegment = ss.c_mktsegment)
+SELECT u.user_id, t.event_type
+FROM (SELECT DISTINCT user_id FROM events) u CROSS JOIN (SELECT DISTINCT event_type FROM events) t
+WHERE NOT EXISTS (SELECT 1 FROM events e WHERE e.user_id = u.user_id AND e.event_type = t.event_type)
 """)
 def coverage_grid_missing(spark, d):
+    """User × event type cells without an event."""
     from ..sources.readers import coverage_grid
-    c = _t(spark, d, "customer")
-    n = _t(spark, d, "nation")
-    r = _t(spark, d, "region")
-    seen = (c.filter(F.col("c_acctbal") > 9500)
-             .join(joins.bounded_broadcast(n, joins.MAX_NATIONS), F.col("c_nationkey") == F.col("n_nationkey"))
-             .join(joins.bounded_broadcast(r, joins.MAX_NATIONS), F.col("n_regionkey") == F.col("r_regionkey")))
-    return coverage_grid(r.select("r_name"), c.select("c_mktsegment"), seen, ["r_name", "c_mktsegment"])
+    e = _t(spark, d, "events").select("user_id", "event_type")
+    return coverage_grid(e.select("user_id"), e.select("event_type"), e, ["user_id", "event_type"])
 
 
 @query("j13_shifted_year_join", """
@@ -681,7 +674,7 @@ def marginal_seat_segments(spark, d):
     n = _t(spark, d, "nation").select("n_nationkey")
     seats = A.group_agg(joins.left_join(n, s, "n_nationkey"), ["n_nationkey"],
                         {"seats": F.lit(9) + F.count("s_suppkey")})
-    x = joins.left_join(lists, joins.bounded_broadcast(seats, joins.MAX_NATIONS), "n_nationkey")
+    x = joins.left_join(lists, seats, "n_nationkey")
     q = A.group_agg(x, ["n_nationkey"], {"quota": A.quota("votes", "seats")})
     x = joins.left_join(x, q, "n_nationkey")
     x = x.withColumn("side", F.when(F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING"), 1).otherwise(0))
@@ -758,7 +751,7 @@ def html_counts(spark, d):
 
 @query("x8_x11_x12_segment_coalitions", """
 WITH coal AS (SELECT c_nationkey, string_agg(DISTINCT c_mktsegment, ' / ' ORDER BY c_mktsegment) AS coalition
-              FROM customer WHERE c_acctbal > 9000 GROUP BY 1)
+              FROM customer GROUP BY 1)
 SELECT c.c_custkey, coal.coalition,
        regexp_matches(coal.coalition, '\\b' || c.c_mktsegment || '\\b') AS member_word,
        list_contains(list_transform(string_split(coal.coalition, '/'), lambda x: trim(x)), c.c_mktsegment) AS member_token,
@@ -768,7 +761,7 @@ FROM customer c LEFT JOIN coal ON c.c_nationkey = coal.c_nationkey
 """)
 def segment_coalitions(spark, d):
     c = _t(spark, d, "customer")
-    coal = A.group_agg(c.filter(F.col("c_acctbal") > 9000), ["c_nationkey"],
+    coal = A.group_agg(c, ["c_nationkey"],
                        {"coalition": A.string_agg_sorted("c_mktsegment", distinct=True)})
     x = joins.left_join(c.select("c_custkey", "c_nationkey", "c_mktsegment"), coal, "c_nationkey")
     return x.select("c_custkey", "coalition",
@@ -1077,7 +1070,10 @@ def linear_price(spark, d):
     return stats.linear_regression(li, "l_extendedprice", ["l_quantity"], ["l_returnflag"])
 
 
-@query("o5_hash_sample_orders", None)
+@query("o5_hash_sample_orders", f"""
+SELECT * FROM orders
+WHERE ('0x' || substr(md5('1789|' || o_orderkey::VARCHAR), 1, 13))::BIGINT < {int(0.25 * (1 << 52))}
+""")
 def hash_sample(spark, d):
     return sorting.hash_sample(_t(spark, d, "orders"), 0.25, ["o_orderkey"], seed=1789)
 

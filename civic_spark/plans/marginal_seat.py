@@ -78,11 +78,11 @@ def coalition_table(election: DataFrame, *, excluded=EXCLUDED_MUNICIPALITIES, ma
         return A.split_summary(council, MUN + ["coalition"], side.cast("int"), "mayor_coalition_member", aggs)
     if strategy != "aggregate":
         raise ValueError(strategy)
-    # municipality-year keyed tables: bounded by construction (see chamber.py), broadcast back
+    # municipality-year keyed tables, joined back; Spark broadcasts them where it measures them small
     mv = df.groupBy(*MUN).agg(F.count_if(mayor_row).alias("__mayors"),
                               F.max(F.when(mayor_row, F.col("party"))).alias("mayor_party"),
                               F.max(F.when(mayor_row, F.col("coalition"))).alias("mayor_coalition"))
-    df = df.join(F.broadcast(mv.filter(F.col("__mayors") == 1).drop("__mayors")), MUN)
+    df = df.join(mv.filter(F.col("__mayors") == 1).drop("__mayors"), MUN)
     df = df.withColumn("coalition", logic.empty_to("coalition", "party"))
     council = df.filter(pos == COUNCIL)
     ch = council.groupBy(*MUN).agg(A.count_if(seat, poison=True).alias("n_available_seats"),
@@ -95,7 +95,7 @@ def coalition_table(election: DataFrame, *, excluded=EXCLUDED_MUNICIPALITIES, ma
         F.try_divide(F.col("n_available_seats") * F.col("n_available_seats"), F.col("__sq")).alias("effective_parties"))
     coal = A.split_summary(council.filter(side.isNotNull()), MUN + ["coalition"], side.cast("int"),
                            "mayor_coalition_member", _summary(el))
-    return coal.join(F.broadcast(ch), MUN, "left")
+    return coal.join(ch, MUN, "left")
 
 
 def build(election: DataFrame, *, order: str = "round_first", **kw) -> DataFrame:

@@ -44,10 +44,11 @@ def build(raw: DataFrame, candidate: DataFrame, municipality_dim: DataFrame) ->
     df = df.withColumns({"year_" + d[len("date_"):]: F.year(d) for d in dates})
     df = df.withColumn("year_termination", logic.replace_na(logic.pmax("year_end", "year_cancel"),
                                                             DEFAULT_TERMINATION_YEAR))
+    title = text.pad_left("elec_title", TITLE_WIDTH)
     ids = candidate.filter(logic.not_in("cpf_candidate", DEFECTIVE_IDS)) \
-        .select("elec_title", "cpf_candidate", "candidate_name").distinct() \
-        .select(text.pad_left("elec_title", TITLE_WIDTH).alias("electoral_title"), "cpf_candidate",
-                "candidate_name")
-    # plain equality: a missing title identifies nobody (a null-safe join would
-    # pair every member without a title with every candidate without one)
+        .select(title.alias("electoral_title"), "cpf_candidate", "candidate_name") \
+        .filter(F.col("electoral_title").rlike("[^0]")).distinct()
+    # A missing, empty or all-zero title identifies nobody: such candidates are left
+    # out and equality is plain, so members without a title stay unmatched instead
+    # of pairing with every candidate without one.
     return left_join(df, ids, "electoral_title", null_safe=False)

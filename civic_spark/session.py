@@ -13,7 +13,9 @@ the knobs that differ between a laptop and a large cluster:
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -82,8 +84,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (HDFS / object store)
-    folder and is used as is.  Only when it is unset (tests, local runs) a
-    fresh scratch folder is created and registered.
+    folder and is used as is.  Only a ``local`` master may go without it
+    (tests): it gets a scratch folder that is removed at exit.  Any other
+    master without the setting is an error, because a folder of the driver's
+    machine would be written by each executor on its own disk.
     """
     try:
         sc = spark.sparkContext
@@ -96,13 +100,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if sc is None or not is_local_master(sc.master):
+        raise ValueError("spark.checkpoint.dir is unset: name a folder that all executors share")
     path = tempfile.mkdtemp(prefix="civic-ckpt-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", path)
-    if sc is not None:
-        sc.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path
 
 
+def is_local_master(master: str) -> bool:
+    """``local`` and ``local[n]`` run in one process; ``local-cluster[...]`` does not."""
+    return master == "local" or master.startswith("local[")
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder.
 
@@ -114,24 +125,6 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
-def read_table(spark: SparkSession, base: str, name: str, *, spread: bool = False) -> DataFrame:
-    """Read one parquet table ``{base}/{name}.parquet``.
-
-    Parquet splits at row-group boundaries, so a small table written as one
-    row group arrives as a single task however many cores there are.  When
-    the scan yields fewer partitions than the session's default parallelism,
-    it is spread round-robin right after the scan (column pruning and
-    filters still reach the scan).  Large inputs already have more splits
-    than cores and are left untouched, so this never adds a shuffle at scale.
-    Worth it only before heavy per-row work (whole-text folding, regex over
-    HTML); cheap aggregations run faster on the single scan task.
-    """
-    df = spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
-    if spread:
-        try:
-            target = spark.sparkContext.defaultParallelism
-            if df.rdd.getNumPartitions() < target:
-                df = df.repartition(target)
-        except Exception:  # noqa: BLE001 - remote (Connect) session: leave the scan as is
-            pass
-    return df
+def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """Read one parquet table ``{base}/{name}.parquet``."""
+    return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")

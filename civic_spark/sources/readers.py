@@ -123,16 +123,15 @@ def inline_table(spark: SparkSession, rows: list[tuple], schema: str | T.StructT
     return spark.createDataFrame(rows, schema)
 
 
-def coverage_grid(a: DataFrame, b: DataFrame, loaded: DataFrame, keys: list[str],
-                  max_b_values: int = 1000) -> DataFrame:
+def coverage_grid(a: DataFrame, b: DataFrame, loaded: DataFrame, keys: list[str]) -> DataFrame:
     """Every (a × b) cell not present in ``loaded`` — e.g. the party ×
-    state membership files that could not be fetched.  ``b`` is a small
-    domain list (states); its checked, bounded value list is exploded onto
-    each distinct ``a`` value, then cells already loaded are anti-joined."""
-    from ..operators.joins import bounded_values, left_join
+    state membership files that could not be fetched.  ``b`` is a domain list
+    (states): its values are exploded onto each distinct ``a`` value, then
+    cells already loaded are anti-joined."""
+    from ..operators.joins import left_join, value_list
 
     bcol = b.columns[0]
-    grid = a.distinct().withColumn(bcol, F.explode(bounded_values(b, bcol, max_b_values)))
+    grid = a.distinct().withColumn(bcol, F.explode(value_list(b, bcol)))
     return left_join(grid, loaded.select(*keys).distinct(), keys, how="left_anti")
 
 
