@@ -6,9 +6,11 @@ The term and t of the least a are the sample; two texts agree in a sample with p
 Jaccard similarity, sum of least over sum of largest weights (Ioffe 2010).  As a depends on nothing but term, t and k,
 its value names the sample: a text keeps ``SAMPLES`` minima, and its fingerprint is 16 bits of a hash of each.
 
-Draws.  A Gamma(2, 1) variable is the sum of two exponential ones, and the sum of two uniform ones modulo 1 is uniform.
-So the draws of a term are sums of two rows of fixed tables (``TABLE`` rows each, broadcast; their size does not depend
-on the data) picked by two halves of its hash, and all arithmetic stays in generated code: one minimum per sample.
+Draws.  A Gamma(2, 1) variable is the sum of two Gamma(1, 1) ones; by the duplication formula it is also twice the
+square root of a Gamma(1, 1) times a Gamma(3/2, 1) one, so its logarithm is a sum too; and the sum of two uniform
+variables modulo 1 is uniform.  So r, ln c and b of a term are sums of two rows of fixed tables (``TABLE`` rows each,
+broadcast; their size does not depend on the data) picked by two halves of its hash.  The three are fixed-point
+numbers of ``BITS`` bits in one long, so that one addition adds all three; the rest is generated code.
 
 Plan.  Texts are shuffled once by (id, text hash) and once more as the heads that edits borrow; terms are counted and
 minima taken within that partitioning, without a further exchange.
@@ -20,6 +22,8 @@ go in; null ids come first.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +31,10 @@ from civic_spark.llm.shared import global_rank, written
 
 SAMPLES = 64
 TABLE = 4096
+#: Fixed point: bits of a field, the units of r, ln c and b, and what is added to each half of ln c.
+BITS = 20
+R_UNIT, C_UNIT, B_UNIT = 2.0 ** -15, 2.0 ** -15, 2.0 ** -20
+C_LOW = 20.0
 WORD = r"[^\x20\x09-\x0D]+"
 DOC, NEXT = ["doc", "tkey"], ["next_doc", "next_tkey"]
 NO_ID = -(1 << 63)
@@ -38,15 +46,29 @@ def _uniform(*parts: Column) -> Column:
 
 
 def draw_table(spark, which: int) -> DataFrame:
-    """Table ``which`` (0 or 1) of draws: row h{which}, arrays r, c (exponential) and b (uniform) of SAMPLES values."""
+    """Table ``which`` (0 or 1) of draws: row h{which}, array p{which} of SAMPLES packed draws r, c, b.
+
+    r: Gamma(1, 1).  c: half the logarithm of a Gamma(1, 1) (table 0) or Gamma(3/2, 1) variable (table 1: exponential
+    plus half a squared normal one), from -C_LOW up.  b: uniform.  A field has BITS bits and one for the carry.
+    """
     h = F.col("id")
+    u = lambda salt, k: _uniform(F.lit(10 * which + salt), h, k)
+    exponential = lambda salt, k: -F.log(u(salt, k))
+    if which == 0:
+        log_c = lambda k: F.log(exponential(2, k)) / 2
+    else:
+        squared = lambda k: 2 * exponential(4, k) * F.pow(F.cos(u(5, k) * F.lit(2 * math.pi)), 2)
+        log_c = lambda k: F.log(exponential(2, k) + squared(k) / 2) / 2
+    top = (1 << BITS) - 1
+
+    def field(value: Column, unit: float, at: int) -> Column:
+        return F.shiftleft(F.least(F.greatest(F.floor(value / F.lit(unit)), F.lit(0)), F.lit(top)), at * (BITS + 1))
 
-    def values(salt: int, log: bool) -> Column:
-        one = lambda k: _uniform(F.lit(10 * which + salt), h, k)
-        return F.transform(F.sequence(F.lit(0), F.lit(SAMPLES - 1)), lambda k: -F.log(one(k)) if log else one(k))
+    def packed(k: Column) -> Column:
+        return field(exponential(1, k), R_UNIT, 2) + field(log_c(k) + C_LOW, C_UNIT, 1) + field(u(3, k), B_UNIT, 0)
 
-    return written(spark.range(TABLE).select(h.alias(f"h{which}"), values(1, True).alias(f"r{which}"),
-                                             values(2, True).alias(f"c{which}"), values(3, False).alias(f"b{which}")))
+    each = F.sequence(F.lit(0), F.lit(SAMPLES - 1))
+    return written(spark.range(TABLE).select(h.alias(f"h{which}"), F.transform(each, packed).alias(f"p{which}")))
 
 
 def sampled(texts: DataFrame, keys: list[str]) -> DataFrame:
@@ -61,11 +83,12 @@ def sampled(texts: DataFrame, keys: list[str]) -> DataFrame:
     rows = rows.join(F.broadcast(draw_table(spark, 0)), "h0").join(F.broadcast(draw_table(spark, 1)), "h1")
     least = []
     for k in range(SAMPLES):
-        r = F.col("r0")[k] + F.col("r1")[k]
-        b = F.col("b0")[k] + F.col("b1")[k]
-        b = b - F.floor(b)
+        both = F.col("p0")[k] + F.col("p1")[k]
+        r = (F.shiftrightunsigned(both, 2 * (BITS + 1)) + 1) * F.lit(R_UNIT)
+        c = F.shiftrightunsigned(both, BITS + 1).bitwiseAND(F.lit((2 << BITS) - 1)) * F.lit(C_UNIT)
+        b = both.bitwiseAND(F.lit((1 << BITS) - 1)) * F.lit(B_UNIT)
         t = F.floor(F.col("lw") / r + b)
-        least.append(F.min(F.log(F.col("c0")[k] + F.col("c1")[k]) - r * (t - b + 1)).alias(f"a{k}"))
+        least.append(F.min(c - r * (t - b + 1)).alias(f"a{k}"))
     minima = rows.groupBy(*keys).agg(*least)
     digits = [F.lpad(F.lower(F.hex(F.xxhash64(f"a{k}").bitwiseAND(F.lit(0xFFFF)))), 4, "0") for k in range(SAMPLES)]
     return minima.select(*keys, F.concat(*digits).alias("fingerprint"))
