@@ -78,7 +78,8 @@ def parse(text: str) -> list[tuple[str, str]]:
             raise GrammarError(f"unknown name at {at}")
         out, last = [], colon + 2
         for token in _TOKEN.finditer(text, last):
-            out.append(text[last:token.start()])
+            plain = text[last:token.start()]
+            out.append(plain)
             last = token.end()
             if token[1] is not None:
                 out.append(token[1])
@@ -88,10 +89,9 @@ def parse(text: str) -> list[tuple[str, str]]:
                 raise GrammarError(f"control string in a body at {token.start()}")
         else:
             raise GrammarError("a turn does not end")
-        body = "".join(out)
-        if body[-1:] != "\n" or text[last:last + 1] != "\n" or text[token.start() - 2:token.start()] == "\\\n":
+        if plain[-1:] != "\n" or text[last:last + 1] != "\n":
             raise GrammarError(f"a turn ends badly at {last}")
-        turns.append((role, body[:-1]))
+        turns.append((role, "".join(out)[:-1]))
         at = last + 1
     return turns
 

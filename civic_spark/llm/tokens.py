@@ -106,7 +106,7 @@ class Document:
         for m in counter.pattern.finditer(text, end):
             pieces.append(m[0])
             end = m.end()
-            if end >= start + len(replacement) and (end - shift) in old_cuts and end - shift >= stop:
+            if end - shift >= stop and old_cuts.get(end - shift, first) > first:
                 last = old_cuts[end - shift]
                 break
         self._splice(first, last, pieces, counter)

@@ -32,6 +32,8 @@ from civic_spark.llm.arrow_text import ALNUM_WORDS, CHUNK, LOWER, hash_words, mi
 FEATURES = 1 << 20
 MAX_POSITIVE, MAX_UNLABELLED = 4000, 12000
 THRESHOLD = 0.7
+#: Features under which a text's length does not matter.
+SHORT = 128
 #: Bytes of the prefixes of words that are features beside the words.
 PREFIXES = (4, 5, 6, 7)
 
@@ -83,8 +85,8 @@ class Model:
 
 
 def _length(features: np.ndarray) -> float:
-    """How much a text says: a long one holds any given word more easily."""
-    return float(np.log1p(len(features))) - 6.0
+    """How much a text says: a long one holds any given word more easily.  Short and empty texts count alike."""
+    return float(np.log(max(len(features), SHORT))) - 6.0
 
 
 def _logit(p: float) -> float:
