@@ -5,10 +5,11 @@ Words are runs of digits, a-z and characters above U+007F after lower-casing A-Z
 1. Index.  One pass over the documents writes the postings (term, document, position) of every term that benchmark
    items use, and one sentinel posting per document that holds its word count.  A term's frequency is a count over it.
 2. Items.  Items with the same words are searched once.  A window is ``size`` consecutive words of an item (a shorter
-   item is one window).  Each window is looked up by its rarest term in the corpus; neighbouring windows mostly share
-   it.  A window with a term that the corpus lacks cannot occur.
-3. Alignments.  Each posting of a rarest term, shifted by the term's offset in the item, says where the item would
-   begin in the document: (document, item, shift), one row however many of its windows point there.
+   item is one window).  Each window is looked up by its ``SEEDS`` rarest terms in the corpus; neighbouring windows
+   mostly share them.  A window with a term that the corpus lacks cannot occur.
+3. Alignments.  Each posting of a rare term, shifted by the term's offset in the item, says where the item would begin
+   in the document.  Where the shifted lists of all rare terms of a window meet, the item is aligned: (document, item,
+   shift), one row however many of its windows point there.
 4. Intersection.  An alignment expects term j at shift + j.  Joining what is expected with the postings gives the
    matched positions; runs of at least ``size`` consecutive ones are exact occurrences, and their words are hit.
    ``proximity_matches`` uses the same index for all terms of an item within a span, in any order.
@@ -32,6 +33,8 @@ from civic_spark.llm.shared import written
 from civic_spark.session import ensure_checkpoint_dir
 
 SIZE = 13
+#: Rare terms of a window whose postings must meet.
+SEEDS = 3
 WORD = r"[0-9a-z\x{80}-\x{10FFFF}]+"
 #: Rows up to which a table is broadcast; larger ones are joined by a shuffle.
 SMALL = 200_000
@@ -71,13 +74,23 @@ def build_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def seeds(terms: DataFrame, index: DataFrame, size: int = SIZE) -> DataFrame:
-    """(class, j, term): the rarest term of each window of each item."""
+    """(class, seed, of, k, j, term): per set ``seed`` of the rarest terms of a window, its ``of`` terms and their places."""
     frequency = written(index.groupBy("term").agg(F.count("*").alias("df")))
     known = terms.join(frequency, "term", "left").withColumn("df", F.coalesce("df", F.lit(0)))
     ahead = Window.partitionBy("class").orderBy("j").rowsBetween(0, size - 1)
-    rarest = known.withColumn("rarest", F.min(F.struct("df", "j", "term")).over(ahead))
-    windows = rarest.where((F.col("j") <= F.col("n") - size) | ((F.col("n") < size) & (F.col("j") == 0)))
-    return windows.where("rarest.df > 0").select("class", F.col("rarest.j").alias("j"), F.col("rarest.term").alias("term")).distinct()
+    words_ahead = known.withColumn("w", F.array_sort(F.collect_list(F.struct("df", "j", "term")).over(ahead)))
+    windows = words_ahead.where((F.col("j") <= F.col("n") - size) | ((F.col("n") < size) & (F.col("j") == 0)))
+    rare = F.slice("w", 1, SEEDS).alias("rare")
+    sets = windows.where(F.col("w")[0]["df"] > 0).select("class", rare).distinct()
+    return sets.select("class", F.xxhash64("class", "rare").alias("seed"), F.size("rare").alias("of"), F.posexplode("rare").alias("k", "r")).select(
+        "class", "seed", "of", "k", "r.j", "r.term")
+
+
+def alignments(index: DataFrame, start: DataFrame) -> DataFrame:
+    """(doc, tkey, class, shift) where the shifted postings of all terms of a seed meet."""
+    lists = index.where("term <> ''").join(start, "term").select(*KEY, "class", "seed", "of", (F.col("pos") - F.col("j")).alias("shift"), "k")
+    met = lists.groupBy(*KEY, "class", "seed", "of", "shift").agg(F.bit_or(F.expr("shiftleft(1, k)")).alias("met"))
+    return met.where(F.bit_count("met") == F.col("of")).select(*KEY, "class", "shift").distinct()
 
 
 def occurrences(docs: DataFrame, items: DataFrame, size: int = SIZE) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -85,9 +98,7 @@ def occurrences(docs: DataFrame, items: DataFrame, size: int = SIZE) -> tuple[Da
     terms, members = item_classes(items)
     index = build_index(docs, terms)
     start = _small(written(seeds(terms, index, size)))
-    found = (index.where("term <> ''").join(start, "term")
-             .select(*KEY, "class", (F.col("pos") - F.col("j")).alias("shift")).distinct())
-    aligned = written(found)
+    aligned = written(alignments(index, start))
     expected = aligned.join(_small(terms), "class").select(*KEY, "class", "shift", "j", "n", "term", (F.col("shift") + F.col("j")).alias("pos"))
     inside = _small(written(aligned.select(*KEY).distinct()))
     near = index.where("term <> ''").join(inside, KEY, "left_semi")
