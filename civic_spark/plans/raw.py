@@ -53,10 +53,20 @@ def bind_yearly(spark: SparkSession, paths_by_year: Mapping[int, str | Sequence[
 
 def bind_candidates(spark: SparkSession, paths_by_year: Mapping[int, str | Sequence[str]], **kw
                     ) -> tuple[DataFrame, DataFrame]:
-    """D0d: the yearly candidate files, named by position per year."""
-    from ..sources.schemas import candidate_names_for_year
+    """D0d: the yearly candidate files, named by position per year (S12) and
+    mapped to the one layout that D4 reads: the 2012 names fill the names of
+    the other years, and columns that no year brings are typed NULLs."""
+    from ..sources.schemas import CANDIDATE_2012_SOURCES, CANDIDATE_RAW, candidate_names_for_year
 
-    return bind_yearly(spark, paths_by_year, {y: candidate_names_for_year(y) for y in paths_by_year}, **kw)
+    table, status = bind_yearly(spark, paths_by_year, {y: candidate_names_for_year(y) for y in paths_by_year}, **kw)
+    cols = []
+    for f in CANDIDATE_RAW.fields:
+        found = [F.col(n) for n in (f.name, CANDIDATE_2012_SOURCES.get(f.name)) if n in table.columns]
+        value = F.coalesce(*found) if found else F.lit(None)
+        if f.dataType.typeName() == "decimal":
+            value = F.regexp_replace(value.cast("string"), ",", ".")
+        cols.append(value.try_cast(f.dataType).alias(f.name))
+    return table.select(*cols, "ANO_ARQUIVO"), status
 
 
 def bind_same_layout(spark: SparkSession, base: str, glob: str, names: Sequence[str], **kw) -> DataFrame:

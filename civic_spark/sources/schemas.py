@@ -113,6 +113,21 @@ CANDIDATE_NAMES_2012 = [
     "DS_COR_RACA", "CD_OCUPACAO", "DS_OCUPACAO", "NR_DESPESA_MAX_CAMPANHA", "CD_SIT_TOT_TURNO",
     "DS_SIT_TOT_TURNO", "ST_REELEICAO", "ST_DECLARAR_BENS", "NR_PROTOCOLO_CANDIDATURA", "NR_PROCESSO",
 ]
+#: The names of the 2012 layout behind the names used since the first feeds.
+CANDIDATE_2012_SOURCES = {
+    "SIGLA_UE": "SG_UE", "DESCRICAO_UE": "NM_UE", "SIGLA_UF": "SG_UF", "DESCRICAO_ELEICAO": "DS_ELEICAO",
+    "NUM_TURNO": "NR_TURNO", "CODIGO_CARGO": "CD_CARGO", "DESCRICAO_CARGO": "DS_CARGO",
+    "NOME_CANDIDATO": "NM_CANDIDATO", "NUMERO_CANDIDATO": "NR_CANDIDATO",
+    "DES_SITUACAO_CANDIDATURA": "DS_SITUACAO_CANDIDATURA", "CPF_CANDIDATO": "NR_CPF_CANDIDATO",
+    "SIGLA_PARTIDO": "SG_PARTIDO", "COMPOSICAO_LEGENDA": "DS_COMPOSICAO_COLIGACAO", "NOME_COLIGACAO": "NM_COLIGACAO",
+    "CODIGO_OCUPACAO": "CD_OCUPACAO", "DESCRICAO_OCUPACAO": "DS_OCUPACAO", "DATA_NASCIMENTO": "DT_NASCIMENTO",
+    "NUM_TITULO_ELEITORAL_CANDIDATO": "NR_TITULO_ELEITORAL_CANDIDATO", "IDADE_DATA_ELEICAO": "NR_IDADE_DATA_POSSE",
+    "CODIGO_SEXO": "CD_GENERO", "COD_GRAU_INSTRUCAO": "CD_GRAU_INSTRUCAO",
+    "DESCRICAO_GRAU_INSTRUCAO": "DS_GRAU_INSTRUCAO", "CODIGO_MUNICIPIO_NASCIMENTO": "CD_MUNICIPIO_NASCIMENTO",
+    "NOME_MUNICIPIO_NASCIMENTO": "NM_MUNICIPIO_NASCIMENTO", "DESPESA_MAX_CAMPANHA": "NR_DESPESA_MAX_CAMPANHA",
+    "DESC_SIT_TOT_TURNO": "DS_SIT_TOT_TURNO", "EMAIL_CANDIDATO": "NM_EMAIL", "DESCRICAO_COR_RACA": "DS_COR_RACA",
+    "DESCRICAO_ESTADO_CIVIL": "DS_ESTADO_CIVIL",
+}
 # --- end of fixed values ---
 
 assert len(CANDIDATE_NAMES_BEFORE_2012) == 43 and len(CANDIDATE_NAMES_2012) == 58

@@ -166,3 +166,14 @@ def test_bucketed_windows_put_null_buckets_last(spark):
     b = windows.ordered_bucketed(df, ["k"], F.col("y"), ["y"], sums={"s": (F.col("v"), True)}, seq={"rn": 0})
     a = windows.running_sum(windows.sequence_number(df, ["k"], ["y"], "rn"), ["k"], ["y"], F.col("v"), "s")
     assert sorted((tuple(r) for r in b.collect()), key=str) == sorted((tuple(r) for r in a.select(*b.columns).collect()), key=str)
+
+
+def test_reaggregate_keeps_different_attributes_apart(spark):
+    df = spark.createDataFrame([("k", 10, "a / b"), ("k", 5, "c / d"), ("k", 1, None)], "k string, v int, c string")
+    assert sorted(rows(A.reaggregate_duplicates(df, ["k"], ["v"], ["c"], ["c"]))) == [("k", 5, "c / d"), ("k", 11, "a / b")]
+
+
+def test_hash_sample_of_a_tiny_fraction(spark):
+    from civic_spark.operators import sorting
+    n = sorting.hash_sample(spark.range(1_000_000), 1e-5, ["id"], seed=3).count()
+    assert 2 <= n <= 25

@@ -111,3 +111,22 @@ def test_bind_candidates_by_year(spark):
     rows = {r["ANO_ARQUIVO"]: r for r in table.collect()}
     assert rows[2008]["DESC_SIT_TOT_TURNO"] == "42" and rows[2012]["NR_PROCESSO"] == "57"
     assert rows[2008]["NR_PROCESSO"] is None
+
+
+def test_2012_candidates_reach_the_common_layout(spark, tmp_path):
+    from civic_spark.plans import raw
+    from civic_spark.sources import schemas
+
+    def line(names, values):
+        return ";".join(f'"{values.get(n, "")}"' for n in names) + "\n"
+
+    _write(str(tmp_path / "c_2008.txt"), line(schemas.CANDIDATE_NAMES_BEFORE_2012, {
+        "ANO_ELEICAO": "2008", "NOME_CANDIDATO": "ANA", "SIGLA_UE": "00001", "DESPESA_MAX_CAMPANHA": "10,5"}))
+    _write(str(tmp_path / "c_2012.txt"), line(schemas.CANDIDATE_NAMES_2012, {
+        "ANO_ELEICAO": "2012", "NM_CANDIDATO": "BIA", "SG_UE": "00002", "NM_EMAIL": "b@x", "DS_COR_RACA": "PARDA", "NR_TURNO": "1"}))
+    table, _ = raw.bind_candidates(spark, {y: str(tmp_path / f"c_{y}.txt") for y in (2008, 2012)})
+    assert table.columns[:-1] == schemas.CANDIDATE_RAW.fieldNames()
+    got = {r.ANO_ELEICAO: r for r in table.collect()}
+    assert (got["2008"].NOME_CANDIDATO, got["2008"].SIGLA_UE, float(got["2008"].DESPESA_MAX_CAMPANHA), got["2008"].EMAIL_CANDIDATO) == ("ANA", "00001", 10.5, None)
+    r = got["2012"]
+    assert (r.NOME_CANDIDATO, r.SIGLA_UE, r.EMAIL_CANDIDATO, r.DESCRICAO_COR_RACA, r.NUM_TURNO) == ("BIA", "00002", "b@x", "PARDA", 1)
