@@ -15,8 +15,8 @@ def _plan(df) -> str:
 
 
 def test_no_unpartitioned_window_or_cartesian_in_registered_queries(spark):
-    import __spark_entry__ as e
-    for name, fn in e.queries().items():
+    from civic_spark.plans import driver_queries
+    for name, fn in driver_queries.queries().items():
         if name.startswith(("m1", "m2", "s1", "stream")):
             continue
         p = _plan(fn(spark, SF))
@@ -64,3 +64,27 @@ def test_chamber_and_marginal_seat_shuffle_the_election_table_once(spark):
             assert len(big) == 1 and len(ex) == 1 + extra, ex
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def _shuffle_plan(spark, name):
+    """Plan of a registered query as between large tables: no broadcast, before AQE."""
+    from civic_spark.plans import driver_queries
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        return _plan(driver_queries.queries()[name](spark, SF))
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+
+
+def test_group_flags_and_values_take_two_exchanges(spark):
+    for name in ("f7_keep_orders_any_returned", "f8_orders_single_linestatus", "f9_drop_orders_any_returned_null",
+                 "f10_orders_exactly_one_returned", "w1_line_share_of_order", "a14_fill_first_priority"):
+        assert _shuffle_plan(spark, name).count("Exchange hashpartitioning") == 2, name
+    assert _shuffle_plan(spark, "a7_a8_a11_order_line_stats").count("Exchange hashpartitioning") == 1
+
+
+def test_flagship_limits_groups_before_the_exchange(spark):
+    assert "WindowGroupLimit" in _shuffle_plan(spark, "w7_a19_supplier_concentration")
