@@ -290,18 +290,17 @@ def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array(rows[3], pa.binary())], names=[*KEY, "n_bytes", "n_removed", "n_spans", "kept"])
 
 
-def _common(lo: int, hi: int):
-    """Bytes that all strings with offsets in [lo, hi) around a place share."""
-    return F.expr(f"substring(bytes, l - {lo} + 1, {SPAN + 1 - (hi - lo)})")
-
-
-def _halves(places: DataFrame, lo: int, hi: int) -> DataFrame:
-    """Places whose strings with offsets in [lo, hi) still matter, cut to them and grouped by what these share."""
-    fits = places.where((F.col("l") >= lo) & (F.col("r") >= SPAN - (hi - 1)))
-    before, after = F.least("l", F.lit(hi - 1)), F.least("r", F.lit(SPAN - lo))
-    return fits.select(
-        F.xxhash64("gid", F.lit(lo), F.lit(hi), _common(lo, hi)).alias("gid"), *KEY, "pos", "times", before.alias("l"), after.alias("r"),
-        F.expr(f"substring(bytes, l - least(l, {hi - 1}) + 1, least(l, {hi - 1}) + least(r, {SPAN - lo}))").alias("bytes"))
+def _halves(places: DataFrame) -> DataFrame:
+    """Both halves of every place's range of offsets: places cut to the strings of their half, and grouped by the bytes
+    that all these strings share.  Places without a string in a half leave it."""
+    middle = ((F.col("lo") + F.col("hi")) / 2).cast("int")
+    half = F.explode(F.array(F.struct(F.col("lo").alias("lo"), middle.alias("hi")), F.struct(middle.alias("lo"), F.col("hi").alias("hi"))))
+    both = places.where("hi - lo > 1").withColumn("half", half).withColumns({"lo": F.col("half.lo"), "hi": F.col("half.hi")}).drop("half")
+    fits = both.where((F.col("l") >= F.col("lo")) & (F.col("r") >= SPAN + 1 - F.col("hi")))
+    cut = fits.withColumns({"before": F.least("l", F.col("hi") - 1), "after": F.least("r", SPAN - F.col("lo"))})
+    shared = F.expr(f"substring(bytes, l - lo + 1, {SPAN + 1} - (hi - lo))")
+    return cut.select(F.xxhash64("gid", "lo", "hi", shared).alias("gid"), *KEY, "pos", "times", "lo", "hi", F.col("before").alias("l"),
+                      F.col("after").alias("r"), F.expr("substring(bytes, l - before + 1, before + after)").alias("bytes"))
 
 
 def _interval() -> list:
@@ -344,21 +343,18 @@ def repeated_intervals(keyed: DataFrame) -> DataFrame:
     found = [whole]
     # A row repeated in full brings its places again.
     group = written(_wanted(cut.dropDuplicates([*KEY, "anchor", "pos"]).withColumn("gid", F.col("anchor")).drop("anchor", "around")))
-    todo = [(0, WINDOW, group)]
-    while todo:
-        lo, hi, group = todo.pop()
+    group = group.withColumns({"lo": F.lit(0), "hi": F.lit(WINDOW)})
+    while True:
         small = group.where(F.col("group_size") <= MOST)
         ordered = small.repartition("gid").sortWithinPartitions("gid")
         found.append(written(ordered.select("gid", *KEY, "pos", "times", "l", "bytes").mapInArrow(_agreements, INTERVALS)))
-        large = group.where(F.col("group_size") > MOST).drop("group_size")
-        if hi - lo > 1 and not large.isEmpty():
-            middle = (lo + hi) // 2
-            for a, b in ((lo, middle), (middle, hi)):
-                equal, rest = _one_per_text(_halves(large, a, b))
-                found.append(written(equal))
-                rest = written(_wanted(rest))
-                if not rest.isEmpty():
-                    todo.append((a, b, rest))
+        large = group.where((F.col("group_size") > MOST) & (F.col("hi") - F.col("lo") > 1)).drop("group_size")
+        if large.isEmpty():
+            break
+        # One round per halving: all ranges of all large groups at a time.
+        equal, rest = _one_per_text(_halves(large))
+        found.append(written(equal))
+        group = written(_wanted(rest))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
