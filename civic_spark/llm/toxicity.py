@@ -19,6 +19,7 @@ count as toxic if any is; null labels don't count; with no positive or no unlabe
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from civic_spark.llm.arrow_text import ALNUM_WORDS, CHUNK, LOWER, hash_words, mix, text_buffers, words_at
 
 FEATURES = 1 << 20
-MAX_POSITIVE, MAX_UNLABELLED = 4000, 12000
+MAX_POSITIVE, MAX_UNLABELLED = 3000, 9000
 THRESHOLD = 0.7
 #: Features under which a text's length does not matter.
 SHORT = 128
@@ -94,12 +95,19 @@ def _logit(p: float) -> float:
     return float(np.log(p / (1 - p)))
 
 
+def _counts(rows: list[np.ndarray]) -> np.ndarray:
+    """Texts that hold each feature."""
+    out = np.zeros(FEATURES, np.int64)
+    for r in rows:
+        out[r] += 1
+    return out
+
+
 def _screened(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, least: int = 4, z: float = 4.0,
               purity: float = 0.65) -> np.ndarray:
     """Features more frequent in positives beyond chance, of which toxic texts hold at least ``purity`` by the prior."""
     n1, n0 = len(positive), len(unlabelled)
-    c1 = np.bincount(np.concatenate(positive), minlength=FEATURES)
-    c0 = np.bincount(np.concatenate(unlabelled), minlength=FEATURES)
+    c1, c0 = _counts(positive), _counts(unlabelled)
     pooled = (c1 + c0) / (n1 + n0)
     spread = np.sqrt(np.maximum(pooled * (1 - pooled), 1e-12) * (1 / n1 + 1 / n0))
     toxic_share = prior * (c1 / n1) / ((c0 + 1) / n0)
@@ -179,7 +187,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, ma
     got = texts.mapInArrow(_feature_rows, "positive boolean, features array<int>").toArrow()
     mark = np.asarray(got.column("positive").combine_chunks().to_numpy(zero_copy_only=False), dtype=bool)
     rows = [np.asarray(x.values, dtype=np.int32) for x in got.column("features")]
-    order_by = sorted(range(len(rows)), key=lambda k: (mark[k], rows[k].tobytes()))
+    order_by = sorted(range(len(rows)), key=lambda k: (mark[k], len(rows[k]), zlib.crc32(rows[k])))
     return train([rows[k] for k in order_by if mark[k]], [rows[k] for k in order_by if not mark[k]], float(share or 0.0))
 
 
