@@ -344,9 +344,11 @@ def repeated_intervals(keyed: DataFrame) -> DataFrame:
     # A row repeated in full brings its places again.
     group = written(_wanted(cut.dropDuplicates([*KEY, "anchor", "pos"]).withColumn("gid", F.col("anchor")).drop("anchor", "around")))
     group = group.withColumns({"lo": F.lit(0), "hi": F.lit(WINDOW)})
+    tasks = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     while True:
         small = group.where(F.col("group_size") <= MOST)
-        ordered = small.repartition("gid").sortWithinPartitions("gid")
+        # A number of partitions, as sorting costs far more than its few bytes suggest.
+        ordered = small.repartition(tasks, "gid").sortWithinPartitions("gid")
         found.append(written(ordered.select("gid", *KEY, "pos", "times", "l", "bytes").mapInArrow(_agreements, INTERVALS)))
         large = group.where((F.col("group_size") > MOST) & (F.col("hi") - F.col("lo") > 1)).drop("group_size")
         if large.isEmpty():
