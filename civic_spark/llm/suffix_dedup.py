@@ -29,6 +29,7 @@ repeated in full, count as documents of their own.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,7 +48,7 @@ WINDOW = SPAN - GRAM + 1
 #: Bytes whose anchors are found at a time.
 SEGMENT = 1 << 20
 #: Distinct surroundings that one task sorts together.
-MOST = 256
+MOST = 64
 #: Symbols sorted in one suffix array; a task goes through its groups in such portions.
 PORTION = 100_000
 KEY = ["doc", "tkey"]
@@ -209,12 +210,11 @@ def _levels(texts: list[bytes]) -> list[list[tuple[int, int]]]:
     last = 0
     for k, t in enumerate(order):
         most = max(common[k], common[k + 1])
-        for j, d in enumerate(depths):
-            if common[k] < d or not k:
+        for j in range(bisect_right(depths, most)):
+            if common[k] < depths[j] or not k:
                 last += 1
                 node[j] = last
-            if d <= most:
-                out[t].append((d, node[j]))
+            out[t].append((depths[j], node[j]))
     return out
 
 

@@ -62,7 +62,7 @@ def test_signature_agreement_is_similarity():
         assert abs(np.mean(shares) - (n - n // 2) / (n + n // 2)) < 0.06
 
 
-@pytest.mark.parametrize("most", [256, 2])
+@pytest.mark.parametrize("most", [64, 2])
 def test_repeated_substrings_against_windows(spark, monkeypatch, most):
     monkeypatch.setattr(suffix_dedup, "MOST", most)
     rows = texts(5) + [(20, "again"), (None, "z" * 500)]
