@@ -142,8 +142,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = len(cut)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.repeat(one.column(c).to_numpy(), n)) for c in (0, 1)]
-                + [wanted.field(name) for name in ("anchor", "around", "times", "pos", "l", "r")] + [pa.array(cut, pa.binary())],
-                names=[*KEY, "anchor", "around", "times", "pos", "l", "r", "bytes"])
+                + [wanted.field(name) for name in ("anchor", "group_size", "times", "pos", "l", "r")] + [pa.array(cut, pa.binary())],
+                names=[*KEY, "anchor", "group_size", "times", "pos", "l", "r", "bytes"])
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -308,13 +308,16 @@ def _interval() -> list:
 
 
 def _one_per_text(places: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(intervals of places whose bytes another place of the group has as a whole, one place per distinct bytes)."""
+    """(intervals of places whose bytes another place of the group has as a whole, one place per distinct bytes).
+
+    Bytes are shuffled once, after equal ones are combined; places are matched with the counts without their bytes.
+    """
     named = places.withColumn("h", F.sha2("bytes", 256))
-    totals = written(named.groupBy("gid", "h").agg(F.sum("times").alias("total"), F.min(F.struct(*KEY, "pos")).alias("one")))
-    joined = named.join(totals, ["gid", "h"])
-    whole = joined.where((F.col("total") > 1) & (F.col("l") + F.col("r") >= SPAN)).select(*_interval())
-    one = joined.where(F.struct(*KEY, "pos") == F.col("one")).withColumn("times", F.col("total"))
-    return whole, one.dropDuplicates(["gid", "h"]).drop("h", "total", "one")
+    one = written(named.groupBy("gid", "h").agg(F.sum("times").alias("total"), F.min(F.struct(*KEY, "pos", "l", "r", "lo", "hi")).alias("one"),
+                                                F.first("bytes").alias("bytes")))
+    again = one.where("total > 1").select("gid", "h")
+    whole = named.drop("bytes").join(again, ["gid", "h"]).where(F.col("l") + F.col("r") >= SPAN).select(*_interval())
+    return whole, one.select("gid", "one.*", F.col("total").alias("times"), "bytes")
 
 
 def _wanted(places: DataFrame) -> DataFrame:
@@ -334,15 +337,16 @@ def repeated_intervals(keyed: DataFrame) -> DataFrame:
     totals = written(totals)
     whole = (places.join(totals.where("times > 1").select("anchor", "around"), ["anchor", "around"]).where(F.col("l") + F.col("r") >= SPAN)
              .select(*_interval()))
-    mixed = totals.groupBy("anchor").agg(F.count("*").alias("n"), F.min("times").alias("least")).where("n > 1 and least = 1").select("anchor")
-    asked = (totals.join(mixed, "anchor").select("anchor", "around", "times", "one.*").groupBy(*KEY)
-             .agg(F.collect_list(F.struct("anchor", "around", "times", "pos", "l", "r")).alias("asked")))
+    mixed = (totals.groupBy("anchor").agg(F.count("*").alias("n"), F.min("times").alias("least")).where("n > 1 and least = 1")
+             .select("anchor", F.col("n").alias("group_size")))
+    asked = (totals.join(mixed, "anchor").select("anchor", "group_size", "times", "one.*").groupBy(*KEY)
+             .agg(F.collect_list(F.struct("anchor", "group_size", "times", "pos", "l", "r")).alias("asked")))
     texts = keyed.mapInArrow(_pack, "doc long, tkey long, packed binary").join(asked, KEY)
     cut = texts.select(*KEY, "packed", "asked").mapInArrow(
-        _cut, "doc long, tkey long, anchor long, around long, times long, pos long, l int, r int, bytes binary")
+        _cut, "doc long, tkey long, anchor long, group_size long, times long, pos long, l int, r int, bytes binary")
     found = [whole]
-    # A row repeated in full brings its places again.
-    group = written(_wanted(cut.dropDuplicates([*KEY, "anchor", "pos"]).withColumn("gid", F.col("anchor")).drop("anchor", "around")))
+    # A row repeated in full brings its places again; they repeat as a whole, so nothing is learnt about them below.
+    group = written(cut.withColumnRenamed("anchor", "gid"))
     group = group.withColumns({"lo": F.lit(0), "hi": F.lit(WINDOW)})
     tasks = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     while True:
