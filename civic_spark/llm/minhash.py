@@ -17,24 +17,28 @@ With 40 bands of 6 rows, a pair at similarity 0.8 shares no bucket with probabil
 
 Defined results: a null text, an empty text and a text without words have an empty set and link with nothing; a row
 with a null id links with nothing, its component is null and it is kept; rows that repeat an id are one node, each
-row with its own set size; extra columns are ignored by ``near_duplicates``.
+row with its own set size; extra columns are ignored by ``near_duplicates``.  ``drop_near_duplicates`` decides by text
+instead, whatever the ids: see there.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civic_spark.llm.arrow_text import BASE, SPACE_WORDS, hashed_texts, mix, shingles
-from civic_spark.llm.shared import connected_components, written
+from civic_spark.llm.shared import connected_components, global_rank, written
 
 BANDS, ROWS = 40, 6
 BINS = BANDS * ROWS
-SKETCH = "doc_id long, n_shingles long, class_a long, class_b long, bands array<long>, parity array<long>"
+SKETCH = "n_shingles long, class_a long, class_b long, bands array<long>, parity array<long>"
+CLASS = ["class_a", "class_b", "n_shingles"]
+#: What tells texts apart when documents are dropped: the id, which may be null, and 128 bits of a hash of the text.
+TEXT = ["__id", "__text_a", "__text_b"]
 #: Bits of the parity sketch.
 PARITY = 512
 #: First value of each bin; bin i holds hashes h with i = floor(h * BINS / 2**64).
@@ -93,10 +97,11 @@ def parity(hashes: np.ndarray) -> np.ndarray:
 
 
 def _sketches(size: int):
+    """Sketches of the last column's texts, beside the other columns."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, a, b, keys, odd, at = [], [], [], [], [], [0]
-            for _, words in hashed_texts(batch.column(1), SPACE_WORDS, lower=True):
+            for _, words in hashed_texts(batch.column(batch.num_columns - 1), SPACE_WORDS, lower=True):
                 s = shingles(words, size)
                 n.append(len(s))
                 if len(s):
@@ -113,8 +118,8 @@ def _sketches(size: int):
             bits = pa.ListArray.from_arrays(pa.array([x * (PARITY // 64) // BANDS for x in at], pa.int32()),
                                             pa.array(np.concatenate([none, *odd])))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), bands, bits],
-                names=["doc_id", "n_shingles", "class_a", "class_b", "bands", "parity"])
+                [*batch.columns[:-1], pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), bands, bits],
+                names=[*batch.schema.names[:-1], "n_shingles", "class_a", "class_b", "bands", "parity"])
     return run
 
 
@@ -198,40 +203,90 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     return written(old.unionByName(new))
 
 
-def near_duplicates(docs: DataFrame, *, shingle_words: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept): connected components of near-duplicate texts.
+def _linked(one: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+    """(node, component) of the nodes that have links; ``one`` has a row (doc_id, n_shingles, bands, parity) per node.
 
-    ``docs`` has ``doc_id`` and ``text``.  ``kept`` marks the smallest id of each component.
+    ``sets_of`` gives the full sets (doc_id, items) of the nodes in a column ``doc_id``.
     """
-    sketch = written(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-                     .mapInArrow(_sketches(shingle_words), SKETCH))
-    classed = sketch.where("doc_id is not null and n_shingles > 0")
-    classes = classed.groupBy("class_a", "class_b", "n_shingles").agg(F.min("doc_id").alias("node"))
-    # A class's own sketch is that of its smallest id; a repeated id may bring another set, hence the class keys.
-    one = (classed.join(classes.withColumnRenamed("node", "doc_id"), ["doc_id", "class_a", "class_b", "n_shingles"])
-           .dropDuplicates(["doc_id", "class_a", "class_b"]))
     rows = one.select(F.col("doc_id").alias("v"), F.col("n_shingles").alias("n_v"), F.explode("bands").alias("key"))
     hubs = rows.groupBy("key").agg(F.min(F.struct("v", "n_v")).alias("hub"), F.count("*").alias("m")).where("m > 1")
     buckets = written(rows.join(hubs, "key")
                       .select("key", "v", "n_v", F.col("hub.v").alias("u"), F.col("hub.n_v").alias("n_u")))
     pairs = written(buckets.where(F.col("u") != F.col("v")).where(_size_fits(percent)).select("u", "v").distinct())
-    sets = written(shingle_sets(docs, buckets.select(F.col("v").alias("doc_id")).distinct(), shingle_words))
+    sets = written(sets_of(buckets.select(F.col("v").alias("doc_id")).distinct()))
     links = written(confirmed_links(sets, pairs, percent))
     labels = written(connected_components(links))
     more = written(_across(buckets.select("key", "v", "n_v"), one, labels, percent))
     found = written(confirmed_links(sets, more, percent))
-    labels = _merged(labels, found)
-    named = (classes.join(labels, "node", "left")
-             .select("class_a", "class_b", "n_shingles", F.coalesce("component", "node").alias("found")))
-    nodes = classed.select("doc_id", "class_a", "class_b", "n_shingles")
-    linked = nodes.join(named, ["class_a", "class_b", "n_shingles"]).select("doc_id", "n_shingles", F.col("found").alias("component_id"))
+    return _merged(labels, found)
+
+
+def near_duplicates(docs: DataFrame, *, shingle_words: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept): connected components of near-duplicate texts.
+
+    ``docs`` has ``doc_id`` and ``text``.  ``kept`` marks the smallest id of each component.
+    """
+    sketch = written(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+                     .mapInArrow(_sketches(shingle_words), f"doc_id long, {SKETCH}"))
+    classed = sketch.where("doc_id is not null and n_shingles > 0")
+    classes = classed.groupBy(*CLASS).agg(F.min("doc_id").alias("node"))
+    # A class's own sketch is that of its smallest id; a repeated id may bring another set, hence the class keys.
+    one = (classed.join(classes.withColumnRenamed("node", "doc_id"), ["doc_id", *CLASS])
+           .dropDuplicates(["doc_id", "class_a", "class_b"]))
+    labels = _linked(one, lambda ids: shingle_sets(docs, ids, shingle_words), percent)
+    named = classes.join(labels, "node", "left").select(*CLASS, F.coalesce("component", "node").alias("found"))
+    nodes = classed.select("doc_id", *CLASS)
+    linked = nodes.join(named, CLASS).select("doc_id", "n_shingles", F.col("found").alias("component_id"))
     alone = (sketch.where("doc_id is null or n_shingles = 0")
              .select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
     return linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with the columns ``TEXT``."""
+    text = F.col("text").cast("string")
+    return docs.withColumns(dict(zip(TEXT, (F.col("doc_id").cast("long"), F.xxhash64(text), F.xxhash64(F.lit(1), text)), strict=True)))
+
+
+def _same_text(a: DataFrame, b: DataFrame) -> Column:
+    return a["__id"].eqNullSafe(b["__id"]) & (a["__text_a"] == b["__text_a"]) & (a["__text_b"] == b["__text_b"])
+
+
 def drop_near_duplicates(docs: DataFrame, *, shingle_words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document per near-duplicate component (the smallest id), all columns as they were."""
-    lost = near_duplicates(docs, shingle_words=shingle_words, percent=percent).where("not kept").select(
-        F.col("doc_id").alias("__lost")).distinct()
-    return docs.join(lost, docs["doc_id"].cast("long") == F.col("__lost"), "left_anti")
+    """``docs`` with one row per near-duplicate component, all columns as they were.
+
+    Texts link by their words alone, so rows that repeat an id, with one text or several, and rows without an id are
+    compared like any others.  A component's row is that of the smallest id, null after all others, then of the least
+    text hash; among rows of one id and text, the one whose columns come first as JSON.  Texts without words are no
+    copies of anything: all their rows stay.
+    """
+    texts = _keyed(docs).select(*TEXT, F.col("text").cast("string").alias("text"))
+    sketch = written(texts.mapInArrow(_sketches(shingle_words), f"__id long, __text_a long, __text_b long, {SKETCH}"))
+    worded = sketch.where("n_shingles > 0")
+    first = F.min(F.struct(F.col("__id").isNull().alias("no_id"), *TEXT))
+    heads = worded.groupBy(*CLASS).agg(first.alias("head")).select(*CLASS, "head.*")
+    # A class is a node, numbered in the order of its first text.
+    nodes = written(global_rank(heads, ["no_id", *TEXT], rank="node"))
+    own = nodes.select(F.col("node").alias("doc_id"), *TEXT)
+    one = worded.join(own, _same_text(worded, own)).select("doc_id", "n_shingles", "bands", "parity").dropDuplicates(["doc_id"])
+
+    def sets_of(ids: DataFrame) -> DataFrame:
+        wanted = own.join(ids, "doc_id")
+        found = texts.join(wanted, _same_text(texts, wanted)).select(*[wanted[c] for c in TEXT], "doc_id", "text")
+        return (found.groupBy(*TEXT, "doc_id").agg(F.first("text").alias("text")).select("doc_id", "text")
+                .mapInArrow(_sets(shingle_words), "doc_id long, items binary"))
+
+    labels = _linked(one, sets_of, percent)
+    kept = written(nodes.join(labels, "node", "left").where("component is null or component = node").select(*TEXT))
+    times = worded.groupBy(*TEXT).agg(F.count("*").alias("times"))
+    lost = written(times.join(kept, _same_text(times, kept), "left_anti").select(*TEXT))
+    several = times.where("times > 1")
+    several = written(several.join(kept, _same_text(several, kept), "left_semi").select(*TEXT))
+    rows = _keyed(docs)
+    if several.isEmpty():
+        return rows.join(lost, _same_text(rows, lost), "left_anti").select(*docs.columns)
+    gone = lost.unionByName(several)
+    row = F.struct(*docs.columns)
+    again = rows.join(several, _same_text(rows, several), "left_semi")
+    again = again.groupBy(*TEXT).agg(F.min_by(row, F.to_json(row)).alias("row")).select("row.*")
+    return rows.join(gone, _same_text(rows, gone), "left_anti").select(*docs.columns).unionByName(again)

@@ -50,6 +50,24 @@ def test_near_duplicates_edges(spark):
     assert minhash.near_duplicates(frame(spark, [])).count() == 0
 
 
+def test_drop_keeps_one_row_per_component(spark):
+    a, b, near = "a b c d e f", "q r s t u", " ".join(f"w{k}" for k in range(40))
+    ids = lambda rows: sorted(((r.doc_id, r.text) for r in minhash.drop_near_duplicates(frame(spark, rows)).collect()), key=str)
+    assert ids([(1, a), (1, a), (1, a), (7, b)]) == [(1, a), (7, b)]
+    assert ids([(1, a), (2, a), (2, b)]) == [(1, a), (2, b)]
+    assert len(ids([(1, a), (1, b), (1, near), (1, near + " x")])) == 3
+    assert ids([(None, a), (None, a), (None, a.upper()), (None, b), (5, b)])[0] == (5, b)
+    assert len(ids([(None, a), (None, a), (None, a.upper()), (None, b), (5, b)])) == 2
+    assert ids([(None, near), (None, near + " x"), (3, near + " y")]) == [(3, near + " y")]
+    assert ids([(None, None), (None, None), (4, " "), (4, " ")]) == [(4, " "), (4, " "), (None, None), (None, None)]
+
+
+def test_drop_chooses_among_rows_of_one_text_by_their_columns(spark):
+    rows = [(1, "a b c d e f", source) for source in ("web", "books", "code")] + [(2, "a b c d e f", "a"), (3, "z", "web")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3, "source")
+    assert sorted(minhash.drop_near_duplicates(docs).collect()) == [(1, "a b c d e f", "books"), (3, "z", "web")]
+
+
 def test_signature_agreement_is_similarity():
     import numpy as np
     rng = np.random.default_rng(1)
