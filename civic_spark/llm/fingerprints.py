@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from civic_spark.llm.shared import global_rank, written
 
-SAMPLES = 48
+SAMPLES = 64
 TABLE = 4096
 #: Fixed point: bits of a field, the units of r, ln c and b, and what is added to each half of ln c.
 BITS = 20

@@ -136,6 +136,12 @@ def test_fingerprints(spark):
     assert fingerprints.edited_fingerprints(again.limit(0)).count() == 0
 
 
+def test_fingerprints_keep_64_samples(spark):
+    docs = spark.createDataFrame([(1, "p q r s"), (2, None)], "doc_id long, text string")
+    rows = fingerprints.edited_fingerprints(docs).collect()
+    assert len(rows) == 2 and all(len(r.fingerprint) >= 64 * 4 and len(r.edited_fingerprint) >= 64 * 4 for r in rows)
+
+
 def test_merkle_audit(spark):
     rows = [(k, f"u{k}", "h" * (k % 9)) for k in range(300)] + [(5, "u5", "other"), (None, None, None), (7, "u7", "h" * 7)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
