@@ -870,7 +870,8 @@ def yearly_layouts(spark, d):
         F.col("o_orderkey").alias("id"), F.col("y").alias("ano"), F.col("o_orderstatus").alias("st"),
         F.col("o_orderpriority").alias("prio"),
         F.regexp_replace(F.col("o_totalprice").cast("string"), r"\.", ",").alias("valor"))
-    odd = o.filter(F.col("y") % 2 == 1).select("o_orderkey", "y", "o_orderstatus", "o_totalprice")
+    # an order without a date has no priority either, as in the odd years
+    odd = o.filter(F.coalesce(F.col("y") % 2, F.lit(1)) == 1).select("o_orderkey", "y", "o_orderstatus", "o_totalprice")
     layouts = [(even, {"order_id": "id", "order_year": "ano", "status": "st", "priority": "prio", "total": "valor"}),
                (odd, {"order_id": "o_orderkey", "order_year": "y", "status": "o_orderstatus", "total": "o_totalprice"})]
     return bind_all(readers.adapt_layout(f, m, canonical) for f, m in layouts)

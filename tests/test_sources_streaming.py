@@ -130,3 +130,12 @@ def test_2012_candidates_reach_the_common_layout(spark, tmp_path):
     assert (got["2008"].NOME_CANDIDATO, got["2008"].SIGLA_UE, float(got["2008"].DESPESA_MAX_CAMPANHA), got["2008"].EMAIL_CANDIDATO) == ("ANA", "00001", 10.5, None)
     r = got["2012"]
     assert (r.NOME_CANDIDATO, r.SIGLA_UE, r.EMAIL_CANDIDATO, r.DESCRICAO_COR_RACA, r.NUM_TURNO) == ("BIA", "00002", "b@x", "PARDA", 1)
+
+
+def test_yearly_layouts_keep_orders_without_a_date(spark, monkeypatch):
+    from civic_spark.plans import driver_queries
+    rows = [(1, "1996-02-03", "O", "1-URGENT", 10.5), (2, "1997-02-03", "F", "5-LOW", 20.25), (3, None, "P", "5-LOW", 30.0)]
+    orders = spark.createDataFrame(rows, "o_orderkey long, o_orderdate string, o_orderstatus string, o_orderpriority string, o_totalprice double")
+    monkeypatch.setattr(driver_queries, "_t", lambda *_: orders.withColumn("o_orderdate", F.to_date("o_orderdate")))
+    got = {r.order_id: (r.order_year, r.status, r.priority, float(r.total)) for r in driver_queries.yearly_layouts(spark, "").collect()}
+    assert got == {1: (1996, "O", "1-URGENT", 10.5), 2: (1997, "F", None, 20.25), 3: (None, "P", None, 30.0)}
