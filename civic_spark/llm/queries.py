@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civic_spark.llm import chat, decontaminate, fingerprints, line_dedup, minhash, mixing, suffix_dedup, tokens, toxicity, warc
+from civic_spark.llm import chat, decontaminate, fingerprints, line_dedup, minhash, mixing, repair, suffix_dedup, tokens, toxicity, warc
 
 #: Public byte-level BPE ranks; a parameter of the token operators.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -82,9 +82,16 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.coalesce("__text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest repair and repaired text of all conversations after damage."""
+    rows = repair.damage(table(spark, sf_dir, "conversations"))
+    return repair.digests(rows, repair.plan_repairs(rows))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_minhash_near_dedup, op2_token_counts, op3_suffix_array_dedup, op4_document_fingerprints, op5_warc_fixity_audit,
-                            op6_source_mixing, op7_benchmark_decontamination, op8_toxicity, op9_chat_formatting, op10_line_dedup)}
+                            op6_source_mixing, op7_benchmark_decontamination, op8_toxicity, op9_chat_formatting, op10_line_dedup,
+                            op11_conversation_repair)}
 
 #: DuckDB SQL over the same tables, where SQL can express the operator.
 ORACLE_SQL: dict[str, str] = {

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from civic_spark.session import cut_lineage
+from civic_spark.session import cut_lineage, ensure_checkpoint_dir
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -13,6 +15,14 @@ def written(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def parquet(df: DataFrame) -> DataFrame:
+    """Written to the shared folder as Parquet and read again: pinned, narrow to read, and safe from lost executors."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def global_rank(df: DataFrame, order: list[Column | str], weight: Column | None = None,
                 rank: str = "rank") -> DataFrame:
     """Adds the sum of ``weight`` (default 1) over all rows that precede the row in ``order``, from 0.
