@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civic_spark.llm import chat, decontaminate, fingerprints, line_dedup, minhash, mixing, repair, suffix_dedup, tokens, toxicity, warc, whitening
+from civic_spark.llm import ann, chat, decontaminate, fingerprints, line_dedup, minhash, mixing, repair, suffix_dedup, tokens, toxicity, warc, whitening
 
 #: Public byte-level BPE ranks; a parameter of the token operators.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -88,6 +88,11 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.digests(rows, repair.plan_repairs(rows))
 
 
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest embeddings of every embedding whose id is divisible by 50, among all."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings on their four leading components, whitened."""
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
@@ -96,7 +101,7 @@ def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_minhash_near_dedup, op2_token_counts, op3_suffix_array_dedup, op4_document_fingerprints, op5_warc_fixity_audit,
                             op6_source_mixing, op7_benchmark_decontamination, op8_toxicity, op9_chat_formatting, op10_line_dedup,
-                            op11_conversation_repair, op13_embedding_whitening)}
+                            op11_conversation_repair, op12_nearest_neighbours, op13_embedding_whitening)}
 
 #: DuckDB SQL over the same tables, where SQL can express the operator.
 ORACLE_SQL: dict[str, str] = {
