@@ -35,14 +35,28 @@ def desc(c) -> Column:
     return (F.col(c) if isinstance(c, str) else c).desc_nulls_last()
 
 
-def arrange(df: DataFrame, *order) -> DataFrame:
-    """O1 / O2: global multi-key sort, NA last (range-partitioned by Spark)."""
-    return df.orderBy(*[order_key(o) for o in order])
+def arrange(df: DataFrame, *order, position: str | None = None) -> DataFrame:
+    """O1 / O2: global multi-key sort, NA last (range-partitioned by Spark).
 
+    ``position`` adds each row's place in that order, from 1, numbered across
+    the ranges; ``order`` must then tell all rows apart."""
+    if position is None:
+        return df.orderBy(*[order_key(o) for o in order])
+    from .scan import with_position
 
-def arrange_within(df: DataFrame, keys: Sequence[str], *order) -> DataFrame:
-    """O3: sort rows within groups (co-locate by key, sort each partition)."""
-    return df.repartition(*keys).sortWithinPartitions(*keys, *[order_key(o) for o in order])
+    return with_position(df, *order, name=position).orderBy(position)
+
+
+def arrange_within(df: DataFrame, keys: Sequence[str], *order, position: str | None = None) -> DataFrame:
+    """O3: rows of a group next to each other and sorted.  Rows are dealt by
+    ranges of (keys, order), so a large group takes several tasks.
+    ``position`` adds each row's place in its group, from 1."""
+    by = [order_key(o) for o in [*keys, *order]]
+    if position is None:
+        return df.orderBy(*by)
+    from .scan import ordered_scan
+
+    return ordered_scan(df, keys, order, seq={position: 0}).orderBy(*[order_key(k) for k in keys], position)
 
 
 def top_k(df: DataFrame, k: int, *order) -> DataFrame:

@@ -1,10 +1,10 @@
 """Window operators.
 
-Ordered windows need a whole group in one task.  The groups they are used on
-in the reference are naturally bounded (a person's career, the coalitions of
-one municipality); where a group can be large, an aggregate form is offered
-(``top2_relative_gap`` uses a partial group limit, ``running_sum`` has a
-two-level bucketed variant, W11 / W13 never use an unpartitioned window).
+Plain ordered windows (``sequence_number``, ``running_sum``, ``lag_lead``) need a
+whole group in one task and are kept for groups that are bounded by the domain.
+Where a group can be large, ``scan.ordered_scan`` gives the same values from
+range-partitioned rows; W2, W9 and W10 below use it.  ``top2_relative_gap`` uses
+a partial group limit, W11 / W13 never use an unpartitioned window.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scan import group_places, ordered_scan
 from .sorting import order_key
 
 
@@ -24,7 +25,8 @@ def _w(keys: Sequence[str], order: Sequence = ()) -> Window:
 
 def first_row_flag(df: DataFrame, keys: Sequence[str], order: Sequence, name: str = "first_value") -> DataFrame:
     """``if_else(row_number() == 1, 1, 0)`` with an explicit order."""
-    return df.withColumn(name, (F.row_number().over(_w(keys, order)) == 1).cast("int"))
+    out = ordered_scan(df, keys, order, seq={name: 0})
+    return out.withColumn(name, (F.col(name) == 1).cast("int"))
 
 
 def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence, name: str = "seq",
@@ -44,95 +46,6 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence, value: Colu
     return df.withColumn(name, s)
 
 
-def ordered_bucketed(df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence[str], *,
-                     seq: dict[str, int] | None = None, sums: dict[str, tuple[Column, bool]] | None = None,
-                     shifts: dict[str, tuple[str, int]] | None = None) -> DataFrame:
-    """Ordered per-key values (W3 row numbers, W4 running sums, W5/W6 lag /
-    lead by one) for keys that may be hot.
-
-    The rows of a key are split into buckets (e.g. years or days of its
-    history) and processed in one pass:
-
-    1. a per-bucket summary (count, sums, NULL counts, first and last row) is a
-       partial aggregate of the input rows;
-    2. a window over that small table gives each bucket's offsets and the
-       neighbouring buckets' edge rows;
-    3. a window over ``(keys, bucket)`` gives in-bucket row numbers, running
-       sums / NULL counts and lag / lead;
-    4. one join on ``(keys, bucket)``.
-
-    Keys and bucket are made non-null columns first, so window, aggregate and
-    join hash the same columns: the large side is shuffled once, as with a
-    plain window, but no task holds more than one bucket of a key.  ``order``
-    lists ascending column names, starts with the bucket-defining columns and
-    is a total order.
-
-    ``seq = {name: offset}``; ``sums = {name: (value, poison)}`` (``poison``:
-    a NULL makes this and every later value NULL, R's ``cumsum``; otherwise
-    NULL counts as 0); ``shifts = {name: (column, 1 | -1)}`` (lag / lead)."""
-    seq, sums, shifts = seq or {}, sums or {}, shifts or {}
-    if any(not isinstance(o, str) or o.startswith("-") for o in order):
-        raise ValueError("bucketed windows take ascending column names")
-    if any(abs(k) != 1 for _, k in shifts.values()):
-        raise ValueError("bucketed lag / lead supports an offset of 1")
-    from .joins import null_keys
-
-    d = df.withColumn("__b", bucket)
-    vals = {f"__v{i}": v for i, (_, (v, _p)) in enumerate(sums.items())}
-    d, by = null_keys(d.withColumns(vals), [*keys, "__b"])
-    key_cols = [c for c in by if not c.startswith(f"__nk{len(keys)}")]
-    bucket_cols = [c for c in by if c not in key_cols]
-
-    srcs = sorted({c for c, _ in shifts.values()})
-    aggs = [F.count(F.lit(1)).alias("__bc")]
-    for v in vals:
-        aggs += [F.coalesce(F.sum(v), F.lit(0)).alias(f"{v}_bs"), F.count_if(F.col(v).isNull()).alias(f"{v}_bn")]
-    if srcs:
-        key = F.struct(*[x for o in order for x in (F.col(o).isNull().alias(f"{o}__null"), F.col(o))])   # NA last, like the row order
-        aggs += [F.min_by(F.struct(*srcs), key).alias("__first"), F.max_by(F.struct(*srcs), key).alias("__last")]
-    bt = d.groupBy(*by).agg(*aggs)
-    wb = Window.partitionBy(*key_cols).orderBy(*[F.col(c) for c in reversed(bucket_cols)])    # the NULL flag first: NA last
-    before = wb.rowsBetween(Window.unboundedPreceding, -1)
-    sel = [*by, F.coalesce(F.sum("__bc").over(before), F.lit(0)).alias("__off_c")]
-    for v in vals:
-        sel += [F.coalesce(F.sum(f"{v}_bs").over(before), F.lit(0)).alias(f"{v}_os"),
-                F.coalesce(F.sum(f"{v}_bn").over(before), F.lit(0)).alias(f"{v}_on")]
-    if srcs:
-        sel += [F.lag("__last", 1).over(wb).alias("__prev"), F.lead("__first", 1).over(wb).alias("__next")]
-
-    inner = Window.partitionBy(*by).orderBy(*[order_key(o) for o in order])
-    frame = inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*by)
-    cols = {"__rn": F.row_number().over(inner), "__cnt": F.count(F.lit(1)).over(whole)}
-    for v in vals:
-        cols[f"{v}_s"] = F.coalesce(F.sum(v).over(frame), F.lit(0))
-        cols[f"{v}_n"] = F.count_if(F.col(v).isNull()).over(frame)
-    for o, (c, k) in shifts.items():
-        cols[o] = (F.lag(c, 1) if k > 0 else F.lead(c, 1)).over(inner)
-    d = d.withColumns(cols).join(bt.select(*sel), by, "left")
-
-    out = {}
-    for name, off in seq.items():
-        out[name] = (F.col("__off_c") + F.col("__rn") + off).cast("int")
-    for (name, (_v, poison)), v in zip(sums.items(), vals):
-        total = F.col(f"{v}_os") + F.col(f"{v}_s")
-        out[name] = F.when(F.col(f"{v}_on") + F.col(f"{v}_n") == 0, total) if poison else total
-    for o, (c, k) in shifts.items():
-        edge = (F.col("__rn") == 1) if k > 0 else (F.col("__rn") == F.col("__cnt"))
-        out[o] = F.when(edge, F.col("__prev" if k > 0 else "__next")[c]).otherwise(F.col(o))
-    d = d.withColumns(out)
-    helper = ["__b", "__rn", "__cnt", "__off_c", "__prev", "__next", *vals, *by]
-    helper += [f"{v}{suf}" for v in vals for suf in ("_s", "_n", "_os", "_on")]
-    d = d.drop(*[h for h in helper if h in d.columns])
-    return d.select(*df.columns, *[c for c in d.columns if c not in df.columns])
-
-
-def running_sum_bucketed(df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence[str],
-                         value: Column, name: str, poison: bool = False) -> DataFrame:
-    """W4 for skewed keys (see ``ordered_bucketed``)."""
-    return ordered_bucketed(df, keys, bucket, order, sums={name: (value, poison)})
-
-
 def lag_lead(df: DataFrame, keys: Sequence[str], order: Sequence, cols: dict[str, tuple[str, int]]) -> DataFrame:
     """``{out: (col, k)}``; ``k > 0`` is ``lag(col, k)``, ``k < 0``
     is ``lead(col, -k)``, over an explicit order."""
@@ -153,20 +66,26 @@ def top2_relative_gap(df: DataFrame, keys: Sequence[str], value: str, order: Seq
     return g.select(*keys, F.try_divide(F.col("__v1") - F.col("__v2"), F.col("__v2")).alias(name))
 
 
-def limit_per_group(df: DataFrame, keys: Sequence[str], order: Sequence, k: Column | int,
-                    name: str = "__rn", keep_rn: bool = False) -> DataFrame:
-    """``slice(1:k)`` per group; ``k`` may be a column (data-dependent)."""
-    out = df.withColumn(name, F.row_number().over(_w(keys, order)))
-    out = out.filter(F.col(name) <= (k if isinstance(k, Column) else F.lit(k)))
-    return out if keep_rn else out.drop(name)
-
-
-def last_two_flags(df: DataFrame, keys: Sequence[str], order: Sequence, last: str = "last_seat",
-                   runner: str = "runner_up") -> DataFrame:
-    """``row_number() == n() - 1`` and ``row_number() == n()``."""
-    w = _w(keys, order)
-    n = F.count(F.lit(1)).over(_w(keys))
-    rn = F.row_number().over(w)
+def limit_per_group(df: DataFrame, keys: Sequence[str], order: Sequence, k: Column | int, name: str = "place",
+                    size: str = "group_size") -> DataFrame:
+    """``slice(1:k)`` per group; ``k`` may depend on the data, also on the
+    group's size (column ``size``).  Keeps each row's place and the size of
+    what is left of its group, so W10 needs no further pass."""
+    out = group_places(df, keys, order, name, "__end")
+    out = out.withColumn(size, F.col(name) + F.col("__end") - 1).drop("__end")
+    limit = k if isinstance(k, Column) else F.lit(k)
+    return out.withColumn("__k", limit).filter(F.col(name) <= F.col("__k")).withColumn(size, F.least(size, "__k")).drop("__k")
+
+
+def last_two_flags(df: DataFrame, keys: Sequence[str] = (), order: Sequence = (), last: str = "last_seat",
+                   runner: str = "runner_up", *, place: str | None = None, size: str | None = None) -> DataFrame:
+    """``row_number() == n() - 1`` and ``row_number() == n()``, from the
+    columns ``place`` and ``size`` where a limit has left them."""
+    if place is None:
+        out = group_places(df, keys, order, "__rn", "__end")
+        return (out.withColumns({last: (F.col("__end") == 2).cast("int"), runner: (F.col("__end") == 1).cast("int")})
+                .drop("__rn", "__end"))
+    rn, n = F.col(place), F.col(size)
     return df.withColumns({last: (rn == n - 1).cast("int"), runner: (rn == n).cast("int")})
 
 

@@ -11,8 +11,8 @@
 6. keep the first row per candidacy key (A15, explicit order);
 7. outcome repair from the candidacy status (X15) and ``elected`` (X16);
 8. ``times_run`` / ``times_office``: running counts over the person's history
-   ordered by year and round (W4, NA-poisoning like ``cumsum``), bucketed by
-   year so a hot person key never sits in one task;
+   ordered by year and round (W4, NA-poisoning like ``cumsum``), by the
+   segmented scan, so a hot person key never sits in one task;
 9. supplementary election types = types with fewer than 1,000 rows (A17);
 10. lagged self-join: the same person, place and position four years earlier
     (J9, SQL equality — NULL keys never match), on a right side without
@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from ..functions import clean, logic, text
 from ..operators.aggregates import having_count, keep_first
 from ..operators.joins import exclude_values_in, lagged_self_join
-from ..operators.windows import group_min_boundary, ordered_bucketed
+from ..operators.scan import ordered_scan
+from ..operators.windows import group_min_boundary
 from ..session import cut_lineage
 from .common import attach_municipality, coalition_lookup, elected_flag
 
@@ -89,11 +90,10 @@ def build(raw: DataFrame, coalition: DataFrame, municipality_dim: DataFrame, *,
         default=outcome))
     df = df.withColumns({"election_year_lag": F.col("election_year") - 4, "elected": elected_flag()})
 
-    # careers: NA-poisoning running counts in year order; computed per (person, year)
-    # bucket with offsets from a small bucket table, so no task holds a whole
-    # person key (e.g. the group of candidacies whose ids are all missing)
+    # careers: NA-poisoning running counts in year order over range-partitioned rows, so no
+    # task holds a whole person key (e.g. the group of candidacies whose ids are all missing)
     order = ["election_year", "round", "position_code", "cod_tse", "election_type", "candidate_num"]
-    df = ordered_bucketed(df, PERSON_KEYS, F.col("election_year"), order, sums={
+    df = ordered_scan(df, PERSON_KEYS, order, sums={
         "times_run": ((F.col("round") == 1).cast("int"), True),
         "times_office": (F.col("elected"), True)})
     if materialize:

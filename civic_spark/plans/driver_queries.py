@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clean, logic, text
 from ..operators import aggregates as A
-from ..operators import apportion, groups, joins, sorting, stats, unions, windows
+from ..operators import apportion, groups, joins, scan, sorting, stats, unions, windows
 from ..session import read_table
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -512,13 +512,11 @@ FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
 def customer_order_sequence(spark, d):
     o = _t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
     order = ["o_orderdate", "o_orderkey"]
-    # bucketed forms: a customer's history is split by year, so no task holds a
-    # whole (possibly hot) customer; results equal the plain windows
-    x = windows.ordered_bucketed(
-        o, ["o_custkey"], F.year("o_orderdate"), order, seq={"prior_orders": -1},
+    x = scan.ordered_scan(
+        o, ["o_custkey"], order, seq={"prior_orders": -1},
         sums={"running_total": (F.col("o_totalprice"), True)},
         shifts={"prev_total": ("o_totalprice", 1), "next_total": ("o_totalprice", -1)})
-    return x.select("o_orderkey", "o_custkey", "prior_orders", F.round("running_total", 2).alias("running_total"),
+    return x.select("o_orderkey", "o_custkey", F.col("prior_orders").cast("int").alias("prior_orders"), F.round("running_total", 2).alias("running_total"),
                     "prev_total", "next_total")
 
 
@@ -531,9 +529,8 @@ SELECT event_id, user_id,
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 """)
 def event_running_sums(spark, d):
-    e = _t(spark, d, "events")
-    order = ["ts", "event_id"]
-    x = windows.ordered_bucketed(e, ["user_id"], F.date_trunc("day", F.col("ts")), order, sums={
+    e = _t(spark, d, "events").select("event_id", "user_id", "ts", "event_type", "value")
+    x = scan.ordered_scan(e, ["user_id"], ["ts", "event_id"], sums={
         "running_value": (F.col("value"), False),
         "running_value_poison": (F.when(F.col("event_type") != "view", F.col("value")), True),
         "running_errors": ((F.col("event_type") == "error").cast("long"), False)})
@@ -571,10 +568,8 @@ def last_two_lines(spark, d):
     li = _t(spark, d, "lineitem")
     order = ["-l_extendedprice", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax",
              "l_returnflag", "l_linestatus", "l_shipdate"]
-    n = F.count(F.lit(1)).over(windows._w(["l_orderkey"]))
-    x = li.withColumn("n_lines", n)
-    x = windows.limit_per_group(x, ["l_orderkey"], order, F.least(F.col("n_lines"), F.lit(4)))
-    x = windows.last_two_flags(x, ["l_orderkey"], order)
+    x = windows.limit_per_group(li, ["l_orderkey"], order, F.least(F.col("n_lines"), F.lit(4)), "place", "n_lines")
+    x = windows.last_two_flags(x, place="place", size="n_lines")
     out = A.flagged_difference(x, ["l_orderkey"], "l_extendedprice", F.col("last_seat") == 1,
                                F.col("runner_up") == 1, "difference")
     return out.withColumn("difference", F.round("difference", 2))
@@ -622,23 +617,29 @@ def top20_parts(spark, d):
 
 
 @query("o1_o2_sorted_customers", """
-SELECT c_custkey, nullif(c_mktsegment, 'HOUSEHOLD') AS segment, c_acctbal FROM customer
-ORDER BY segment ASC NULLS LAST, c_acctbal DESC NULLS LAST, c_custkey
+SELECT c_custkey, nullif(c_mktsegment, 'HOUSEHOLD') AS segment, c_acctbal,
+       row_number() OVER (ORDER BY nullif(c_mktsegment, 'HOUSEHOLD') ASC NULLS LAST, c_acctbal DESC NULLS LAST,
+                          c_custkey) AS position
+FROM customer
 """)
 def sorted_customers(spark, d):
     c = _t(spark, d, "customer").select("c_custkey", F.nullif(F.col("c_mktsegment"), F.lit("HOUSEHOLD"))
                                         .alias("segment"), "c_acctbal")
-    return sorting.arrange(c, "segment", "-c_acctbal", "c_custkey")
+    return sorting.arrange(c, "segment", "-c_acctbal", "c_custkey", position="position")
 
 
 @query("o3_sort_within_orders", """
-SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM lineitem
+SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice,
+       row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC NULLS LAST, l_partkey, l_linenumber)
+           AS position
+FROM lineitem
 """)
 def sort_within_orders(spark, d):
-    """O3: lines clustered by order and sorted within it (price descending),
-    ``arrange(..., .by_group = TRUE)`` without a global sort."""
+    """O3: lines next to the others of their order and sorted within it (price
+    descending), ``arrange(..., .by_group = TRUE)``, with their place in it."""
     li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
-    return sorting.arrange_within(li, ["l_orderkey"], "-l_extendedprice", "l_partkey", "l_linenumber")
+    return sorting.arrange_within(li, ["l_orderkey"], "-l_extendedprice", "l_partkey", "l_linenumber",
+                                  position="position")
 
 
 # --------------------------------------------------------------------------- decisive semantics: the D8 core
@@ -909,10 +910,8 @@ def first_line_and_returned_part(spark, d):
     li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                                          "l_extendedprice", "l_returnflag")
     r = F.col("l_returnflag") == "R"
-    # an order has a handful of lines: the window forms let the group filter,
-    # the group value and the row flag share one exchange on l_orderkey
-    x = groups.keep_groups_exactly_one(li, ["l_orderkey"], r, strategy="window")
-    x = groups.value_of_unique_row(x, ["l_orderkey"], r, {"returned_partkey": "l_partkey"}, strategy="window")
+    x = groups.keep_groups_exactly_one(li, ["l_orderkey"], r)
+    x = groups.value_of_unique_row(x, ["l_orderkey"], r, {"returned_partkey": "l_partkey"})
     x = windows.first_row_flag(x, ["l_orderkey"], ["-l_extendedprice", "l_partkey", "l_suppkey", "l_linenumber",
                                                    "l_returnflag"])
     return x.select("l_orderkey", "l_linenumber", "l_partkey", "first_value", "returned_partkey")

@@ -5,7 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from civic_spark.operators import aggregates as A
-from civic_spark.operators import windows
+from civic_spark.operators import scan, windows
 
 SF = "/root/testdata/sf0.001"
 
@@ -39,7 +39,7 @@ def test_hot_key_results_stay_whole(spark):
     df = spark.createDataFrame(rows, "k int, i int, v double")
     first = {r.k: r.i for r in A.keep_first(df, ["k"], ["-v", "i"]).collect()}
     assert first[0] == 2999 and len(first) == 2001
-    run = windows.running_sum_bucketed(df.filter("k = 0"), ["k"], F.floor(F.col("i") / 100), ["i"], F.col("v"), "r")
+    run = scan.ordered_scan(df, ["k"], ["i"], sums={"r": (F.col("v"), True)}).filter("k = 0")
     assert run.agg(F.max("r")).collect()[0][0] == sum(range(3000))
 
 
@@ -88,3 +88,12 @@ def test_group_flags_and_values_take_two_exchanges(spark):
 
 def test_flagship_limits_groups_before_the_exchange(spark):
     assert "WindowGroupLimit" in _shuffle_plan(spark, "w7_a19_supplier_concentration")
+
+
+def test_no_ordered_window_holds_an_unsplit_key(spark):
+    """Numbers, running sums, neighbours, limits and positions window over (partition, key) only."""
+    for name in ("w3_w4_w5_customer_order_sequence", "w4_event_running_sums", "w9_w10_a24_last_two_lines", "o1_o2_sorted_customers",
+                 "o3_sort_within_orders", "w2_w8_f10_first_line_and_returned_part"):
+        for functions, keys in re.findall(r"\+- Window \[(.*?)\], \[([^\]]*)\]", _shuffle_plan(spark, name)):
+            # windows by key alone run over the carries, two rows per partition
+            assert "__part" in keys or "__part" in functions, (name, keys)
