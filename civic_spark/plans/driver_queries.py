@@ -1051,23 +1051,59 @@ SELECT 'l_quantity', round(b, 4), round(sb, 4), round(b / sb, 4) FROM c
 """)
 def ols_price_on_quantity(spark, d):
     """M2 with a closed-form oracle: ``lm(price ~ quantity)`` coefficient table
-    (estimate, std. error, t) from Spark ML's distributed least squares."""
+    (estimate, std. error, t) from distributed normal equations."""
     li = _t(spark, d, "lineitem").select("l_extendedprice", "l_quantity")
     t = stats.linear_regression(li, "l_extendedprice", ["l_quantity"])
     return t.select("term", *[F.round(c, 4).alias(c) for c in ("estimate", "std_error", "statistic")])
 
 
-@query("m1_logit_returned", None)
+def _newton_sql(steps: int) -> str:
+    """The logit of a return on quantity and discount by Newton steps over the distinct (quantity, discount) rows,
+    each solved by the adjugate of the 3 x 3 information matrix."""
+    ctes = ["""g AS MATERIALIZED (SELECT l_quantity AS q, l_discount AS d, count(*)::DOUBLE AS n,
+  sum(CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END)::DOUBLE AS y FROM lineitem GROUP BY 1, 2)""",
+            "b0 AS (SELECT ln(sum(y) / (sum(n) - sum(y))) AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2 FROM g)"]
+    for k in range(1, steps + 1):
+        ctes.append(f"""s{k} AS (SELECT any_value(b0) AS b0, any_value(b1) AS b1, any_value(b2) AS b2, sum(w) AS a, sum(w * q) AS b,
+  sum(w * d) AS c, sum(w * q * q) AS e, sum(w * q * d) AS f, sum(w * d * d) AS h, sum(r) AS r0, sum(r * q) AS r1, sum(r * d) AS r2
+  FROM (SELECT *, n * m * (1 - m) AS w, y - n * m AS r
+        FROM (SELECT *, 1 / (1 + exp(-(b0 + b1 * q + b2 * d))) AS m FROM g CROSS JOIN b{k - 1})))""")
+        ctes.append(f"""b{k} AS (SELECT b0 + ((e * h - f * f) * r0 + (c * f - b * h) * r1 + (b * f - c * e) * r2) / det AS b0,
+  b1 + ((c * f - b * h) * r0 + (a * h - c * c) * r1 + (b * c - a * f) * r2) / det AS b1,
+  b2 + ((b * f - c * e) * r0 + (b * c - a * f) * r1 + (a * e - b * b) * r2) / det AS b2,
+  sqrt((e * h - f * f) / det) AS s0, sqrt((a * h - c * c) / det) AS s1, sqrt((a * e - b * b) / det) AS s2
+  FROM (SELECT *, a * (e * h - f * f) + b * (c * f - b * h) + c * (b * f - c * e) AS det FROM s{k}))""")
+    rows = [f"SELECT '{term}' AS term, round(b{i}, 4) AS estimate, round(s{i}, 4) AS std_error, round(b{i} / s{i}, 4) AS statistic FROM b{steps}"
+            for i, term in enumerate(("(Intercept)", "l_quantity", "l_discount"))]
+    return f"WITH {', '.join(ctes)} {' UNION ALL '.join(rows)}"
+
+
+@query("m1_logit_returned", _newton_sql(8))
 def logit_returned(spark, d):
     li = _t(spark, d, "lineitem").select((F.col("l_returnflag") == "R").cast("double").alias("returned"),
                                          "l_quantity", "l_discount")
-    return stats.logistic_regression(li, "returned", ["l_quantity", "l_discount"])
+    t = stats.logistic_regression(li, "returned", ["l_quantity", "l_discount"])
+    return t.select("term", *[F.round(c, 4).alias(c) for c in ("estimate", "std_error", "statistic")])
 
 
-@query("m2_linear_price_by_flag", None)
+@query("m2_linear_price_by_flag", """
+WITH g AS (SELECT l_returnflag AS flag, count(*) AS n, avg(l_quantity) AS x, avg(l_extendedprice) AS y,
+                  regr_sxx(l_extendedprice, l_quantity) AS sxx, regr_sxy(l_extendedprice, l_quantity) AS sxy,
+                  regr_syy(l_extendedprice, l_quantity) AS syy FROM lineitem GROUP BY 1),
+w AS (SELECT sum(n) AS n, sum(sxx) AS sxx, sum(sxy) / sum(sxx) AS slope, count(*) AS k,
+             (sum(syy) - sum(sxy) * sum(sxy) / sum(sxx)) / (sum(n) - count(*) - 1) AS s2 FROM g),
+l AS (SELECT g.*, y - slope * x AS a, s2, w.sxx AS wxx, slope, row_number() OVER (ORDER BY flag) AS place FROM g CROSS JOIN w),
+t AS (SELECT '(Intercept)' AS term, a AS estimate, sqrt(s2 * (1.0 / n + x * x / wxx)) AS se FROM l WHERE place = 1
+      UNION ALL SELECT 'l_quantity', slope, sqrt(s2 / wxx) FROM l WHERE place = 1
+      UNION ALL SELECT 'l_returnflag' || l.flag, l.a - o.a,
+                       sqrt(l.s2 * (1.0 / l.n + 1.0 / o.n + (l.x - o.x) * (l.x - o.x) / l.wxx))
+                FROM l JOIN l AS o ON o.place = 1 WHERE l.place > 1)
+SELECT term, round(estimate, 4) AS estimate, round(se, 4) AS std_error, round(estimate / se, 4) AS statistic FROM t
+""")
 def linear_price(spark, d):
     li = _t(spark, d, "lineitem").select("l_extendedprice", "l_quantity", "l_returnflag")
-    return stats.linear_regression(li, "l_extendedprice", ["l_quantity"], ["l_returnflag"])
+    t = stats.linear_regression(li, "l_extendedprice", ["l_quantity"], ["l_returnflag"])
+    return t.select("term", *[F.round(c, 4).alias(c) for c in ("estimate", "std_error", "statistic")])
 
 
 @query("o5_hash_sample_orders", f"""

@@ -56,7 +56,7 @@ def scan_delimited(spark: SparkSession, paths, schema: T.StructType, *, sep: str
         reader = reader.option("ignoreCorruptFiles", "true")
     df = reader.csv(paths if isinstance(paths, str) else list(paths))
     if path_column:
-        df = df.withColumn(path_column, F.input_file_name())
+        df = df.withColumn(path_column, F.col("_metadata.file_path"))
     if repartition:
         df = df.repartition(repartition)
     return df
@@ -70,7 +70,7 @@ def repartition_after_gzip(df: DataFrame, n: int | None = None) -> DataFrame:
 
 def year_from_path(path_col: str = "_source_file", pattern: str = r"(\d{4})") -> F.Column:
     """The election year taken from the file name, not file order."""
-    return F.regexp_extract(F.col(path_col), pattern, 1).try_cast("int")
+    return F.regexp_extract(F.regexp_extract(F.col(path_col), r"([^/]*)$", 1), pattern, 1).try_cast("int")
 
 
 def scan_many(spark: SparkSession, base: str, glob: str, schema: T.StructType, **kw) -> DataFrame:
@@ -103,21 +103,6 @@ def adapt_layout(df: DataFrame, mapping: Mapping[str, str | None], canonical: T.
     return df.select(*out)
 
 
-def bind_layouts(frames: Mapping[int, DataFrame], layouts: Mapping[int, Mapping[str, str | None]],
-                 canonical: T.StructType, year_column: str = "election_year") -> DataFrame:
-    """S13 + S14 + U2: adapt each year's table and union them (lazily)."""
-    from ..operators.unions import bind_all
-
-    parts = []
-    for year, df in frames.items():
-        a = adapt_layout(df, layouts[year], canonical)
-        if year_column in canonical.fieldNames():
-            a = a.withColumn(year_column, F.coalesce(F.col(year_column), F.lit(year).cast(
-                canonical[year_column].dataType)))
-        parts.append(a)
-    return bind_all(parts)
-
-
 def inline_table(spark: SparkSession, rows: list[tuple], schema: str | T.StructType) -> DataFrame:
     """Small literal table (parameter data such as inline coalition rows)."""
     return spark.createDataFrame(rows, schema)
@@ -135,31 +120,24 @@ def coverage_grid(a: DataFrame, b: DataFrame, loaded: DataFrame, keys: list[str]
     return left_join(grid, loaded.select(*keys).distinct(), keys, how="left_anti")
 
 
+def file_manifest(spark: SparkSession, paths, path_column: str = "_source_file") -> DataFrame:
+    """Every file under ``paths`` (files, folders or patterns) with its size; contents are not read."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .load(paths if isinstance(paths, str) else list(paths)))
+    return files.select(F.col("_metadata.file_path").alias(path_column), F.col("length").alias("bytes"))
+
+
 def file_status(df: DataFrame, path_column: str = "_source_file", corrupt_column: str = "_corrupt_record",
-                data_column: str | None = None) -> DataFrame:
+                data_column: str | None = None, manifest: DataFrame | None = None) -> DataFrame:
     """Per-file row, malformed-row and filled-first-field counts (what the
     reference's ``tryCatch`` silently skipped).  A data column is always read
-    as well: Spark does not scan the corrupt-record column on its own."""
+    as well: Spark does not scan the corrupt-record column on its own.  With a
+    ``manifest``, every file in it has a row, with 0 rows where it gave none."""
     data_column = data_column or next(c for c in df.columns if c not in (path_column, corrupt_column))
-    return df.groupBy(path_column).agg(F.count(F.lit(1)).alias("rows"),
+    read = df.groupBy(path_column).agg(F.count(F.lit(1)).alias("rows"),
                                        F.count(F.col(corrupt_column)).alias("malformed_rows"),
                                        F.count(F.col(data_column)).alias("first_field_filled"))
-
-
-def municipality_dimension(df: DataFrame, code7: str = "cod_ibge_7") -> DataFrame:
-    """Electoral ↔ statistics-office code dimension with the 6-digit code."""
-    return df.withColumn("cod_ibge_6", F.substring(F.col(code7), 1, 6))
-
-
-def positional_names(n: int, names: list[str]) -> list[str]:
-    """Header names for a headerless file with ``n`` columns."""
-    if n > len(names):
-        return [*names, *[f"_c{i}" for i in range(len(names), n)]]
-    return names[:n]
-
-
-def strip_quotes(df: DataFrame) -> DataFrame:
-    """X6 over text columns: remove stray double quotes left by the exporter."""
-    from ..functions.clean import map_strings
-    return map_strings(df, lambda c: F.regexp_replace(c, '"', ""))
-
+    if manifest is None:
+        return read
+    counts = ("rows", "malformed_rows", "first_field_filled")
+    return manifest.join(read, path_column, "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in counts})

@@ -125,7 +125,8 @@ def test_2012_candidates_reach_the_common_layout(spark, tmp_path):
     _write(str(tmp_path / "c_2012.txt"), line(schemas.CANDIDATE_NAMES_2012, {
         "ANO_ELEICAO": "2012", "NM_CANDIDATO": "BIA", "SG_UE": "00002", "NM_EMAIL": "b@x", "DS_COR_RACA": "PARDA", "NR_TURNO": "1"}))
     table, _ = raw.bind_candidates(spark, {y: str(tmp_path / f"c_{y}.txt") for y in (2008, 2012)})
-    assert table.columns[:-1] == schemas.CANDIDATE_RAW.fieldNames()
+    assert table.columns[:len(schemas.CANDIDATE_RAW.fields)] == schemas.CANDIDATE_RAW.fieldNames()
+    assert set(table.columns) >= {*schemas.CANDIDATE_NAMES_BEFORE_2012, *schemas.CANDIDATE_NAMES_2012, "ANO_ARQUIVO"}
     got = {r.ANO_ELEICAO: r for r in table.collect()}
     assert (got["2008"].NOME_CANDIDATO, got["2008"].SIGLA_UE, float(got["2008"].DESPESA_MAX_CAMPANHA), got["2008"].EMAIL_CANDIDATO) == ("ANA", "00001", 10.5, None)
     r = got["2012"]

@@ -53,6 +53,55 @@ def test_logistic_regression_matches_irls(data):
         assert out[name].std_error == pytest.approx(s, rel=1e-4)
 
 
+def test_aliased_terms_and_two_factors(spark):
+    rng = np.random.default_rng(11)
+    n = 500
+    x, g, h = rng.normal(size=n) + 1e4, rng.integers(8, 12, n), rng.choice(["p", "q", "r"], n)
+    y = 3 * x + 0.5 * g + (h == "q") + rng.normal(size=n)
+    yb = (rng.random(n) < 1 / (1 + np.exp(-(x - 1e4) + (h == "r")))).astype(float)
+    df = spark.createDataFrame([(float(a), float(2 * a + 1), int(b), str(c), float(d), float(e), 7.0) for a, b, c, d, e in zip(x, g, h, y, yb)],
+                               "x double, twice double, g int, h string, y double, yb double, constant double")
+    terms = ["(Intercept)", "x", "twice", "constant", "g9", "g10", "g11", "hq", "hr"]
+    X = np.column_stack([np.ones(n), x, *[(g == k).astype(float) for k in (9, 10, 11)], h == "q", h == "r"]).astype(float)
+    beta, *_ = np.linalg.lstsq(X, y, rcond=None)
+    resid = y - X @ beta
+    se = np.sqrt(np.diag(resid @ resid / (n - X.shape[1]) * np.linalg.inv(X.T @ X)))
+    out = stats.linear_regression(df, "y", ["x", "twice", "constant"], ["g", "h"]).collect()
+    assert [r.term for r in out] == terms
+    got = {r.term: r for r in out}
+    for t in ("twice", "constant"):
+        assert (got[t].estimate, got[t].std_error, got[t].statistic, got[t].p_value) == (None,) * 4
+    kept = [t for t in terms if t not in ("twice", "constant")]
+    for t, b, s in zip(kept, beta, se):
+        assert got[t].estimate == pytest.approx(b, rel=1e-6, abs=1e-6) and got[t].std_error == pytest.approx(s, rel=1e-5)
+    logit = {r.term: r for r in stats.logistic_regression(df, "yb", ["x", "constant"], ["h"]).collect()}
+    Z = np.column_stack([np.ones(n), x - 1e4, h == "q", h == "r"]).astype(float)
+    b = np.zeros(4)
+    for _ in range(30):
+        mu = 1 / (1 + np.exp(-Z @ b))
+        b = b + np.linalg.solve(Z.T @ (Z * (mu * (1 - mu))[:, None]), Z.T @ (yb - mu))
+    assert logit["constant"].estimate is None
+    for t, v in zip(("x", "hq", "hr"), b[1:]):
+        assert logit[t].estimate == pytest.approx(v, rel=1e-6)
+
+
+def test_tail_probabilities_and_empty_models(spark):
+    # quartiles and tails of Student's t, by numerical integration of its density
+    import math
+    for df in (1, 2, 5, 30, 400):
+        u = np.linspace(0, math.pi / 2, 200_001)          # t = tan(u): finite range
+        c = math.exp(math.lgamma((df + 1) / 2) - math.lgamma(df / 2)) / math.sqrt(df * math.pi)
+        f = np.zeros_like(u)
+        f[:-1] = c * (1 + np.tan(u[:-1]) ** 2 / df) ** (-(df + 1) / 2) / np.cos(u[:-1]) ** 2
+        for t in (0.0, 0.3, 1.0, 2.5, 8.0):
+            inside = np.trapezoid(np.where(u <= math.atan(t), f, 0), u)
+            assert stats.t_two_sided(t, df) == pytest.approx(1 - 2 * inside, abs=2e-4)
+    empty = spark.createDataFrame([(None, 1.0)], "y double, x double")
+    assert stats.linear_regression(empty, "y", ["x"]).count() == 0 and stats.logistic_regression(empty, "y", ["x"]).count() == 0
+    two = stats.linear_regression(spark.createDataFrame([(1.0, 0.0), (3.0, 1.0)], "y double, x double"), "y", ["x"]).collect()
+    assert [(round(r.estimate, 9), r.std_error, r.p_value) for r in two] == [(1.0, None, None), (2.0, None, None)]
+
+
 def test_histogram_and_frequency(data):
     df, _ = data
     h = stats.histogram_density(df, ["g"], "x1", 0.5).collect()
