@@ -65,9 +65,39 @@ def top_k(df: DataFrame, k: int, *order) -> DataFrame:
     return df.orderBy(*[order_key(o) for o in order]).limit(k)
 
 
-def sample_fraction(df: DataFrame, fraction: float, seed: int) -> DataFrame:
-    """Seeded Bernoulli sample (approximate fraction, per-partition RNG)."""
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+def _draw(key_cols: Sequence[str], seed: int) -> Column:
+    """52 hash bits of a row's key: the first 13 hex digits of an md5 over seed and key, which any SQL engine can repeat."""
+    key = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("NA")) for c in key_cols])
+    return F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("long")
+
+
+def sample_exact(df: DataFrame, fraction: float, key_cols: Sequence[str], seed: int = 0) -> DataFrame:
+    """Exactly ``round(fraction * n)`` rows (half to even, as R rounds), those with the least hash of their key.
+
+    No sort of the table: counts by the leading 13 hash bits tell the cell that holds the cut, and each further 13 bits
+    are counted in that cell alone, so a level brings at most 8,192 counts to the driver.  Rows that tie at the cut (one
+    key repeated) are taken in the order of their columns."""
+    cell, levels = 13, 4
+    d = df.withColumn("__draw", _draw(key_cols, seed))
+    total = df.count()
+    need, low = round(fraction * total), 0
+    if need >= total:
+        return df
+    if need <= 0:
+        return df.limit(0)
+    for level in range(levels):
+        shift = cell * (levels - 1 - level)
+        inside = d if level == 0 else d.filter((F.col("__draw") >= low) & (F.col("__draw") < low + (1 << (shift + cell))))
+        counts = sorted(inside.groupBy(F.shiftright(F.col("__draw") - low, shift).alias("c")).count().collect())
+        for c, n in counts:
+            if need <= n:
+                low += c << shift
+                break
+            need -= n
+        if need == n:                                        # the cut falls between two cells
+            return d.filter(F.col("__draw") < low + (1 << shift)).drop("__draw")
+    ties = d.filter(F.col("__draw") == low).orderBy(*key_cols, F.xxhash64(*df.columns)).limit(need)
+    return d.filter(F.col("__draw") < low).unionByName(ties).drop("__draw")
 
 
 def hash_sample(df: DataFrame, fraction: float, key_cols: Sequence[str], seed: int = 0) -> DataFrame:
@@ -76,6 +106,4 @@ def hash_sample(df: DataFrame, fraction: float, key_cols: Sequence[str], seed: i
     Independent of partitioning and re-execution (a lost task recomputes the
     same rows).  The draw is the first 52 bits of an md5 over seed and key, so
     any fraction down to 2^-52 is exact and any SQL engine can repeat it."""
-    key = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("NA")) for c in key_cols])
-    draw = F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("long")
-    return df.filter(draw < int(fraction * (1 << 52)))
+    return df.filter(_draw(key_cols, seed) < int(fraction * (1 << 52)))

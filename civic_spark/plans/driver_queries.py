@@ -1114,9 +1114,36 @@ def hash_sample(spark, d):
     return sorting.hash_sample(_t(spark, d, "orders"), 0.25, ["o_orderkey"], seed=1789)
 
 
-@query("o5_seeded_sample_orders", None)
+@query("o5_seeded_sample_orders", """
+SELECT * FROM orders
+QUALIFY row_number() OVER (ORDER BY ('0x' || substr(md5('1789|' || o_orderkey::VARCHAR), 1, 13))::BIGINT, o_orderkey)
+        <= (SELECT round_even(0.25 * count(*), 0) FROM orders)
+""")
 def seeded_sample(spark, d):
-    return sorting.sample_fraction(_t(spark, d, "orders"), 0.25, seed=1789)
+    return sorting.sample_exact(_t(spark, d, "orders"), 0.25, ["o_orderkey"], seed=1789)
+
+
+@query("s21_split_orders", """
+SELECT o_orderkey, o_orderstatus, year(o_orderdate) AS order_year,
+       CASE WHEN year(o_orderdate) % 4 = 0 THEN 'local' ELSE 'fed_state' END AS output
+FROM orders WHERE year(o_orderdate) % 2 = 0
+UNION ALL
+SELECT o_orderkey, o_orderstatus, year(o_orderdate), 'urgent' FROM orders WHERE o_orderpriority = '1-URGENT'
+""")
+def split_orders(spark, d):
+    """One pass writes three outputs (two sides and a slice across both); each is read back on its own."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    from ..sources import sinks
+
+    o = _t(spark, d, "orders").withColumn("order_year", F.year("o_orderdate").cast("long"))
+    y = F.col("order_year")
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/split-{uuid.uuid4().hex}"
+    paths = sinks.write_split(o.select("o_orderkey", "o_orderstatus", "order_year", "o_orderpriority"), {
+        "local": y % 4 == 0, "fed_state": y % 4 == 2, "urgent": F.col("o_orderpriority") == "1-URGENT"}, base)
+    parts = [spark.read.parquet(path).select("o_orderkey", "o_orderstatus", "order_year", F.lit(name).alias("output")) for name, path in paths.items()]
+    return unions.bind_all(parts)
 
 
 # --------------------------------------------------------------------------- sources / sinks

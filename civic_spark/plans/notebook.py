@@ -207,7 +207,9 @@ def with_age_local(candidate: DataFrame) -> DataFrame:
 
 
 def n21_age_density(candidate: DataFrame, positions=LOCAL_POSITIONS, bin_width: float = 1.0) -> DataFrame:
-    c = sorting.sample_fraction(with_age_local(candidate), SAMPLE_FRACTION, SAMPLE_SEED)
+    keys = ["cpf_candidate", "candidate_name", "candidate_num", "cod_tse", "election_year", "round", "position_code"]
+    c = with_age_local(candidate)
+    c = sorting.sample_exact(c, SAMPLE_FRACTION, [k for k in keys if k in c.columns] or c.columns, SAMPLE_SEED)
     c = c.filter((F.col("age") < 100) & F.col("position").isin(list(positions)))
     return stats.histogram_density(c, ["position"], "age", bin_width)
 

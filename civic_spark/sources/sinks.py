@@ -41,14 +41,14 @@ def write_delimited(df: DataFrame, path: str, *, sep: str = ",", header: bool =
     w.csv(path)
 
 
-def write_split(df: DataFrame, outputs: dict[str, Column], writer, base: str) -> None:
-    """One table → several filtered outputs (e.g. local / state-federal).
-
-    The input is checkpointed once into the shared checkpoint folder when it
-    feeds more than one output, so the upstream plan is not recomputed and a
-    lost executor does not lose the shared input."""
-    from ..session import cut_lineage
-
-    src = cut_lineage(df) if len(outputs) > 1 else df
-    for name, pred in outputs.items():
-        writer(src.filter(pred), f"{base.rstrip('/')}/{name}")
+def write_split(df: DataFrame, outputs: dict[str, Column], base: str, *, fmt: str = "parquet", column: str = "output",
+                mode: str = "overwrite", **options) -> dict[str, str]:
+    """One table → several filtered outputs (e.g. local / state-federal), in one pass over it.
+
+    A row goes to every output whose predicate holds, as the filters of the
+    reference do; all outputs are partitions of one write.  Returns each
+    output's folder, which reads back as a table of its own."""
+    names = F.filter(F.array(*[F.when(pred, F.lit(name)) for name, pred in outputs.items()]), lambda n: n.isNotNull())
+    w = df.withColumn(column, F.explode(names)).write.mode(mode).partitionBy(column).format(fmt)
+    w.options(**options).save(base)
+    return {name: f"{base.rstrip('/')}/{column}={name}" for name in outputs}

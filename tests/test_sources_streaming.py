@@ -81,13 +81,16 @@ def test_bind_yearly_with_a_header_year(spark):
     assert got == [("RJ", "BIA", "1", 2016), ("SP", "ANA", None, 2008)]
 
 
-def test_split_sink_writes_each_output_from_one_checkpoint(spark):
+def test_split_sink_writes_all_outputs_in_one_pass(spark):
     d = tempfile.mkdtemp(prefix="civic-split-")
-    df = spark.createDataFrame([(2014, "a"), (2016, "b"), (2012, "c")], "election_year int, v string")
-    sinks.write_split(df, {"fed_state": F.col("election_year") % 4 == 2, "local": F.col("election_year") % 4 == 0},
-                      lambda part, path: sinks.write_parquet(part, path), d)
-    assert sorted(r.v for r in spark.read.parquet(d + "/local").collect()) == ["b", "c"]
-    assert [r.v for r in spark.read.parquet(d + "/fed_state").collect()] == ["a"]
+    df = spark.createDataFrame([(2014, "a"), (2016, "b"), (2012, "c"), (None, "d")], "election_year int, v string")
+    paths = sinks.write_split(df, {"fed_state": F.col("election_year") % 4 == 2, "local": F.col("election_year") % 4 == 0,
+                                   "recent": F.col("election_year") > 2012}, d + "/out")
+    got = {name: sorted(r.v for r in spark.read.parquet(path).collect()) for name, path in paths.items()}
+    assert got == {"fed_state": ["a"], "local": ["b", "c"], "recent": ["a", "b"]}
+    paths = sinks.write_split(df, {"local": F.col("election_year") % 4 == 0}, d + "/csv", fmt="csv", compression="gzip", header=True)
+    assert any(f.endswith(".csv.gz") for f in os.listdir(paths["local"]))
+    assert spark.read.csv(paths["local"], header=True).columns == ["election_year", "v"]
 
 
 def test_unreadable_gzip_is_skipped(spark):

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from civic_spark.operators import sorting, stats
 
@@ -116,3 +117,17 @@ def test_hash_sample_is_deterministic(spark):
     a = {r.o_orderkey for r in sorting.hash_sample(o, 0.25, ["o_orderkey"], seed=1789).collect()}
     b = {r.o_orderkey for r in sorting.hash_sample(o.repartition(7), 0.25, ["o_orderkey"], seed=1789).collect()}
     assert a == b and 0.22 < len(a) / o.count() < 0.28
+
+
+def test_exact_sample(spark):
+    df = spark.range(3001).select("id", (F.col("id") % 7).alias("k"), F.lit("x").alias("__v"))
+    for f in (0.0, 0.25, 1 / 3, 0.5, 0.9999, 1.0):
+        assert sorting.sample_exact(df, f, ["id"], 5).count() == round(f * 3001)
+    small = {r.id for r in sorting.sample_exact(df, 0.1, ["id"], 5).collect()}
+    large = {r.id for r in sorting.sample_exact(df.repartition(9), 0.4, ["id"], 5).collect()}
+    assert small < large and small != {r.id for r in sorting.sample_exact(df, 0.1, ["id"], 6).collect()}
+    # keys that repeat tie at the cut
+    tied = sorting.sample_exact(df, 0.3, ["k"], 5)
+    assert tied.count() == 900 and sorted(r["count"] for r in tied.groupBy("k").count().collect())[-1] == 429
+    assert sorted(r.id for r in tied.collect()) == sorted(r.id for r in sorting.sample_exact(df.repartition(4), 0.3, ["k"], 5).collect())
+    assert sorting.sample_exact(df.limit(0), 0.5, ["id"]).count() == 0
