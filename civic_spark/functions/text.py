@@ -6,37 +6,61 @@ Every helper takes and returns a ``Column`` so it composes inside one
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ._col import as_col
 
-# --- fixed values: Latin-1 accent folding table ("latin-ascii" transliteration) ---
-# One-to-one letters, listed in code-point order; source and target line up.
-FOLD_FROM = "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝàáâãäåçèéêëìíîïñòóôõöùúûüýÿØøÐðªº"
-FOLD_TO = "AAAAAACEEEEIIIINOOOOOUUUUYaaaaaaceeeeiiiinooooouuuuyyOoDdao"
-# Letters that expand to two characters.
-FOLD_MULTI = (("ß", "ss"), ("Æ", "AE"), ("æ", "ae"), ("Œ", "OE"), ("œ", "oe"),
-              ("Þ", "TH"), ("þ", "th"))
+# --- fixed values: letters and signs that "latin-ascii" folds but Unicode does not decompose ---
+FOLD_LETTERS = {"Ø": "O", "ø": "o", "Ð": "D", "ð": "d", "ª": "a", "º": "o", "Đ": "D", "đ": "d", "Ħ": "H", "ħ": "h", "ı": "i", "ĸ": "q",
+                "Ł": "L", "ł": "l", "Ŋ": "N", "ŋ": "n", "ſ": "s", "Ŧ": "T", "ŧ": "t", "ƒ": "f", "‐": "-", "‑": "-", "‒": "-", "–": "-",
+                "—": "-", "―": "-", "‘": "'", "’": "'", "‚": ",", "‛": "'", "“": '"', "”": '"', "‟": '"', "′": "'", "″": '"', "−": "-"}
+# Those that expand to two or more characters.
+FOLD_MULTI = (("ß", "ss"), ("Æ", "AE"), ("æ", "ae"), ("Œ", "OE"), ("œ", "oe"), ("Þ", "TH"), ("þ", "th"), ("ŉ", "'n"), ("Ĳ", "IJ"),
+              ("ĳ", "ij"), ("…", "..."), ("„", ",,"), ("«", "<<"), ("»", ">>"))
+# Blocks of accented Latin letters: Latin-1, Extended-A, Extended-B, Extended Additional.
+FOLD_BLOCKS = ((0x00C0, 0x00FF), (0x0100, 0x017F), (0x0180, 0x024F), (0x1E00, 0x1EFF))
 # --- end of fixed values ---
 
-assert len(FOLD_FROM) == len(FOLD_TO)
+
+def _fold_table() -> tuple[str, str]:
+    """(from, to), one letter each: a letter of the blocks whose decomposition is an ASCII letter and accents folds to it."""
+    table = dict(FOLD_LETTERS)
+    for first, last in FOLD_BLOCKS:
+        for code in range(first, last + 1):
+            base, *marks = unicodedata.normalize("NFD", chr(code))
+            if marks and base.isascii() and all(unicodedata.combining(m) for m in marks):
+                table[chr(code)] = base
+    return "".join(table), "".join(table.values())
+
+
+FOLD_FROM, FOLD_TO = _fold_table()
+_MULTI = f"[{''.join(src for src, _ in FOLD_MULTI)}]"
 
 
 def fold_accents(c) -> Column:
-    """Transliterate Latin letters to ASCII (``translate`` + a few expansions)."""
+    """Transliterate Latin letters and typographic signs to ASCII.
+
+    One ``translate`` by code point covers every precomposed letter; accents
+    that stand as characters of their own after a Latin letter or digit go.
+    Expansions and loose accents are looked for first, as most texts have none."""
     out = F.translate(as_col(c), FOLD_FROM, FOLD_TO)
+    wide = out
     for src, dst in FOLD_MULTI:
-        out = F.replace(out, F.lit(src), F.lit(dst))
-    return out
+        wide = F.replace(wide, F.lit(src), F.lit(dst))
+    out = F.when(out.rlike(_MULTI), wide).otherwise(out)
+    return F.when(out.rlike(r"\p{Mn}"), F.regexp_replace(out, r"([\p{IsLatin}0-9])\p{Mn}+", "$1")).otherwise(out)
 
 
 def fold_accents_sql(expr: str) -> str:
-    """The same folding spelled in portable SQL (for oracle queries)."""
-    out = f"translate({expr}, '{FOLD_FROM}', '{FOLD_TO}')"
-    for src, dst in FOLD_MULTI:
-        out = f"replace({out}, '{src}', '{dst}')"
-    return out
+    """Folding in SQL on its own terms, for oracle queries: the engine strips accents by decomposition, and only what
+    does not decompose is replaced."""
+    out = expr
+    for src, dst in (*FOLD_LETTERS.items(), *FOLD_MULTI):
+        out = "replace({}, '{}', '{}')".format(out, src, dst.replace("'", "''"))
+    return f"strip_accents({out})"
 
 
 def fold_lower(c) -> Column:

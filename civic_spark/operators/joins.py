@@ -109,35 +109,49 @@ def coalesce_pairs(df: DataFrame, pairs: dict[str, Column]) -> DataFrame:
     return df.withColumns({k: F.coalesce(F.col(k), v) for k, v in pairs.items()})
 
 
+#: Shares of a wide key, so that a table with few wide keys still spreads over many tasks.
+WIDE_SHARES = 32
+
+
 def two_tier_lookup(df: DataFrame, lookup: DataFrame, local_keys: Sequence[str], wide_keys: Sequence[str],
                     fill: dict[str, str], choose_wide: Column, *, dedupe_order: Sequence[str] | None = None) -> DataFrame:
     """Fill ``fill`` columns from ``lookup`` on the local key, or on the key
     without the municipality, choosing the wide match where ``choose_wide``.
 
-    ``fill = {target_column: lookup_column}``.  The lookup is de-duplicated on
-    each key first (A15) so neither join can fan out.  Original non-NULL
-    values win (``coalesce(original, chosen)``).
-    """
+    ``fill = {target_column: lookup_column}``.  Original non-NULL values win
+    (``coalesce(original, chosen)``).  A row's tier is known before the join,
+    so both lookups are one table keyed by tier and key, met in one join: the
+    rows are shuffled once.  Wide keys can be few (a party, a type), so wide
+    rows are dealt over ``WIDE_SHARES`` shares and the wide lookup, which is
+    small, is repeated in each.  The lookup keeps its first row per key (A15),
+    so the join cannot fan out; that shares the join's partitioning."""
     from .aggregates import keep_first
 
     vals = list(dict.fromkeys(fill.values()))
     order = list(dedupe_order or vals)
-
-    def dedupe(keys):
-        cols = list(dict.fromkeys([*keys, *vals, *[o.lstrip("-") for o in order]]))
-        return keep_first(lookup.select(*cols), list(keys), order).select(*keys, *vals)
-
-    loc, wid = dedupe(local_keys), dedupe(wide_keys)
-    loc = loc.select(*local_keys, *[F.col(v).alias(f"__loc_{v}") for v in vals])
-    wid = wid.select(*wide_keys, *[F.col(v).alias(f"__fed_{v}") for v in vals])
-    out = left_join(df, loc, list(local_keys))
-    out = left_join(out, wid, list(wide_keys))
-    choose = F.coalesce(choose_wide, F.lit(False))
-    out = out.withColumns({
-        tgt: F.coalesce(F.col(tgt) if tgt in df.columns else F.lit(None),
-                        F.when(choose, F.col(f"__fed_{src}")).otherwise(F.col(f"__loc_{src}")))
-        for tgt, src in fill.items()})
-    return out.drop(*[f"__loc_{v}" for v in vals], *[f"__fed_{v}" for v in vals])
+    only_local = [k for k in local_keys if k not in wide_keys]
+    tier, share = "__tier", "__share"
+
+    def keyed(d: DataFrame, wide: Column) -> tuple[DataFrame, list[str]]:
+        """Key columns that are never NULL; a wide row's are the same whatever its local-only keys."""
+        cols = {}
+        for i, k in enumerate(local_keys):
+            value = F.when(~wide, F.col(f"`{k}`")) if k in only_local else F.col(f"`{k}`")
+            cols[f"__k{i}"] = F.coalesce(value, _stand_in(d.schema[k].dataType))
+            cols[f"__k{i}n"] = value.isNull()
+        return d.withColumns(cols), [tier, share, *cols]
+
+    local = lookup.withColumns({tier: F.lit(0), share: F.lit(0)})
+    shares = lookup.withColumn(tier, F.lit(1)).withColumn(share, F.explode(F.sequence(F.lit(0), F.lit(WIDE_SHARES - 1))))
+    table, on = keyed(local.unionByName(shares), F.col(tier) == 1)
+    table = keep_first(table, on, order).select(*on, *[F.col(v).alias(f"__val_{v}") for v in vals])
+
+    wide = F.coalesce(choose_wide, F.lit(False))
+    rows = df.withColumns({tier: wide.cast("int"), share: F.when(wide, F.pmod(F.xxhash64(*df.columns), F.lit(WIDE_SHARES)).cast("int")).otherwise(0)})
+    rows, on = keyed(rows, F.col(tier) == 1)
+    out = rows.join(table, on, "left")
+    filled = {t: F.coalesce(F.col(t) if t in df.columns else F.lit(None), F.col(f"__val_{v}")) for t, v in fill.items()}
+    return out.withColumns(filled).drop(*on, *[f"__val_{v}" for v in vals])
 
 
 def split_join_union(df: DataFrame, branches: Iterable[tuple[Column, DataFrame, Sequence[str]]], *,

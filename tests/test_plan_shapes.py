@@ -97,3 +97,11 @@ def test_no_ordered_window_holds_an_unsplit_key(spark):
         for functions, keys in re.findall(r"\+- Window \[(.*?)\], \[([^\]]*)\]", _shuffle_plan(spark, name)):
             # windows by key alone run over the carries, two rows per partition
             assert "__part" in keys or "__part" in functions, (name, keys)
+
+
+def test_two_tier_lookup_shuffles_each_side_once(spark):
+    plan = _shuffle_plan(spark, "j5_j6_two_tier_lookup")
+    # the price table grouped once (reused for both tiers), lookup and rows once each
+    assert len(set(re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan))) == 3
+    assert not re.search(r"Exchange hashpartitioning\(p_type", plan)
+    assert re.search(r"Exchange hashpartitioning\(__tier#\d+, __share", plan)
