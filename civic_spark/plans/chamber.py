@@ -1,12 +1,11 @@
 """D7 ``election_chamber``: one row per elected mayor with chamber structure.
 
-Plan shape: the election table is filtered (F8, F9, F7 — group filters),
-then **one** partitioning by ``(election_year, cod_ibge_6)`` serves every
-municipality-level window (W1, W8, F10) and the final ``groupBy`` of ~25
-measures (A8–A11 over the councillors); the mayor rows are joined to those
-measures on the same keys.  Municipality groups are bounded (the candidates
-of one municipal election), so the windows never hold more than one
-municipality's rows.
+Plan shape (default): the election table is aggregated once to mergeable
+partials per municipality, year, party and coalition (``council_partials``);
+the group filters (F8, F9, F7, F10) and the ~25 measures (A8–A11 over the
+councillors) are formed there, and the mayors' own rows are joined to them.
+Two more strategies give the same rows: ``aggregate`` filters and aggregates
+the rows themselves, ``window`` partitions them once by municipality.
 
 Measures (councillor rows, "vereador"):
 * mayor party: seat share, margin over 0.5, majority, mean education /
@@ -30,6 +29,7 @@ from ..functions.logic import in_seq
 from ..operators import groups
 from ..operators.joins import left_join
 from ..operators.windows import sequence_number
+from . import council_partials
 from .common import ELECTED_PATTERN, LOCAL_YEARS
 
 # --- fixed values ---
@@ -40,23 +40,13 @@ PERSON = ["cpf_candidate", "elec_title", "candidate_name"]
 # --- end of fixed values ---
 
 
-# Tables keyed by (election_year, cod_ibge_6) after the municipal-year filter are
-# bounded by construction: cod_ibge_6 comes from the municipality dimension
-# (≤ 10,000 codes, plus NULL) and the year from the five municipal cycles, so
-# such a table has at most about 50,000 rows.  They are broadcast without a
-# counting job.
-
-
 def common_filters(df: DataFrame, strategy: str = "aggregate") -> DataFrame:
     """Steps shared by D7 and D8: municipal years; one election type per
     municipality (F8); no second round (F9); (code, type, position) groups
     with at least one elected row (F7).
 
-    ``strategy="aggregate"`` (default): each group flag is a partial
-    aggregate whose key table is bounded by the domain (municipality-years,
-    code-type-positions), size-checked and broadcast back — the election
-    table is never shuffled by municipality, so a hot municipality costs
-    one row per map task.
+    ``strategy="aggregate"``: each group flag is a partial aggregate joined
+    back on the group's key, so no task holds a whole municipality.
 
     ``strategy="window"``: the rows are hash-partitioned once by
     ``cod_ibge_6``; that partitioning satisfies every later window ((year,
@@ -209,15 +199,17 @@ def _build_aggregate(df, elected, full, match):
 
 
 def build(election: DataFrame, *, excluded=EXCLUDED_MUNICIPALITIES, full: bool = False,
-          match: str = "word", strategy: str = "aggregate") -> DataFrame:
-    """``strategy``: ``"aggregate"`` (default, safe for hot municipalities) or
-    ``"window"`` (one exchange; a municipality's rows must fit one task).
-    Both give the same rows."""
+          match: str = "word", strategy: str = "partials") -> DataFrame:
+    """``strategy``: ``"partials"`` (default, one aggregate of the election
+    table), ``"aggregate"`` (aggregates of its rows) or ``"window"`` (one
+    exchange; a municipality's rows must fit one task).  All give the same rows."""
     df = election
     if "ideology" not in df.columns:                         # Q15: optional input
         df = df.withColumn("ideology", F.lit(None).cast("double"))
-    df = common_filters(df, strategy)
     pos = F.col("position")
+    if strategy == "partials":
+        return _published(*_from_partials(df, excluded, full, match), full)
+    df = common_filters(df, strategy)
     elected = df.filter(F.col("elected") == 1) \
         .withColumns({"coalition_size": F.lit(1) + text.count_matches("coalition", "/"),
                       "age": F.col("election_year") - logic.try_int("birthyear")}) \
@@ -226,7 +218,23 @@ def build(election: DataFrame, *, excluded=EXCLUDED_MUNICIPALITIES, full: bool =
         df, keep = _build_window(df, excluded, full, match)
     else:
         df, keep = _build_aggregate(df, elected, full, match)
-    out = df.filter(pos == MAYOR)
+    return _published(df.filter(pos == MAYOR), keep, full)
+
+
+def _from_partials(df, excluded, full, match):
+    mayors, measures, totals = council_partials.chamber_tables(df, MAYOR, COUNCIL, excluded, match)
+    if full:                                                  # W7 over the surviving rows of the municipality (Q20)
+        from ..operators.windows import top2_relative_gap
+        rows, part = council_partials.filtered_partials(df)
+        alive = left_join(rows, part.select(*MUN, *council_partials.F7_KEYS[1:]).distinct(), [*MUN, *council_partials.F7_KEYS[1:]], how="left_semi")
+        totals = left_join(totals, top2_relative_gap(alive, MUN, "vote", ["-vote", "-position_code", "candidate_name"], "vote_margin"), MUN)
+    keep = [c for c in measures.columns if c not in (*MUN, "effective_parties") and (full or not c.startswith("opposition_") or "ideology" in c)]
+    out = mayors.withColumns({"coalition_size": F.lit(1) + text.count_matches("coalition", "/"), "age": F.col("__age")})
+    out = out.drop("mayor_party", "mayor_coalition")
+    return left_join(left_join(out, measures.select(*MUN, *keep, "effective_parties"), MUN), totals, MUN), keep
+
+
+def _published(out: DataFrame, keep: list[str], full: bool) -> DataFrame:
     gender = F.col("gender")
     male = F.when(gender == 2, 1).when(gender == 4, 0)
     sel = [

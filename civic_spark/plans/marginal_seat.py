@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions import logic, text
 from ..operators import aggregates as A
 from ..operators.apportion import marginal_seat
+from . import council_partials
 from .chamber import COUNCIL, EXCLUDED_MUNICIPALITIES, MAYOR, MUN, _count_if_over, common_filters
 
 MIN_SEATS = 9
@@ -36,16 +37,21 @@ def _summary(el) -> dict:
 
 
 def coalition_table(election: DataFrame, *, excluded=EXCLUDED_MUNICIPALITIES, match: str = "word",
-                    strategy: str = "aggregate") -> DataFrame:
+                    strategy: str = "partials") -> DataFrame:
     """Per (year, municipality, coalition, side): candidates, elected, means,
     votes, plus the chamber covariates of the municipality.
 
-    ``strategy="aggregate"`` (default): mayor values, chamber covariates and
+    ``strategy="partials"`` (default): everything from one aggregate of the
+    election table (``council_partials``).  ``strategy="aggregate"``: mayor values, chamber covariates and
     the party seat counts are partial aggregates keyed by municipality-year
     (bounded by construction, broadcast back), so a hot municipality never
     sits in one task.  ``strategy="window"``: the same values as windows on
     rows partitioned once by municipality; the final ``groupBy`` refines that
     partitioning and needs no further exchange."""
+    if strategy == "partials":
+        if "ideology" not in election.columns:
+            election = election.withColumn("ideology", F.lit(None).cast("double"))
+        return council_partials.council_lists(election, MAYOR, COUNCIL, excluded, match)
     df = common_filters(election, strategy)
     df = df.filter(~F.col("cod_ibge_6").isin(list(excluded)))
     pos, el = F.col("position"), F.col("elected")

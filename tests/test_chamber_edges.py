@@ -1,6 +1,9 @@
 """D7 / D8 edge cases (FIXTURES.md §3) on an election table built directly."""
 
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
 from civic_spark.plans import chamber, marginal_seat
 
@@ -62,16 +65,57 @@ def test_marginal_seat_edges(elections):
     assert r["quotient_margin"] == pytest.approx((9000 / 8 - 9000 / 9) / (9 * 9000))
 
 
-@pytest.mark.parametrize("full", [False, True])
-def test_chamber_strategies_agree(elections, full):
-    a = chamber.build(elections, strategy="aggregate", full=full)
-    b = chamber.build(elections, strategy="window", full=full)
-    assert a.columns == b.columns
-    norm = lambda df: sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect())
+def _same(a, b):
+    assert a.columns == b.columns and [f.dataType for f in a.schema] == [f.dataType for f in b.schema]
+    norm = lambda df: sorted((tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect()), key=str)
     assert norm(a) == norm(b)
 
 
-def test_marginal_seat_strategies_agree(elections):
-    a = marginal_seat.build(elections, strategy="aggregate").collect()
-    b = marginal_seat.build(elections, strategy="window").collect()
-    assert sorted(tuple(r) for r in a) == sorted(tuple(r) for r in b)
+@pytest.fixture(scope="module")
+def odd_elections(spark, elections):
+    """Random chambers with missing parties, coalitions, outcomes, votes and rounds, and decimal campaigns."""
+    rng = random.Random(8)
+    rows = []
+    for m in range(60):
+        mun = str(200000 + m)
+        rows.append(row(mun, "mayor", "prefeito", rng.choice(["pt", "pv", None]), rng.choice(["pt / pv", "pv", "", None]), "eleito", 500))
+        for i in range(rng.randint(0, 30)):
+            party = rng.choice(["pt", "pv", "psdb", "dem"] if m % 3 else ["pt", "pv", None])
+            r = list(row(mun, f"v{i}", rng.choice(["vereador"] * 9 + ["vice"]), party, rng.choice([party, "psdb / dem", "", None]),
+                         rng.choice(["eleito por qp", "media", "suplente", None]), rng.choice([rng.randint(1, 900)] * 20 + [None])))
+            r[5] = rng.choice([1] * 200 + [None, 2])
+            r[8], r[11], r[12], r[13] = rng.choice(["1970", "19na", "1988"]), rng.choice([None, 10.25, 99.5]), rng.choice([None, 3, 7]), rng.choice([None, 20, 63])
+            r[26] = rng.choice([r[26]] * 30 + [None])
+            rows.append(tuple(r))
+    ideology = F.when(F.col("party") == "pt", F.length("candidate_name") / 7.0).when(F.col("party") == "dem", 0.75)
+    return (spark.createDataFrame(rows, COLS).unionByName(elections).withColumn("ideology", ideology)
+            .withColumn("campaign", F.col("campaign").cast("decimal(18,2)")))
+
+
+@pytest.mark.parametrize("full", [False, True])
+def test_chamber_strategies_agree(elections, odd_elections, full):
+    for table in (elections, odd_elections):
+        first = chamber.build(table, strategy="partials", full=full)
+        _same(first, chamber.build(table, strategy="aggregate", full=full))
+    _same(first, chamber.build(table, strategy="window", full=full))
+    assert first.count() > 10
+
+
+def test_marginal_seat_strategies_agree(elections, odd_elections):
+    for table in (elections, odd_elections):
+        first = marginal_seat.coalition_table(table, strategy="partials")
+        other = marginal_seat.coalition_table(table, strategy="aggregate")
+        _same(first.select(sorted(first.columns)), other.select(sorted(other.columns)))
+        a = marginal_seat.build(table, strategy="partials").collect()
+        b = marginal_seat.build(table, strategy="window").collect()
+        assert sorted(tuple(r) for r in a) == sorted(tuple(r) for r in b)
+
+
+def test_partials_read_the_election_table_once(spark, elections, tmp_path):
+    """One aggregate of the table and one filtered read of the mayors' rows."""
+    elections.withColumn("ideology", F.lit(0.5)).write.parquet(f"{tmp_path}/e")
+    e = spark.read.parquet(f"{tmp_path}/e")
+    text = chamber.build(e)._jdf.queryExecution().optimizedPlan().toString()
+    # the partials are a written table; only the mayors are read from the election table here
+    assert text.count("parquet") == 1 and "prefeito" in text
+    assert "parquet" not in marginal_seat.coalition_table(e)._jdf.queryExecution().optimizedPlan().toString()
