@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from civic_spark.session import cut_lineage, ensure_checkpoint_dir
@@ -23,6 +23,29 @@ def parquet(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables of one operator in the shared folder, each dropped as soon as the tables made from it are written."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}"
+        self.paths: dict[int, str] = {}
+
+    def write(self, df: DataFrame) -> DataFrame:
+        path = f"{self.base}/{len(self.paths)}"
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = path
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Deletes tables that no later job reads."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for t in tables:
+            path = jvm.org.apache.hadoop.fs.Path(self.paths[id(t)])
+            path.getFileSystem(conf).delete(path, True)
+
+
 def global_rank(df: DataFrame, order: list[Column | str], weight: Column | None = None,
                 rank: str = "rank") -> DataFrame:
     """Adds the sum of ``weight`` (default 1) over all rows that precede the row in ``order``, from 0.

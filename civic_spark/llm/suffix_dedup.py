@@ -20,8 +20,8 @@ are judged on the input and never cross documents.
    group.
 5. Repeated intervals meet their documents, are united, and the remaining bytes are hashed.
 
-Hashes only propose: anchors and surroundings are named by 128 bits together, and groups in step 3 are compared as
-bytes.
+Anchors and surroundings are named by 128 bits together; equal names are taken as equal bytes in step 2, and groups in
+step 3 are compared as bytes.
 
 Defined results: a null text has no bytes; texts shorter than ``SPAN`` lose nothing; rows that repeat an id, or are
 repeated in full, count as documents of their own.
@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from civic_spark.llm.arrow_text import _BYTE, POWERS, mix, text_buffers
 from civic_spark.llm.gsaca import common_prefixes, suffix_order
-from civic_spark.llm.shared import written
+from civic_spark.llm.shared import Scratch
 
 SPAN, GRAM = 200, 32
 BEFORE = SPAN - GRAM
@@ -53,7 +53,7 @@ MOST = 64
 PORTION = 100_000
 KEY = ["doc", "tkey"]
 NO_ID = -(1 << 63)
-ANCHORS = "doc long, tkey long, anchor long, around long, pos long, l int, r int"
+ANCHORS = "doc long, tkey long, anchor long, around long, place long"
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -110,8 +110,8 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not len(pos):
                 continue
             size = int(at[k + 1] - at[k])
-            rows.append((np.full(len(pos), doc[k]), np.full(len(pos), tkey[k]), gram.view(np.int64), around.view(np.int64), pos,
-                         np.minimum(pos, BEFORE).astype(np.int32), np.minimum(size - pos, SPAN).astype(np.int32)))
+            rows.append((np.full(len(pos), doc[k]), np.full(len(pos), tkey[k]), gram.view(np.int64), around.view(np.int64),
+                         pos << 16 | np.minimum(pos, BEFORE) << 8 | np.minimum(size - pos, SPAN)))
             held += len(pos)
             if held > 50_000:
                 yield table(rows)
@@ -120,6 +120,10 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield table(rows)
 
 
+#: A place in one number: position, bytes before it and from it on that its surroundings hold (each below 256).
+PLACE = {"pos": "shiftright(place, 16)", "l": "cast(shiftright(place, 8) & 255 as int)", "r": "cast(place & 255 as int)"}
+
+
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Compressed texts: they are shuffled whole."""
     press = zstandard.ZstdCompressor(level=3)
@@ -137,12 +141,14 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             one = batch.slice(k, 1)
             text = unpack.decompress(one.column(2)[0].as_buffer().to_pybytes())
             wanted = one.column(3).flatten()
-            pos, l, r = (wanted.field(name).to_numpy() for name in ("pos", "l", "r"))
+            place = wanted.field("place").to_numpy()
+            pos, l, r = place >> 16, place >> 8 & 255, place & 255
             cut = [text[p - a:p + b] for p, a, b in zip(pos, l, r, strict=True)]
             n = len(cut)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.repeat(one.column(c).to_numpy(), n)) for c in (0, 1)]
-                + [wanted.field(name) for name in ("anchor", "group_size", "times", "pos", "l", "r")] + [pa.array(cut, pa.binary())],
+                + [wanted.field(name) for name in ("anchor", "group_size", "times")]
+                + [pa.array(pos), pa.array(l.astype(np.int32)), pa.array(r.astype(np.int32)), pa.array(cut, pa.binary())],
                 names=[*KEY, "anchor", "group_size", "times", "pos", "l", "r", "bytes"])
 
 
@@ -241,7 +247,13 @@ def _agreements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     portion, group, own = _Portion(), None, []
 
     def flush() -> Iterator[pa.RecordBatch]:
-        got = [(d, t, p - a, p + b) for (d, t, p, times), a, b in portion.agreements() if times == 1 and a + b >= SPAN]
+        # All agreements of a place hold its anchor, so their union is one interval.
+        reach: dict = {}
+        for place, a, b in portion.agreements():
+            if place[3] == 1 and a + b >= SPAN:
+                a0, b0 = reach.get(place, (0, 0))
+                reach[place] = max(a, a0), max(b, b0)
+        got = [(d, t, p - a, p + b) for (d, t, p, _), (a, b) in reach.items()]
         if got:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*got, strict=True)],
                                              names=["doc", "tkey", "start", "stop"])
@@ -307,17 +319,17 @@ def _interval() -> list:
     return [*KEY, (F.col("pos") - F.col("l")).alias("start"), (F.col("pos") + F.col("r")).alias("stop")]
 
 
-def _one_per_text(places: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _one_per_text(places: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """(intervals of places whose bytes another place of the group has as a whole, one place per distinct bytes).
 
     Bytes are shuffled once, after equal ones are combined; places are matched with the counts without their bytes.
     """
     named = places.withColumn("h", F.sha2("bytes", 256))
-    one = written(named.groupBy("gid", "h").agg(F.sum("times").alias("total"), F.min(F.struct(*KEY, "pos", "l", "r", "lo", "hi")).alias("one"),
-                                                F.first("bytes").alias("bytes")))
+    one = scratch.write(named.groupBy("gid", "h").agg(F.sum("times").alias("total"), F.min(F.struct(*KEY, "pos", "l", "r", "lo", "hi")).alias("one"),
+                                                      F.first("bytes").alias("bytes")))
     again = one.where("total > 1").select("gid", "h")
     whole = named.drop("bytes").join(again, ["gid", "h"]).where(F.col("l") + F.col("r") >= SPAN).select(*_interval())
-    return whole, one.select("gid", "one.*", F.col("total").alias("times"), "bytes")
+    return scratch.write(whole), one
 
 
 def _wanted(places: DataFrame) -> DataFrame:
@@ -327,40 +339,47 @@ def _wanted(places: DataFrame) -> DataFrame:
 
 
 def repeated_intervals(keyed: DataFrame) -> DataFrame:
-    """(doc, tkey, start, stop): intervals of bytes that are repeated; they may overlap.  ``keyed``: doc, tkey, text."""
-    marks = written(keyed.mapInArrow(_anchor_rows, ANCHORS))
+    """(doc, tkey, start, stop): intervals of bytes that are repeated; they may overlap.  ``keyed``: doc, tkey, text.
+
+    Every table between two steps is dropped when the next ones are written; only intervals stay."""
+    scratch = Scratch(keyed.sparkSession)
+    marks = scratch.write(keyed.mapInArrow(_anchor_rows, ANCHORS))
     shared = marks.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    places = marks.join(shared, "anchor")
+    places = scratch.write(marks.join(shared, "anchor"))
+    scratch.drop(marks)
     # Equal surroundings: repeated as a whole; one place stands for all.
-    places = written(places)
-    totals = places.groupBy("anchor", "around").agg(F.count("*").alias("times"), F.min(F.struct(*KEY, "pos", "l", "r")).alias("one"))
-    totals = written(totals)
-    whole = (places.join(totals.where("times > 1").select("anchor", "around"), ["anchor", "around"]).where(F.col("l") + F.col("r") >= SPAN)
-             .select(*_interval()))
+    totals = scratch.write(places.groupBy("anchor", "around").agg(F.count("*").alias("times"), F.min(F.struct(*KEY, "place")).alias("one")))
+    again = totals.where("times > 1").select("anchor", "around")
+    at = [F.expr(e).alias(name) for name, e in PLACE.items()]
+    whole = places.join(again, ["anchor", "around"], "left_semi").select(*KEY, *at).where(F.col("l") + F.col("r") >= SPAN)
+    found = [scratch.write(whole.select(*_interval()))]
+    scratch.drop(places)
     mixed = (totals.groupBy("anchor").agg(F.count("*").alias("n"), F.min("times").alias("least")).where("n > 1 and least = 1")
              .select("anchor", F.col("n").alias("group_size")))
     asked = (totals.join(mixed, "anchor").select("anchor", "group_size", "times", "one.*").groupBy(*KEY)
-             .agg(F.collect_list(F.struct("anchor", "group_size", "times", "pos", "l", "r")).alias("asked")))
+             .agg(F.collect_list(F.struct("anchor", "group_size", "times", "place")).alias("asked")))
     texts = keyed.mapInArrow(_pack, "doc long, tkey long, packed binary").join(asked, KEY)
     cut = texts.select(*KEY, "packed", "asked").mapInArrow(
         _cut, "doc long, tkey long, anchor long, group_size long, times long, pos long, l int, r int, bytes binary")
-    found = [whole]
     # A row repeated in full brings its places again; they repeat as a whole, so nothing is learnt about them below.
-    group = written(cut.withColumnRenamed("anchor", "gid"))
-    group = group.withColumns({"lo": F.lit(0), "hi": F.lit(WINDOW)})
+    group = scratch.write(cut.withColumnRenamed("anchor", "gid").withColumns({"lo": F.lit(0), "hi": F.lit(WINDOW)}))
+    scratch.drop(totals)
     tasks = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     while True:
         small = group.where(F.col("group_size") <= MOST)
         # A number of partitions, as sorting costs far more than its few bytes suggest.
         ordered = small.repartition(tasks, "gid").sortWithinPartitions("gid")
-        found.append(written(ordered.select("gid", *KEY, "pos", "times", "l", "bytes").mapInArrow(_agreements, INTERVALS)))
+        found.append(scratch.write(ordered.select("gid", *KEY, "pos", "times", "l", "bytes").mapInArrow(_agreements, INTERVALS)))
         large = group.where((F.col("group_size") > MOST) & (F.col("hi") - F.col("lo") > 1)).drop("group_size")
         if large.isEmpty():
             break
         # One round per halving: all ranges of all large groups at a time.
-        equal, rest = _one_per_text(_halves(large))
-        found.append(written(equal))
-        group = written(_wanted(rest))
+        equal, one = _one_per_text(_halves(large), scratch)
+        found.append(equal)
+        rest = one.select("gid", "one.*", F.col("total").alias("times"), "bytes")
+        last, group = group, scratch.write(_wanted(rest))
+        scratch.drop(last, one)
+    scratch.drop(group)
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
