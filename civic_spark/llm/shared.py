@@ -29,20 +29,20 @@ class Scratch:
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
         self.base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}"
-        self.paths: dict[int, str] = {}
+        self.held: list[tuple[DataFrame, str]] = []
 
     def write(self, df: DataFrame) -> DataFrame:
-        path = f"{self.base}/{len(self.paths)}"
+        path = f"{self.base}/{len(self.held)}"
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(out)] = path
+        self.held.append((out, path))
         return out
 
     def drop(self, *tables: DataFrame) -> None:
         """Deletes tables that no later job reads."""
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        for t in tables:
-            path = jvm.org.apache.hadoop.fs.Path(self.paths[id(t)])
+        for path in (p for t, p in self.held if any(t is x for x in tables)):
+            path = jvm.org.apache.hadoop.fs.Path(path)
             path.getFileSystem(conf).delete(path, True)
 
 
