@@ -23,12 +23,13 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token counts of all documents before and after three edits each: a deletion, an insertion, an appended text."""
+    """Token counts of all documents before and after three edits each: a deletion in the second quarter, an insertion, an
+    appended text."""
     trees = tokens.count_tokens(table(spark, sf_dir, "documents"), VOCABULARY)
     n = F.length("text")
     at = lambda share: F.floor(n * share).cast("int")
     edit = lambda start, stop, new: F.struct(start.alias("start"), stop.alias("stop"), new.alias("replacement"))
-    edits = F.array(edit(at(0.25), at(0.25) + 12, F.lit("")), edit(at(0.5), at(0.5), F.substring("text", 1, 40)), edit(n, n, F.lit(" The end.")))
+    edits = F.array(edit(at(0.25), F.least(at(0.25) + 12, at(0.5)), F.lit("")), edit(at(0.5), at(0.5), F.substring("text", 1, 40)), edit(n, n, F.lit(" The end.")))
     before = trees.select("*", edits.alias("edits"))
     after = tokens.apply_edits(before, "edits", VOCABULARY, carry=["n_tokens"])
     return after.select("doc_id", F.col("carried.n_tokens").alias("n_tokens"), "n_pretokens", F.col("n_tokens").alias("edited_tokens"),
