@@ -715,7 +715,7 @@ def pad_codes(spark, d):
     k = F.col("c_custkey").cast("string")
     return c.select("c_custkey", text.pad_left(k, 5).alias("code5"), text.pad_left(k, 3).alias("code3"),
                     text.pad_left_digits("c_mktsegment", 12).alias("segment_code"),
-                    k.isin("0", "0" * 11, "9" * 11).alias("defective_id"))
+                    ((k == "0") | (k == text.repeat_text("0", 11)) | (k == text.repeat_text("9", 11))).alias("defective_id"))
 
 
 @query("x4_x7_url_parts", """
@@ -1172,6 +1172,34 @@ def csv_roundtrip(spark, d):
                       logic.decimal_comma("c_acctbal").cast("double").alias("c_acctbal"), "c_mktsegment")
 
 
+@query("s2_s4_s6_s10_s14_s16_u3_tagged_files", """
+SELECT o_orderkey, nullif(o_orderstatus, 'P') AS status, 'Ação; "' || o_orderpriority || '"' AS label,
+       CASE WHEN year(o_orderdate) % 2 = 0 THEN 'even' ELSE 'odd' END AS tag,
+       CAST(CASE WHEN year(o_orderdate) % 2 = 0 THEN 0 ELSE 1 END AS INTEGER) AS parity
+FROM orders
+""")
+def tagged_files(spark, d):
+    """Headerless ``;`` text in UTF-8 with empty fields (S2, S4, S10), written to two folders and read by one scan over
+    both (S6, U3); the folder of a row's file tags it (S14), and an inline table gives the tag its number (S16)."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    from ..sources import readers, sinks
+
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tagged-{uuid.uuid4().hex}"
+    y = F.year("o_orderdate")
+    o = _t(spark, d, "orders").select(
+        "o_orderkey", F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("status"),
+        F.concat(F.lit('Ação; "'), "o_orderpriority", F.lit('"')).alias("label"), y.alias("y"))
+    paths = sinks.write_split(o, {"even": F.col("y") % 2 == 0, "odd": F.coalesce(F.col("y") % 2, F.lit(1)) == 1}, base,
+                              fmt="csv", column="tag", sep=";", header=False, escape='"', emptyValue="")
+    files = readers.scan_delimited(spark, list(paths.values()), readers.all_string_schema(["o_orderkey", "status", "label", "y"]),
+                                   sep=";", header=False, encoding="UTF-8", path_column="_source_file")
+    tags = readers.inline_table(spark, [("even", 0), ("odd", 1)], "tag string, parity int")
+    x = files.withColumn("tag", F.regexp_extract("_source_file", r"/tag=(\w+)/", 1))
+    return joins.left_join(x, tags, "tag").select(logic.try_long("o_orderkey").alias("o_orderkey"), "status", "label", "tag", "parity")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
