@@ -65,10 +65,6 @@ def try_long(c) -> Column:
     return as_col(c).try_cast("long")
 
 
-def try_double(c) -> Column:
-    return as_col(c).try_cast("double")
-
-
 def decimal_comma(c, precision: int = 18, scale: int = 2) -> Column:
     """``'1.234,50'``-style or ``'1,50'`` text → decimal; bad → NULL."""
     txt = F.regexp_replace(as_col(c).cast("string"), ",", ".")
@@ -109,13 +105,3 @@ def parse_dmy(c) -> Column:
     """Day-first date text → date; accepts ``/``, ``-`` and ``.``; bad → NULL."""
     txt = F.regexp_replace(as_col(c), "[-.]", "/")
     return F.try_to_date(txt, "d/M/yyyy")
-
-
-def safe_div(a, b) -> Column:
-    """X23 division with NaN / Inf mapped to NULL."""
-    return F.try_divide(as_col(a), as_col(b))
-
-
-def birth_year_19(c) -> Column:
-    """D4 (Q8, kept): birth year = '19' + last two characters of the date text."""
-    return F.concat(F.lit("19"), F.right(as_col(c), F.lit(2)))

@@ -140,11 +140,6 @@ def n_chars(c) -> Column:
     return F.length(as_col(c))
 
 
-def split_list(c, sep: str = "/") -> Column:
-    """X11: split into an array."""
-    return F.split(as_col(c), sep)
-
-
 def list_length(c, sep: str = "/") -> Column:
     """Element count of a split; R's ``length(NA)`` is 1, so NULL → 1."""
     return F.coalesce(F.size(F.split(as_col(c), sep)), F.lit(1))

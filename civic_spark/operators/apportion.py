@@ -32,8 +32,10 @@ from pyspark.sql import functions as F
 
 
 def quotient_rows(df: DataFrame, seats: str, votes: str, name: str = "divisor") -> DataFrame:
-    """One row per divisor ``1..seats`` (``explode(sequence(1, seats))``)."""
-    return df.withColumn(name, F.explode(F.sequence(F.lit(1), F.col(seats).cast("int"))))
+    """One row per divisor ``1..seats`` with its quotient ``votes / divisor``; no row without a seat."""
+    n = F.col(seats).cast("int")
+    divisors = F.when(n >= 1, F.sequence(F.lit(1), F.greatest(n, F.lit(1))))
+    return df.withColumn(name, F.explode(divisors)).withColumn("quotient", F.col(votes) / F.col(name))
 
 
 def marginal_seat(df: DataFrame, place: Sequence[str], list_col: str, votes: str, seats: str, side: str,

@@ -104,11 +104,6 @@ def right_join(left: DataFrame, right: DataFrame, on, *, null_safe: bool = True)
     return left_join(right, left, on, null_safe=null_safe)
 
 
-def coalesce_pairs(df: DataFrame, pairs: dict[str, Column]) -> DataFrame:
-    """Collapse colliding columns: ``out = coalesce(original, other)``."""
-    return df.withColumns({k: F.coalesce(F.col(k), v) for k, v in pairs.items()})
-
-
 #: Shares of a wide key, so that a table with few wide keys still spreads over many tasks.
 WIDE_SHARES = 32
 
@@ -222,11 +217,3 @@ def shifted_key_join(left: DataFrame, right: DataFrame, on: Sequence[str], year:
     in y against the municipal one in y − 2)."""
     r = right.withColumn(year, F.col(year) + shift)
     return left_join(left, r, [*on, year], **kw)
-
-
-def compare_totals(left: DataFrame, right: DataFrame, keys: Sequence[str], left_measures: dict[str, Column],
-                   right_measures: dict[str, Column]) -> DataFrame:
-    """Aggregate two sources independently to the same grain and join."""
-    a = left.groupBy(*keys).agg(*[v.alias(k) for k, v in left_measures.items()])
-    b = right.groupBy(*keys).agg(*[v.alias(k) for k, v in right_measures.items()])
-    return left_join(a, b, list(keys))

@@ -1200,6 +1200,18 @@ def tagged_files(spark, d):
     return joins.left_join(x, tags, "tag").select(logic.try_long("o_orderkey").alias("o_orderkey"), "status", "label", "tag", "parity")
 
 
+@query("x14_seat_quotients", """
+SELECT c_nationkey, c_mktsegment, votes, seats, CAST(divisor AS INTEGER) AS divisor, round(votes / divisor, 8) AS quotient
+FROM (SELECT *, unnest(range(1, seats + 1)) AS divisor
+      FROM (SELECT c_nationkey, c_mktsegment, count(*) AS votes, CAST(c_nationkey % 7 AS BIGINT) AS seats FROM customer GROUP BY 1, 2))
+""")
+def seat_quotients(spark, d):
+    """Every list's votes over 1, 2, ... up to its nation's seats; nations without a seat have no row."""
+    votes = A.count_by(_t(spark, d, "customer"), ["c_nationkey", "c_mktsegment"]).withColumnRenamed("n", "votes")
+    x = apportion.quotient_rows(votes.withColumn("seats", (F.col("c_nationkey") % 7).cast("long")), "seats", "votes")
+    return x.withColumn("quotient", F.round("quotient", 8))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v[0] for k, v in REGISTRY.items()}
 

@@ -53,15 +53,6 @@ def land(stream: DataFrame, target: str, *, transform: Callable[[DataFrame], Dat
     return w.start()
 
 
-def running_totals(stream: DataFrame, keys: list[str], value: str, watermark_col: str | None = None,
-                   delay: str = "1 day") -> DataFrame:
-    """Streaming A1-style totals per key (e.g. votes per candidate as zone
-    files arrive).  With a watermark on an event-time column the state for
-    old keys is dropped once it can no longer change."""
-    s = stream.withWatermark(watermark_col, delay) if watermark_col else stream
-    return s.groupBy(*keys).agg(F.sum(value).alias(value), F.count(F.lit(1)).alias("rows"))
-
-
 def windowed_totals(spark: SparkSession, source_dir: str, glob: str, schema: T.StructType, ts: str,
                     window: str, keys: list[str], value: str, target: str | None = None) -> DataFrame:
     """Event-time window totals computed by a streaming query over the files
