@@ -1,21 +1,30 @@
-r"""Line dedup with DataFrame functions only: suffix ranks over line-id sequences by distributed prefix doubling.
+r"""Line dedup with DataFrame functions only: a suffix array over line-id sequences by distributed prefix doubling.
 
 A document is its sequence of non-blank lines (separated by ``\n``).  A run of ``min_lines`` lines or more, or a single
 line of ``min_chars`` characters or more, that also stands earlier is a later copy; its lines are deleted.  Earlier
 means a smaller (doc_id, text hash, line number).  Runs are judged on the input; blank lines stay.
 
-1. A line's id is a 128-bit hash.  Lines that occur once break every run, so only repeated ones go on (a count per
-   line, combined before the shuffle).  The rank of a suffix is the number of suffixes that sort before it by line id.
-2. Doubling: the rank by w lines is paired with the rank of the suffix w lines on, and the distinct pairs are ranked
-   anew by range partitioning (no group is sorted in one task).  Suffixes whose pair is unique share no run of that
-   length with any other and leave.  Doubling stops at ``min_lines``: suffixes of equal rank are then the intervals
-   whose longest common prefix is at least ``min_lines``, and a longer repeated run is the union of such windows, so
-   deeper ranks would not change what is deleted.
-3. In each interval all but the earliest suffix are later copies.  Their windows, united per document, are the maximal
-   repeated runs.
+1. A line's id is a 128-bit hash.  Lines that occur once end every run, so only repeated ones go on (a count per line,
+   combined before the shuffle).  A suffix reaches from its line to the end of its run of repeated lines; its rank is
+   the number of suffixes that sort before it, by one line at first.
+2. Doubling: a suffix of a shared rank is paired with the rank of the suffix ``width`` lines on (an ended one sorts
+   first), and a segmented scan over range-partitioned pairs ranks them within their old rank.  A suffix whose rank is
+   its own, or which has ended, is in its final place and moves no more.  Doubling stops when no shared suffix goes on:
+   the ranks are then the suffix array; suffixes that still share a rank are equal to their ends.
+3. Common prefixes: ranks count suffixes, so the next entry of the array has the rank ``rank + n``.  The length that
+   two neighbours share is found by descending through the levels of the doubling, from the widest: equal ranks at a
+   level add its width.  Entries that are equal to their ends share all their lines.
+4. Intervals: neighbours that share ``min_lines`` lines or more are in one interval, numbered by a running count of the
+   cuts.  All but the interval's earliest suffix are later copies; what they cover, united per document, are the maximal
+   repeated runs (``repeated_runs`` lists them).
+
+No group meets in one task: counts are combined before their shuffle, ranks come from ranges, and a join by a name that
+more than one in ``HEAVY`` suffixes carry deals its rows over ``SHARES`` copies of that name.  At most ``HEAVY`` names
+can be so frequent, which bounds the broadcast list of them.
 
 Defined results: a null text has no lines and stays null; documents with the same id and different texts are apart;
-rows repeated in full are one document for the search, and each loses the same lines; null ids sort first.
+rows repeated in full are one document for the search, and each loses the same lines; null ids sort first; very long
+texts are read whole, a document's own numbers of deleted lines being the only list that is formed.
 """
 
 from __future__ import annotations
@@ -23,12 +32,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from civic_spark.llm.shared import global_rank, written
+from civic_spark.llm.shared import Scratch, global_rank, parquet
+from civic_spark.operators.scan import ordered_scan
 
 MIN_LINES, MIN_CHARS = 2, 200
 KEY = ["doc", "tkey"]
+PLACE = [*KEY, "seq"]
 #: Stands for a null id.
 NO_ID = -(1 << 63)
+#: A name of more than one in HEAVY rows is dealt over SHARES copies.
+HEAVY, SHARES = 1024, 64
 
 
 def _keyed(docs: DataFrame) -> list[Column]:
@@ -46,36 +59,130 @@ def line_sequences(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
                        F.xxhash64(F.lit(1), line).alias("b"), (F.length(line) >= min_chars).alias("long"))
 
 
-def _named(positions: DataFrame, by: list[str]) -> DataFrame:
-    """Positions whose ``by`` is shared, with ``rank``: how many shared positions sort before them."""
-    groups = positions.groupBy(*by).agg(F.count("*").alias("n")).where("n > 1")
-    ranked = global_rank(groups, by, weight=F.col("n"), rank="new").select(*by, "new")
-    return positions.join(ranked, by).drop(*by).withColumnRenamed("new", "rank")
+def _joined(rows: DataFrame, names: DataFrame, by: list[str], total: int, size: str = "n") -> DataFrame:
+    """Inner join of ``rows`` with ``names`` (one row per ``by``, with how many rows carry it), frequent names dealt.
 
+    ``total`` is at least the sum of the sizes, so fewer than ``HEAVY`` names are frequent and their list is broadcast.
+    """
+    frequent = F.col(size) * HEAVY > total
+    heavy = names.where(frequent).select(*by, F.lit(True).alias("__heavy"))
+    share = F.pmod(F.xxhash64(*rows.columns), F.lit(SHARES)).cast("int")
+    dealt = (rows.join(F.broadcast(heavy), by, "left")
+             .withColumn("__share", F.when(F.col("__heavy"), share).otherwise(0)).drop("__heavy"))
+    shares = F.when(frequent, F.sequence(F.lit(0), F.lit(SHARES - 1))).otherwise(F.array(F.lit(0)))
+    return dealt.join(names.withColumn("__share", F.explode(shares)), [*by, "__share"]).drop("__share")
+
+
+def _suffixes(lines: DataFrame, scratch: Scratch) -> tuple[DataFrame, int]:
+    """(doc, tkey, seq, line_no, long, rest, rank, n) of every repeated line, and how many there are.
 
-def _later(positions: DataFrame) -> DataFrame:
-    """All positions of a rank but the earliest one."""
-    first = positions.groupBy("rank").agg(F.min(F.struct(*KEY, "seq")).alias("first"))
-    return positions.join(first, "rank").where(F.struct(*KEY, "seq") != F.col("first")).select(*KEY, "seq", "line_no")
+    ``rest`` counts the lines up to the end of its run of repeated lines, ``rank`` is by the line alone and ``n`` its
+    frequency.
+    """
+    counts = scratch.write(lines.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1"))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    # A row repeated in full brings the same places again; lines that only such rows repeat are not shared.
+    own = scratch.write(_joined(lines, counts, ["a", "b"], total).drop("n").dropDuplicates(PLACE))
+    shared = own.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1")
+    names = scratch.write(global_rank(shared, ["a", "b"], weight=F.col("n")))
+    ranked = _joined(own, names, ["a", "b"], total).drop("a", "b")
+    run = F.col("seq") - F.row_number().over(Window.partitionBy(*KEY).orderBy("seq"))
+    rest = F.max("seq").over(Window.partitionBy(*KEY, "__run")) - F.col("seq") + 1
+    return scratch.write(ranked.withColumn("__run", run).withColumn("rest", rest).drop("__run")), total
+
+
+def _array(first: DataFrame, total: int, scratch: Scratch) -> tuple[DataFrame, list[tuple[int, DataFrame]]]:
+    """The suffix array (doc, tkey, seq, rest, rank, n) and its levels (width, places that share ``width`` lines)."""
+    cols = [*PLACE, "rest", "rank", "n"]
+    width, live, final = 1, first.select(*cols), []
+    levels = [(width, live)]
+    while not live.where(F.col("rest") > width).isEmpty():
+        known = live
+        for part in final:
+            known = known.unionByName(part)
+        ahead = known.select(*KEY, (F.col("seq") - width).alias("seq"), F.col("rank").alias("ahead"))
+        pairs = scratch.write(live.drop("n").join(ahead, PLACE, "left").withColumn("ahead", F.coalesce("ahead", F.lit(-1))))
+        groups = pairs.groupBy("rank", "ahead").agg(F.count("*").alias("n"))
+        before = ordered_scan(groups, ["rank"], ["ahead"], sums={"upto": (F.col("n"), False)})
+        names = scratch.write(before.select("rank", "ahead", "n", (F.col("rank") + F.col("upto") - F.col("n")).alias("new")))
+        moved = scratch.write(_joined(pairs, names, ["rank", "ahead"], total).drop("rank", "ahead")
+                              .withColumnRenamed("new", "rank").select(*cols))
+        scratch.drop(pairs, names)
+        width *= 2
+        going = (F.col("n") > 1) & (F.col("rest") >= width)
+        live, final = moved.where(going), [*final, moved.where(~going)]
+        levels.append((width, live))
+    for part in final:
+        live = live.unionByName(part)
+    return live, levels
+
+
+def _common(groups: DataFrame, levels: list[tuple[int, DataFrame]], min_lines: int, scratch: Scratch) -> DataFrame:
+    """(rank, lcp): the lines that an entry of the array shares with the next one, where these are ``min_lines`` or more."""
+    end = lambda name: [F.col(f"first.{c}").alias(f"{name}_{c}") for c in PLACE]
+    able = groups.where(F.col("rest") >= min_lines)
+    after = able.select(F.col("rank").alias("next"), *end("q"))
+    pairs = able.select("rank", (F.col("rank") + F.col("n")).alias("next"), *end("p")).join(after, "next").drop("next")
+
+    def matched(rows: DataFrame, level: DataFrame) -> DataFrame:
+        for side in "pq":
+            at = level.select(*[F.col(c).alias(f"{side}_{c}") for c in KEY], F.col("seq").alias(f"{side}_at"), F.col("rank").alias(f"{side}_rank"))
+            rows = (rows.withColumn(f"{side}_at", F.col(f"{side}_seq") + F.col("lcp"))
+                    .join(at, [*[f"{side}_{c}" for c in KEY], f"{side}_at"], "left").drop(f"{side}_at"))
+        return rows.withColumn("same", F.coalesce(F.col("p_rank") == F.col("q_rank"), F.lit(False))).drop("p_rank", "q_rank")
+
+    # Most neighbours part early: those that differ within the widest level up to min_lines leave first.
+    screen = max((x for x in levels if x[0] <= min_lines), key=lambda x: x[0])[1]
+    pairs = scratch.write(matched(pairs.withColumn("lcp", F.lit(0)), screen).where("same").drop("same"))
+    for k, (width, level) in enumerate(reversed(levels), 1):
+        pairs = matched(pairs, level).withColumn("lcp", F.col("lcp") + F.when(F.col("same"), width).otherwise(0)).drop("same")
+        if k % 4 == 0:
+            pairs = scratch.write(pairs)
+    return scratch.write(pairs.where(F.col("lcp") >= min_lines).select("rank", "lcp"))
+
+
+def _later(first: DataFrame, total: int, min_lines: int, scratch: Scratch) -> DataFrame:
+    """(doc, tkey, seq, head, copies): suffixes of an interval but its earliest, ``head``; ``copies`` counts them all."""
+    places, levels = _array(first, total, scratch)
+    groups = scratch.write(places.groupBy("rank").agg(F.min(F.struct(*PLACE)).alias("first"), F.count("*").alias("n"), F.max("rest").alias("rest")))
+    common = _common(groups, levels, min_lines, scratch)
+    cut = F.when(F.col("lcp").isNull(), 1).otherwise(0)
+    entries = scratch.write(global_rank(groups.join(common, "rank", "left"), ["rank"], weight=cut, rank="interval")
+                            .where(F.col("rest") >= min_lines))
+    heads = (entries.groupBy("interval").agg(F.min("first").alias("head"), F.sum("n").alias("copies"), F.count("*").alias("entries"))
+             .where("copies > 1"))
+    named = scratch.write(_joined(entries.select("rank", "n", "interval"), scratch.write(heads), ["interval"], total, "entries")
+                          .select("rank", "n", "head", "copies"))
+    return _joined(places.select(*PLACE, "rank"), named, ["rank"], total).where(F.struct(*PLACE) != F.col("head")).select(*PLACE, "head", "copies")
+
+
+def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
+    """(doc, tkey, seq, n_lines, first_doc, first_tkey, first_seq, copies): the maximal runs that are later copies.
+
+    Places that follow each other and all start a later copy form a run; it is ``min_lines - 1`` lines longer than they
+    are.  ``first_...`` is the earliest place of the run's first ``min_lines`` lines and ``copies`` how often these occur.
+    ``seq`` numbers the non-blank lines of a document.
+    """
+    scratch = Scratch(docs.sparkSession)
+    first, total = _suffixes(line_sequences(docs), scratch)
+    later = scratch.write(_later(first, total, min_lines, scratch))
+    run = F.col("seq") - F.row_number().over(Window.partitionBy(*KEY).orderBy("seq"))
+    start = F.min(F.struct("seq", "head", "copies"))
+    return (later.withColumn("__run", run).groupBy(*KEY, "__run").agg(start.alias("s"), F.count("*").alias("n"))
+            .select(*KEY, F.col("s.seq").alias("seq"), (F.col("n") + min_lines - 1).alias("n_lines"),
+                    *[F.col(f"s.head.{c}").alias(f"first_{c}") for c in PLACE], F.col("s.copies").alias("copies")))
 
 
-def deleted_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_chars: int = MIN_CHARS) -> DataFrame:
+def deleted_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_chars: int = MIN_CHARS, scratch: Scratch | None = None) -> DataFrame:
     """(doc, tkey, line_no) of every line that belongs to a later copy."""
-    lines = line_sequences(docs, min_chars)
-    counts = lines.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").select("a", "b")
-    # A row repeated in full brings the same positions again.
-    own = written(lines.join(counts, ["a", "b"]).dropDuplicates([*KEY, "seq"]))
-    ranks = written(_named(own, ["a", "b"]))
-    out = _later(ranks.where("long")).select(*KEY, "seq")
-    width = 1
-    while width < min_lines:
-        step = min(width, min_lines - width)
-        ahead = ranks.select(*KEY, (F.col("seq") - step).alias("seq"), F.col("rank").alias("rank_ahead"))
-        ranks = written(_named(ranks.join(ahead, [*KEY, "seq"]), ["rank", "rank_ahead"]))
-        width += step
+    scratch = scratch or Scratch(docs.sparkSession)
+    first, total = _suffixes(line_sequences(docs, min_chars), scratch)
+    long = first.where("long").select(*PLACE, "rank")
+    heads = scratch.write(long.groupBy("rank").agg(F.min(F.struct(*PLACE)).alias("head"), F.count("*").alias("n")).where("n > 1"))
+    single = _joined(long, heads, ["rank"], total).where(F.struct(*PLACE) != F.col("head")).select(*PLACE)
     window = F.explode(F.sequence(F.col("seq"), F.col("seq") + (min_lines - 1))).alias("seq")
-    windows = _later(ranks).select(*KEY, window)
-    return out.union(windows).distinct().join(own.select(*KEY, "seq", "line_no"), [*KEY, "seq"]).select(*KEY, "line_no")
+    windows = _later(first, total, min_lines, scratch).select(*KEY, window)
+    return single.union(windows).distinct().join(first.select(*PLACE, "line_no"), PLACE).select(*KEY, "line_no")
 
 
 def _kept_runs(lines: Column, gone: Column) -> Column:
@@ -91,9 +198,11 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_chars: int = MI
     Documents are joined with the numbers of their deleted lines; a text is rebuilt from slices of its lines, in time
     linear in its length.
     """
-    gone = deleted_lines(docs, min_lines, min_chars)
-    per_doc = written(gone.groupBy(*KEY).agg(F.sort_array(F.collect_list("line_no")).alias("__gone"))
+    scratch = Scratch(docs.sparkSession)
+    gone = deleted_lines(docs, min_lines, min_chars, scratch)
+    per_doc = parquet(gone.groupBy(*KEY).agg(F.sort_array(F.collect_list("line_no")).alias("__gone"))
                       .withColumnsRenamed({k: f"__{k}" for k in KEY}))
+    scratch.drop(*[t for t, _ in scratch.held])
     doc, tkey = _keyed(docs)
     text, missed = docs["text"].cast("string"), F.col("__gone").isNull()
     lines = F.split(text, "\n", -1)

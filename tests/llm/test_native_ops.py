@@ -153,3 +153,56 @@ def test_merkle_audit(spark):
     assert got == {(0, "corrupt"), (130, "corrupt"), (302, "corrupt"), (77, "missing")}
     assert warc.audit(own, own, fanout=4).count() == 0
     assert warc.drill(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("min_lines", [2, 3, 4])
+def test_repeated_runs_against_windows(spark, min_lines):
+    rng = random.Random(20 + min_lines)
+    texts = [[rng.choice("abcd") for _ in range(rng.randint(0, 30))] for _ in range(25)]
+    texts += [texts[3] * 3, texts[5], texts[5], ["u1", "u2"], list("abcabcabc" * 6)]
+    docs = spark.createDataFrame([(k, "\n".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    places = {}
+    for k, t in enumerate(texts):
+        for s in range(len(t) - min_lines + 1):
+            places.setdefault(tuple(t[s:s + min_lines]), []).append((k, s))
+    later = {p: (v[0], len(v)) for v in places.values() for p in v[1:]}
+    want = set()
+    for (k, s), (head, n) in later.items():
+        if (k, s - 1) not in later:
+            size = next(j for j in range(1, 1000) if (k, s + j) not in later)
+            want.add((k, s, size + min_lines - 1, *head, n))
+    got = line_dedup.repeated_runs(docs, min_lines).collect()
+    assert {(r.doc, r.seq, r.n_lines, r.first_doc, r.first_seq, r.copies) for r in got} == want and len(got) == len(want)
+
+
+def test_suffix_array_and_common_prefixes(spark):
+    rng = random.Random(4)
+    texts = [[rng.choice("ab") for _ in range(rng.randint(1, 14))] for _ in range(9)] + [list("ab" * 9)] * 2
+    docs = spark.createDataFrame([(k, "\n".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    scratch = line_dedup.Scratch(spark)
+    first, total = line_dedup._suffixes(line_dedup.line_sequences(docs), scratch)
+    places, levels = line_dedup._array(first, total, scratch)
+    rows = places.collect()
+    # The order of lines is that of their hashes.
+    by_line = {texts[r.doc][r.seq]: r.rank for r in first.collect()}
+    suffix = {(k, s): tuple(by_line[x] for x in t[s:]) for k, t in enumerate(texts) for s in range(len(t))}
+    order = sorted(suffix.values())
+    assert total == len(rows) == len(order)
+    assert all(r.rank == order.index(suffix[r.doc, r.seq]) and r.n == order.count(suffix[r.doc, r.seq]) for r in rows)
+    groups = places.groupBy("rank").agg(F.min(F.struct(*line_dedup.PLACE)).alias("first"), F.count("*").alias("n"), F.max("rest").alias("rest"))
+    got = {r.rank: r.lcp for r in line_dedup._common(groups, levels, 2, scratch).collect()}
+    share = lambda a, b: next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    parts = sorted(set(order))
+    want = {order.index(a): share(a, b) for a, b in zip(parts, parts[1:]) if share(a, b) >= 2}
+    assert got == want
+
+
+def test_frequent_lines_are_dealt(spark):
+    """One line holds most places: its rows go to many tasks, and the result is that of plain windows."""
+    rows = [(k, f"common\ncommon\nown {k}\ncommon\nx {k % 3}") for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lines = line_dedup.line_sequences(docs)
+    names = lines.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1")
+    out = line_dedup._joined(lines.select(*line_dedup.PLACE, "a", "b"), names, ["a", "b"], 1200)
+    assert out.count() == 1200
+    assert {r.doc_id: r["__text"] for r in line_dedup.dedup_lines(docs).collect()} == brute_lines(rows, 2, 200)
