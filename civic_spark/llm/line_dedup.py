@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from civic_spark.llm.shared import Scratch, global_rank, parquet
+from civic_spark.llm.shared import Scratch, global_rank, written
 from civic_spark.operators.scan import ordered_scan
 
 MIN_LINES, MIN_CHARS = 2, 200
@@ -200,7 +200,8 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_chars: int = MI
     """
     scratch = Scratch(docs.sparkSession)
     gone = deleted_lines(docs, min_lines, min_chars, scratch)
-    per_doc = parquet(gone.groupBy(*KEY).agg(F.sort_array(F.collect_list("line_no")).alias("__gone"))
+    # The lists grow with the documents: a checkpoint has no file size by which a small one would be broadcast.
+    per_doc = written(gone.groupBy(*KEY).agg(F.sort_array(F.collect_list("line_no")).alias("__gone"))
                       .withColumnsRenamed({k: f"__{k}" for k in KEY}))
     scratch.drop(*[t for t, _ in scratch.held])
     doc, tkey = _keyed(docs)
