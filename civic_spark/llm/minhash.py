@@ -9,9 +9,12 @@
    m - 1 pairs.  Sizes that rule the similarity out are dropped (lossless).  Pairs are confirmed on full sets.
 4. Repair.  A star can miss a link between two members that are both unlike its hub.  In a bucket whose members are
    still in different components, every pair across components has a member outside the bucket's largest component;
-   those members are held against all members of other components.  So no pair that shares a bucket goes unexamined
-   unless it is already connected.  A pair is emitted only if its parity sketches allow the similarity: each shingle
-   flips one of ``PARITY`` bits, so differing bits never outnumber differing shingles, and the test loses no link.
+   if these are at most ``DIRECT``, they are held against all members of other components.  The members of a bucket with
+   more of them (pages of one template, say, that share much and are yet unlike) meet by their rarest shingles instead,
+   which loses no link (see ``rarest_shingles``): what the template brings is frequent, so unlike pages do not meet.
+   So no pair that shares a bucket goes unexamined unless it is already connected.  A pair is emitted only if its
+   parity sketches allow the similarity: each shingle flips one of ``PARITY`` bits, so differing bits never outnumber
+   differing shingles, and the test loses no link.
 
 With 40 bands of 6 rows, a pair at similarity 0.8 shares no bucket with probability (1 - 0.8**6)**40 = 5e-6.
 
@@ -27,11 +30,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from civic_spark.llm.arrow_text import BASE, SPACE_WORDS, hashed_texts, mix, shingles
-from civic_spark.llm.shared import connected_components, global_rank, written
+from civic_spark.llm.shared import connected_components, global_rank, parquet, written
 
 BANDS, ROWS = 40, 6
 BINS = BANDS * ROWS
@@ -41,6 +44,10 @@ CLASS = ["class_a", "class_b", "n_shingles"]
 TEXT = ["__id", "__text_a", "__text_b"]
 #: Bits of the parity sketch.
 PARITY = 512
+#: Members outside a bucket's largest component that are held against the whole bucket; more meet by rare shingles.
+DIRECT = 64
+#: Shingles in one batch of rows, about.
+ITEMS = 1 << 16
 #: First value of each bin; bin i holds hashes h with i = floor(h * BINS / 2**64).
 EDGES = np.array([-(-(i << 64) // BINS) for i in range(BINS)], dtype=np.uint64)
 
@@ -172,21 +179,66 @@ def _parity_fits(percent: int):
     return bits * (100 + percent) <= (F.col("n_u") + F.col("n_v")) * (100 - percent)
 
 
-def _across(members: DataFrame, sketches: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs (u, v) of a bucket that are in different components and whose sizes and parities allow a link."""
+def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row (v, own, key, n_v) per shingle of the sets (doc_id, own, items), in batches of about ``ITEMS`` rows."""
+    for batch in batches:
+        held, n = [], 0
+        for k in range(batch.num_rows):
+            held.append(np.frombuffer(batch.column(2)[k].as_buffer(), np.int64))
+            n += len(held[-1])
+            if n >= ITEMS or k + 1 == batch.num_rows:
+                sizes = [len(s) for s in held]
+                ends = [np.repeat(c.slice(k + 1 - len(held), len(held)).to_numpy(), sizes) for c in batch.columns[:2]]
+                rows = [*ends, np.concatenate(held), np.repeat(sizes, sizes)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in rows], names=["v", "own", "key", "n_v"])
+                held, n = [], 0
+
+
+def rarest_shingles(sets: DataFrame, percent: int) -> DataFrame:
+    """(key, v, n_v): of each set (doc_id, items) the rarest shingles that another set has too.
+
+    A partner of ``percent`` similarity holds at least ``percent`` of the n shingles, so it cannot miss all of any
+    n - ceil(n * percent / 100) + 1 of them; with one order of all shingles, rarest first, both sets' first ones meet.
+    """
+    sets = sets.withColumn("own", F.xxhash64("items")).dropDuplicates(["doc_id", "own"]).select("doc_id", "own", "items")
+    rows = parquet(sets.mapInArrow(_items, "v long, own long, key long, n_v long"))
+    often = rows.groupBy("key").agg(F.count("*").alias("df"))
+    first = F.row_number().over(Window.partitionBy("v", "own").orderBy("df", "key"))
+    return (rows.join(often, "key").withColumn("place", first)
+            .where(f"df > 1 and place <= n_v - (n_v * {percent} + 99) div 100 + 1").select("key", "v", "n_v"))
+
+
+def _split(members: DataFrame, sketches: DataFrame, labels: DataFrame) -> DataFrame:
+    """``members`` (key, v, n_v) of the keys that hold several components, with their parity and component, the key's
+    largest component ``main`` and the number of members ``outside`` it."""
     own = (members.join(labels.select(F.col("node").alias("v"), "component"), "v", "left")
            .withColumn("component", F.coalesce("component", "v")))
     parts = own.groupBy("key", "component").agg(F.count("*").alias("n"))
-    main = (parts.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("n", "component")).alias("main"))
-            .where("parts > 1").select("key", F.col("main.component").alias("main")))
+    main = (parts.groupBy("key").agg(F.count("*").alias("parts"), F.sum("n").alias("m"), F.max(F.struct("n", "component")).alias("main"))
+            .where("parts > 1").select("key", F.col("main.component").alias("main"), (F.col("m") - F.col("main.n")).alias("outside")))
     odd = sketches.select(F.col("doc_id").alias("v"), F.col("n_shingles").alias("n_v"), F.col("parity").alias("parity_v"))
-    split = written(own.join(main, "key").join(odd, ["v", "n_v"]))
+    return written(own.join(main, "key").join(odd, ["v", "n_v"]))
+
+
+def _facing(split: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v) of a key that are in different components and whose sizes and parities allow a link."""
     outside = split.where("component <> main").select("key", *[F.col(c).alias(n) for c, n in (
         ("v", "u"), ("n_v", "n_u"), ("parity_v", "parity_u"), ("component", "component_u"))])
     # Two members outside meet twice; the order of their ids picks one.
     pairs = (split.join(outside, "key").where("component <> component_u and (component = main or u < v)")
              .where(_size_fits(percent) & _parity_fits(percent)))
-    return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+
+
+def _across(members: DataFrame, sketches: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v) of different components that may be linked: all such pairs that share a key of ``members``."""
+    split = _split(members, sketches, labels)
+    near = _facing(split.where(F.col("outside") <= DIRECT), percent)
+    wide = written(split.where(F.col("outside") > DIRECT).select(F.col("v").alias("doc_id")).distinct())
+    if wide.isEmpty():
+        return near.distinct()
+    rare = _split(rarest_shingles(sets.join(wide, "doc_id"), percent), sketches, labels)
+    return near.unionByName(_facing(rare, percent)).distinct()
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -216,7 +268,7 @@ def _linked(one: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent:
     sets = written(sets_of(buckets.select(F.col("v").alias("doc_id")).distinct()))
     links = written(confirmed_links(sets, pairs, percent))
     labels = written(connected_components(links))
-    more = written(_across(buckets.select("key", "v", "n_v"), one, labels, percent))
+    more = written(_across(buckets.select("key", "v", "n_v"), one, sets, labels, percent))
     found = written(confirmed_links(sets, more, percent))
     return _merged(labels, found)
 
