@@ -10,8 +10,9 @@
 4. Repair.  A star can miss a link between two members that are both unlike its hub.  In a bucket whose members are
    still in different components, every pair across components has a member outside the bucket's largest component;
    if these are at most ``DIRECT``, they are held against all members of other components.  The members of a bucket with
-   more of them (pages of one template, say, that share much and are yet unlike) meet by their rarest shingles instead,
-   which loses no link (see ``rarest_shingles``): what the template brings is frequent, so unlike pages do not meet.
+   more of them (pages of one template, say, that share much and are yet unlike) meet by their rarest shingles instead
+   if that makes fewer pairs, which is counted first, and which loses no link (see ``rarest_shingles``): what the template
+   brings is frequent, so unlike pages do not meet.
    So no pair that shares a bucket goes unexamined unless it is already connected.  A pair is emitted only if its
    parity sketches allow the similarity: each shingle flips one of ``PARITY`` bits, so differing bits never outnumber
    differing shingles, and the test loses no link.
@@ -234,11 +235,15 @@ def _across(members: DataFrame, sketches: DataFrame, sets: DataFrame, labels: Da
     """Pairs (u, v) of different components that may be linked: all such pairs that share a key of ``members``."""
     split = _split(members, sketches, labels)
     near = _facing(split.where(F.col("outside") <= DIRECT), percent)
-    wide = written(split.where(F.col("outside") > DIRECT).select(F.col("v").alias("doc_id")).distinct())
+    wide = split.where(F.col("outside") > DIRECT)
     if wide.isEmpty():
         return near.distinct()
-    rare = _split(rarest_shingles(sets.join(wide, "doc_id"), percent), sketches, labels)
-    return near.unionByName(_facing(rare, percent)).distinct()
+    nodes = written(wide.select(F.col("v").alias("doc_id")).distinct())
+    rare = _split(rarest_shingles(sets.join(nodes, "doc_id"), percent), sketches, labels)
+    meetings = lambda keys: keys.agg(F.sum("outside")).first()[0] or 0
+    # Both find every link.  Pages of a template meet less by rare shingles, edited copies of one text by their buckets.
+    fewer = rare if meetings(rare) < meetings(wide) else wide
+    return near.unionByName(_facing(fewer, percent)).distinct()
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
