@@ -9,9 +9,13 @@
    m - 1 pairs.  Sizes that rule the similarity out are dropped (lossless).  Pairs are confirmed on full sets.
 4. Repair.  A star can miss a link between two members that are both unlike its hub.  In a bucket whose members are
    still in different components, every pair across components has a member outside the bucket's largest component;
-   those members are held against all members of other components.  So no pair that shares a bucket goes unexamined
-   unless it is already connected.  A pair is emitted only if its parity sketches allow the similarity: each shingle
-   flips one of ``PARITY`` bits, so differing bits never outnumber differing shingles, and the test loses no link.
+   if these are at most ``DIRECT``, they are held against all members of other components.  The members of a bucket with
+   more of them (pages of one template, say, that share much and are yet unlike) meet by their rarest shingles instead
+   if that makes fewer pairs, which is counted first, and which loses no link (see ``rarest_shingles``): what the template
+   brings is frequent, so unlike pages do not meet.
+   So no pair that shares a bucket goes unexamined unless it is already connected.  A pair is emitted only if its
+   parity sketches allow the similarity: each shingle flips one of ``PARITY`` bits, so differing bits never outnumber
+   differing shingles, and the test loses no link.
 
 With 40 bands of 6 rows, a pair at similarity 0.8 shares no bucket with probability (1 - 0.8**6)**40 = 5e-6.
 
@@ -41,6 +45,10 @@ CLASS = ["class_a", "class_b", "n_shingles"]
 TEXT = ["__id", "__text_a", "__text_b"]
 #: Bits of the parity sketch.
 PARITY = 512
+#: Members outside a bucket's largest component that are held against the whole bucket; more meet by rare shingles.
+DIRECT = 64
+#: Shingles are counted in 2 ** CELL_BITS cells of the hash range.
+CELL_BITS = 18
 #: First value of each bin; bin i holds hashes h with i = floor(h * BINS / 2**64).
 EDGES = np.array([-(-(i << 64) // BINS) for i in range(BINS)], dtype=np.uint64)
 
@@ -172,21 +180,77 @@ def _parity_fits(percent: int):
     return bits * (100 + percent) <= (F.col("n_u") + F.col("n_v")) * (100 - percent)
 
 
-def _across(members: DataFrame, sketches: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs (u, v) of a bucket that are in different components and whose sizes and parities allow a link."""
+def _cell_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            items = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(0)])
+            cells, n = np.unique(items >> np.uint64(64 - CELL_BITS), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int64)), pa.array(n, pa.int64())], names=["cell", "n"])
+
+
+def _rarest(percent: int, often: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held, sizes = [np.zeros(0, np.uint64)], []
+            for x in batch.column(1):
+                s = np.frombuffer(x.as_buffer(), np.uint64)
+                order = np.lexsort((s, often[(s >> np.uint64(64 - CELL_BITS)).astype(np.int64)]))
+                held.append(s[order[:len(s) - -(-len(s) * percent // 100) + 1]])
+                sizes.append(len(s))
+            times = [len(x) for x in held[1:]]
+            rows = [np.repeat(batch.column(0).to_numpy(), times), np.concatenate(held).view(np.int64), np.repeat(sizes, times)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in rows], names=["v", "key", "n_v"])
+    return run
+
+
+def rarest_shingles(sets: DataFrame, percent: int) -> DataFrame:
+    """(key, v, n_v): the rarest shingles of each set (doc_id, items), by which sets of ``percent`` similarity meet.
+
+    A partner holds at least ``percent`` of the n shingles, so it cannot miss all of any n - ceil(n * percent / 100) + 1
+    of them; with one order of all shingles, both sets' first ones meet.  Any order is right; this one puts those in
+    rarely used cells of the hash range first, counted over all sets in 2 ** ``CELL_BITS`` cells whatever the data's size.
+    """
+    cells = (sets.select("items").mapInArrow(_cell_counts, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))).toArrow()
+    often = np.zeros(1 << CELL_BITS, np.int64)
+    often[cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
+    return sets.select("doc_id", "items").mapInArrow(_rarest(percent, often), "v long, key long, n_v long").distinct()
+
+
+def _split(members: DataFrame, sketches: DataFrame, labels: DataFrame) -> DataFrame:
+    """``members`` (key, v, n_v) of the keys that hold several components, with their parity and component, the key's
+    largest component ``main`` and the number of members ``outside`` it."""
     own = (members.join(labels.select(F.col("node").alias("v"), "component"), "v", "left")
            .withColumn("component", F.coalesce("component", "v")))
     parts = own.groupBy("key", "component").agg(F.count("*").alias("n"))
-    main = (parts.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("n", "component")).alias("main"))
-            .where("parts > 1").select("key", F.col("main.component").alias("main")))
+    main = (parts.groupBy("key").agg(F.count("*").alias("parts"), F.sum("n").alias("m"), F.max(F.struct("n", "component")).alias("main"))
+            .where("parts > 1").select("key", F.col("main.component").alias("main"), (F.col("m") - F.col("main.n")).alias("outside")))
     odd = sketches.select(F.col("doc_id").alias("v"), F.col("n_shingles").alias("n_v"), F.col("parity").alias("parity_v"))
-    split = written(own.join(main, "key").join(odd, ["v", "n_v"]))
+    return written(own.join(main, "key").join(odd, ["v", "n_v"]))
+
+
+def _facing(split: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v) of a key that are in different components and whose sizes and parities allow a link."""
     outside = split.where("component <> main").select("key", *[F.col(c).alias(n) for c, n in (
         ("v", "u"), ("n_v", "n_u"), ("parity_v", "parity_u"), ("component", "component_u"))])
     # Two members outside meet twice; the order of their ids picks one.
     pairs = (split.join(outside, "key").where("component <> component_u and (component = main or u < v)")
              .where(_size_fits(percent) & _parity_fits(percent)))
-    return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+
+
+def _across(members: DataFrame, sketches: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v) of different components that may be linked: all such pairs that share a key of ``members``."""
+    split = _split(members, sketches, labels)
+    near = _facing(split.where(F.col("outside") <= DIRECT), percent)
+    wide = split.where(F.col("outside") > DIRECT)
+    if wide.isEmpty():
+        return near.distinct()
+    nodes = written(wide.select(F.col("v").alias("doc_id")).distinct())
+    rare = _split(rarest_shingles(sets.join(nodes, "doc_id"), percent), sketches, labels)
+    meetings = lambda keys: keys.agg(F.sum("outside")).first()[0] or 0
+    # Both find every link.  Pages of a template meet less by rare shingles, edited copies of one text by their buckets.
+    fewer = rare if meetings(rare) < meetings(wide) else wide
+    return near.unionByName(_facing(fewer, percent)).distinct()
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -216,7 +280,7 @@ def _linked(one: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent:
     sets = written(sets_of(buckets.select(F.col("v").alias("doc_id")).distinct()))
     links = written(confirmed_links(sets, pairs, percent))
     labels = written(connected_components(links))
-    more = written(_across(buckets.select("key", "v", "n_v"), one, labels, percent))
+    more = written(_across(buckets.select("key", "v", "n_v"), one, sets, labels, percent))
     found = written(confirmed_links(sets, more, percent))
     return _merged(labels, found)
 
