@@ -38,56 +38,6 @@ def test_near_duplicates_equal_all_pairs(spark):
         assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
-def template_family(n: int, shared: int = 200, own: int = 60) -> list[tuple]:
-    """Texts of one template, each pair under the similarity, with an edited copy of every tenth."""
-    head = " ".join(f"t{k}" for k in range(shared + 4))
-    rows = [(i, head + " " + " ".join(f"w{i}x{k}" for k in range(own))) for i in range(n)]
-    return rows + [(n + i, rows[i][1] + f" more{i}") for i in range(0, n, 10)]
-
-
-def test_wide_buckets_meet_by_rare_shingles(spark, monkeypatch):
-    monkeypatch.setattr(minhash, "DIRECT", 0)
-    for rows in (texts(), texts(8) + [(k, t) for k, t in texts(8) if k > 20]):
-        got = minhash.near_duplicates(frame(spark, rows)).collect()
-        assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == near_components(rows, 5)
-
-
-def test_template_pages_give_few_candidates(spark, monkeypatch):
-    seen = []
-    confirm = minhash.confirmed_links
-
-    def counted(sets, pairs, percent):
-        seen.append(pairs.count())
-        return confirm(sets, pairs, percent)
-
-    monkeypatch.setattr(minhash, "confirmed_links", counted)
-    monkeypatch.setattr(minhash, "DIRECT", 4)
-    for n in (100, 400):
-        rows = template_family(n)
-        seen.clear()
-        got = minhash.near_duplicates(frame(spark, rows)).collect()
-        assert {r.doc_id: r.component_id for r in got} == {i: i if i < n else i - n for i, _ in rows}
-        # The stars, linear by construction, then what is left across components.
-        assert seen[0] < minhash.BANDS * len(rows) and seen[1] < len(rows)
-
-
-@pytest.mark.parametrize("size", [1, 7, 60])
-def test_rarest_shingles_of_linked_sets_meet(spark, size):
-    rng = random.Random(size)
-    base = [rng.sample(range(size * 3), size) for _ in range(3)]
-    sets = {i: frozenset(base[i % 3]) ^ frozenset(rng.sample(range(size * 3), rng.randint(0, size // 6))) for i in range(45)}
-    rows = [(i, b"".join(x.to_bytes(8, "little") for x in sorted(s))) for i, s in sets.items() if s]
-    rare = minhash.rarest_shingles(spark.createDataFrame(rows + rows[:5], "doc_id long, items binary"), 80).collect()
-    keys: dict[int, set] = {}
-    for r in rare:
-        assert r.n_v == len(sets[r.v])
-        keys.setdefault(r.v, set()).add(r.key)
-    for i, _ in rows:
-        for j, _ in rows:
-            if i < j and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
-                assert keys[i] & keys[j]
-
-
 def test_near_duplicates_edges(spark):
     rows = [(None, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e f"), (2, "q r s t u"), (2, "a b c d e f")]
     got = minhash.near_duplicates(frame(spark, rows)).collect()
