@@ -1,4 +1,5 @@
-r"""Line dedup with DataFrame functions only: a suffix array over line-id sequences by distributed prefix doubling.
+r"""Line dedup with DataFrame functions only: a suffix array over line-id sequences by distributed prefix doubling, two
+or three doublings a round.
 
 A document is its sequence of non-blank lines (separated by ``\n``).  A run of ``min_lines`` lines or more, or a single
 line of ``min_chars`` characters or more, that also stands earlier is a later copy; its lines are deleted.  Earlier
@@ -7,13 +8,15 @@ means a smaller (doc_id, text hash, line number).  Runs are judged on the input;
 1. A line's id is a 128-bit hash.  Lines that occur once end every run, so only repeated ones go on (a count per line,
    combined before the shuffle).  A suffix reaches from its line to the end of its run of repeated lines; its rank is
    the number of suffixes that sort before it, by one line at first.
-2. Doubling: a suffix of a shared rank is paired with the rank of the suffix ``width`` lines on (an ended one sorts
-   first), and a segmented scan over range-partitioned pairs ranks them within their old rank.  A suffix whose rank is
-   its own, or which has ended, is in its final place and moves no more.  Doubling stops when no shared suffix goes on:
-   the ranks are then the suffix array; suffixes that still share a rank are equal to their ends.
+2. Doubling: a suffix of a shared rank is listed with the ranks of the suffixes ``width``, twice ``width`` and so on
+   lines ahead (an ended one sorts first), read from its document in line order, and a segmented scan over the
+   range-partitioned lists ranks them within their old rank.  Every exchange costs the driver a thread, a plan and its
+   figures, however few the rows, so a round does two doublings, and three once few suffixes are left.  A suffix whose
+   rank is its own, or which has ended, is in its final place and moves no more.  Doubling stops when no shared suffix
+   goes on: the ranks are then the suffix array; suffixes that still share a rank are equal to their ends.
 3. Common prefixes: ranks count suffixes, so the next entry of the array has the rank ``rank + n``.  The length that
    two neighbours share is found by descending through the levels of the doubling, from the widest: equal ranks at a
-   level add its width.  Entries that are equal to their ends share all their lines.
+   level add its width, as often as one round went on.  Entries that are equal to their ends share all their lines.
 4. Intervals: neighbours that share ``min_lines`` lines or more are in one interval, numbered by a running count of the
    cuts.  All but the interval's earliest suffix are later copies; what they cover, united per document, are the maximal
    repeated runs (``repeated_runs`` lists them).
@@ -42,6 +45,8 @@ PLACE = [*KEY, "seq"]
 NO_ID = -(1 << 63)
 #: A name of more than one in HEAVY rows is dealt over SHARES copies.
 HEAVY, SHARES = 1024, 64
+#: The first round, of all repeated lines, ranks by FIRST_STEP lines; later ones by STEP times those of the round before.
+FIRST_STEP, STEP = 4, 8
 
 
 def _keyed(docs: DataFrame) -> list[Column]:
@@ -91,53 +96,62 @@ def _suffixes(lines: DataFrame, scratch: Scratch) -> tuple[DataFrame, int]:
     return scratch.write(ranked.withColumn("__run", run).withColumn("rest", rest).drop("__run")), total
 
 
-def _array(first: DataFrame, total: int, scratch: Scratch) -> tuple[DataFrame, list[tuple[int, DataFrame]]]:
-    """The suffix array (doc, tkey, seq, rest, rank, n) and its levels (width, places that share ``width`` lines)."""
+def _array(first: DataFrame, total: int, scratch: Scratch) -> tuple[DataFrame, list[tuple[int, int, DataFrame]]]:
+    """The suffix array (doc, tkey, seq, rest, rank, n) and its levels (width, step, places that share ``width`` lines).
+
+    The next level is ``step`` times as wide; ``ahead1``, ``ahead2`` and so on are the ranks that many widths on, -1 behind
+    the end.  The last level's places end with its width.
+    """
     cols = [*PLACE, "rest", "rank", "n"]
-    width, live, final = 1, first.select(*cols), []
-    levels = [(width, live)]
-    while not live.where(F.col("rest") > width).isEmpty():
-        known = live
-        for part in final:
-            known = known.unionByName(part)
-        ahead = known.select(*KEY, (F.col("seq") - width).alias("seq"), F.col("rank").alias("ahead"))
-        pairs = scratch.write(live.drop("n").join(ahead, PLACE, "left").withColumn("ahead", F.coalesce("ahead", F.lit(-1))))
-        groups = pairs.groupBy("rank", "ahead").agg(F.count("*").alias("n"))
-        before = ordered_scan(groups, ["rank"], ["ahead"], sums={"upto": (F.col("n"), False)})
-        names = scratch.write(before.select("rank", "ahead", "n", (F.col("rank") + F.col("upto") - F.col("n")).alias("new")))
-        moved = scratch.write(_joined(pairs, names, ["rank", "ahead"], total).drop("rank", "ahead")
-                              .withColumnRenamed("new", "rank").select(*cols))
-        scratch.drop(pairs, names)
-        width *= 2
-        going = (F.col("n") > 1) & (F.col("rest") >= width)
-        live, final = moved.where(going), [*final, moved.where(~going)]
-        levels.append((width, live))
-    for part in final:
-        live = live.unionByName(part)
-    return live, levels
-
-
-def _common(groups: DataFrame, levels: list[tuple[int, DataFrame]], min_lines: int, scratch: Scratch) -> DataFrame:
+    width, known, moved, levels = 1, first.select(*cols).withColumn("width", F.lit(1)), [], []
+    shared = (F.col("n") > 1) & (F.col("rest") >= F.col("width"))
+    while not known.where(shared & (F.col("width") == width) & (F.col("rest") > width)).isEmpty():
+        step = FIRST_STEP if width == 1 else STEP
+        lines = Window.partitionBy(*KEY).orderBy("seq")
+        on = {f"ahead{k}": F.when(F.col("rest") > k * width, F.first("rank").over(lines.rangeBetween(k * width, k * width))).otherwise(-1)
+              for k in range(1, step)}
+        level = scratch.write(known.withColumns(on).where(shared & (F.col("width") == width)).select(*PLACE, "rest", "rank", *on))
+        levels.append((width, step, level))
+        groups = level.groupBy("rank", *on).agg(F.count("*").alias("n"))
+        before = ordered_scan(groups, ["rank"], list(on), sums={"upto": (F.col("n"), False)})
+        names = scratch.write(before.select("rank", *on, "n", (F.col("rank") + F.col("upto") - F.col("n")).alias("new")))
+        width *= step
+        moved.append(scratch.write(_joined(level, names, ["rank", *on], total).drop("rank", *on)
+                                   .withColumnRenamed("new", "rank").withColumn("width", F.lit(width)).select(*cols, "width")))
+        scratch.drop(names)
+        known = scratch.together(moved).where(~shared | (F.col("width") == width))
+    return known.select(*cols), [*levels, (width, 2, known.where(shared & (F.col("width") == width)))]
+
+
+def _common(groups: DataFrame, levels: list[tuple[int, int, DataFrame]], min_lines: int, scratch: Scratch) -> DataFrame:
     """(rank, lcp): the lines that an entry of the array shares with the next one, where these are ``min_lines`` or more."""
     end = lambda name: [F.col(f"first.{c}").alias(f"{name}_{c}") for c in PLACE]
     able = groups.where(F.col("rest") >= min_lines)
     after = able.select(F.col("rank").alias("next"), *end("q"))
     pairs = able.select("rank", (F.col("rank") + F.col("n")).alias("next"), *end("p")).join(after, "next").drop("next")
 
-    def matched(rows: DataFrame, level: DataFrame) -> DataFrame:
+    def matched(rows: DataFrame, width: int, step: int, level: DataFrame) -> DataFrame:
+        """Adds ``same``: how many times ``width`` lines both go on alike from ``lcp``, below ``step``."""
+        ranks = ["rank", *[f"ahead{k}" for k in range(1, step - 1)]]
         for side in "pq":
-            at = level.select(*[F.col(c).alias(f"{side}_{c}") for c in KEY], F.col("seq").alias(f"{side}_at"), F.col("rank").alias(f"{side}_rank"))
+            at = level.select(*[F.col(c).alias(f"{side}_{c}") for c in KEY], F.col("seq").alias(f"{side}_at"),
+                              F.struct("rest", *ranks).alias(f"{side}_on"))
             rows = (rows.withColumn(f"{side}_at", F.col(f"{side}_seq") + F.col("lcp"))
                     .join(at, [*[f"{side}_{c}" for c in KEY], f"{side}_at"], "left").drop(f"{side}_at"))
-        return rows.withColumn("same", F.coalesce(F.col("p_rank") == F.col("q_rank"), F.lit(False))).drop("p_rank", "q_rank")
+        same = F.lit(step - 1)
+        for k in reversed(range(step - 1)):  # suffixes that end within the width may share a rank, but no width of lines
+            alike = (F.col(f"p_on.{ranks[k]}") == F.col(f"q_on.{ranks[k]}")) & (F.col("p_on.rest") >= (k + 1) * width)
+            same = F.when(alike, same).otherwise(k)
+        return rows.withColumn("same", same).drop("p_on", "q_on")
 
     # Most neighbours part early: those that differ within the widest level up to min_lines leave first.
-    screen = max((x for x in levels if x[0] <= min_lines), key=lambda x: x[0])[1]
-    pairs = scratch.write(matched(pairs.withColumn("lcp", F.lit(0)), screen).where("same").drop("same"))
-    for k, (width, level) in enumerate(reversed(levels), 1):
-        pairs = matched(pairs, level).withColumn("lcp", F.col("lcp") + F.when(F.col("same"), width).otherwise(0)).drop("same")
-        if k % 4 == 0:
+    width, step, screen = max((x for x in levels if x[0] <= min_lines), key=lambda x: x[0])
+    pairs = scratch.write(matched(pairs.withColumn("lcp", F.lit(0)), width, step, screen)
+                          .where(F.col("same") >= min(step - 1, min_lines // width)).drop("same"))
+    for k, (width, step, level) in enumerate(reversed(levels)):
+        if k and k % 4 == 0:
             pairs = scratch.write(pairs)
+        pairs = matched(pairs, width, step, level).withColumn("lcp", F.col("lcp") + F.col("same") * width).drop("same")
     return scratch.write(pairs.where(F.col("lcp") >= min_lines).select("rank", "lcp"))
 
 

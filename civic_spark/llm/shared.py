@@ -38,6 +38,11 @@ class Scratch:
         self.held.append((out, path))
         return out
 
+    def together(self, tables: list[DataFrame]) -> DataFrame:
+        """The rows of tables of one schema, read by one scan."""
+        paths = [p for t, p in self.held if any(t is x for x in tables)]
+        return self.spark.read.schema(tables[0].schema).parquet(*paths)
+
     def drop(self, *tables: DataFrame) -> None:
         """Deletes tables that no later job reads."""
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()

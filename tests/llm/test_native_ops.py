@@ -1,3 +1,4 @@
+import bisect
 import hashlib
 import random
 
@@ -206,3 +207,38 @@ def test_frequent_lines_are_dealt(spark):
     out = line_dedup._joined(lines.select(*line_dedup.PLACE, "a", "b"), names, ["a", "b"], 1200)
     assert out.count() == 1200
     assert {r.doc_id: r["__text"] for r in line_dedup.dedup_lines(docs).collect()} == brute_lines(rows, 2, 200)
+
+
+def test_long_runs_take_few_rounds_and_jobs(spark):
+    """Exchanges cost the driver memory however few the rows: a repeated run of 150 lines takes three rounds, not eight."""
+    rng = random.Random(11)
+    run = [rng.choice("abcdefgh") for _ in range(150)]
+    texts = [run, run[:70] + ["own 1"] + run[70:], ["b"] * 90, run[:65] + run[:66], ["b"] * 37 + ["own 2"] + ["b"] * 38, run[3:140]]
+    rows = [(k, "\n".join(t)) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    scratch = line_dedup.Scratch(spark)
+    first, total = line_dedup._suffixes(line_dedup.line_sequences(docs), scratch)
+    places, levels = line_dedup._array(first, total, scratch)
+    assert len(levels) <= 4
+    by_line = {texts[r.doc][r.seq]: r.rank for r in first.collect()}
+    suffix = {}
+    for r in places.collect():
+        suffix[r.doc, r.seq] = (tuple(by_line[x] for x in texts[r.doc][r.seq:r.seq + r.rest]), r.rank, r.n)
+    order = sorted(s for s, _, _ in suffix.values())
+    assert len(order) == total
+    assert all(rank == bisect.bisect_left(order, s) and n == bisect.bisect_right(order, s) - rank for s, rank, n in suffix.values())
+    groups = places.groupBy("rank").agg(F.min(F.struct(*line_dedup.PLACE)).alias("first"), F.count("*").alias("n"), F.max("rest").alias("rest"))
+    share = lambda a, b: next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    parts = sorted(set(order))
+    for min_lines in (2, 9):
+        want = {bisect.bisect_left(order, a): share(a, b) for a, b in zip(parts, parts[1:]) if share(a, b) >= min_lines}
+        assert {r.rank: r.lcp for r in line_dedup._common(groups, levels, min_lines, scratch).collect()} == want
+    sc = spark.sparkContext
+    sc.setJobGroup("long-runs", "line dedup of long runs")
+    try:
+        got = {r.doc_id: r["__text"] for r in line_dedup.dedup_lines(docs).collect()}
+    finally:
+        for key in ("spark.jobGroup.id", "spark.job.description"):
+            sc.setLocalProperty(key, None)
+    assert got == brute_lines(rows, 2, 200)
+    assert 0 < len(sc.statusTracker().getJobIdsForGroup("long-runs")) <= 130
