@@ -1,5 +1,5 @@
 r"""Line dedup with DataFrame functions only: a suffix array over line-id sequences by distributed prefix doubling, two
-or three doublings a round.
+or four doublings a round.
 
 A document is its sequence of non-blank lines (separated by ``\n``).  A run of ``min_lines`` lines or more, or a single
 line of ``min_chars`` characters or more, that also stands earlier is a later copy; its lines are deleted.  Earlier
@@ -9,9 +9,9 @@ means a smaller (doc_id, text hash, line number).  Runs are judged on the input;
    combined before the shuffle).  A suffix reaches from its line to the end of its run of repeated lines; its rank is
    the number of suffixes that sort before it, by one line at first.
 2. Doubling: a suffix of a shared rank is listed with the ranks of the suffixes ``width``, twice ``width`` and so on
-   lines ahead (an ended one sorts first), read from its document in line order, and a segmented scan over the
-   range-partitioned lists ranks them within their old rank.  Every exchange costs the driver a thread, a plan and its
-   figures, however few the rows, so a round does two doublings, and three once few suffixes are left.  A suffix whose
+   lines ahead (an ended one sorts first), read from its document in line order, and running sums over the
+   range-partitioned lists rank them within their old rank.  Every exchange costs the driver a thread, a plan and its
+   figures, however few the rows, so a round does two doublings, and four once fewer suffixes are left.  A suffix whose
    rank is its own, or which has ended, is in its final place and moves no more.  Doubling stops when no shared suffix
    goes on: the ranks are then the suffix array; suffixes that still share a rank are equal to their ends.
 3. Common prefixes: ranks count suffixes, so the next entry of the array has the rank ``rank + n``.  The length that
@@ -35,8 +35,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from civic_spark.llm.shared import Scratch, global_rank, written
-from civic_spark.operators.scan import ordered_scan
+from civic_spark.llm.shared import Scratch, global_rank, global_sums, written
 
 MIN_LINES, MIN_CHARS = 2, 200
 KEY = ["doc", "tkey"]
@@ -46,7 +45,7 @@ NO_ID = -(1 << 63)
 #: A name of more than one in HEAVY rows is dealt over SHARES copies.
 HEAVY, SHARES = 1024, 64
 #: The first round, of all repeated lines, ranks by FIRST_STEP lines; later ones by STEP times those of the round before.
-FIRST_STEP, STEP = 4, 8
+FIRST_STEP, STEP = 4, 16
 
 
 def _keyed(docs: DataFrame) -> list[Column]:
@@ -89,7 +88,7 @@ def _suffixes(lines: DataFrame, scratch: Scratch) -> tuple[DataFrame, int]:
     # A row repeated in full brings the same places again; lines that only such rows repeat are not shared.
     own = scratch.write(_joined(lines, counts, ["a", "b"], total).drop("n").dropDuplicates(PLACE))
     shared = own.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1")
-    names = scratch.write(global_rank(shared, ["a", "b"], weight=F.col("n")))
+    names = scratch.write(global_rank(shared, ["a", "b"], weight=F.col("n"), store=scratch.write))
     ranked = _joined(own, names, ["a", "b"], total).drop("a", "b")
     run = F.col("seq") - F.row_number().over(Window.partitionBy(*KEY).orderBy("seq"))
     rest = F.max("seq").over(Window.partitionBy(*KEY, "__run")) - F.col("seq") + 1
@@ -103,22 +102,27 @@ def _array(first: DataFrame, total: int, scratch: Scratch) -> tuple[DataFrame, l
     the end.  The last level's places end with its width.
     """
     cols = [*PLACE, "rest", "rank", "n"]
-    width, known, moved, levels = 1, first.select(*cols).withColumn("width", F.lit(1)), [], []
+    # Of the suffixes that are live at this width, "before" sort before the rank.
+    start = first.select(*cols, F.col("rank").alias("before"))
+    width, known, moved, levels = 1, start.withColumn("width", F.lit(1)), [], []
     shared = (F.col("n") > 1) & (F.col("rest") >= F.col("width"))
     while not known.where(shared & (F.col("width") == width) & (F.col("rest") > width)).isEmpty():
         step = FIRST_STEP if width == 1 else STEP
         lines = Window.partitionBy(*KEY).orderBy("seq")
         on = {f"ahead{k}": F.when(F.col("rest") > k * width, F.first("rank").over(lines.rangeBetween(k * width, k * width))).otherwise(-1)
               for k in range(1, step)}
-        level = scratch.write(known.withColumns(on).where(shared & (F.col("width") == width)).select(*PLACE, "rest", "rank", *on))
+        level = scratch.write(known.withColumns(on).where(shared & (F.col("width") == width)).select(*PLACE, "rest", "rank", "before", *on))
         levels.append((width, step, level))
-        groups = level.groupBy("rank", *on).agg(F.count("*").alias("n"))
-        before = ordered_scan(groups, ["rank"], list(on), sums={"upto": (F.col("n"), False)})
-        names = scratch.write(before.select("rank", *on, "n", (F.col("rank") + F.col("upto") - F.col("n")).alias("new")))
         width *= step
-        moved.append(scratch.write(_joined(level, names, ["rank", *on], total).drop("rank", *on)
-                                   .withColumnRenamed("new", "rank").withColumn("width", F.lit(width)).select(*cols, "width")))
-        scratch.drop(names)
+        kept = len(scratch.held)
+        groups = level.groupBy("rank", "before", *on).agg(F.count("*").alias("n"), F.min("rest").alias("rest"))
+        live = F.when((F.col("n") > 1) & (F.col("rest") >= width), F.col("n")).otherwise(0)
+        upto = global_sums(groups, ["rank", *on], {"upto": F.col("n"), "live": live}, scratch.write)
+        names = scratch.write(upto.select("rank", *on, "n", (F.col("rank") + F.col("upto") - F.col("before")).alias("new"), "live"))
+        moved.append(scratch.write(_joined(level.drop("before"), names, ["rank", *on], total).drop("rank", *on)
+                                   .withColumnsRenamed({"new": "rank", "live": "before"}).withColumn("width", F.lit(width))
+                                   .select(*cols, "before", "width")))
+        scratch.drop(*[t for t, _ in scratch.held[kept:-1]])
         known = scratch.together(moved).where(~shared | (F.col("width") == width))
     return known.select(*cols), [*levels, (width, 2, known.where(shared & (F.col("width") == width)))]
 
@@ -161,7 +165,7 @@ def _later(first: DataFrame, total: int, min_lines: int, scratch: Scratch) -> Da
     groups = scratch.write(places.groupBy("rank").agg(F.min(F.struct(*PLACE)).alias("first"), F.count("*").alias("n"), F.max("rest").alias("rest")))
     common = _common(groups, levels, min_lines, scratch)
     cut = F.when(F.col("lcp").isNull(), 1).otherwise(0)
-    entries = scratch.write(global_rank(groups.join(common, "rank", "left"), ["rank"], weight=cut, rank="interval")
+    entries = scratch.write(global_rank(groups.join(common, "rank", "left"), ["rank"], weight=cut, rank="interval", store=scratch.write)
                             .where(F.col("rest") >= min_lines))
     heads = (entries.groupBy("interval").agg(F.min("first").alias("head"), F.sum("n").alias("copies"), F.count("*").alias("entries"))
              .where("copies > 1"))

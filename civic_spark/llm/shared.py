@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -51,24 +52,31 @@ class Scratch:
             path.getFileSystem(conf).delete(path, True)
 
 
-def global_rank(df: DataFrame, order: list[Column | str], weight: Column | None = None,
-                rank: str = "rank") -> DataFrame:
-    """Adds the sum of ``weight`` (default 1) over all rows that precede the row in ``order``, from 0.
+def global_rank(df: DataFrame, order: list[Column | str], weight: Column | None = None, rank: str = "rank",
+                store: Callable[[DataFrame], DataFrame] = written) -> DataFrame:
+    """Adds the sum of ``weight`` (default 1) over all rows that precede the row in ``order``, from 0."""
+    return global_sums(df, order, {rank: F.lit(1) if weight is None else weight}, store)
+
+
+def global_sums(df: DataFrame, order: list[Column | str], sums: dict[str, Column],
+                store: Callable[[DataFrame], DataFrame] = written) -> DataFrame:
+    """Adds, under each name, the sum of its weight over all rows that precede the row in ``order``, from 0.
 
     Rows are range partitioned, ranked within their partition, and shifted by the weight of the partitions before:
     no task sees more than its range, and only one row per partition meets in the offsets.  ``order`` must tell all
     rows apart.
     """
-    part, own, before = "__part", "__own", "__before"
-    weight = F.lit(1).cast("long") if weight is None else weight.cast("long")
-    ranged = written(df.withColumn("__w", weight).repartitionByRange(*order).withColumn(part, F.spark_partition_id()))
+    part = "__part"
+    weights = {f"__w{k}": w.cast("long") for k, w in enumerate(sums.values())}
+    ranged = store(df.withColumns(weights).repartitionByRange(*order).withColumn(part, F.spark_partition_id()))
     inside = Window.partitionBy(part).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sizes = ranged.groupBy(part).agg(F.sum("__w").alias("__size"))
-    offsets = sizes.select(part, (F.sum("__size").over(
-        Window.orderBy(part).rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("__size")).alias(before))
-    return (ranged.withColumn(own, F.sum("__w").over(inside) - F.col("__w"))
-            .join(offsets, part).withColumn(rank, F.col(own) + F.col(before))
-            .drop(part, own, before, "__w"))
+    upto = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sizes = ranged.groupBy(part).agg(*[F.sum(w).alias(f"{w}_size") for w in weights])
+    offsets = sizes.select(part, *[(F.sum(f"{w}_size").over(upto) - F.col(f"{w}_size")).alias(f"{w}_before") for w in weights])
+    own = {f"{w}_own": F.sum(w).over(inside) - F.col(w) for w in weights}
+    total = {name: F.col(f"{w}_own") + F.col(f"{w}_before") for name, w in zip(sums, weights, strict=True)}
+    helpers = [f"{w}{end}" for w in weights for end in ("", "_own", "_before")]
+    return ranged.withColumns(own).join(offsets, part).withColumns(total).drop(part, *helpers)
 
 
 def connected_components(links: DataFrame) -> DataFrame:
