@@ -38,6 +38,8 @@ SAMPLE, MAX_LISTS, LIST_ROWS = 32_768, 4_096, 256
 TARGET, TRIALS, SEED = 0.98, 512, 12
 COLUMNS, EPSILON = 16, 2.1
 BLOCK, SHARD = 512, 1 << 16
+#: Rows of the sample compared with all of it at once.
+TRIED = 32
 #: Rounding of single-precision squared distances of unit vectors.
 SLACK = 1e-5
 
@@ -94,35 +96,65 @@ def _vectors(column: pa.Array, n: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
 
 
+def closest(rotated: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """The nearest centroid of every row; no more than ``BLOCK`` rows of products are held at once."""
+    parts = [(rotated[k:k + BLOCK] @ centroids.T).argmax(axis=1) for k in range(0, len(rotated), BLOCK)]
+    return np.concatenate(parts) if parts else np.zeros(0, np.int64)
+
+
+def sample(classes: DataFrame, total: int) -> list[pa.Array]:
+    """The first ``SAMPLE`` classes in order of their hash; of many classes only those of small hashes are sorted."""
+    hashed = F.xxhash64("v")
+    cut = int(2 * SAMPLE / max(total, 1) * 2 ** 64) - 2 ** 63
+    few = lambda df: df.orderBy(hashed, "v").limit(SAMPLE).select("v").toArrow().column(0).chunks
+    if cut < 2 ** 63:
+        chunks = few(classes.where(hashed < F.lit(cut)))
+        if sum(len(c) for c in chunks) == SAMPLE:
+            return chunks
+    return few(classes)
+
+
 def fit(classes: DataFrame, total: int, top: int) -> Index:
-    """Index parameters from a sample of classes, on the driver: at most ``SAMPLE`` vectors."""
-    table = classes.orderBy(F.xxhash64("v"), "v").limit(SAMPLE).select("v").toArrow()
-    v = np.concatenate([_vectors(c, len(c)) for c in table.column(0).chunks])
-    rng = np.random.default_rng(SEED)
-    rotation = np.linalg.qr(rng.normal(size=(v.shape[1],) * 2))[0]
-    x = unit(v) @ rotation
+    """Index parameters from a sample of classes, on the driver: at most ``SAMPLE`` vectors, and products of few rows at once."""
+    chunks = sample(classes, total)
+    d = len(chunks[0][0])
+    rotation = np.linalg.qr(np.random.default_rng(SEED).normal(size=(d, d)))[0]
+    x = np.empty((sum(len(c) for c in chunks), d))
+    at = 0
+    while chunks:
+        c = chunks.pop(0)
+        for start in range(0, len(c), BLOCK):
+            part = c.slice(start, BLOCK)
+            x[at:at + len(part)] = unit(_vectors(part, len(part))) @ rotation
+            at += len(part)
     lists = max(1, min(math.isqrt(total), total // LIST_ROWS, MAX_LISTS))
     centroids = x[:lists].copy()
     for _ in range(8):
-        of = (x @ centroids.T).argmax(axis=1)
+        of = closest(x, centroids)
         sums = np.zeros_like(centroids)
         np.add.at(sums, of, x)
         length = np.sqrt((sums * sums).sum(axis=1, keepdims=True))
         centroids = np.where(length > 0, sums / np.where(length > 0, length, 1), centroids)
-    of = (x @ centroids.T).argmax(axis=1)
+    of = closest(x, centroids)
     sampled = np.bincount(of, minlength=lists)
-    tried = x[:TRIALS]
-    place = np.empty((len(tried), lists), np.int64)
-    np.put_along_axis(place, np.argsort(-(tried @ centroids.T), axis=1, kind="stable"), np.arange(lists)[None, :], axis=1)
-    near = tried @ x.T
-    near[np.arange(len(tried)), np.arange(len(tried))] = -2
-    best = np.argsort(-near, axis=1)[:, :min(top, max(len(x) - 1, 0))]
-    needed = np.sort(np.take_along_axis(place, of[best], axis=1).ravel()) + 1
+    needed = [_places(x, of, centroids, start, min(start + TRIED, TRIALS, len(x)), top) for start in range(0, min(TRIALS, len(x)), TRIED)]
+    needed = np.sort(np.concatenate(needed)) + 1
     probes = int(needed[math.ceil(TARGET * len(needed)) - 1]) if len(needed) else 1
     shards = np.maximum(1, np.round(total * sampled / len(x) / SHARD)).astype(np.int64)
     return Index(rotation, centroids, min(probes, lists), sampled, shards)
 
 
+def _places(x: np.ndarray, of: np.ndarray, centroids: np.ndarray, start: int, stop: int, top: int) -> np.ndarray:
+    """How many lists are nearer than that of each true neighbour of the rows from ``start`` to ``stop``."""
+    tried = x[start:stop]
+    place = np.empty((len(tried), len(centroids)), np.int64)
+    np.put_along_axis(place, np.argsort(-(tried @ centroids.T), axis=1, kind="stable"), np.arange(len(centroids))[None, :], axis=1)
+    near = tried @ x.T
+    near[np.arange(len(tried)), np.arange(start, stop)] = -2
+    best = np.argsort(np.negative(near, out=near), axis=1)[:, :min(top, max(len(x) - 1, 0))]
+    return np.take_along_axis(place, of[best], axis=1).ravel()
+
+
 def _columns(rotated: np.ndarray) -> bytes:
     """Single-precision column blocks, one after the other."""
     r = rotated.astype(np.float32)
@@ -145,7 +177,7 @@ def build(classes: DataFrame, index: Index) -> DataFrame:
     """The index as Parquet: every class in its list, in blocks of at most ``BLOCK`` vectors."""
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            of = index.nearness(index.rotate(_vectors(b.column(2), len(b)))).argmax(axis=1) if len(b) else np.zeros(0, np.int64)
+            of = closest(index.rotate(_vectors(b.column(2), len(b))), index.centroids) if len(b) else np.zeros(0, np.int64)
             shard = b.column(0).to_numpy(zero_copy_only=False) % index.shards[of]
             yield pa.RecordBatch.from_arrays([pa.array(of, pa.int32()), pa.array(shard, pa.int32()), *b.columns],
                                              names=["list", "shard", "key", "least", "v"])

@@ -1,5 +1,6 @@
 import math
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -107,3 +108,24 @@ def test_query_recall(spark, sf):
     table = [(r.vec_id, r.embedding) for r in queries.table(spark, f"/root/testdata/{sf}", "embeddings").collect()]
     print("recall", sf, recall({q: sorted(x) for q, x in got.items()}, table))
     assert all(math.isfinite(s) for x in got.values() for _, s, _ in x)
+
+
+def test_fit_holds_few_products(spark):
+    """6 GB of vectors have 3,872 lists: the products of the whole sample with all centroids do not fit the driver."""
+    rng = np.random.default_rng(8)
+    classes = spark.createDataFrame([(v,) for v in rng.normal(size=(6000, 8)).tolist()], "v array<double>").localCheckpoint()
+    tracemalloc.start()
+    index = ann.fit(classes, 15_000_000, 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(index.centroids) == 3872 and index.sampled.sum() == 6000 and peak < 80e6
+
+
+def test_sample_is_the_first_by_hash(spark, monkeypatch):
+    monkeypatch.setattr(ann, "SAMPLE", 40)
+    rng = np.random.default_rng(9)
+    classes = spark.createDataFrame([(v,) for v in rng.normal(size=(3000, 4)).tolist()], "v array<double>").localCheckpoint()
+    want = [r.v for r in classes.orderBy(F.xxhash64("v"), "v").limit(40).collect()]
+    for total in (1, 3000, 10**9):  # all rows, those of small hashes, and too few of them
+        assert [v for c in ann.sample(classes, total) for v in c.to_pylist()] == want
+    assert len(np.concatenate([c.to_pylist() for c in ann.sample(classes.limit(7), 7)])) == 7
