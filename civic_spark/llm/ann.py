@@ -9,10 +9,14 @@ sample's own true neighbours, which are farther than those among all rows, so th
 The scan of a list compares a block of queries with a block of vectors, ``COLUMNS`` dimensions at a time.  After t of d
 dimensions d/t times the partial squared distance estimates the whole one; a candidate is abandoned as soon as that is
 over (1 + EPSILON / sqrt(t))^2 times the query's squared threshold, a test that rejects a true neighbour with negligible
-probability.  Thresholds come from the nearest list, which is searched first; the other lists follow.  What survives all
-dimensions is scored by the exact measure on the original vectors, in double precision with correctly rounded sums.
+probability.  Thresholds come from the part that holds the nearest list, which is searched first; the other parts follow,
+and within a part the best so far bound what comes next.  What survives all
+dimensions and is still among a query's best in its part is scored by the exact measure on the original vectors, in
+double precision with correctly rounded sums.
 
-Work is dealt by list and, within a large list, by shard, in blocks of bounded size; no task holds a list.
+Work is dealt by parts of the index: neighbouring lists, or a shard of a large list, of about ``SHARD`` numbers at most,
+and by shares of ``ASKED`` queries.  A query travels once to each part that has a list it probes.  A task holds the
+vectors of its part, and its queries come by in blocks; single-precision vectors are kept and sent as such.
 
 Defined results: vectors that are null, zero, or hold null or non-finite entries take no part; shorter vectors count as
 followed by zeros; equal scores come in order of id, null ids last; a null id is never a query; rows that repeat an id
@@ -25,11 +29,13 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import mul
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from civic_spark.llm.shared import parquet
 from civic_spark.llm.whitening import usable
@@ -37,7 +43,13 @@ from civic_spark.llm.whitening import usable
 SAMPLE, MAX_LISTS, LIST_ROWS = 32_768, 4_096, 256
 TARGET, TRIALS, SEED = 0.98, 512, 12
 COLUMNS, EPSILON = 16, 2.1
-BLOCK, SHARD = 512, 1 << 16
+BLOCK, SHARD, ASKED = 512, 1 << 22, 1 << 18
+#: Parts of a small index, if it has as many lists.
+PARTS = 64
+#: Pairs are compared by products of whole blocks until so small a share is left.
+DENSE = 1 / 32
+#: Candidates of a block of queries that wait for their exact scores.
+WAITING = 1 << 16
 #: Rows of the sample compared with all of it at once.
 TRIED = 32
 #: Rounding of single-precision squared distances of unit vectors.
@@ -59,14 +71,16 @@ def cosine(a: np.ndarray, b: np.ndarray) -> float:
 def classes_of(rows: DataFrame, top: int, vector: str, row_id: str) -> tuple[DataFrame, DataFrame]:
     """(usable rows (id, v), classes (key, v, ids)): equal vectors once, with their least ids, nulls last."""
     zero = lambda v: F.forall(v, lambda c: c == 0)
-    own = (rows.select(F.col(row_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    kind = "float" if rows.schema[vector].dataType == ArrayType(FloatType(), rows.schema[vector].dataType.containsNull) else "double"
+    own = (rows.select(F.col(row_id).cast("long").alias("id"), F.col(vector).cast(f"array<{kind}>").alias("v"))
            .where(usable(F.col("v"))).where(~zero(F.col("v"))))
     d = own.agg(F.max(F.size("v"))).first()[0] or 0
-    own = own.select("id", F.concat("v", F.array_repeat(F.lit(0.0), F.lit(d) - F.size("v"))).alias("v"))
-    place = F.row_number().over(Window.partitionBy("v").orderBy(F.asc_nulls_last("id")))
-    least = own.withColumn("place", place).where(F.col("place") <= top + 1)
-    ids = F.transform(F.sort_array(F.collect_list(F.struct("place", "id"))), lambda s: s["id"])
-    return own, parquet(least.groupBy("v").agg(ids.alias("ids")).select(F.monotonically_increasing_id().alias("key"), "v", "ids"))
+    own = own.select("id", F.concat("v", F.array_repeat(F.lit(0.0).cast(kind), F.lit(d) - F.size("v"))).alias("v"))
+    order = Window.partitionBy("v").orderBy(F.asc_nulls_last("id"))
+    least = own.withColumn("place", F.row_number().over(order)).where(F.col("place") <= top + 1)
+    ids = F.transform(F.collect_list(F.struct("id")).over(order.rowsBetween(0, top)), lambda s: s["id"])
+    first = least.withColumn("ids", ids).where(F.col("place") == 1)
+    return own, parquet(first.select(F.monotonically_increasing_id().alias("key"), "v", "ids"))
 
 
 @dataclass(frozen=True)
@@ -78,9 +92,18 @@ class Index:
     probes: int
     sampled: np.ndarray
     shards: np.ndarray
+    parts: np.ndarray
 
     def rotate(self, v: np.ndarray) -> np.ndarray:
-        return unit(v) @ self.rotation
+        return unit(v.astype(float)) @ self.rotation
+
+    def lists_of(self) -> dict[int, np.ndarray]:
+        """The lists of every part."""
+        out: dict[int, list[int]] = {}
+        for one, (part, shards) in enumerate(zip(self.parts.tolist(), self.shards.tolist())):
+            for k in range(part, part + shards):
+                out.setdefault(k, []).append(one)
+        return {k: np.array(v) for k, v in out.items()}
 
     def nearness(self, rotated: np.ndarray) -> np.ndarray:
         return rotated @ self.centroids.T
@@ -104,9 +127,9 @@ def closest(rotated: np.ndarray, centroids: np.ndarray) -> np.ndarray:
 
 def sample(classes: DataFrame, total: int) -> list[pa.Array]:
     """The first ``SAMPLE`` classes in order of their hash; of many classes only those of small hashes are sorted."""
-    hashed = F.xxhash64("v")
+    hashed = F.xxhash64(F.col("v").cast("array<double>"))
     cut = int(2 * SAMPLE / max(total, 1) * 2 ** 64) - 2 ** 63
-    few = lambda df: df.orderBy(hashed, "v").limit(SAMPLE).select("v").toArrow().column(0).chunks
+    few = lambda df: df.select("v", hashed.alias("hash")).orderBy("hash", "v").limit(SAMPLE).select("v").toArrow().column(0).chunks
     if cut < 2 ** 63:
         chunks = few(classes.where(hashed < F.lit(cut)))
         if sum(len(c) for c in chunks) == SAMPLE:
@@ -140,8 +163,36 @@ def fit(classes: DataFrame, total: int, top: int) -> Index:
     needed = [_places(x, of, centroids, start, min(start + TRIED, TRIALS, len(x)), top) for start in range(0, min(TRIALS, len(x)), TRIED)]
     needed = np.sort(np.concatenate(needed)) + 1
     probes = int(needed[math.ceil(TARGET * len(needed)) - 1]) if len(needed) else 1
-    shards = np.maximum(1, np.round(total * sampled / len(x) / SHARD)).astype(np.int64)
-    return Index(rotation, centroids, min(probes, lists), sampled, shards)
+    rows = total * sampled / len(x)
+    most = max(BLOCK, SHARD // d)
+    shards = np.maximum(1, np.round(rows / most)).astype(np.int64)
+    return Index(rotation, centroids, min(probes, lists), sampled, shards, parts_of(neighbouring(centroids), rows, shards, min(most, total / PARTS)))
+
+
+def neighbouring(centroids: np.ndarray) -> list[int]:
+    """An order of the lists in which near ones are close: halves along the line between two far centroids."""
+    def halves(own: np.ndarray) -> list[int]:
+        if len(own) < 3:
+            return own.tolist()
+        c = centroids[own]
+        one = c[np.argmin(c @ c.mean(axis=0))]
+        along = np.argsort(c @ (one - c[np.argmin(c @ one)]), kind="stable")
+        return halves(own[along[:len(own) // 2]]) + halves(own[along[len(own) // 2:]])
+
+    return halves(np.arange(len(centroids)))
+
+
+def parts_of(order: list[int], rows: np.ndarray, shards: np.ndarray, room: float) -> np.ndarray:
+    """The part of every list, that of its first shard if it has several: lists fill a part up to ``room`` rows."""
+    parts, part, held = np.zeros(len(order), np.int64), -1, math.inf
+    for one in order:
+        if shards[one] > 1 or held + rows[one] > room:
+            part, held = part + 1, 0
+        parts[one] = part
+        held += rows[one]
+        if shards[one] > 1:
+            part, held = part + int(shards[one]) - 1, math.inf
+    return parts
 
 
 def _places(x: np.ndarray, of: np.ndarray, centroids: np.ndarray, start: int, stop: int, top: int) -> np.ndarray:
@@ -170,127 +221,223 @@ def _column_blocks(data: bytes, n: int, d: int) -> list[np.ndarray]:
     return out
 
 
-INDEXED = "list int, shard int, keys array<long>, least array<long>, columns binary, vectors binary"
+DEALT = "part int, share int, list int, key long, least long, threshold double, wanted binary, vector binary"
+
+
+def _packed(rows: np.ndarray) -> pa.Array:
+    """Each row's bytes."""
+    n, width = len(rows), rows.strides[0] if rows.size else 0
+    rows = np.ascontiguousarray(rows)
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(np.arange(0, (n + 1) * width, width, dtype=np.int32)) if width else pa.py_buffer(np.zeros(n + 1, np.int32)), pa.py_buffer(rows)])
 
 
 def build(classes: DataFrame, index: Index) -> DataFrame:
-    """The index as Parquet: every class in its list, in blocks of at most ``BLOCK`` vectors."""
+    """The index as Parquet: every class in its list and part."""
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            of = closest(index.rotate(_vectors(b.column(2), len(b))), index.centroids) if len(b) else np.zeros(0, np.int64)
-            shard = b.column(0).to_numpy(zero_copy_only=False) % index.shards[of]
-            yield pa.RecordBatch.from_arrays([pa.array(of, pa.int32()), pa.array(shard, pa.int32()), *b.columns],
-                                             names=["list", "shard", "key", "least", "v"])
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, place = [], None
-
-        def block() -> pa.RecordBatch:
-            keys, least, v = (pa.concat_arrays([h[k] for h in held]) for k in range(3))
-            m = _vectors(v, len(v))
-            one = lambda x, kind: pa.array([x], kind)
-            return pa.RecordBatch.from_arrays(
-                [one(place[0], pa.int32()), one(place[1], pa.int32()), one(keys.to_pylist(), pa.list_(pa.int64())), one(least.to_pylist(), pa.list_(pa.int64())),
-                 one(_columns(index.rotate(m)), pa.binary()), one(m.tobytes(), pa.binary())], names=["list", "shard", "keys", "least", "columns", "vectors"])
+            if not len(b):
+                continue
+            v = _vectors(b.column(2), len(b))
+            of = closest(index.rotate(v), index.centroids)
+            part = index.parts[of] + b.column(0).to_numpy(zero_copy_only=False) % index.shards[of]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(of, pa.int32()), b.column(0), b.column(1), _packed(v)],
+                                             names=["part", "list", "key", "least", "vector"])
 
-        for b in batches:
-            at = np.stack([b.column(k).to_numpy(zero_copy_only=False) for k in (0, 1)], axis=1)
-            cuts = [0, *(np.flatnonzero((at[1:] != at[:-1]).any(axis=1)) + 1).tolist(), len(b)] if len(b) else []
-            for start, stop in zip(cuts, cuts[1:]):
-                if place is not None and tuple(at[start]) != place:
-                    yield block()
-                    held = []
-                place = tuple(int(x) for x in at[start])
-                while start < stop:
-                    room = BLOCK - sum(len(h[0]) for h in held)
-                    if room == 0:
-                        yield block()
-                        held, room = [], BLOCK
-                    part = b.slice(start, min(room, stop - start))
-                    held.append(tuple(part.column(k) for k in (2, 3, 4)))
-                    start += len(part)
-        if held:
-            yield block()
-
-    assigned = classes.select("key", F.col("ids")[0].alias("least"), "v").mapInArrow(assign, "list int, shard int, key long, least long, v array<double>")
-    return parquet(assigned.repartition("list", "shard").sortWithinPartitions("list", "shard").mapInArrow(pack, INDEXED))
-
-
-PROBED = "list int, shards int, q array<long>, threshold array<double>, q_columns binary, q_vectors binary"
-
-
-def _probed(queries: DataFrame, index: Index, first: bool) -> DataFrame:
-    """Blocks of queries (key, v, threshold) for the lists they probe: the nearest one, or all others."""
+    return parquet(classes.select("key", F.col("ids")[0].alias("least"), "v").mapInArrow(assign, "part int, list int, key long, least long, vector binary"))
+
+
+def _probed(queries: DataFrame, index: Index, shares: int, first: bool) -> DataFrame:
+    """Queries (key, v, threshold) for the parts that have lists they probe: those of the nearest list, or all others."""
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lists = index.lists_of()
         for b in batches:
             for start in range(0, len(b), BLOCK):
                 part = b.slice(start, BLOCK)
                 key, v, threshold = part.column(0).to_numpy(zero_copy_only=False), _vectors(part.column(1), len(part)), part.column(2).to_numpy(zero_copy_only=False)
-                rotated = index.rotate(v)
-                order, probes = index.ranked(rotated)
+                order, probes = index.ranked(index.rotate(v))
                 place = np.empty_like(order)
                 np.put_along_axis(place, order, np.arange(order.shape[1])[None, :], axis=1)
-                wanted = place == 0 if first else (place > 0) & (place < probes[:, None])
-                for one in np.flatnonzero(wanted.any(axis=0)).tolist():
-                    of = np.flatnonzero(wanted[:, one])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([one], pa.int32()), pa.array([int(index.shards[one])], pa.int32()), pa.array([key[of].tolist()], pa.list_(pa.int64())),
-                         pa.array([threshold[of].tolist()], pa.list_(pa.float64())), pa.array([_columns(rotated[of])], pa.binary()),
-                         pa.array([v[of].tobytes()], pa.binary())], names=["list", "shards", "q", "threshold", "q_columns", "q_vectors"])
-
-    return (queries.select("key", "v", "threshold").mapInArrow(probe, PROBED)
-            .withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).drop("shards"))
+                probed, near = place < probes[:, None], order[:, 0]
+                home, last = index.parts[near], index.parts[near] + index.shards[near]
+                for k, own in lists.items():
+                    at_home = (home <= k) & (k < last)
+                    wanted = probed[:, own]
+                    of = np.flatnonzero(wanted.any(axis=1) & (at_home == first))
+                    if len(of):
+                        n = len(of)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(n, k), pa.int32()), pa.array(key[of] % shares, pa.int32()), pa.nulls(n, pa.int32()), pa.array(key[of]), pa.nulls(n, pa.int64()),
+                             pa.array(threshold[of]), _packed(np.packbits(wanted[of], axis=1)), _packed(v[of])],
+                            names=["part", "share", "list", "key", "least", "threshold", "wanted", "vector"])
+
+    return queries.select("key", "v", "threshold").mapInArrow(probe, DEALT)
 
 
 def surviving(q: list[np.ndarray], x: list[np.ndarray], limit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """(query, vector, squared distance) of the pairs that no test abandons, and the number of dimensions read.
+    """(query, vector, squared distance) of the pairs that no test abandons, and the number of dimensions in which pairs
+    not yet abandoned were compared.
 
-    q and x are column blocks; ``limit`` is every query's squared threshold.
+    q and x are column blocks; ``limit`` is every query's squared threshold.  While many pairs are left, whole blocks are
+    multiplied, which costs less than to pick the pairs.
     """
-    d, t = sum(b.shape[1] for b in x), x[0].shape[1]
+    d, t = sum(b.shape[1] for b in x), 0
     allowed = lambda t: limit * ((1 + EPSILON / math.sqrt(t)) ** 2 * t / d if t < d else 1.0) + SLACK
-    partial = (q[0] * q[0]).sum(1)[:, None] + (x[0] * x[0]).sum(1)[None, :] - 2 * (q[0] @ x[0].T)
-    at_q, at_x = np.nonzero(partial <= allowed(t)[:, None])
-    partial, read = partial[at_q, at_x], partial.size * t
-    for qb, xb in zip(q[1:], x[1:], strict=True):
+    partial, stays, left, read = None, None, len(limit) * len(x[0]), 0
+    at = 0
+    while at < len(x) and (at == 0 or left > DENSE * partial.size):
+        qb, xb = q[at], x[at]
+        gap = qb @ xb.T
+        gap *= -2
+        gap += (qb * qb).sum(1)[:, None]
+        gap += (xb * xb).sum(1)[None, :]
+        partial = gap if at == 0 else np.add(partial, gap, out=partial)
+        at, t, read = at + 1, t + xb.shape[1], read + left * xb.shape[1]
+        within = partial <= allowed(t).astype(partial.dtype)[:, None]
+        stays = within if stays is None else np.logical_and(stays, within, out=stays)
+        left = int(np.count_nonzero(stays))
+    at_q, at_x = np.nonzero(stays)
+    partial = partial[at_q, at_x]
+    for qb, xb in zip(q[at:], x[at:], strict=True):
         gap = qb[at_q] - xb[at_x]
         partial = partial + (gap * gap).sum(1)
         read, t = read + gap.size, t + xb.shape[1]
-        stays = partial <= allowed(t)[at_q]
-        at_q, at_x, partial = at_q[stays], at_x[stays], partial[stays]
+        keeps = partial <= allowed(t)[at_q]
+        at_q, at_x, partial = at_q[keeps], at_x[keeps], partial[keeps]
     return at_q, at_x, partial, read
 
 
-FOUND = "q long, key long, least long, score double"
+@dataclass
+class _Block:
+    """Vectors of one list, at most ``BLOCK``."""
+
+    key: np.ndarray
+    least: np.ndarray
+    no_id: np.ndarray
+    v: np.ndarray
+    columns: list[np.ndarray]
+    squares: dict[int, tuple[list[float], float]]
+
+    def scaled(self, j: int) -> tuple[list[float], float]:
+        if j not in self.squares:
+            self.squares[j] = _scaled(self.v[j])
+        return self.squares[j]
+
+
+def _scaled(v: np.ndarray) -> tuple[list[float], float]:
+    """The vector times a power of two, and the sum of its squares: what ``cosine`` computes of either side."""
+    v = v.astype(float)
+    v = v * 2.0 ** -float(np.frexp(np.abs(v).max())[1])
+    return v.tolist(), math.fsum((v * v).tolist())
+
+
+def _blocks(rows: pa.Table, index: Index, kind: np.dtype) -> dict[int, list[_Block]]:
+    """The blocks of every list of a part."""
+    d = len(index.rotation)
+    rows = rows.combine_chunks()
+    column = lambda name: rows[name].chunk(0)
+    one, key, least = column("list").to_numpy(), column("key").to_numpy(), column("least")
+    no_id, least = least.is_null().to_numpy(zero_copy_only=False), least.fill_null(0).to_numpy()
+    v = _unpacked(column("vector"), kind, d)
+    by_list = np.lexsort((key, one))
+    cuts = np.flatnonzero(np.diff(one[by_list], prepend=-1, append=-1))
+    out: dict[int, list[_Block]] = {}
+    for start, stop in zip(cuts, cuts[1:]):
+        for k in range(start, stop, BLOCK):
+            own = by_list[k:min(k + BLOCK, stop)]
+            columns = _column_blocks(_columns(index.rotate(v[own])), len(own), d)
+            out.setdefault(int(one[own[0]]), []).append(_Block(key[own], least[own], no_id[own], v[own], columns, {}))
+    return out
 
 
-def _scan(pairs: DataFrame, d: int, top: int) -> DataFrame:
-    """(q, key, least, score): of every pair of blocks, each query's ``top + 1`` best classes within its threshold."""
+def _unpacked(column: pa.Array, kind: np.dtype, d: int) -> np.ndarray:
+    offset, n = np.frombuffer(column.buffers()[1], np.int32, 1, 4 * column.offset)[0], len(column)
+    return np.frombuffer(column.buffers()[2], kind, n * d, offset).reshape(n, d)
+
+
+FOUND = "q long, key long, least long, score double, own boolean"
+
+
+def _search(q: np.ndarray, threshold: np.ndarray, wanted: np.ndarray, lists: np.ndarray, blocks: dict[int, list[_Block]], index: Index, top: int) -> list[tuple]:
+    """(query, key, least, score, own) of the ``top + 1`` best classes of every query in one part, within its threshold."""
+    n, d = len(q), len(index.rotation)
+    y, limit = _column_blocks(_columns(index.rotate(q)), n, d), threshold.copy()
+    best = np.full((n, top + 1), np.inf, np.float32)
+    waiting, waits, scored = [], 0, {}  # (query, vector, distance, block) of candidates; (far, no id, least, key, own) by query
+    sides: dict[int, tuple[list[float], float]] = {}
+
+    def settle() -> None:
+        """Exact scores of the candidates that may still be among the best; of these the ``top + 1`` best stay."""
+        nonlocal waiting, waits
+        for at_q, at_x, distance, block in waiting:
+            near = distance <= best[at_q, top] + 2 * SLACK
+            for i, j in zip(at_q[near].tolist(), at_x[near].tolist()):
+                if i not in sides:
+                    sides[i] = _scaled(q[i])
+                (a, aa), (b, bb) = sides[i], block.scaled(j)
+                score = math.fsum(map(mul, a, b)) / math.sqrt(aa * bb)
+                scored.setdefault(i, []).append((-score, bool(block.no_id[j]), int(block.least[j]), int(block.key[j]), a == b and bool((q[i] == block.v[j]).all())))
+        for i, found in scored.items():
+            scored[i] = sorted(found)[:top + 1]
+        waiting, waits = [], 0
+
+    for k, one in enumerate(lists.tolist()):
+        rows = np.flatnonzero(wanted[:, k])
+        own = [b[rows] for b in y] if len(rows) else []
+        for block in blocks.get(one, []) if len(rows) else []:
+            if np.isinf(limit[rows]).any() and len(block.key) > top:  # the best among a few vectors already bounds what can be a result
+                seeds = sum((a * a).sum(1)[:, None] + (c[:64] * c[:64]).sum(1)[None, :] - 2 * (a @ c[:64].T) for a, c in zip(own, block.columns, strict=True))
+                limit[rows] = np.minimum(limit[rows], np.partition(seeds, top, axis=1)[:, top] + SLACK)
+            at_q, at_x, distance, _ = surviving(own, block.columns, limit[rows])
+            if not len(at_q):
+                continue
+            order = np.lexsort((distance, at_q))
+            at_q, at_x, distance = at_q[order], at_x[order], distance[order]
+            rank = np.arange(len(at_q)) - np.searchsorted(at_q, at_q)
+            few = rank <= top
+            new = np.full((len(rows), top + 1), np.inf, np.float32)
+            new[at_q[few], rank[few]] = distance[few]
+            best[rows] = np.sort(np.concatenate([best[rows], new], axis=1), axis=1)[:, :top + 1]
+            limit[rows] = np.minimum(limit[rows], best[rows, top] + SLACK)
+            near = distance <= best[rows[at_q], top] + 2 * SLACK
+            waiting.append((rows[at_q[near]], at_x[near], distance[near], block))
+            waits += int(near.sum())
+            if waits > WAITING:
+                settle()
+    settle()
+    return [(i, *found) for i, own in scored.items() for found in own]
+
+
+def _scan(dealt: DataFrame, index: Index, kind: np.dtype, top: int) -> DataFrame:
+    """(q, key, least, score, own): of every part, each query's ``top + 1`` best classes within its threshold.
+
+    Rows come by part and share, the index before the queries.
+    """
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lists, d, place, held, blocks = index.lists_of(), len(index.rotation), None, [], {}
         for b in batches:
-            out = []
-            for r in range(len(b)):
-                keys, least, columns, vectors, q, threshold, q_columns, q_vectors = (b.column(k)[r].as_py() for k in range(8))
-                x, y = _column_blocks(columns, len(keys), d), _column_blocks(q_columns, len(q), d)
-                limit = np.array(threshold)
-                seeds = sum((a * a).sum(1)[:, None] + (c[:64] * c[:64]).sum(1)[None, :] - 2 * (a @ c[:64].T) for a, c in zip(y, x, strict=True))
-                if seeds.shape[1] > top:  # the best among a few vectors already bounds what can be a result
-                    limit = np.minimum(limit, np.partition(seeds, top, axis=1)[:, top] + SLACK)
-                at_q, at_x, distance, _ = surviving(y, x, limit)
-                order = np.lexsort((distance, at_q))
-                at_q, at_x, distance = at_q[order], at_x[order], distance[order]
-                starts = np.searchsorted(at_q, np.arange(len(q) + 1))
-                xs, ys = np.frombuffer(vectors).reshape(len(keys), d), np.frombuffer(q_vectors).reshape(len(q), d)
-                for i in np.flatnonzero(np.diff(starts)).tolist():
-                    own = slice(starts[i], starts[i + 1])
-                    near, far = at_x[own], distance[own]
-                    near = near[far <= far[min(top, len(far) - 1)] + 2 * SLACK]
-                    scored = [(-cosine(ys[i], xs[j]), least[j] is None, least[j] or 0, j) for j in near.tolist()]
-                    out += [(q[i], keys[j], least[j], -s) for s, _, _, j in sorted(scored)[:top + 1]]
-            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.float64()))],
-                                             names=["q", "key", "least", "score"])
-
-    return pairs.select("keys", "least", "columns", "vectors", "q", "threshold", "q_columns", "q_vectors").mapInArrow(scan, FOUND)
+            at = np.stack([b.column(k).to_numpy(zero_copy_only=False) for k in (0, 1)] + [b.column(2).is_valid().to_numpy(zero_copy_only=False)], axis=1)
+            cuts = [0, *(np.flatnonzero((at[1:] != at[:-1]).any(axis=1)) + 1).tolist(), len(b)] if len(b) else []
+            for start, stop in zip(cuts, cuts[1:]):
+                part, share, indexed = (int(c) for c in at[start])
+                if (part, share) != place:
+                    place, held, blocks = (part, share), [], {}
+                own = b.slice(start, stop - start)
+                if indexed:
+                    held.append(own.select(["list", "key", "least", "vector"]))
+                    continue
+                if held:
+                    blocks, held = _blocks(pa.Table.from_batches(held), index, kind), []
+                for k in range(0, len(own), BLOCK):
+                    some = own.slice(k, BLOCK)
+                    key, n = some.column(3).to_numpy(), len(lists[part])
+                    wanted = np.unpackbits(_unpacked(some.column(6), np.dtype(np.uint8), -(-n // 8)), axis=1, count=n).astype(bool)
+                    found = _search(_unpacked(some.column(7), kind, d), some.column(5).to_numpy(), wanted, lists[part], blocks, index, top)
+                    q, far, no_id, least, of, same = zip(*found) if found else [()] * 6
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(key[list(q)], pa.int64()), pa.array(of, pa.int64()), pa.array([None if no else i for no, i in zip(no_id, least)], pa.int64()),
+                         pa.array([-f for f in far], pa.float64()), pa.array(same, pa.bool_())], names=["q", "key", "least", "score", "own"])
+
+    return dealt.mapInArrow(scan, FOUND)
 
 
 def _best(found: DataFrame, top: int) -> DataFrame:
@@ -304,21 +451,26 @@ def nearest(rows: DataFrame, is_query: Column, top: int = 5, vector: str = "embe
     total = classes.count()
     if total == 0:
         return rows.sparkSession.createDataFrame([], f"query_id long, rank int, {row_id} long, score double")
-    index = fit(classes, total, top)
-    blocks, d = build(classes, index), len(index.rotation)
-    members = parquet(own.where(is_query & F.col("id").isNotNull()).join(classes.select("key", "v"), "v").select("id", F.col("key").alias("q")))
-    asked = classes.join(members.select(F.col("q").alias("key")), "key", "left_semi").select("key", "v")
-    asked = parquet(asked)
+    index, kind = fit(classes, total, top), np.dtype("f4" if classes.schema["v"].dataType.elementType == FloatType() else "f8")
+    placed = build(classes, index)
+    asking = own.where(is_query & F.col("id").isNotNull())
+    asked = parquet(asking.select("v").distinct().select(F.monotonically_increasing_id().alias("key"), "v"))
+    members = parquet(asking.join(asked, "v").select("id", F.col("key").alias("q")))
+    shares = max(1, -(-asked.count() // ASKED))
     spread = lambda df: df.repartition(max(1, -(-total // (64 * BLOCK))), "key")
-    search = lambda queries, first: _scan(blocks.join(_probed(spread(queries), index, first), ["list", "shard"]), d, top)
+    each = F.explode(F.sequence(F.lit(0), F.lit(shares - 1))) if shares > 1 else F.lit(0)
+    vectors = placed.select("part", each.alias("share"), "list", "key", "least", F.lit(None).cast("double").alias("threshold"), F.lit(None).cast("binary").alias("wanted"), "vector")
+    dealt = lambda queries, first: (vectors.unionByName(_probed(spread(queries), index, shares, first)).repartition("part", "share")
+                                    .sortWithinPartitions("part", "share", F.col("list").isNull()))
+    search = lambda queries, first: _scan(dealt(queries, first), index, kind, top)
 
     home = parquet(_best(search(asked.withColumn("threshold", F.lit(float("inf"))), True), top))
     bound = home.groupBy("q").agg(F.when(F.count("*") > top, 2 - 2 * F.min("score")).otherwise(float("inf")).alias("threshold"))
     further = asked.join(bound.withColumnRenamed("q", "key"), "key", "left").withColumn("threshold", F.coalesce("threshold", F.lit(float("inf"))))
     best = _best(home.unionByName(search(further, False)), top)
 
-    entries = best.join(classes.select("key", "ids"), "key").select("q", "key", "score", F.explode("ids").alias("id"))
-    entry = F.struct((-F.col("score")).alias("far"), F.col("id").isNull().alias("no_id"), "id", (F.col("key") == F.col("q")).alias("own"))
+    entries = best.join(classes.select("key", "ids"), "key").select("q", "own", "score", F.explode("ids").alias("id"))
+    entry = F.struct((-F.col("score")).alias("far"), F.col("id").isNull().alias("no_id"), "id", "own")
     lists = entries.groupBy("q").agg(F.sort_array(F.collect_list(entry)).alias("near"))
     mine = F.array_position(F.transform("near", lambda e: F.coalesce(e["own"] & (e["id"] == F.col("query_id")), F.lit(False))), True)
     others = F.slice(F.filter("near", lambda e, k: k != F.col("mine") - 1), 1, top)

@@ -3,6 +3,7 @@ import random
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -129,3 +130,58 @@ def test_sample_is_the_first_by_hash(spark, monkeypatch):
     for total in (1, 3000, 10**9):  # all rows, those of small hashes, and too few of them
         assert [v for c in ann.sample(classes, total) for v in c.to_pylist()] == want
     assert len(np.concatenate([c.to_pylist() for c in ann.sample(classes.limit(7), 7)])) == 7
+
+
+def test_parts_shards_and_shares_give_the_same_rows(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    centre = rng.normal(size=8)
+    table = [(k, (centre + 0.05 * rng.normal(size=8)).tolist()) for k in range(2000)] + [(k, rng.normal(size=8).tolist()) for k in range(2000, 4000)]
+    want = search(spark, table)
+    fitted, fit = [], ann.fit
+    monkeypatch.setattr(ann, "fit", lambda *a: fitted.append(fit(*a)) or fitted[-1])
+    monkeypatch.setattr(ann, "PARTS", 2)
+    whole = search(spark, table)
+    monkeypatch.setattr(ann, "PARTS", 64)
+    monkeypatch.setattr(ann, "SHARD", 1)  # BLOCK vectors
+    monkeypatch.setattr(ann, "ASKED", 9)
+    split = search(spark, table)
+    assert len(fitted[0].lists_of()) <= 3 and max(map(len, fitted[0].lists_of().values())) > 3  # lists share parts
+    assert fitted[1].shards.max() > 1 and len(fitted[1].lists_of()) > len(fitted[1].shards)  # and a list has several
+    assert whole == want and split == want
+
+
+def test_every_list_is_in_a_part_of_bounded_size():
+    rng = np.random.default_rng(7)
+    for lists in (1, 2, 3, 500):
+        centroids = ann.unit(rng.normal(size=(lists, 5)))
+        order = ann.neighbouring(centroids)
+        assert sorted(order) == list(range(lists))
+        rows, shards = rng.uniform(0, 900, lists), np.where(rng.random(lists) < 0.1, 3, 1)
+        index = ann.Index(np.eye(5), centroids, 1, rows, shards, ann.parts_of(order, rows, shards, 1000))
+        held = index.lists_of()
+        assert sorted(held) == list(range(max(held) + 1)) and sum(map(len, held.values())) == shards.sum()
+        assert all(len(own) == 1 or (rows[own].sum() <= 1000 and (shards[own] == 1).all()) for own in held.values())
+    near = ann.neighbouring(np.repeat(np.eye(4), 50, axis=0) + 0.01 * rng.normal(size=(200, 4)))
+    assert sum(a // 50 != b // 50 for a, b in zip(near, near[1:])) < 20
+
+
+@pytest.mark.parametrize("waiting", [0, 50, 1 << 16])
+def test_one_part_holds_the_best(monkeypatch, waiting):
+    monkeypatch.setattr(ann, "WAITING", waiting)
+    rng = np.random.default_rng(10)
+    v = rng.normal(size=(1300, 20)).astype(np.float32)
+    v[900:960] = v[3] * 2  # equal scores: the least ids come first
+    rotation = np.linalg.qr(rng.normal(size=(20, 20)))[0]
+    index = ann.Index(rotation, np.eye(20)[:2], 2, np.ones(2), np.ones(2, int), np.zeros(2, int))
+    ids = [None if k % 97 == 0 else 5000 - k for k in range(1300)]
+    rows = pa.table({"list": pa.array([k % 2 for k in range(1300)], pa.int32()), "key": pa.array(range(1300), pa.int64()), "least": pa.array(ids, pa.int64()), "vector": ann._packed(v)})
+    blocks = ann._blocks(rows, index, np.dtype("f4"))
+    assert sorted(len(b.key) for own in blocks.values() for b in own) == [138, 138, 512, 512]
+    q = np.concatenate([v[:40], v[910:912]])
+    wanted = np.ones((42, 2), bool)
+    wanted[:20, 1] = False
+    got = ann._search(q, np.full(42, np.inf), wanted, np.arange(2), blocks, index, 5)
+    for i in range(42):
+        seen = [j for j in range(1300) if j % 2 == 0 or wanted[i, 1]]
+        want = sorted((-ann.cosine(q[i].astype(float), v[j].astype(float)), ids[j] is None, ids[j] or 0, j, bool((q[i] == v[j]).all())) for j in seen)[:6]
+        assert [found for at, *found in got if at == i] == [list(w) for w in want]
