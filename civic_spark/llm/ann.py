@@ -35,15 +35,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, FloatType
+from pyspark.sql.types import FloatType
 
-from civic_spark.llm.shared import parquet
+from civic_spark.llm.shared import Scratch, parquet
 from civic_spark.llm.whitening import usable
 
 SAMPLE, MAX_LISTS, LIST_ROWS = 32_768, 4_096, 256
 TARGET, TRIALS, SEED = 0.98, 512, 12
 COLUMNS, EPSILON = 16, 2.1
-BLOCK, SHARD, ASKED = 512, 1 << 22, 1 << 18
+BLOCK, SHARD, ASKED = 512, 1 << 23, 1 << 18
 #: Parts of a small index, if it has as many lists.
 PARTS = 64
 #: Pairs are compared by products of whole blocks until so small a share is left.
@@ -68,19 +68,56 @@ def cosine(a: np.ndarray, b: np.ndarray) -> float:
     return math.fsum(a * b) / math.sqrt(math.fsum(a * a) * math.fsum(b * b))
 
 
-def classes_of(rows: DataFrame, top: int, vector: str, row_id: str) -> tuple[DataFrame, DataFrame]:
-    """(usable rows (id, v), classes (key, v, ids)): equal vectors once, with their least ids, nulls last."""
-    zero = lambda v: F.forall(v, lambda c: c == 0)
-    kind = "float" if rows.schema[vector].dataType == ArrayType(FloatType(), rows.schema[vector].dataType.containsNull) else "double"
-    own = (rows.select(F.col(row_id).cast("long").alias("id"), F.col(vector).cast(f"array<{kind}>").alias("v"))
-           .where(usable(F.col("v"))).where(~zero(F.col("v"))))
-    d = own.agg(F.max(F.size("v"))).first()[0] or 0
-    own = own.select("id", F.concat("v", F.array_repeat(F.lit(0.0).cast(kind), F.lit(d) - F.size("v"))).alias("v"))
+def vectors_of(rows: DataFrame, vector: str, row_id: str) -> tuple[DataFrame, np.dtype, int]:
+    """(id, v) of all rows, the type of the numbers, and the length of the longest usable vector."""
+    kind = "float" if getattr(rows.schema[vector].dataType, "elementType", None) == FloatType() else "double"
+    own = rows.select(F.col(row_id).cast("long").alias("id"), F.col(vector).cast(f"array<{kind}>").alias("v")).where(F.col("v").isNotNull())
+    least, d = own.agg(F.min(F.size("v")), F.max(F.size("v"))).first()
+    if least != d:
+        zero = F.forall("v", lambda c: c == 0)
+        d = own.where(usable(F.col("v"))).where(~zero).agg(F.max(F.size("v"))).first()[0]
+    return own, np.dtype("f4" if kind == "float" else "f8"), d or 0
+
+
+def packed(own: DataFrame, kind: np.dtype, d: int) -> DataFrame:
+    """(id, hash, v) of usable rows: v is the bytes of ``d`` numbers, zeros without sign."""
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            column = b.column(2)
+            at, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+            count = lambda of: np.diff(np.concatenate([[0], np.cumsum(of)])[at])
+            good = column.is_valid().to_numpy(zero_copy_only=False) & (count(~np.isfinite(values)) == 0) & (count(values != 0) > 0)
+            v = np.zeros((int(good.sum()), d), kind)
+            length = np.diff(at)
+            v[np.arange(d)[None, :] < length[good][:, None]] = values[at[0]:at[-1]][np.repeat(good, length)]
+            v += 0
+            good = pa.array(good)
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(good), b.column(1).filter(good), _packed(v)], names=["id", "hash", "v"])
+
+    double = F.col("v").cast("array<double>")
+    hashed = F.xxhash64(F.concat(double, F.array_repeat(F.lit(0.0), F.lit(d) - F.size("v"))))
+    return own.select("id", hashed.alias("hash"), "v").mapInArrow(clean, "id long, hash long, v binary")
+
+
+def _packed(rows: np.ndarray) -> pa.Array:
+    """Each row's bytes."""
+    n, rows = len(rows), np.ascontiguousarray(rows)
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(np.arange(n + 1, dtype=np.int32) * np.int32(rows.strides[0])), pa.py_buffer(rows)])
+
+
+def _unpacked(column: pa.Array, kind: np.dtype) -> np.ndarray:
+    """Rows of the same number of bytes."""
+    at, n = np.frombuffer(column.buffers()[1], np.int32)[column.offset:], len(column)
+    return np.frombuffer(column.buffers()[2], kind, (at[n] - at[0]) // kind.itemsize, at[0]).reshape(n, -1)
+
+
+def classes_of(own: DataFrame, top: int) -> DataFrame:
+    """(key, hash, v, ids) of (id, hash, v): equal vectors once, with their least ids, nulls last."""
     order = Window.partitionBy("v").orderBy(F.asc_nulls_last("id"))
     least = own.withColumn("place", F.row_number().over(order)).where(F.col("place") <= top + 1)
     ids = F.transform(F.collect_list(F.struct("id")).over(order.rowsBetween(0, top)), lambda s: s["id"])
     first = least.withColumn("ids", ids).where(F.col("place") == 1)
-    return own, parquet(first.select(F.monotonically_increasing_id().alias("key"), "v", "ids"))
+    return first.select(F.monotonically_increasing_id().alias("key"), "hash", "v", "ids")
 
 
 @dataclass(frozen=True)
@@ -115,10 +152,6 @@ class Index:
         return order, np.maximum(self.probes, np.minimum(enough, len(self.centroids)))
 
 
-def _vectors(column: pa.Array, n: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
-
-
 def closest(rotated: np.ndarray, centroids: np.ndarray) -> np.ndarray:
     """The nearest centroid of every row; no more than ``BLOCK`` rows of products are held at once."""
     parts = [(rotated[k:k + BLOCK] @ centroids.T).argmax(axis=1) for k in range(0, len(rotated), BLOCK)]
@@ -127,28 +160,26 @@ def closest(rotated: np.ndarray, centroids: np.ndarray) -> np.ndarray:
 
 def sample(classes: DataFrame, total: int) -> list[pa.Array]:
     """The first ``SAMPLE`` classes in order of their hash; of many classes only those of small hashes are sorted."""
-    hashed = F.xxhash64(F.col("v").cast("array<double>"))
     cut = int(2 * SAMPLE / max(total, 1) * 2 ** 64) - 2 ** 63
-    few = lambda df: df.select("v", hashed.alias("hash")).orderBy("hash", "v").limit(SAMPLE).select("v").toArrow().column(0).chunks
+    few = lambda df: df.select("hash", "v").orderBy("hash", "v").limit(SAMPLE).select("v").toArrow().column(0).chunks
     if cut < 2 ** 63:
-        chunks = few(classes.where(hashed < F.lit(cut)))
+        chunks = few(classes.where(F.col("hash") < F.lit(cut)))
         if sum(len(c) for c in chunks) == SAMPLE:
             return chunks
     return few(classes)
 
 
-def fit(classes: DataFrame, total: int, top: int) -> Index:
+def fit(classes: DataFrame, total: int, top: int, kind: np.dtype, d: int) -> Index:
     """Index parameters from a sample of classes, on the driver: at most ``SAMPLE`` vectors, and products of few rows at once."""
     chunks = sample(classes, total)
-    d = len(chunks[0][0])
     rotation = np.linalg.qr(np.random.default_rng(SEED).normal(size=(d, d)))[0]
     x = np.empty((sum(len(c) for c in chunks), d))
     at = 0
     while chunks:
-        c = chunks.pop(0)
+        c = _unpacked(chunks.pop(0), kind)
         for start in range(0, len(c), BLOCK):
-            part = c.slice(start, BLOCK)
-            x[at:at + len(part)] = unit(_vectors(part, len(part))) @ rotation
+            part = c[start:start + BLOCK]
+            x[at:at + len(part)] = unit(part.astype(float)) @ rotation
             at += len(part)
     lists = max(1, min(math.isqrt(total), total // LIST_ROWS, MAX_LISTS))
     centroids = x[:lists].copy()
@@ -224,36 +255,27 @@ def _column_blocks(data: bytes, n: int, d: int) -> list[np.ndarray]:
 DEALT = "part int, share int, list int, key long, least long, threshold double, wanted binary, vector binary"
 
 
-def _packed(rows: np.ndarray) -> pa.Array:
-    """Each row's bytes."""
-    n, width = len(rows), rows.strides[0] if rows.size else 0
-    rows = np.ascontiguousarray(rows)
-    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(np.arange(0, (n + 1) * width, width, dtype=np.int32)) if width else pa.py_buffer(np.zeros(n + 1, np.int32)), pa.py_buffer(rows)])
-
-
-def build(classes: DataFrame, index: Index) -> DataFrame:
-    """The index as Parquet: every class in its list and part."""
+def build(classes: DataFrame, index: Index, kind: np.dtype) -> DataFrame:
+    """The index: every class in its list and part."""
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not len(b):
                 continue
-            v = _vectors(b.column(2), len(b))
-            of = closest(index.rotate(v), index.centroids)
+            of = closest(index.rotate(_unpacked(b.column(2), kind)), index.centroids)
             part = index.parts[of] + b.column(0).to_numpy(zero_copy_only=False) % index.shards[of]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(of, pa.int32()), b.column(0), b.column(1), _packed(v)],
-                                             names=["part", "list", "key", "least", "vector"])
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(of, pa.int32()), *b.columns], names=["part", "list", "key", "ids", "vector"])
 
-    return parquet(classes.select("key", F.col("ids")[0].alias("least"), "v").mapInArrow(assign, "part int, list int, key long, least long, vector binary"))
+    return classes.select("key", "ids", "v").mapInArrow(assign, "part int, list int, key long, ids array<long>, vector binary")
 
 
-def _probed(queries: DataFrame, index: Index, shares: int, first: bool) -> DataFrame:
+def _probed(queries: DataFrame, index: Index, kind: np.dtype, shares: int, first: bool) -> DataFrame:
     """Queries (key, v, threshold) for the parts that have lists they probe: those of the nearest list, or all others."""
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lists = index.lists_of()
         for b in batches:
             for start in range(0, len(b), BLOCK):
                 part = b.slice(start, BLOCK)
-                key, v, threshold = part.column(0).to_numpy(zero_copy_only=False), _vectors(part.column(1), len(part)), part.column(2).to_numpy(zero_copy_only=False)
+                key, v, threshold = part.column(0).to_numpy(zero_copy_only=False), _unpacked(part.column(1), kind), part.column(2).to_numpy(zero_copy_only=False)
                 order, probes = index.ranked(index.rotate(v))
                 place = np.empty_like(order)
                 np.put_along_axis(place, order, np.arange(order.shape[1])[None, :], axis=1)
@@ -286,16 +308,15 @@ def surviving(q: list[np.ndarray], x: list[np.ndarray], limit: np.ndarray) -> tu
     at = 0
     while at < len(x) and (at == 0 or left > DENSE * partial.size):
         qb, xb = q[at], x[at]
-        gap = qb @ xb.T
-        gap *= -2
-        gap += (qb * qb).sum(1)[:, None]
-        gap += (xb * xb).sum(1)[None, :]
+        squares = lambda m: (m * m).sum(1)[:, None]
+        one = lambda m: np.ones((len(m), 1), m.dtype)
+        gap = np.concatenate([-2 * qb, squares(qb), one(qb)], axis=1) @ np.concatenate([xb, one(xb), squares(xb)], axis=1).T
         partial = gap if at == 0 else np.add(partial, gap, out=partial)
         at, t, read = at + 1, t + xb.shape[1], read + left * xb.shape[1]
         within = partial <= allowed(t).astype(partial.dtype)[:, None]
         stays = within if stays is None else np.logical_and(stays, within, out=stays)
         left = int(np.count_nonzero(stays))
-    at_q, at_x = np.nonzero(stays)
+    at_q, at_x = np.divmod(np.flatnonzero(stays), len(x[0]))
     partial = partial[at_q, at_x]
     for qb, xb in zip(q[at:], x[at:], strict=True):
         gap = qb[at_q] - xb[at_x]
@@ -337,7 +358,7 @@ def _blocks(rows: pa.Table, index: Index, kind: np.dtype) -> dict[int, list[_Blo
     column = lambda name: rows[name].chunk(0)
     one, key, least = column("list").to_numpy(), column("key").to_numpy(), column("least")
     no_id, least = least.is_null().to_numpy(zero_copy_only=False), least.fill_null(0).to_numpy()
-    v = _unpacked(column("vector"), kind, d)
+    v = _unpacked(column("vector"), kind)
     by_list = np.lexsort((key, one))
     cuts = np.flatnonzero(np.diff(one[by_list], prepend=-1, append=-1))
     out: dict[int, list[_Block]] = {}
@@ -349,11 +370,6 @@ def _blocks(rows: pa.Table, index: Index, kind: np.dtype) -> dict[int, list[_Blo
     return out
 
 
-def _unpacked(column: pa.Array, kind: np.dtype, d: int) -> np.ndarray:
-    offset, n = np.frombuffer(column.buffers()[1], np.int32, 1, 4 * column.offset)[0], len(column)
-    return np.frombuffer(column.buffers()[2], kind, n * d, offset).reshape(n, d)
-
-
 FOUND = "q long, key long, least long, score double, own boolean"
 
 
@@ -413,7 +429,7 @@ def _scan(dealt: DataFrame, index: Index, kind: np.dtype, top: int) -> DataFrame
     Rows come by part and share, the index before the queries.
     """
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lists, d, place, held, blocks = index.lists_of(), len(index.rotation), None, [], {}
+        lists, place, held, blocks = index.lists_of(), None, [], {}
         for b in batches:
             at = np.stack([b.column(k).to_numpy(zero_copy_only=False) for k in (0, 1)] + [b.column(2).is_valid().to_numpy(zero_copy_only=False)], axis=1)
             cuts = [0, *(np.flatnonzero((at[1:] != at[:-1]).any(axis=1)) + 1).tolist(), len(b)] if len(b) else []
@@ -430,8 +446,8 @@ def _scan(dealt: DataFrame, index: Index, kind: np.dtype, top: int) -> DataFrame
                 for k in range(0, len(own), BLOCK):
                     some = own.slice(k, BLOCK)
                     key, n = some.column(3).to_numpy(), len(lists[part])
-                    wanted = np.unpackbits(_unpacked(some.column(6), np.dtype(np.uint8), -(-n // 8)), axis=1, count=n).astype(bool)
-                    found = _search(_unpacked(some.column(7), kind, d), some.column(5).to_numpy(), wanted, lists[part], blocks, index, top)
+                    wanted = np.unpackbits(_unpacked(some.column(6), np.dtype(np.uint8)), axis=1, count=n).astype(bool)
+                    found = _search(_unpacked(some.column(7), kind), some.column(5).to_numpy(), wanted, lists[part], blocks, index, top)
                     q, far, no_id, least, of, same = zip(*found) if found else [()] * 6
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(key[list(q)], pa.int64()), pa.array(of, pa.int64()), pa.array([None if no else i for no, i in zip(no_id, least)], pa.int64()),
@@ -447,20 +463,23 @@ def _best(found: DataFrame, top: int) -> DataFrame:
 
 def nearest(rows: DataFrame, is_query: Column, top: int = 5, vector: str = "embedding", row_id: str = "vec_id") -> DataFrame:
     """(query_id, rank, <row_id>, score): the ``top`` rows nearest to each row for which ``is_query`` (over ``id``) holds."""
-    own, classes = classes_of(rows, top, vector, row_id)
+    raw, kind, d = vectors_of(rows, vector, row_id)
+    scratch = Scratch(rows.sparkSession)
+    classes = scratch.write(classes_of(packed(raw, kind, d), top))
     total = classes.count()
     if total == 0:
         return rows.sparkSession.createDataFrame([], f"query_id long, rank int, {row_id} long, score double")
-    index, kind = fit(classes, total, top), np.dtype("f4" if classes.schema["v"].dataType.elementType == FloatType() else "f8")
-    placed = build(classes, index)
-    asking = own.where(is_query & F.col("id").isNotNull())
+    index = fit(classes, total, top, kind, d)
+    placed = parquet(build(classes, index, kind))
+    scratch.drop(classes)
+    asking = packed(raw.where(is_query & F.col("id").isNotNull()), kind, d)
     asked = parquet(asking.select("v").distinct().select(F.monotonically_increasing_id().alias("key"), "v"))
     members = parquet(asking.join(asked, "v").select("id", F.col("key").alias("q")))
     shares = max(1, -(-asked.count() // ASKED))
     spread = lambda df: df.repartition(max(1, -(-total // (64 * BLOCK))), "key")
     each = F.explode(F.sequence(F.lit(0), F.lit(shares - 1))) if shares > 1 else F.lit(0)
-    vectors = placed.select("part", each.alias("share"), "list", "key", "least", F.lit(None).cast("double").alias("threshold"), F.lit(None).cast("binary").alias("wanted"), "vector")
-    dealt = lambda queries, first: (vectors.unionByName(_probed(spread(queries), index, shares, first)).repartition("part", "share")
+    vectors = placed.select("part", each.alias("share"), "list", "key", F.col("ids")[0].alias("least"), F.lit(None).cast("double").alias("threshold"), F.lit(None).cast("binary").alias("wanted"), "vector")
+    dealt = lambda queries, first: (vectors.unionByName(_probed(spread(queries), index, kind, shares, first)).repartition("part", "share")
                                     .sortWithinPartitions("part", "share", F.col("list").isNull()))
     search = lambda queries, first: _scan(dealt(queries, first), index, kind, top)
 
@@ -469,7 +488,7 @@ def nearest(rows: DataFrame, is_query: Column, top: int = 5, vector: str = "embe
     further = asked.join(bound.withColumnRenamed("q", "key"), "key", "left").withColumn("threshold", F.coalesce("threshold", F.lit(float("inf"))))
     best = _best(home.unionByName(search(further, False)), top)
 
-    entries = best.join(classes.select("key", "ids"), "key").select("q", "own", "score", F.explode("ids").alias("id"))
+    entries = best.join(placed.select("key", "ids"), "key").select("q", "own", "score", F.explode("ids").alias("id"))
     entry = F.struct((-F.col("score")).alias("far"), F.col("id").isNull().alias("no_id"), "id", "own")
     lists = entries.groupBy("q").agg(F.sort_array(F.collect_list(entry)).alias("near"))
     mine = F.array_position(F.transform("near", lambda e: F.coalesce(e["own"] & (e["id"] == F.col("query_id")), F.lit(False))), True)

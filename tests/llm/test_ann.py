@@ -114,9 +114,9 @@ def test_query_recall(spark, sf):
 def test_fit_holds_few_products(spark):
     """6 GB of vectors have 3,872 lists: the products of the whole sample with all centroids do not fit the driver."""
     rng = np.random.default_rng(8)
-    classes = spark.createDataFrame([(v,) for v in rng.normal(size=(6000, 8)).tolist()], "v array<double>").localCheckpoint()
+    classes = spark.createDataFrame([(k, v.tobytes()) for k, v in enumerate(rng.normal(size=(6000, 8)))], "hash long, v binary").localCheckpoint()
     tracemalloc.start()
-    index = ann.fit(classes, 15_000_000, 5)
+    index = ann.fit(classes, 15_000_000, 5, np.dtype("f8"), 8)
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert len(index.centroids) == 3872 and index.sampled.sum() == 6000 and peak < 80e6
@@ -125,11 +125,12 @@ def test_fit_holds_few_products(spark):
 def test_sample_is_the_first_by_hash(spark, monkeypatch):
     monkeypatch.setattr(ann, "SAMPLE", 40)
     rng = np.random.default_rng(9)
-    classes = spark.createDataFrame([(v,) for v in rng.normal(size=(3000, 4)).tolist()], "v array<double>").localCheckpoint()
-    want = [r.v for r in classes.orderBy(F.xxhash64("v"), "v").limit(40).collect()]
+    hashes = rng.integers(-2**63, 2**63 - 1, 3000)
+    classes = spark.createDataFrame([(h, v.tobytes()) for h, v in zip(hashes.tolist(), rng.normal(size=(3000, 4)))], "hash long, v binary").localCheckpoint()
+    want = [r.v for r in classes.orderBy("hash").limit(40).collect()]
     for total in (1, 3000, 10**9):  # all rows, those of small hashes, and too few of them
         assert [v for c in ann.sample(classes, total) for v in c.to_pylist()] == want
-    assert len(np.concatenate([c.to_pylist() for c in ann.sample(classes.limit(7), 7)])) == 7
+    assert sum(len(c) for c in ann.sample(classes.limit(7), 7)) == 7
 
 
 def test_parts_shards_and_shares_give_the_same_rows(spark, monkeypatch):
@@ -185,3 +186,16 @@ def test_one_part_holds_the_best(monkeypatch, waiting):
         seen = [j for j in range(1300) if j % 2 == 0 or wanted[i, 1]]
         want = sorted((-ann.cosine(q[i].astype(float), v[j].astype(float)), ids[j] is None, ids[j] or 0, j, bool((q[i] == v[j]).all())) for j in seen)[:6]
         assert [found for at, *found in got if at == i] == [list(w) for w in want]
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_packed_vectors(spark, kind):
+    table = [(0, [0.0, 1.5]), (1, [-0.0, 1.5, 0.0]), (2, None), (3, [1.0, None]), (4, [NAN, 1.0]), (5, [1.0] * 9 + [INF]), (6, []), (7, [0.0, -0.0]), (None, [-2.0])]
+    rows = spark.createDataFrame(table, f"vec_id long, embedding array<{kind}>")
+    raw, numbers, d = ann.vectors_of(rows.coalesce(1), "embedding", "vec_id")
+    assert numbers == np.dtype("f4" if kind == "float" else "f8") and d == 3
+    got = {r.id: (r.hash, np.frombuffer(r.v, numbers).tolist(), r.v) for r in ann.packed(raw, numbers, d).collect()}
+    assert {k: v for k, (_, v, _) in got.items()} == {0: [0.0, 1.5, 0.0], 1: [0.0, 1.5, 0.0], None: [-2.0, 0.0, 0.0]}
+    assert got[0] == got[1] and got[0][0] != got[None][0]
+    assert ann.vectors_of(rows.where("vec_id in (5, 6)"), "embedding", "vec_id")[2] == 0
+    assert ann.nearest(rows, F.col("id") % 50 == 0).collect() == [(0, 1, 1, 1.0), (0, 2, None, 0.0)]
