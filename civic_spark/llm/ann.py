@@ -336,12 +336,6 @@ class _Block:
     no_id: np.ndarray
     v: np.ndarray
     columns: list[np.ndarray]
-    squares: dict[int, tuple[list[float], float]]
-
-    def scaled(self, j: int) -> tuple[list[float], float]:
-        if j not in self.squares:
-            self.squares[j] = _scaled(self.v[j])
-        return self.squares[j]
 
 
 def _scaled(v: np.ndarray) -> tuple[list[float], float]:
@@ -366,7 +360,7 @@ def _blocks(rows: pa.Table, index: Index, kind: np.dtype) -> dict[int, list[_Blo
         for k in range(start, stop, BLOCK):
             own = by_list[k:min(k + BLOCK, stop)]
             columns = _column_blocks(_columns(index.rotate(v[own])), len(own), d)
-            out.setdefault(int(one[own[0]]), []).append(_Block(key[own], least[own], no_id[own], v[own], columns, {}))
+            out.setdefault(int(one[own[0]]), []).append(_Block(key[own], least[own], no_id[own], v[own], columns))
     return out
 
 
@@ -389,7 +383,7 @@ def _search(q: np.ndarray, threshold: np.ndarray, wanted: np.ndarray, lists: np.
             for i, j in zip(at_q[near].tolist(), at_x[near].tolist()):
                 if i not in sides:
                     sides[i] = _scaled(q[i])
-                (a, aa), (b, bb) = sides[i], block.scaled(j)
+                (a, aa), (b, bb) = sides[i], _scaled(block.v[j])
                 score = math.fsum(map(mul, a, b)) / math.sqrt(aa * bb)
                 scored.setdefault(i, []).append((-score, bool(block.no_id[j]), int(block.least[j]), int(block.key[j]), a == b and bool((q[i] == block.v[j]).all())))
         for i, found in scored.items():
